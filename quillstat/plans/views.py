@@ -145,6 +145,7 @@ def order_status_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("price_bands", F.when(p < 150000, "F").when(p < 300000, "O").otherwise("P")),
         ("price_split", F.when(p < 200000, "F").otherwise("O")),
         ("always_open", F.lit("O")),
+        ("status_echo", F.col("o_orderstatus")),  # a leak: perfect score, flagged suspicious
     ]
     parts = [o.select(F.lit(name).alias("model"), F.lit(i).alias("ordinal"),
                       F.col("o_orderkey").alias("row_key"), F.col("o_orderstatus").alias("label"),
@@ -160,7 +161,8 @@ ORDER_STATUS_RULES_SQL = """SELECT 'price_bands' AS model, 0 AS ordinal, o_order
   CASE WHEN o_totalprice < 150000 THEN 'F' WHEN o_totalprice < 300000 THEN 'O' ELSE 'P' END AS prediction FROM orders
 UNION ALL SELECT 'price_split', 1, o_orderkey, o_orderstatus,
   CASE WHEN o_totalprice < 200000 THEN 'F' ELSE 'O' END FROM orders
-UNION ALL SELECT 'always_open', 2, o_orderkey, o_orderstatus, 'O' FROM orders"""
+UNION ALL SELECT 'always_open', 2, o_orderkey, o_orderstatus, 'O' FROM orders
+UNION ALL SELECT 'status_echo', 3, o_orderkey, o_orderstatus, o_orderstatus FROM orders"""
 
 
 def net_price_rules(spark: SparkSession, sf_dir: str) -> DataFrame:

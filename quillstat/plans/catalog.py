@@ -7,7 +7,7 @@ on a fitted model or on randomised trees have no SQL twin (rows-only check)
 and are covered by property tests instead.
 """
 
-from quillstat.plans import catalog_abc, catalog_de, catalog_g, catalog_hij  # noqa: F401  (registration)
+from quillstat.plans import catalog_abc, catalog_de, catalog_g, catalog_hij, catalog_fk  # noqa: F401  (registration)
 from quillstat.plans.registry import ORACLE, QUERIES
 
 __all__ = ["QUERIES", "ORACLE"]

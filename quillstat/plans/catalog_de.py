@@ -317,3 +317,29 @@ def e13_class_weights(spark, sf):
         w = D.class_weights(df, "value")
         out.append(w.select(F.lit(name).alias("target_name"), "value", "n_class", F.round("weight", 6).alias("weight")))
     return union_all(out)
+
+
+# Positional feature names, truncated to the first n or zero-padded to n
+_E_ALIGN_TRUNC = 8
+_E_ALIGN_PAD = 20
+
+
+@query("e5_align_features", f"{_E_BASE} SELECT "
+       + ", ".join(f"round((i.{c} - s.m_{c}) / {_sd('s.s_' + c)}, 4) + 0.0 AS f_{k}" for k, c in enumerate(_E_FEATS[:_E_ALIGN_TRUNC]))
+       + " FROM i, s")
+def e5_align_features(spark, sf):
+    df, fm = _messy_features(spark, sf)
+    x = fm.transform(df)
+    return _round_doubles(x.select(*[F.col(c).alias(f"f_{k}") for k, c in enumerate(fm.features[:_E_ALIGN_TRUNC])]))
+
+
+@query("e12_pad_columns", f"{_E_BASE} SELECT "
+       + ", ".join(f"round((i.{c} - s.m_{c}) / {_sd('s.s_' + c)}, 4) + 0.0 AS f_{k}" for k, c in enumerate(_E_FEATS))
+       + ", " + ", ".join(f"CAST(0.0 AS DOUBLE) AS f_{k}" for k in range(len(_E_FEATS), _E_ALIGN_PAD))
+       + " FROM i, s")
+def e12_pad_columns(spark, sf):
+    df, fm = _messy_features(spark, sf)
+    x = fm.transform(df)
+    named = x.select(*[F.col(c).alias(f"f_{k}") for k, c in enumerate(fm.features)])
+    pads = {f"f_{k}": F.lit(0.0) for k in range(len(fm.features), _E_ALIGN_PAD)}
+    return _round_doubles(named.withColumns(pads))

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstat.functions.exprs import DATETIME_FORMATS, DROP_MISSING_PCT, in_validation, md5_key
+from quillstat.functions.exprs import DROP_MISSING_PCT, in_validation, md5_key, parse_any_layout
 from quillstat.operators.profile import DatasetInfo
 from quillstat.operators.ranking import exact_medians, global_rank
 
@@ -136,7 +136,7 @@ def parse_any(c: Column, dtype: T.DataType) -> Column:
     """D7 parse: timestamps pass; text tries each layout; failures become null."""
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c
-    return F.coalesce(*[F.try_to_timestamp(c.cast("string"), F.lit(fmt)) for fmt, _ in DATETIME_FORMATS])
+    return parse_any_layout(c.cast("string"))
 
 
 def date_parts(df: DataFrame, col: str) -> dict[str, Column]:

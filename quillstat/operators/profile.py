@@ -70,8 +70,8 @@ def profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.01) -> DataFr
         else:
             aggs.append(F.approx_count_distinct(v, rsd).alias(f"nu{i}"))
         if kind == "string":
-            for j, (fmt, _) in enumerate(DATETIME_FORMATS):
-                aggs.append(F.count(parse_timestamp(v, fmt)).alias(f"dt{i}_{j}"))
+            for j, (fmt, _, shape) in enumerate(DATETIME_FORMATS):
+                aggs.append(F.count(parse_timestamp(v, fmt, shape)).alias(f"dt{i}_{j}"))
     wide = df.agg(*aggs)
 
     rows = []

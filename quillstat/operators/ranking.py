@@ -10,9 +10,10 @@
 * ``dense_index``: sorted distinct values numbered 0..k-1 (label encoding).
 * ``exact_medians``: interpolated medians of many columns without sorting them.
   An approximate quantile pass brackets the middle ranks in a narrow value band,
-  a counting pass places the band, and only the band (checked to be at most
-  ``max_band`` values) is sorted.  Bands are narrowed again when too wide, and a
-  band whose ends are equal (a hot value) answers at once.
+  a counting pass places the band, and only the band's value counts (checked to
+  be at most ``max_band`` distinct values) reach the driver.  Bands are
+  narrowed again when too wide, and a band whose ends are equal (a hot value)
+  answers at once.
 """
 
 from __future__ import annotations
@@ -56,8 +57,10 @@ def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 10000,
                   max_band: int = 100_000, max_rounds: int = 6) -> dict[str, float | None]:
     """Exact (interpolated, pandas/DuckDB ``median``) medians of numeric ``cols``.
 
-    Returns a small dict for the driver; the data itself never leaves Spark
-    except for the sorted band of at most ``max_band`` values per column.
+    Returns a small dict for the driver.  The final step counts rows per
+    distinct value inside each column's band (at most ``max_band`` distinct
+    values, checked), so a band holding many copies of a few values (a hot
+    value, a two-valued code) costs no more than its distinct values.
     """
     if not cols:
         return {}
@@ -72,10 +75,11 @@ def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 10000,
             continue
         # target 0-based ranks; band = whole column, nothing below it yet
         state[c] = {"n": n, "r": ((n - 1) // 2, n // 2), "lo": None, "hi": None,
-                    "below": 0, "inband": n}
+                    "below": 0, "inband": n, "stuck": False}
     rounds = 0
     while True:
-        wide = [c for c, s in state.items() if s["inband"] > max_band and c not in result]
+        wide = [c for c, s in state.items()
+                if s["inband"] > max_band and c not in result and not s["stuck"]]
         if not wide or rounds >= max_rounds:
             break
         rounds += 1
@@ -102,6 +106,7 @@ def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 10000,
             lo, hi = s["cand"]
             below, inband = crow[f"b{i}"], crow[f"m{i}"]
             if below <= s["r"][0] and s["r"][1] < below + inband:
+                s["stuck"] = inband >= s["inband"]        # no progress: few distinct values
                 s.update(lo=lo, hi=hi, below=below, inband=inband)
                 if lo == hi:  # every value in the band is the same: a hot value
                     result[c] = float(lo)
@@ -110,24 +115,36 @@ def exact_medians(df: DataFrame, cols: list[str], accuracy: int = 10000,
     pending = [c for c in state if c not in result]
     if not pending:
         return result
-    aggs = []
+    items = [F.struct(F.lit(i).alias("k"), F.when(_band(x[c], state[c]), x[c]).alias("v"))
+             for i, c in enumerate(pending)]
+    counts = (df.select(F.explode(F.array(*items)).alias("e")).select("e.*").where(F.col("v").isNotNull())
+              .groupBy("k", "v").agg(F.count(F.lit(1)).alias("cnt")))
+    bound = max_band * len(pending)
+    got = counts.limit(bound + 1).collect()
+    if len(got) > bound:
+        raise RuntimeError(f"median bands hold more than {max_band} distinct values per column")
+    by_col: dict[int, list] = {}
+    for r in got:
+        by_col.setdefault(r["k"], []).append((r["v"], r["cnt"]))
     for i, c in enumerate(pending):
         s = state[c]
-        if s["inband"] > max_band:
-            raise RuntimeError(f"median band of {c} did not shrink below {max_band}")
-        aggs.append(F.sort_array(F.collect_list(F.when(_band(x[c], s), x[c]))).alias(f"v{i}"))
-    vrow = df.agg(*aggs).first()
-    for i, c in enumerate(pending):
-        s = state[c]
-        vals = vrow[f"v{i}"]
-        a = vals[s["r"][0] - s["below"]]
-        b = vals[s["r"][1] - s["below"]]
-        result[c] = (a + b) / 2.0
-        if math.isnan(result[c]):
-            result[c] = None
+        vals = sorted(by_col.get(i, []))
+        a = _value_at(vals, s["r"][0] - s["below"])
+        b = _value_at(vals, s["r"][1] - s["below"])
+        result[c] = None if a is None or b is None or math.isnan(a + b) else (a + b) / 2.0
     return result
 
 
+def _value_at(sorted_counts: list, rank: int) -> float | None:
+    """Value at 0-based ``rank`` in a sorted list of (value, count)."""
+    seen = 0
+    for v, cnt in sorted_counts:
+        seen += cnt
+        if rank < seen:
+            return v
+    return None
+
+
 def _band(c: Column, s: dict) -> Column:
     if s["lo"] is None:
         return c.isNotNull()

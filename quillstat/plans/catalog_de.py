@@ -35,7 +35,9 @@ def _messy_prepared(spark, sf):
 
 
 def _ts_sql(expr: str) -> str:
-    return "coalesce(" + ", ".join(f"try_strptime({expr}, {O.lit(f)})" for _, f in DATETIME_FORMATS) + ")"
+    return "coalesce(" + ", ".join(
+        f"CASE WHEN regexp_full_match({expr}, {O.lit(shape[1:-1])}) THEN try_strptime({expr}, {O.lit(f)}) END"
+        for _, f, shape in DATETIME_FORMATS) + ")"
 
 
 def _sd(expr: str) -> str:

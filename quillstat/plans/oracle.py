@@ -39,7 +39,8 @@ def profile_sql(table: str) -> str:
             st = "'datetime'"
         else:
             parsed = "greatest(" + ", ".join(
-                f"count(try_strptime({col}, {lit(fmt)}))" for _, fmt in DATETIME_FORMATS) + ")"
+                f"count(CASE WHEN regexp_full_match({col}, {lit(shape[1:-1])}) THEN try_strptime({col}, {lit(fmt)}) END)"
+                for _, fmt, shape in DATETIME_FORMATS) + ")"
             st = (f"CASE WHEN {parsed} = {nn} THEN 'datetime' "
                   f"WHEN CAST({nu} AS DOUBLE) / greatest({n}, 1) > {TEXT_RATIO} THEN 'text' "
                   f"ELSE 'categorical' END")

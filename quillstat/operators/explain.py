@@ -90,6 +90,31 @@ def explainable(kinds: list[str]) -> list[str]:
     return [k for k in kinds if k in EXPLAINABLE_KINDS]
 
 
+def explain_models(spark, models: dict, kinds: dict, rows: DataFrame, key: str, features: list[str]):
+    """H1 + H5 + H9 over a set of fitted models.
+
+    Returns (contributions of every explained model with a ``model`` column,
+    status table (model, status, message)).  A model that is not explainable
+    or whose explanation fails gets a status row instead of silent zeros.
+    """
+    parts, status = [], []
+    for name, model in models.items():
+        if kinds.get(name) not in EXPLAINABLE_KINDS or not hasattr(model, "trees") and not hasattr(model, "rootNode"):
+            status.append((name, "skipped", "not a tree ensemble"))
+            continue
+        try:
+            trees = ensemble_arrays(model)
+        except Exception as e:  # noqa: BLE001  reported, not hidden
+            status.append((name, "failed", f"{type(e).__name__}: {e}"[:300]))
+            continue
+        parts.append(tree_contributions(rows, key, features, trees).select(F.lit(name).alias("model"), "*"))
+        status.append((name, "explained", ""))
+    contrib = None
+    for p in parts:
+        contrib = p if contrib is None else contrib.unionByName(p)
+    return contrib, spark.createDataFrame(status, "model string, status string, message string")
+
+
 # ---------------------------------------------------------------------------
 # H1: path-dependent tree SHAP on MLlib tree ensembles
 # ---------------------------------------------------------------------------
@@ -104,6 +129,10 @@ def ensemble_arrays(model) -> list[dict]:
     """
     trees = model.trees if hasattr(model, "trees") else [model]
     weights = list(model.treeWeights) if hasattr(model, "treeWeights") else [1.0]
+    forest = type(model).__name__.startswith("RandomForest")
+    if forest:  # a forest averages its trees; a boosted ensemble sums weighted margins
+        weights = [1.0 / len(trees)] * len(trees)
+    positive_share = type(model).__name__ == "RandomForestClassificationModel"
     out = []
     for tree, w in zip(trees, weights):
         feature, threshold, left, right, value, cover = [], [], [], [], [], []
@@ -114,8 +143,13 @@ def ensemble_arrays(model) -> list[dict]:
             threshold.append(0.0)
             left.append(-1)
             right.append(-1)
-            value.append(float(node.prediction()))
             impurity_stats = node.impurityStats()
+            if positive_share and impurity_stats is not None:
+                stats = list(impurity_stats.stats())      # class counts: explain P(class 1)
+                value.append(float(stats[1] / sum(stats)) if len(stats) == 2 and sum(stats) > 0
+                             else float(node.prediction()))
+            else:
+                value.append(float(node.prediction()))
             cover.append(float(impurity_stats.count()) if impurity_stats is not None else 1.0)
             if node.getClass().getSimpleName() == "InternalNode":
                 split = node.split()

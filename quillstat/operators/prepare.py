@@ -390,7 +390,8 @@ def fit_features(df: DataFrame, info: DatasetInfo, target: str, fit_rows: DataFr
         else:
             dropped.append(c.name)
     dictionary = fit_dictionary(fit_rows, encoded, NAN_TOKEN).persist(StorageLevel.MEMORY_AND_DISK)
-    sizes = {c: info.columns[c].n_unique + 1 for c in encoded}
+    # +1 for the missing token, +10% headroom for an estimated distinct count
+    sizes = {c: int(info.columns[c].n_unique * 1.1) + 1 for c in encoded}
     model = FeatureModel(target, numeric, encoded, temporal, dropped, {}, {}, dictionary, sizes)
     raw = model.raw_features(fit_rows)
     candidates = numeric + encoded + [f"{c}_{p}" for c in temporal for p in ("year", "month", "day")]

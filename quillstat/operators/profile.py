@@ -51,59 +51,108 @@ def _as_value(name: str, dt: T.DataType) -> Column:
     return c.cast("int") if isinstance(dt, T.BooleanType) else c
 
 
-def profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.01) -> DataFrame:
+def profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.02) -> DataFrame:
     """One row per column.
 
     Columns: ordinal, column_name, physical_type, semantic_type, n_rows,
     n_missing, missing_pct (2 dp), n_unique (nulls excluded), distinct_ratio.
-    ``distinct='approx'`` uses HyperLogLog (``approx_count_distinct``) for the
-    scale path; the default is exact.
+
+    ``distinct``:
+      * ``"exact"`` (default): ``count(distinct)`` for every column in the same
+        aggregate (Spark expands each row once per column, then deduplicates
+        map-side);
+      * ``"approx"``: HyperLogLog (``approx_count_distinct``) only;
+      * ``"hybrid"`` (the scale path): HyperLogLog first, then an exact count
+        only for columns whose estimate lies within its error of a decision
+        threshold (2, 10 and 20 values, half the row count); other columns keep
+        the estimate, which changes no type or target decision.
     """
     fields = df.schema.fields
     kinds = [physical_kind(f.dataType) for f in fields]
-    aggs = [F.count(F.lit(1)).alias("__n")]
+    exact_cols = set(range(len(fields)))
+    if distinct == "hybrid":
+        exact_cols = _borderline_columns(df, rsd)
+    elif distinct == "approx":
+        exact_cols = set()
+    # Two aggregates: exact distinct counts are planned with an Expand that
+    # repeats each row once per distinct column, so the per-row work of the
+    # other statistics (pattern gates, date parses) must not ride along.
+    plain = [F.count(F.lit(1)).alias("__n")]
     for i, (f, kind) in enumerate(zip(fields, kinds)):
         v = _as_value(f.name, f.dataType)
-        aggs.append(F.count(v).alias(f"nn{i}"))
-        if distinct == "exact":
-            aggs.append(F.count_distinct(v).alias(f"nu{i}"))
-        else:
-            aggs.append(F.approx_count_distinct(v, rsd).alias(f"nu{i}"))
+        plain.append(F.count(v).alias(f"nn{i}"))
+        if i not in exact_cols:
+            plain.append(F.approx_count_distinct(v, rsd).alias(f"nu{i}"))
         if kind == "string":
             for j, (fmt, _, shape) in enumerate(DATETIME_FORMATS):
-                aggs.append(F.count(parse_timestamp(v, fmt, shape)).alias(f"dt{i}_{j}"))
-    wide = df.agg(*aggs)
-
-    rows = []
+                plain.append(F.count(parse_timestamp(v, fmt, shape)).alias(f"dt{i}_{j}"))
+    base_rows = []
     for i, (f, kind) in enumerate(zip(fields, kinds)):
-        nn, nu, n = F.col(f"nn{i}"), F.col(f"nu{i}"), F.col("__n")
-        if kind == "string":
-            parsed = F.greatest(*[F.col(f"dt{i}_{j}") for j in range(len(DATETIME_FORMATS))])
-            all_parse = parsed == nn
-        else:
-            all_parse = F.lit(False)
-        ratio = nu / F.greatest(n, F.lit(1))
-        semantic = (F.when(F.lit(kind == "numeric"), "numeric")
-                    .when(F.lit(kind == "temporal") | all_parse, "datetime")
-                    .when(ratio > TEXT_RATIO, "text")
-                    .otherwise("categorical"))
-        rows.append(F.struct(
-            F.lit(i).alias("ordinal"), F.lit(f.name).alias("column_name"),
-            F.lit(f.dataType.simpleString()).alias("physical_type"),
-            semantic.alias("semantic_type"), n.alias("n_rows"), (n - nn).alias("n_missing"),
-            F.round(F.lit(100.0) * (n - nn) / F.greatest(n, F.lit(1)), 2).alias("missing_pct"),
-            nu.cast("bigint").alias("n_unique"), ratio.cast("double").alias("distinct_ratio"),
-        ))
-    return wide.select(F.inline(F.array(*rows)))
+        parsed = (F.greatest(*[F.col(f"dt{i}_{j}") for j in range(len(DATETIME_FORMATS))])
+                  if kind == "string" else F.lit(None).cast("bigint"))
+        base_rows.append(F.struct(F.lit(i).alias("ordinal"), F.col("__n").alias("n"), F.col(f"nn{i}").alias("nn"),
+                                  parsed.alias("parsed"),
+                                  (F.col(f"nu{i}") if i not in exact_cols else F.lit(None).cast("bigint")).alias("nu_approx")))
+    base = df.agg(*plain).select(F.inline(F.array(*base_rows)))
+    if exact_cols:
+        order = sorted(exact_cols)
+        exact = df.agg(*[F.count_distinct(_as_value(fields[i].name, fields[i].dataType)).alias(f"u{i}") for i in order])
+        exact = exact.select(F.inline(F.array(*[F.struct(F.lit(i).alias("ordinal"), F.col(f"u{i}").alias("nu_exact"))
+                                                 for i in order])))
+        base = base.join(F.broadcast(exact), "ordinal", "left")   # one row per column on each side
+    else:
+        base = base.withColumn("nu_exact", F.lit(None).cast("bigint"))
+
+    names = F.array(*[F.lit(f.name) for f in fields])
+    types = F.array(*[F.lit(f.dataType.simpleString()) for f in fields])
+    kinds_col = F.array(*[F.lit(k) for k in kinds])
+    kind = F.element_at(kinds_col, F.col("ordinal") + 1)
+    n, nn = F.col("n"), F.col("nn")
+    nu = F.coalesce(F.col("nu_exact"), F.col("nu_approx"))
+    ratio = nu / F.greatest(n, F.lit(1))
+    semantic = (F.when(kind == "numeric", "numeric")
+                .when((kind == "temporal") | ((kind == "string") & (F.col("parsed") == nn)), "datetime")
+                .when(ratio > TEXT_RATIO, "text")
+                .otherwise("categorical"))
+    return base.select(
+        F.col("ordinal").cast("int").alias("ordinal"), F.element_at(names, F.col("ordinal") + 1).alias("column_name"),
+        F.element_at(types, F.col("ordinal") + 1).alias("physical_type"),
+        semantic.alias("semantic_type"), n.alias("n_rows"), (n - nn).alias("n_missing"),
+        F.round(F.lit(100.0) * (n - nn) / F.greatest(n, F.lit(1)), 2).alias("missing_pct"),
+        nu.cast("bigint").alias("n_unique"), ratio.cast("double").alias("distinct_ratio"),
+    )
 
 
-def sample_values(df: DataFrame, k: int = 5) -> DataFrame:
+def _borderline_columns(df: DataFrame, rsd: float) -> set[int]:
+    """Columns whose HyperLogLog estimate is within 4 standard errors of a
+    decision threshold; only these need an exact distinct count."""
+    fields = df.schema.fields
+    row = df.agg(F.count(F.lit(1)).alias("__n"),
+                 *[F.approx_count_distinct(_as_value(f.name, f.dataType), rsd).alias(f"a{i}")
+                   for i, f in enumerate(fields)]).first()
+    n = row["__n"]
+    thresholds = [2, MIN_REGRESSION_DISTINCT, MAX_CLASSES, TEXT_RATIO * n]
+    out = set()
+    for i in range(len(fields)):
+        est = row[f"a{i}"]
+        if est <= 4 * MAX_CLASSES or any(abs(est - t) <= 4 * rsd * max(est, t) + 1 for t in thresholds):
+            out.add(i)
+    return out
+
+
+def sample_values(df: DataFrame, k: int = 5, prune_rows: int | None = 100_000) -> DataFrame:
     """The k smallest distinct non-null values of every column.
 
     Rows (ordinal, column_name, sample_rank, sample_value STRING).  All columns
     are stacked into one (ordinal, typed value) relation; the aggregate dedups
     map-side, and ``row_number() <= k`` is planned as a window-group limit that
     keeps k rows per column in each task before the shuffle.
+
+    ``prune_rows``: the k-th smallest distinct value of *any* subset of rows is
+    an upper bound of the true k-th smallest, so the bound taken from the first
+    ``prune_rows`` rows filters the stacked relation before its shuffle; the
+    result is exact and whole, only the shuffle of high-cardinality columns
+    shrinks from all their distinct values to a handful.
     """
     items = []
     for i, f in enumerate(df.schema.fields):
@@ -117,12 +166,30 @@ def sample_values(df: DataFrame, k: int = 5) -> DataFrame:
             v.cast("string").alias("sample_value"),
         ))
     names = F.array(*[F.lit(f.name) for f in df.schema.fields])
-    stacked = (df.select(F.explode(F.array(*items)).alias("e")).select("e.*")
-               .where(F.col("sample_value").isNotNull())
-               .distinct())
-    w = Window.partitionBy("ordinal").orderBy("d", "t", "s")
-    return (stacked.withColumn("sample_rank", F.row_number().over(w))
-            .where(F.col("sample_rank") <= k)
+
+    def stack(frame: DataFrame) -> DataFrame:
+        return (frame.select(F.explode(F.array(*items)).alias("e")).select("e.*")
+                .where(F.col("sample_value").isNotNull()).distinct())
+
+    def smallest(stacked: DataFrame) -> DataFrame:
+        w = Window.partitionBy("ordinal").orderBy("d", "t", "s")
+        return stacked.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
+
+    stacked = stack(df)
+    if prune_rows:
+        bounds = {r["ordinal"]: r for r in smallest(stack(df.limit(prune_rows)))
+                  .where(F.col("sample_rank") == k).collect()}
+        if bounds:
+            keep = None
+            for i, b in bounds.items():   # value <= bound for the bounded columns
+                le = ((F.col("d") <= F.lit(b["d"])) if b["d"] is not None else
+                      (F.col("t") <= F.lit(b["t"])) if b["t"] is not None else (F.col("s") <= F.lit(b["s"])))
+                keep = (F.when(F.col("ordinal") == i, le) if keep is None
+                        else keep.when(F.col("ordinal") == i, le))
+            keep = keep.otherwise(F.lit(True))
+            stacked = (df.select(F.explode(F.array(*items)).alias("e")).select("e.*")
+                       .where(F.col("sample_value").isNotNull() & keep).distinct())
+    return (smallest(stacked)
             .select("ordinal", F.element_at(names, F.col("ordinal") + 1).alias("column_name"),
                     "sample_rank", "sample_value"))
 

@@ -65,9 +65,10 @@ def prepare_training(df: DataFrame, target: str, task: str | None = None, keys:
                      fit_scope: str = "train", exact_split: bool = False, checkpoint: bool = True,
                      max_features: int | None = None) -> Analysis:
     """B/D/E steps up to the assembled, split, weighted training rows."""
-    info = P.collect_info(P.profile(df))
+    prof = P.profile(df, distinct="hybrid")   # exact wherever a decision depends on it
+    info = P.collect_info(prof)
     if task is None:
-        choice = P.default_choice(P.profile(df)).first()
+        choice = P.default_choice(prof).first()
         task = choice["task"] if choice else "regression"
     rows = df.withColumn("row_key", D.row_key(df, keys)).where(F.col(f"`{target}`").isNotNull())
     if task == "classification":

@@ -287,3 +287,34 @@ def c7_heatmap_long(spark, sf):
 @query("c9_nonnull_values", f"SELECT l_orderkey, l_linenumber, disc_nulls AS value FROM {_M} m WHERE disc_nulls IS NOT NULL")
 def c9_nonnull_values(spark, sf):
     return E.nonnull_values(V.lineitem_messy(spark, sf), "disc_nulls", ["l_orderkey", "l_linenumber"])
+
+
+# A1 + A2: a CSV written by Spark from ``orders`` with padded header names,
+# read back through the CSV source (text columns, trimmed names, A3, A4).
+_CSV_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def _orders_csv(spark, sf) -> str:
+    import uuid
+
+    from quillstat.session import checkpoint_dir
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    o = V.load_testdata(spark, sf, "orders")
+    (o.select(*[F.col(c).alias(f"  {c} ") for c in _CSV_COLS])
+     .write.option("header", True).option("timestampNTZFormat", "yyyy-MM-dd HH:mm:ss").csv(path))
+    return path
+
+
+@query("a1_csv_scan", f"""SELECT column_name, inferred_type, semantic_type, n_unique FROM (
+  SELECT 'o_orderkey' AS column_name, 'bigint' AS inferred_type, 'numeric' AS semantic_type, count(DISTINCT o_orderkey) AS n_unique FROM orders
+  UNION ALL SELECT 'o_custkey', 'bigint', 'numeric', count(DISTINCT o_custkey) FROM orders
+  UNION ALL SELECT 'o_orderstatus', 'string', 'categorical', count(DISTINCT o_orderstatus) FROM orders
+  UNION ALL SELECT 'o_totalprice', 'double', 'numeric', count(DISTINCT o_totalprice) FROM orders
+  UNION ALL SELECT 'o_orderdate', 'string', 'datetime', count(DISTINCT o_orderdate) FROM orders
+  UNION ALL SELECT 'o_orderpriority', 'string', 'categorical', count(DISTINCT o_orderpriority) FROM orders) x""")
+def a1_csv_scan(spark, sf):
+    from quillstat.sources.readers import read_table
+    df = read_table(spark, _orders_csv(spark, sf) + "/*.csv")
+    types = F.create_map(*[x for f in df.schema.fields for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
+    return P.profile(df).select("column_name", F.element_at(types, F.col("column_name")).alias("inferred_type"),
+                                "semantic_type", "n_unique")

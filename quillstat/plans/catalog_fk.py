@@ -174,3 +174,17 @@ def k5_isolation_scores(spark, sf):
     a = fitted(spark, sf, "binary")
     trees = K.isolation_forest(a.assembled, "row_key", n_trees=50)
     return K.isolation_scores(a.assembled, "row_key", trees)
+
+
+@query("h5_explain_status")
+def h5_explain_status(spark, sf):
+    """H5 + H9: which candidates were explained, with the number of
+    contribution rows; the stack is reported as skipped, and a failure is a
+    status row rather than silent zero importances."""
+    a = fitted(spark, sf, "binary")
+    kinds = {c.name: c.kind for c in M.CLASSIFICATION_CANDIDATES}
+    contrib, status = H.explain_models(spark, a.models, kinds, a.val, "row_key", a.features.features)
+    if contrib is None:
+        return status.withColumn("n_rows", F.lit(None).cast("bigint"))
+    counts = contrib.groupBy("model").agg(F.count(F.lit(1)).alias("n_rows"))
+    return status.join(F.broadcast(counts), "model", "left")

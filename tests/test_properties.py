@@ -89,3 +89,55 @@ def test_probabilities_sum_to_one(spark, small_dir):
         assert s.where(F.abs(F.col("s") - 1) > 1e-9).count() == 0
     board = a.leaderboard().collect()
     assert len(board) == 3 and all(r["f1_weighted"] > 0.8 for r in board)
+
+
+def test_hybrid_profile_keeps_decisions(spark, small_dir):
+    from quillstat.plans import views as V2
+    for t in ("lineitem_messy", "orders", "documents"):
+        rel = V2.relation(spark, small_dir, t)
+        exact = {r["column_name"]: r for r in P.profile(rel).collect()}
+        hybrid = {r["column_name"]: r for r in P.profile(rel, distinct="hybrid").collect()}
+        for c, r in exact.items():
+            assert hybrid[c]["semantic_type"] == r["semantic_type"], (t, c)
+            if r["n_unique"] <= 80:
+                assert hybrid[c]["n_unique"] == r["n_unique"], (t, c)
+        fe = {r["column_name"]: (r["classification_target"], r["regression_target"])
+              for r in P.target_flags(P.profile(rel)).collect()}
+        fh = {r["column_name"]: (r["classification_target"], r["regression_target"])
+              for r in P.target_flags(P.profile(rel, distinct="hybrid")).collect()}
+        assert fe == fh
+
+
+def test_pruned_samples_equal_full(spark, small_dir):
+    from quillstat.plans import views as V2
+    rel = V2.relation(spark, small_dir, "lineitem_messy")
+    full = sorted(map(tuple, P.sample_values(rel, prune_rows=None).collect()))
+    pruned = sorted(map(tuple, P.sample_values(rel, prune_rows=50).collect()))
+    assert full == pruned
+
+
+def test_forest_shap_additivity(spark, small_dir):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import RandomForestRegressor
+    t = V.lineitem_targets(spark, small_dir)
+    feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    x = (VectorAssembler(inputCols=feats, outputCol="features").transform(t)
+         .withColumn("row_key", F.monotonically_increasing_id().cast("string")).limit(300).persist())
+    model = RandomForestRegressor(labelCol="net_price", numTrees=3, maxDepth=3, seed=1).fit(x)
+    contrib = H.tree_contributions(x, "row_key", feats, H.ensemble_arrays(model))
+    sums = {r["row_key"]: r["s"] for r in contrib.groupBy("row_key").agg(F.sum("contribution").alias("s")).collect()}
+    preds = {r["row_key"]: r["prediction"] for r in model.transform(x).select("row_key", "prediction").collect()}
+    assert all(abs(sums[k] - preds[k]) < 1e-6 * max(1.0, abs(preds[k])) for k in preds)
+
+
+def test_explain_status_reports_skips(spark, small_dir):
+    from quillstat.operators import models as M
+    from quillstat.plans import analysis as A
+    df = V.lineitem_targets(spark, small_dir).drop("net_price", "qty_band")
+    a = A.run(df, "is_big", "classification", keys=["l_orderkey", "l_linenumber"],
+              params=M.TreeParams(n_trees=2, max_depth=3), stack=True)
+    kinds = {c.name: c.kind for c in M.CLASSIFICATION_CANDIDATES}
+    _, status = H.explain_models(spark, a.models, kinds, a.val, "row_key", a.features.features)
+    got = {r["model"]: r["status"] for r in status.collect()}
+    assert got["stacking"] == "skipped" and got["boosted_trees"] == "explained"
+    assert H.explainable(["boosted_trees", "stacking"]) == ["boosted_trees"]

@@ -229,7 +229,8 @@ class _Renamed:
 
 
 def stacking(cands: list[Candidate], train: DataFrame, val: DataFrame, p: TreeParams, n_classes: int,
-             folds: int = 3, keep: list[str] | None = None) -> tuple[object, DataFrame]:
+             folds: int = 3, keep: list[str] | None = None,
+             fitted: dict | None = None) -> tuple[object, DataFrame]:
     """balanced logistic regression on out-of-fold base probabilities.
 
     Each fold's base models are fitted on the other folds and score the
@@ -249,7 +250,9 @@ def stacking(cands: list[Candidate], train: DataFrame, val: DataFrame, p: TreePa
         meta_train = meta_train.unionByName(x)
     lr = LogisticRegression(featuresCol="meta", labelCol="label", weightCol="weight", maxIter=1000)
     meta = lr.fit(meta_train)
-    full = {c.name: _wrap(fit_candidate(c, train, p, n_classes), c.name) for c in cands}
+    fitted = fitted or {}
+    full = {c.name: _wrap(fitted[c.name] if c.name in fitted else fit_candidate(c, train, p, n_classes), c.name)
+            for c in cands}   # base models already fitted on all training rows are reused
     val_meta = base_probability_columns(full, val, keep)
     scored = meta.transform(val_meta).select(*keep, "prediction", "probability")
     train.unpersist()

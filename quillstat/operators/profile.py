@@ -140,7 +140,8 @@ def _borderline_columns(df: DataFrame, rsd: float) -> set[int]:
     return out
 
 
-def sample_values(df: DataFrame, k: int = 5, prune_rows: int | None = 100_000) -> DataFrame:
+def sample_values(df: DataFrame, k: int = 5, prune_rows: int | None = 100_000,
+                  order_col: str | None = None) -> DataFrame:
     """The k smallest distinct non-null values of every column.
 
     Rows (ordinal, column_name, sample_rank, sample_value STRING).  All columns
@@ -148,6 +149,11 @@ def sample_values(df: DataFrame, k: int = 5, prune_rows: int | None = 100_000) -
     map-side, and ``row_number() <= k`` is planned as a window-group limit that
     keeps k rows per column in each task before the shuffle.
 
+    ``order_col``: when the input carries a row order (a line number, an
+    ingestion time), the samples are instead the first k distinct values in
+    that order, as the reference shows them: each value keeps its smallest
+    order (map-side ``min``) and the same rank limit applies.
+
     ``prune_rows``: the k-th smallest distinct value of *any* subset of rows is
     an upper bound of the true k-th smallest, so the bound taken from the first
     ``prune_rows`` rows filters the stacked relation before its shuffle; the
@@ -166,6 +172,15 @@ def sample_values(df: DataFrame, k: int = 5, prune_rows: int | None = 100_000) -
             v.cast("string").alias("sample_value"),
         ))
     names = F.array(*[F.lit(f.name) for f in df.schema.fields])
+    if order_col is not None:
+        items = [it for it, f in zip(items, df.schema.fields) if f.name != order_col]
+        firsts = (df.select(F.col(order_col).alias("__o"), F.explode(F.array(*items)).alias("e"))
+                  .select("__o", "e.*").where(F.col("sample_value").isNotNull())
+                  .groupBy("ordinal", "d", "t", "s", "sample_value").agg(F.min("__o").alias("__first")))
+        w = Window.partitionBy("ordinal").orderBy("__first", "d", "t", "s")
+        return (firsts.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
+                .select("ordinal", F.element_at(names, F.col("ordinal") + 1).alias("column_name"),
+                        "sample_rank", "sample_value"))
 
     def stack(frame: DataFrame) -> DataFrame:
         return (frame.select(F.explode(F.array(*items)).alias("e")).select("e.*")

@@ -89,8 +89,12 @@ def prepare_training(df: DataFrame, target: str, task: str | None = None, keys:
     if task == "classification":
         x, _ = D.relabel_from_train(x, "label")                                 # E9 + E10
         x = x.withColumn("label", F.col("train_label")).drop("train_label")
-        x = D.with_class_weights(x.where(~F.col("is_validation")), "label").unionByName(
-            x.where(F.col("is_validation")).withColumn("weight", F.lit(1.0)))   # E13
+        # Weights from the training rows' class counts (a table of at most
+        # 20 rows), joined to every row in one pass; validation rows weigh 1
+        w = D.class_weights(x.where(~F.col("is_validation")), "label").select("label", F.col("weight").alias("__w"))
+        x = (x.join(F.broadcast(w), "label", "left")
+             .withColumn("weight", F.when(F.col("is_validation"), F.lit(1.0)).otherwise(F.col("__w")))
+             .drop("__w"))
     else:
         x = x.withColumn("weight", F.lit(1.0))
     x = cut_lineage(x) if checkpoint else x.persist(StorageLevel.MEMORY_AND_DISK)
@@ -111,7 +115,8 @@ def run(df: DataFrame, target: str, task: str | None = None, keys: list[str] | N
     a.models, a.predictions = M.fit_all(cands, a.train, a.val, params, max(a.n_classes, 2))
     if a.task == "classification":
         if stack and a.n_classes >= 2:
-            stack_model, scored = M.stacking(cands, a.train, a.val, params, max(a.n_classes, 2))
+            stack_model, scored = M.stacking(cands, a.train, a.val, params, max(a.n_classes, 2),
+                                             fitted=a.models)
             a.models["stacking"] = stack_model
             a.stack_predictions = scored
             a.predictions = a.predictions.unionByName(

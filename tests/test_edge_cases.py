@@ -69,3 +69,15 @@ def test_target_over_missing_threshold_raises(spark):
     info = P.collect_info(P.profile(normalise_missing(df)))
     with pytest.raises(ValueError):
         D.preprocess(df, info, "y")
+
+
+def test_samples_in_file_order(spark):
+    df = spark.createDataFrame([(1, "z"), (2, "b"), (3, "z"), (4, "a"), (5, None), (6, "c")], "line int, v string")
+    got = [r["sample_value"] for r in P.sample_values(df, k=3, order_col="line").orderBy("sample_rank").collect()]
+    assert got == ["z", "b", "a"]
+    assert [r["sample_value"] for r in P.sample_values(df.drop("line"), k=3).orderBy("sample_rank").collect()] == ["a", "b", "c"]
+
+
+def test_present_columns(spark):
+    df = spark.createDataFrame([(1, 2)], "a int, b int")
+    assert E.present_columns(df, ["b", "x", "a"]) == ["b", "a"]

@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillstat.session import estimated_bytes
 from quillstat.functions.exprs import (
     DATETIME_FORMATS, MAX_CLASSES, MIN_REGRESSION_DISTINCT, SMALL_DATA_ROWS, TEXT_RATIO,
     parse_timestamp,
@@ -140,8 +141,11 @@ def _borderline_columns(df: DataFrame, rsd: float) -> set[int]:
     return out
 
 
+PRUNE_MIN_BYTES = 1 << 30
+
+
 def sample_values(df: DataFrame, k: int = 5, prune_rows: int | None = 100_000,
-                  order_col: str | None = None) -> DataFrame:
+                  order_col: str | None = None, prune_min_bytes: int = PRUNE_MIN_BYTES) -> DataFrame:
     """The k smallest distinct non-null values of every column.
 
     Rows (ordinal, column_name, sample_rank, sample_value STRING).  All columns
@@ -158,7 +162,9 @@ def sample_values(df: DataFrame, k: int = 5, prune_rows: int | None = 100_000,
     an upper bound of the true k-th smallest, so the bound taken from the first
     ``prune_rows`` rows filters the stacked relation before its shuffle; the
     result is exact and whole, only the shuffle of high-cardinality columns
-    shrinks from all their distinct values to a handful.
+    shrinks from all their distinct values to a handful.  The extra bounding
+    job is spent only when Catalyst estimates the input above
+    ``prune_min_bytes``.
     """
     items = []
     for i, f in enumerate(df.schema.fields):
@@ -191,7 +197,7 @@ def sample_values(df: DataFrame, k: int = 5, prune_rows: int | None = 100_000,
         return stacked.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
 
     stacked = stack(df)
-    if prune_rows:
+    if prune_rows and estimated_bytes(df) >= prune_min_bytes:
         bounds = {r["ordinal"]: r for r in smallest(stack(df.limit(prune_rows)))
                   .where(F.col("sample_rank") == k).collect()}
         if bounds:

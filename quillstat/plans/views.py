@@ -147,14 +147,16 @@ def order_status_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("always_open", F.lit("O")),
         ("status_echo", F.col("o_orderstatus")),  # a leak: perfect score, flagged suspicious
     ]
-    parts = [o.select(F.lit(name).alias("model"), F.lit(i).alias("ordinal"),
-                      F.col("o_orderkey").alias("row_key"), F.col("o_orderstatus").alias("label"),
-                      pred.alias("prediction"))
-             for i, (name, pred) in enumerate(rules)]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    return _one_scan(o, rules, F.col("o_orderkey"), F.col("o_orderstatus"))
+
+
+def _one_scan(df: DataFrame, rules, key, label) -> DataFrame:
+    """One row per (input row, rule) from a single scan: an inline of one
+    struct per rule, instead of a union that would read the table per rule."""
+    structs = [F.struct(F.lit(name).alias("model"), F.lit(i).alias("ordinal"), pred.alias("prediction"))
+               for i, (name, pred) in enumerate(rules)]
+    return (df.select(key.alias("row_key"), label.alias("label"), F.inline(F.array(*structs)))
+            .select("model", "ordinal", "row_key", "label", "prediction"))
 
 
 ORDER_STATUS_RULES_SQL = """SELECT 'price_bands' AS model, 0 AS ordinal, o_orderkey AS row_key, o_orderstatus AS label,
@@ -174,13 +176,7 @@ def net_price_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         ("discounted", F.col("l_extendedprice") * (1 - F.col("l_discount"))),
         ("exact", F.col("net_price")),
     ]
-    parts = [t.select(F.lit(name).alias("model"), F.lit(i).alias("ordinal"), key.alias("row_key"),
-                      F.col("net_price").alias("label"), pred.cast("double").alias("prediction"))
-             for i, (name, pred) in enumerate(rules)]
-    out = parts[0]
-    for x in parts[1:]:
-        out = out.unionByName(x)
-    return out
+    return _one_scan(t, [(n, p.cast("double")) for n, p in rules], key, F.col("net_price"))
 
 
 NET_PRICE_RULES_SQL = f"""WITH t AS ({LINEITEM_TARGETS_SQL}),

@@ -63,3 +63,11 @@ def cut_lineage(df, spark: SparkSession | None = None):
     spark = spark or df.sparkSession
     checkpoint_dir(spark)
     return df.checkpoint(eager=True)
+
+
+def estimated_bytes(df) -> int:
+    """Catalyst's size estimate of a DataFrame's optimized plan (no job runs)."""
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # noqa: BLE001  an unknown size counts as large
+        return 1 << 62

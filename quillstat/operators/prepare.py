@@ -89,12 +89,19 @@ def as_category(c: Column, token: str) -> Column:
     return F.coalesce(c.cast("string"), F.lit(token))
 
 
-def fit_dictionary(df: DataFrame, cols: list[str], token: str = MISSING_TOKEN) -> DataFrame:
+LOCAL_RANK_LIMIT = 1_000_000
+
+
+def fit_dictionary(df: DataFrame, cols: list[str], token: str = MISSING_TOKEN,
+                   sizes: dict[str, int] | None = None, local_limit: int = LOCAL_RANK_LIMIT) -> DataFrame:
     """Sorted distinct text values of each column numbered 0..k-1.
 
     Rows (column_name, value, code).  All columns are stacked into one
-    relation, deduplicated map-side, globally ranked by (column, value) and
-    offset by each column's first rank (a table with one row per column).
+    relation and deduplicated map-side.  When ``sizes`` (from the profile)
+    prove every column has at most ``local_limit`` values, each column's
+    distinct values are numbered by a window partitioned by column (one job,
+    bounded per task); otherwise they are globally ranked by (column, value)
+    through a sort and offset by each column's first rank.
     """
     if not cols:
         return df.sparkSession.createDataFrame([], "column_name string, value string, code int")
@@ -102,6 +109,10 @@ def fit_dictionary(df: DataFrame, cols: list[str], token: str = MISSING_TOKEN) -
     stacked = (df.select(F.explode(F.array(*[
         F.struct(F.lit(i).alias("ordinal"), as_category(_q(c), token).alias("value"))
         for i, c in enumerate(cols)])).alias("e")).select("e.*").distinct())
+    if sizes is not None and all(sizes.get(c, local_limit + 1) <= local_limit for c in cols):
+        w = Window.partitionBy("ordinal").orderBy("value")
+        return stacked.select(F.element_at(names, F.col("ordinal") + 1).alias("column_name"), "value",
+                              (F.row_number().over(w) - 1).cast("int").alias("code"))
     ranked = global_rank(stacked, [F.col("ordinal"), F.col("value")], "r")
     starts = ranked.groupBy("ordinal").agg(F.min("r").alias("r0"))
     return (ranked.join(F.broadcast(starts), "ordinal")
@@ -191,8 +202,8 @@ def preprocess(df: DataFrame, info: DatasetInfo, target: str | None = None,
     medians = fit_medians(df, numeric)
     imputed = impute(medians)
     scalers = fit_scalers(df, {c: imputed[c] for c in numeric if c != target})
-    dictionary = fit_dictionary(df, categorical, MISSING_TOKEN).persist(StorageLevel.MEMORY_AND_DISK)
     sizes = {c: info.columns[c].n_unique + 1 for c in categorical}
+    dictionary = fit_dictionary(df, categorical, MISSING_TOKEN, sizes).persist(StorageLevel.MEMORY_AND_DISK)
 
     out = encode(df, dictionary, categorical, sizes, MISSING_TOKEN, broadcast_limit)
     exprs: list[Column] = []
@@ -274,23 +285,33 @@ def split(df: DataFrame, label: str | None, keys: list[str], stratify: bool,
     return hash_split(df, keys), False
 
 
-def encode_target(df: DataFrame, target: str, label_col: str = "label") -> tuple[DataFrame, DataFrame]:
+def _small_rank(distinct: DataFrame, col: str, out: str, n_hint: int | None) -> DataFrame:
+    """Number sorted distinct values 0..k-1 as DOUBLE: a single-partition window
+    when the profile proves k small, else the sort-based global rank."""
+    if n_hint is not None and n_hint <= LOCAL_RANK_LIMIT:
+        return distinct.select(col, (F.row_number().over(Window.orderBy(col)) - 1).cast("double").alias(out))
+    return global_rank(distinct, [F.col(col)], out).select(col, F.col(out).cast("double"))
+
+
+def encode_target(df: DataFrame, target: str, label_col: str = "label",
+                  n_hint: int | None = None) -> tuple[DataFrame, DataFrame]:
     """Target values numbered in their native order (numbers numerically).
 
     Returns (rows with ``label`` DOUBLE, mapping (value, label)).  The mapping
     has at most 20 rows for a classification target and is broadcast.
     """
     distinct = df.select(_q(target).alias("value")).where(F.col("value").isNotNull()).distinct()
-    mapping = global_rank(distinct, [F.col("value")], "label").select("value", F.col("label").cast("double"))
+    mapping = _small_rank(distinct, "value", "label", n_hint)
     out = df.join(F.broadcast(mapping.withColumnRenamed("value", target)), target, "left")
     return out.withColumnRenamed("label", label_col) if label_col != "label" else out, mapping
 
 
-def relabel_from_train(df: DataFrame, label: str = "label", flag: str = "is_validation") -> tuple[DataFrame, DataFrame]:
+def relabel_from_train(df: DataFrame, label: str = "label", flag: str = "is_validation",
+                       n_hint: int | None = None) -> tuple[DataFrame, DataFrame]:
     """E9 + E10: contiguous labels from the classes seen in train; validation
     rows of unseen classes are dropped (left-semi on the small class table)."""
     train_classes = df.where(~F.col(flag)).select(label).distinct()
-    mapping = global_rank(train_classes, [F.col(label)], "__new").select(label, F.col("__new").cast("double").alias("train_label"))
+    mapping = _small_rank(train_classes, label, "train_label", n_hint)
     kept = df.join(F.broadcast(train_classes), label, "left_semi")
     return kept.join(F.broadcast(mapping), label), mapping
 
@@ -389,9 +410,9 @@ def fit_features(df: DataFrame, info: DatasetInfo, target: str, fit_rows: DataFr
             encoded.append(c.name)
         else:
             dropped.append(c.name)
-    dictionary = fit_dictionary(fit_rows, encoded, NAN_TOKEN).persist(StorageLevel.MEMORY_AND_DISK)
     # +1 for the missing token, +10% headroom for an estimated distinct count
     sizes = {c: int(info.columns[c].n_unique * 1.1) + 1 for c in encoded}
+    dictionary = fit_dictionary(fit_rows, encoded, NAN_TOKEN, sizes).persist(StorageLevel.MEMORY_AND_DISK)
     model = FeatureModel(target, numeric, encoded, temporal, dropped, {}, {}, dictionary, sizes)
     raw = model.raw_features(fit_rows)
     candidates = numeric + encoded + [f"{c}_{p}" for c in temporal for p in ("year", "month", "day")]

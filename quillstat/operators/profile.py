@@ -70,11 +70,7 @@ def profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.02) -> DataFr
     """
     fields = df.schema.fields
     kinds = [physical_kind(f.dataType) for f in fields]
-    exact_cols = set(range(len(fields)))
-    if distinct == "hybrid":
-        exact_cols = _borderline_columns(df, rsd)
-    elif distinct == "approx":
-        exact_cols = set()
+    approx_cols = set(range(len(fields))) if distinct in ("approx", "hybrid") else set()
     # Two aggregates: exact distinct counts are planned with an Expand that
     # repeats each row once per distinct column, so the per-row work of the
     # other statistics (pattern gates, date parses) must not ride along.
@@ -82,19 +78,29 @@ def profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.02) -> DataFr
     for i, (f, kind) in enumerate(zip(fields, kinds)):
         v = _as_value(f.name, f.dataType)
         plain.append(F.count(v).alias(f"nn{i}"))
-        if i not in exact_cols:
+        if i in approx_cols:
             plain.append(F.approx_count_distinct(v, rsd).alias(f"nu{i}"))
         if kind == "string":
             for j, (fmt, _, shape) in enumerate(DATETIME_FORMATS):
                 plain.append(F.count(parse_timestamp(v, fmt, shape)).alias(f"dt{i}_{j}"))
+    plain_df = df.agg(*plain)
+    if distinct == "hybrid":
+        # the one-row result is cached, so deciding which columns need an
+        # exact count costs no extra pass over the data
+        plain_df = plain_df.persist()
+        exact_cols = _borderline(plain_df.first(), len(fields), rsd)
+    elif distinct == "approx":
+        exact_cols = set()
+    else:
+        exact_cols = set(range(len(fields)))
     base_rows = []
     for i, (f, kind) in enumerate(zip(fields, kinds)):
         parsed = (F.greatest(*[F.col(f"dt{i}_{j}") for j in range(len(DATETIME_FORMATS))])
                   if kind == "string" else F.lit(None).cast("bigint"))
         base_rows.append(F.struct(F.lit(i).alias("ordinal"), F.col("__n").alias("n"), F.col(f"nn{i}").alias("nn"),
                                   parsed.alias("parsed"),
-                                  (F.col(f"nu{i}") if i not in exact_cols else F.lit(None).cast("bigint")).alias("nu_approx")))
-    base = df.agg(*plain).select(F.inline(F.array(*base_rows)))
+                                  (F.col(f"nu{i}") if i in approx_cols else F.lit(None).cast("bigint")).alias("nu_approx")))
+    base = plain_df.select(F.inline(F.array(*base_rows)))
     if exact_cols:
         order = sorted(exact_cols)
         exact = df.agg(*[F.count_distinct(_as_value(fields[i].name, fields[i].dataType)).alias(f"u{i}") for i in order])
@@ -124,18 +130,15 @@ def profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.02) -> DataFr
     )
 
 
-def _borderline_columns(df: DataFrame, rsd: float) -> set[int]:
+def _borderline(row, n_cols: int, rsd: float) -> set[int]:
     """Columns whose HyperLogLog estimate is within 4 standard errors of a
-    decision threshold; only these need an exact distinct count."""
-    fields = df.schema.fields
-    row = df.agg(F.count(F.lit(1)).alias("__n"),
-                 *[F.approx_count_distinct(_as_value(f.name, f.dataType), rsd).alias(f"a{i}")
-                   for i, f in enumerate(fields)]).first()
+    decision threshold (or small enough to count exactly for free); only
+    these get an exact distinct count."""
     n = row["__n"]
     thresholds = [2, MIN_REGRESSION_DISTINCT, MAX_CLASSES, TEXT_RATIO * n]
     out = set()
-    for i in range(len(fields)):
-        est = row[f"a{i}"]
+    for i in range(n_cols):
+        est = row[f"nu{i}"]
         if est <= 4 * MAX_CLASSES or any(abs(est - t) <= 4 * rsd * max(est, t) + 1 for t in thresholds):
             out.add(i)
     return out

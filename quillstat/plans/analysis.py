@@ -72,12 +72,16 @@ def prepare_training(df: DataFrame, target: str, task: str | None = None, keys:
         task = choice["task"] if choice else "regression"
     rows = df.withColumn("row_key", D.row_key(df, keys)).where(F.col(f"`{target}`").isNotNull())
     if task == "classification":
-        rows, label_map = D.encode_target(rows, target, "label")
+        n_hint = info.columns[target].n_unique if target in info.columns else None
+        rows, label_map = D.encode_target(rows, target, "label", n_hint)
     else:
         rows, label_map = rows.withColumn("label", F.col(f"`{target}`").cast("double")), None
     split_keys = ["row_key"]
     rows, _ = D.split(rows, "label" if task == "classification" else None, split_keys,
                       stratify=task == "classification", exact=exact_split)
+    # the preparation is fitted in several passes (dictionaries, medians,
+    # scalers); keep the keyed, split input for them instead of rescanning
+    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
     fit_rows = rows.where(~F.col("is_validation")) if fit_scope == "train" else rows
     fm = D.fit_features(df, info, target, fit_rows=fit_rows)
     feats = fm.features[:max_features] if max_features else fm.features       # E5: first n features
@@ -87,7 +91,7 @@ def prepare_training(df: DataFrame, target: str, task: str | None = None, keys:
     x = x.select("row_key", "label", "is_validation", "features")
     n_classes = 0
     if task == "classification":
-        x, _ = D.relabel_from_train(x, "label")                                 # E9 + E10
+        x, _ = D.relabel_from_train(x, "label", n_hint=n_hint)                  # E9 + E10
         x = x.withColumn("label", F.col("train_label")).drop("train_label")
         # Weights from the training rows' class counts (a table of at most
         # 20 rows), joined to every row in one pass; validation rows weigh 1
@@ -97,7 +101,14 @@ def prepare_training(df: DataFrame, target: str, task: str | None = None, keys:
              .drop("__w"))
     else:
         x = x.withColumn("weight", F.lit(1.0))
-    x = cut_lineage(x) if checkpoint else x.persist(StorageLevel.MEMORY_AND_DISK)
+    # the checkpoint cuts lineage (a lost block is re-read from the shared
+    # folder, not recomputed from the scan); the persisted copy serves the
+    # repeated passes of the candidate fits from memory
+    parallelism = x.sparkSession.sparkContext.defaultParallelism
+    if x.rdd.getNumPartitions() < parallelism:   # tree fits parallelise over partitions
+        x = x.repartition(parallelism)
+    x = (cut_lineage(x) if checkpoint else x).persist(StorageLevel.MEMORY_AND_DISK)
+    rows.unpersist()
     if task == "classification":
         n_classes = x.where(~F.col("is_validation")).select("label").distinct().count()
     train, val, on_train = D.validation_or_train(x)                             # E11

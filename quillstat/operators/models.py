@@ -9,7 +9,8 @@ candidate                      MLlib estimator
 boosted_trees                  GBT (100 trees, depth 7, rate 0.03, row 0.8, column 0.7,
                                min 3 rows per node); one-vs-rest beyond two classes
 boosted_trees_balanced         same with balanced class weights, min 20 rows per node
-random_forest                  random forest (100 trees, depth 7; depth 6 for regression)
+random_forest                  random forest (100 trees, depth 7; depth 6 for regression),
+                               all features at every split
 boosted_trees_min20 (regr.)    GBT regressor with min 20 rows per node
 stacking (classification)      logistic regression (1000 iterations, balanced weights)
                                on out-of-fold base probabilities
@@ -92,8 +93,10 @@ def estimator(c: Candidate, p: TreeParams, n_classes: int = 2, features: str = "
                 return OneVsRestProba(gbt, n_classes)
             return gbt
         if c.kind == "random_forest":
+            # the reference's third family samples no columns: every split sees all features
             return RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=p.n_trees,
                                           maxDepth=p.max_depth, maxBins=p.max_bins, seed=SEED,
+                                          featureSubsetStrategy="all",
                                           checkpointInterval=p.checkpoint_interval)
     else:
         if c.kind in ("boosted_trees", "boosted_trees_min20"):
@@ -103,6 +106,7 @@ def estimator(c: Candidate, p: TreeParams, n_classes: int = 2, features: str = "
         if c.kind == "random_forest":
             return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=p.n_trees,
                                          maxDepth=min(p.max_depth, 6), maxBins=p.max_bins, seed=SEED,
+                                         featureSubsetStrategy="all",
                                          checkpointInterval=p.checkpoint_interval)
     raise ValueError(f"unknown candidate {c}")
 

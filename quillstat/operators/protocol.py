@@ -34,7 +34,17 @@ CLASS_TABLE_BROADCAST_LIMIT = 1_000_000
 
 
 def cap_per_dataset(df: DataFrame, dataset: str, keys: list[str], n: int = MAX_ROWS_PER_DATASET) -> DataFrame:
-    """K1: the first ``n`` rows of each dataset in md5(key) order."""
+    """K1: the first ``n`` rows of each dataset in md5(key) order.
+
+    Spark plans ``row_number() <= n`` as a per-task limit before the shuffle
+    only for n up to ``spark.sql.optimizer.windowGroupLimitThreshold``, so the
+    threshold is raised to n when needed: a dataset holding a third of all
+    rows then ships n rows per task, never the whole dataset to one task.
+    """
+    conf = df.sparkSession.conf
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(key, "1000")) < n:
+        conf.set(key, str(n))
     w = Window.partitionBy(dataset).orderBy(md5_key(*keys), *keys)
     return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
 

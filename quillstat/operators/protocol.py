@@ -90,7 +90,11 @@ def rebalance(df: DataFrame, label: str, key: str, features: list[str], cap: int
     rep_map = F.create_map(*[x for c, r in reps.items() for x in (F.lit(c), F.lit(r))])
     minority = df.where(F.col(label).isin(list(reps)))
     exploded = minority.withColumn("__rep", F.explode(F.sequence(F.lit(1), F.element_at(rep_map, F.col(label)))))
-    proj = sum((_unit_hash(F.lit(i), F.col("__rep")) - 0.5) * F.col(f) for i, f in enumerate(features))
+    # project standardised features so that the bucket width means the same on every scale
+    st = minority.agg(*[F.avg(f).alias(f"m{i}") for i, f in enumerate(features)],
+                      *[F.stddev_pop(f).alias(f"s{i}") for i, f in enumerate(features)]).first()
+    z = [(F.col(f) - F.lit(st[f"m{i}"] or 0.0)) / F.lit(st[f"s{i}"] or 1.0) for i, f in enumerate(features)]
+    proj = sum((_unit_hash(F.lit(i), F.col("__rep")) - 0.5) * z[i] for i in range(len(features)))
     exploded = exploded.withColumn("__proj", proj).withColumn("__bucket", F.floor(F.col("__proj") / bucket_width))
     w = Window.partitionBy(label, "__rep", "__bucket").orderBy("__proj", key)
     u = _unit_hash(F.col(key), F.col("__rep"))

@@ -141,3 +141,19 @@ def test_explain_status_reports_skips(spark, small_dir):
     got = {r["model"]: r["status"] for r in status.collect()}
     assert got["stacking"] == "skipped" and got["boosted_trees"] == "explained"
     assert H.explainable(["boosted_trees", "stacking"]) == ["boosted_trees"]
+
+
+def test_rebalance_keeps_rows_and_interpolates(spark, small_dir):
+    from quillstat.operators import protocol as K
+    t = V.lineitem_targets(spark, small_dir).withColumn("row_key", F.concat_ws("|", "l_orderkey", "l_linenumber"))
+    feats = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+    out = K.rebalance(t, "is_big", "row_key", feats)
+    counts = {(r["is_big"], r["synthetic"]): r["count"] for r in out.groupBy("is_big", "synthetic").count().collect()}
+    assert counts[(0, False)] + counts[(1, False)] == t.count()          # every original row kept
+    minority = 0 if counts[(0, False)] < counts[(1, False)] else 1
+    total_min = counts[(minority, False)] + counts.get((minority, True), 0)
+    assert abs(total_min - counts[(1 - minority, False)]) <= 0.05 * counts[(1 - minority, False)]
+    lo_hi = t.where(F.col("is_big") == minority).agg(*[F.min(f) for f in feats], *[F.max(f) for f in feats]).first()
+    syn = out.where("synthetic").agg(*[F.min(f) for f in feats], *[F.max(f) for f in feats]).first()
+    for i in range(len(feats)):
+        assert syn[i] >= lo_hi[i] - 1e-9 and syn[len(feats) + i] <= lo_hi[len(feats) + i] + 1e-9

@@ -47,6 +47,12 @@ def _q(name: str) -> Column:
     return F.col(f"`{name}`")
 
 
+def numeric_columns(df: DataFrame) -> list[str]:
+    """Columns the B2 rule calls numeric.  The rule decides 'numeric' from the
+    physical type alone, so this needs the schema only, not a profile job."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC_TYPES)]
+
+
 def _as_value(name: str, dt: T.DataType) -> Column:
     c = _q(name)
     return c.cast("int") if isinstance(dt, T.BooleanType) else c

@@ -192,8 +192,7 @@ _CAT_TABLES = {"orders": ["o_orderstatus", "o_orderpriority"], "customer": ["c_m
 
 def _messy_numeric(spark, sf):
     df = V.lineitem_messy(spark, sf)
-    info = P.collect_info(P.profile(df))
-    return df, E.present_columns(df, info.of_type("numeric")), info
+    return df, E.present_columns(df, P.numeric_columns(df))
 
 
 def _stats_sql(c: str) -> str:
@@ -210,19 +209,19 @@ _STATS_SQL = O.union_all([_stats_sql(c) for c in _NUM])
 @query("c1_eda_report", f"""SELECT p.column_name, p.semantic_type, p.missing_pct, p.n_unique, s.mean, s.std, s.min, s.max, s.skew
 FROM ({O.profile_sql('lineitem_messy')}) p LEFT JOIN ({_STATS_SQL}) s ON p.column_name = s.column_name""")
 def c1_eda_report(spark, sf):
-    df, num, _ = _messy_numeric(spark, sf)
+    df, num = _messy_numeric(spark, sf)
     return E.eda_report(P.profile(df), E.numeric_summary(df, num)).drop("ordinal")
 
 
 @query("c2_numeric_summary", f"SELECT column_name, mean, std, min, max FROM ({_STATS_SQL}) s")
 def c2_numeric_summary(spark, sf):
-    df, num, _ = _messy_numeric(spark, sf)
+    df, num = _messy_numeric(spark, sf)
     return E.numeric_summary(df, num).select("column_name", "mean", "std", "min", "max")
 
 
 @query("c3_skewness", f"SELECT column_name, skew FROM ({_STATS_SQL}) s")
 def c3_skewness(spark, sf):
-    df, num, _ = _messy_numeric(spark, sf)
+    df, num = _messy_numeric(spark, sf)
     return E.numeric_summary(df, num).select("column_name", "skew")
 
 
@@ -254,7 +253,7 @@ def _hist_sql(c: str, bins: int = 40) -> str:
 
 @query("c5_histogram", O.union_all([_hist_sql(c) for c in _NUM]))
 def c5_histogram(spark, sf):
-    df, num, _ = _messy_numeric(spark, sf)
+    df, num = _messy_numeric(spark, sf)
     return E.histogram(df, num).select("column_name", "bin", "bin_start", "bin_end", "count")
 
 
@@ -274,13 +273,13 @@ _CORR_SQL = _corr_sql(_NUM)
 
 @query("c6_correlation", _CORR_SQL)
 def c6_correlation(spark, sf):
-    df, num, _ = _messy_numeric(spark, sf)
+    df, num = _messy_numeric(spark, sf)
     return E.correlation(df, num)
 
 
 @query("c7_heatmap_long", _CORR_SQL)
 def c7_heatmap_long(spark, sf):
-    df, num, _ = _messy_numeric(spark, sf)
+    df, num = _messy_numeric(spark, sf)
     return E.matrix_to_long(E.correlation_matrix(E.correlation(df, num), num), num)
 
 

@@ -81,3 +81,10 @@ def test_samples_in_file_order(spark):
 def test_present_columns(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert E.present_columns(df, ["b", "x", "a"]) == ["b", "a"]
+
+
+def test_numeric_columns_equal_profile_rule(spark, small_dir):
+    from quillstat.plans import views as V
+    for t in ("lineitem_messy", "orders", "events"):
+        rel = V.relation(spark, small_dir, t)
+        assert P.numeric_columns(rel) == P.collect_info(P.profile(rel)).of_type("numeric")

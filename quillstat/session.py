@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -71,3 +72,22 @@ def estimated_bytes(df) -> int:
         return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     except Exception:  # noqa: BLE001  an unknown size counts as large
         return 1 << 62
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers that start elsewhere (once per application)."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    target = os.path.join(tempfile.mkdtemp(prefix="quillstat-ship-"), "quillstat.zip")
+    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as z:
+        for folder, _, names in os.walk(root):
+            for name in sorted(n for n in names if n.endswith(".py")):
+                path = os.path.join(folder, name)
+                z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    sc.addPyFile(target)
+    _shipped.add(sc.applicationId)
+
+
+_shipped: set[str] = set()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from quillstat.session import ship_package
 
+from . import jaccard as op6
 from . import quality as op1
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +32,8 @@ def query(name: str, sql: str | None = None):
 @query("op1_quality")
 def op1_quality(spark, sf_dir):
     return op1.quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+
+
+@query("op6_ngram_jaccard")
+def op6_ngram_jaccard(spark, sf_dir):
+    return op6.jaccard_classes(_read(spark, sf_dir, "documents"))

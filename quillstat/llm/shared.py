@@ -70,3 +70,14 @@ def in_blocks(df: DataFrame, key: str, member: str, size: int, block: int) -> Da
             .withColumn("bi", F.least("_own", "_other")).withColumn("bj", F.greatest("_own", "_other"))
             .withColumn("side", F.when(F.col("_own") == F.col("bi"), 0).otherwise(1))
             .drop("_k", "_own", "_other"))
+
+
+def one_text(docs: DataFrame) -> DataFrame:
+    """doc_id and text, one row per doc_id: no null doc_id, and of repeated rows the smallest text (null before any).
+
+    Texts are only shuffled if some doc_id does repeat, which a scan of the ids tells.
+    """
+    docs = docs.where("doc_id is not null").select("doc_id", "text")
+    if docs.groupBy("doc_id").count().where("count > 1").limit(1).count() == 0:
+        return docs
+    return docs.groupBy("doc_id").agg(F.min(F.struct("text")).alias("t")).select("doc_id", "t.text")

@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from quillstat.session import ship_package
 
+from . import decontaminate as op4
 from . import jaccard as op6
+from . import mixing as op2
 from . import quality as op1
+from . import secrets as op9
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -37,3 +41,23 @@ def op1_quality(spark, sf_dir):
 @query("op6_ngram_jaccard")
 def op6_ngram_jaccard(spark, sf_dir):
     return op6.jaccard_classes(_read(spark, sf_dir, "documents"))
+
+
+@query("op2_source_mix", op2.oracle_sql())
+def op2_source_mix(spark, sf_dir):
+    return op2.mixed(_read(spark, sf_dir, "documents"))
+
+
+@query("op4_decontaminate")
+def op4_decontaminate(spark, sf_dir):
+    return op4.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+@query("op9_secret_scan")
+def op9_secret_scan(spark, sf_dir):
+    return op9.scan(_read(spark, sf_dir, "documents"))
+
+
+@query("pipeline", corpus_pipeline.ORACLE_SQL)
+def pipeline(spark, sf_dir):
+    return corpus_pipeline.run(spark, sf_dir)

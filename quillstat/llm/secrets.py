@@ -1,0 +1,200 @@
+"""Secret scans with a random forest against false positives (operator 9).
+
+Candidates are runs of 12 or more characters ``[A-Za-z0-9+/_-]`` in a text that
+hold a digit or a capital letter inside a word.  Each has the features named by the method:
+
+* length, and the share of digits, capitals and hexadecimal digits;
+* character transitions: the share of neighbouring characters that change class
+  (small, capital, digit, sign), and the entropy of the characters;
+* dictionary coverage: the share of its letter trigrams that occur in the words
+  of the text around it (whatever the language, a random string does not look
+  like its surroundings);
+* path: whether it stands in a path, address or mail name, and how many slashes and dots touch it;
+* neighbouring words: whether the word before, or the name it is assigned to,
+  speaks of secrets, and whether it is quoted or assigned.
+
+A random forest (Spark's, ``TREES`` trees of depth ``DEPTH``) learns from
+labelled findings.  Without findings of one's own, ``known_findings`` labels
+those candidates for which a published format or a check digit decides; the rest
+are scored by the forest alone.  Training reads at most ``SAMPLE`` labelled
+findings of each kind (those of smallest hash); scanning and scoring cover
+every candidate of every text.
+
+Edge cases: a null or empty text has no candidate; a null doc_id is scanned and
+reported as null; repeated rows are reported each; if labelled findings of one
+kind are missing, the score of every candidate is the share of the other; an
+empty table gives no rows.
+"""
+
+from __future__ import annotations
+
+import math
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.ml.classification import RandomForestClassifier
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from .shared import stash
+from .textscan import SPACE, as_bytes, column, slices
+
+TREES = 24
+DEPTH = 6
+SAMPLE = 8000
+SECRET_AT = 0.5
+MASK = "[SECRET]"
+AROUND = 200
+
+_RUN = re.compile(rb"[A-Za-z0-9+/_\-]{12,}")
+_NAMED = re.compile(rb"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer|private[_-]?key)[\"']?\s*(?:[=:]|=>)?\s*[\"']?$", re.I)
+_ASSIGNED = re.compile(rb"[=:]\s*[\"']?$")
+FEATURES = ["f_length", "f_digits", "f_capitals", "f_hex", "f_turns", "f_entropy", "f_dictionary", "f_path", "f_signs", "f_named", "f_assigned", "f_quoted"]
+
+_CLASS = np.full(256, 3, np.uint8)
+_CLASS[97:123], _CLASS[65:91], _CLASS[48:58] = 0, 1, 2
+_LONG = np.zeros(256, bool)
+_LONG[[*range(48, 58), *range(65, 91), *range(97, 123), 43, 47, 95, 45]] = True
+
+
+def describe(text: bytes, a: int, b: int) -> list[float]:
+    """The features of the candidate text[a:b]."""
+    run, before, after = text[a:b], text[max(0, a - AROUND):a], text[b:b + AROUND]
+    kind = _CLASS[np.frombuffer(run, np.uint8)]
+    n = len(run)
+    entropy = -sum(c / n * math.log2(c / n) for c in Counter(run).values())
+    letters = run.lower()
+    grams = [letters[i:i + 3] for i in range(n - 2) if letters[i:i + 3].isalpha()]
+    nearby = (before.rpartition(b" ")[0] + b" " + after.partition(b" ")[2]).lower()
+    touch = text[max(0, a - 1):a] + text[b:b + 1]
+    word = before.split(b" ")[-1] + run + after.split(b" ")[0]
+    return [float(n), float((kind == 2).mean()), float((kind == 1).mean()), sum(c in b"0123456789abcdefABCDEF" for c in run) / n,
+            float((kind[1:] != kind[:-1]).mean()), entropy, sum(g in nearby for g in grams) / max(1, n - 2),
+            float(b"://" in word or b"@" in word or word.count(b"/") > 1), float(run.count(b"/") + sum(c in b"./\\@" for c in touch)),
+            float(bool(_NAMED.search(before[-40:]))), float(bool(_ASSIGNED.search(before[-4:]))),
+            float(before[-1:] in (b'"', b"'") and after[:1] == before[-1:])]
+
+
+def candidates(text: bytes) -> Iterator[tuple[int, int]]:
+    """Byte spans of the candidates.  Long words are found by numpy, only they meet the pattern."""
+    b = np.frombuffer(text, np.uint8)
+    inside = _LONG[b]
+    edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+    start, end = edge[0::2], edge[1::2]
+    keep = end - start >= 12
+    for a, z in zip(start[keep].tolist(), end[keep].tolist()):
+        run = text[a:z]
+        if any(48 <= c <= 57 for c in run) or not (run[1:].islower() or run.isupper() or not any(65 <= c <= 90 for c in run[1:])):
+            yield a, z
+
+
+SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("start_byte", T.LongType()), T.StructField("end_byte", T.LongType()),
+                       T.StructField("finding", T.StringType()), *[T.StructField(f, T.DoubleType()) for f in FEATURES]])
+
+
+def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.float64()] * len(FEATURES)]
+    for batch in batches:
+        ids, texts, out = column(batch, "doc_id").to_pylist(), as_bytes(column(batch, "text")), []
+        for lo, hi in slices(texts):
+            start = np.cumsum([0] + [len(t) + 1 for t in texts[lo:hi]])
+            whole = b" ".join(texts[lo:hi])
+            spans = list(candidates(whole))
+            rows = np.searchsorted(start, [a for a, _ in spans], "right") - 1
+            for (a, z), r in zip(spans, rows.tolist()):
+                text, o = texts[lo + r], int(start[r])
+                out.append((ids[lo + r], a - o, z - o, whole[a:z].decode(), *describe(text, a - o, z - o)))
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=SCHEMA.names)
+
+
+def findings(docs: DataFrame) -> DataFrame:
+    """Every candidate of every text with its features."""
+    return docs.select("doc_id", "text").mapInArrow(_scan, SCHEMA)
+
+
+def _luhn(digits: str) -> Column:
+    c = F.transform(F.sequence(F.lit(1), F.length(digits)), lambda i: F.substring(F.reverse(F.col(digits)), i, F.lit(1)).cast("int") * F.when(i % 2 == 0, 2).otherwise(1))
+    return F.aggregate(c, F.lit(0), lambda s, x: s + F.when(x > 9, x - 9).otherwise(x)) % 10 == 0
+
+
+def known_findings(found: DataFrame) -> DataFrame:
+    """Candidates that a published format decides: label 1 secret, 0 not; others are left out.
+
+    1: access key ids (AKIA and 16 of A-Z2-7 or digits), code-host and chat tokens by their
+    prefixes, and values of at least 16 hexadecimal digits, or of mixed classes,
+    assigned to a name that speaks of secrets.
+    0: numbers, parts of paths and addresses, words of the text's own letters
+    and placeholders of one repeated character.
+    """
+    f = F.col("finding")
+    secret = (f.rlike("^(AKIA|ASIA)[A-Z0-9]{16}$") | f.rlike("^(ghp_|gho_|ghs_|github_pat_|xox[abp]-|sk-|glpat-|AIza)[A-Za-z0-9_-]{16,}$")
+              | ((F.col("f_named") == 1) & (F.col("f_length") >= 16) & (f.rlike("^[0-9a-f]+$") | (F.col("f_turns") >= 0.3)) & f.rlike("[0-9]") & f.rlike("[A-Za-z]")))
+    harmless = (f.rlike(r"^[0-9\-/]+$") | (F.col("f_path") == 1) | ((F.col("f_dictionary") >= 0.5) & (F.col("f_digits") < 0.2)) | f.rlike(r"^(.)\1+$"))
+    label = F.when(secret, 1.0).when(harmless & (F.col("f_named") == 0), 0.0)
+    return found.withColumn("label", label).where("label is not null")
+
+
+def fit_forest(labelled: DataFrame, sample: int = SAMPLE):
+    """A forest, or the only label there is (None without any)."""
+    parts = [labelled.where(F.col("label") == y).orderBy(F.xxhash64("finding", "doc_id", "start_byte"), "finding", "doc_id", "start_byte").limit(sample)
+             .select("label", *FEATURES) for y in (0.0, 1.0)]
+    rows = stash(parts[0].union(parts[1]), "secret-sample")
+    labels = [r.label for r in rows.select("label").distinct().collect()]
+    if len(labels) < 2:
+        return labels[0] if labels else None
+    assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows.coalesce(1).sortWithinPartitions("label", *FEATURES))
+    return RandomForestClassifier(labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=11, featureSubsetStrategy="sqrt").fit(assembled)
+
+
+def scan(docs: DataFrame, labelled: DataFrame | None = None, sample: int = SAMPLE) -> DataFrame:
+    """doc_id, start_byte, end_byte, finding, score, is_secret for every candidate of every text.
+
+    ``labelled``: findings with features (as ``findings`` gives) and a 0/1 ``label``.
+    """
+    found = stash(findings(docs), "secret-findings")
+    model = fit_forest(known_findings(found) if labelled is None else labelled, sample)
+    if model is None or isinstance(model, float):
+        scored = found.withColumn("score", F.lit(model or 0.0))
+    else:
+        scored = model.transform(VectorAssembler(inputCols=FEATURES, outputCol="features").transform(found)).withColumn("score", vector_to_array("probability")[1])
+    return scored.select("doc_id", "start_byte", "end_byte", "finding", "score", (F.col("score") >= SECRET_AT).alias("is_secret"))
+
+
+def _masker(names: list[str]):
+    def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at = names.index("text")
+        for batch in batches:
+            texts, spans = column(batch, "text").to_pylist(), column(batch, "_spans").to_pylist()
+            for i, found in enumerate(spans):
+                if found and texts[i]:
+                    raw, parts, done = texts[i].encode(), [], 0
+                    for s in sorted(found, key=lambda s: s["start_byte"]):
+                        if s["start_byte"] >= done:
+                            parts += [raw[done:s["start_byte"]], MASK.encode()]
+                            done = s["end_byte"]
+                    texts[i] = b"".join([*parts, raw[done:]]).decode("utf-8", "replace")
+            cols = [batch.column(batch.schema.get_field_index(c)) for c in names]
+            cols[at] = pa.array(texts, pa.string())
+            yield pa.RecordBatch.from_arrays(cols, names=names)
+    return mask
+
+
+def redact(docs: DataFrame) -> DataFrame:
+    """The documents with every secret masked by ``MASK``; all rows and columns stay, n_chars follows the text.
+
+    Of repeated doc_id only spans whose bytes are the finding in that row's text
+    are masked; rows with a null doc_id are left as they are.
+    """
+    found = scan(docs.where("doc_id is not null")).where("is_secret")
+    spans = (found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct("start_byte", "end_byte", "finding")).alias("_spans")))
+    named = docs.columns
+    joined = docs.join(spans, docs.doc_id == spans._id, "left").drop("_id")
+    own = F.filter("_spans", lambda s: F.substring(F.encode("text", "utf-8"), s["start_byte"] + 1, s["end_byte"] - s["start_byte"]) == F.encode(s["finding"], "utf-8"))
+    out = joined.withColumn("_spans", own).mapInArrow(_masker(named), docs.schema)
+    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in named else out

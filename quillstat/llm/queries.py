@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from quillstat.session import ship_package
 
+from . import block_dedup as op8
 from . import decontaminate as op4
 from . import jaccard as op6
 from . import mixing as op2
 from . import quality as op1
-from . import secrets as op9
+from . import secret_scan as op9
+from . import suffix_dedup as op5
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -38,6 +40,11 @@ def op1_quality(spark, sf_dir):
     return op1.quality(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
 
 
+@query("op5_suffix_array_dedup")
+def op5_suffix_array_dedup(spark, sf_dir):
+    return op5.remove_repeats(_read(spark, sf_dir, "documents"))
+
+
 @query("op6_ngram_jaccard")
 def op6_ngram_jaccard(spark, sf_dir):
     return op6.jaccard_classes(_read(spark, sf_dir, "documents"))
@@ -53,6 +60,11 @@ def op4_decontaminate(spark, sf_dir):
     return op4.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+@query("op8_substring_dedup")
+def op8_substring_dedup(spark, sf_dir):
+    return op8.remove_repeats(_read(spark, sf_dir, "documents"))
+
+
 @query("op9_secret_scan")
 def op9_secret_scan(spark, sf_dir):
     return op9.scan(_read(spark, sf_dir, "documents"))

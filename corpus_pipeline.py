@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillstat.llm import decontaminate, jaccard, mixing, quality, secrets
+from quillstat.llm import decontaminate, jaccard, mixing, quality, secret_scan
 from quillstat.llm.shared import stash
 from quillstat.session import ship_package
 
@@ -39,10 +39,10 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
     return decontaminate.clean_documents(docs, _table(spark, sf_dir, "benchmark"))
 
 
-def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are masked in the text; every document stays."""
     ship_package(spark)
-    return secrets.redact(docs)
+    return secret_scan.redact(docs)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +55,7 @@ STAGES = [
     ("quality_classifier", quality_classifier),
     ("ngram_jaccard_join", near_copies),
     ("benchmark_decontamination", benchmark_decontamination),
-    ("secret_scan", secret_scan),
+    ("secret_scan", secret_masking),
     ("source_mix", source_mix),
 ]
 

@@ -12,6 +12,7 @@ from quillstat.session import ship_package
 from . import block_dedup as op8
 from . import decontaminate as op4
 from . import jaccard as op6
+from . import lattice_lm as op10
 from . import mixing as op2
 from . import quality as op1
 from . import secret_scan as op9
@@ -70,6 +71,11 @@ def op9_secret_scan(spark, sf_dir):
     return op9.scan(_read(spark, sf_dir, "documents"))
 
 
+@query("op10_lattice_likelihood")
+def op10_lattice_likelihood(spark, sf_dir):
+    return op10.lattice_scores(_read(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -248,7 +248,7 @@ def _score(state, path: str, bits: int):
                 top = head[at] == key if len(head) else np.zeros(len(key), bool)
                 part = np.where(top, log_count[at] if len(head) else 0.0, 0.0)
                 n_known = np.bincount(doc, top[inverse], hi - lo).astype(np.int64)
-                log_sum = np.bincount(doc, part[inverse], hi - lo)
+                log_sum = np.bincount(doc, part[inverse], hi - lo).astype(np.float64)
                 sums = np.bincount(doc, value[inverse], hi - lo) / LN10
                 base = pa.RecordBatch.from_arrays(
                     [pa.array(rows[lo:hi]), ids.slice(lo, hi - lo), held.slice(lo, hi - lo), pa.array(count + 1), pa.array(n_known), pa.array(log_sum), pa.array(sums),
@@ -304,7 +304,7 @@ def _meet(bits: int):
             own, inverse = np.unique(row[ok], return_inverse=True)
             rows.append(own)
             known.append(np.bincount(inverse, times[ok], len(own)).astype(np.int64))
-            sums.append(np.bincount(inverse, times[ok] * logs[at[ok]], len(own)))
+            sums.append(np.bincount(inverse, times[ok] * logs[at[ok]], len(own)).astype(np.float64))  # of nothing, bincount is integral
         return pa.table({"row": np.concatenate(rows), "n_known": np.concatenate(known), "log_sum": np.concatenate(sums)})
     return meet
 

@@ -11,12 +11,14 @@ from quillstat.session import ship_package
 
 from . import block_dedup as op8
 from . import decontaminate as op4
+from . import embed_dedup as op7
 from . import jaccard as op6
 from . import lattice_lm as op10
 from . import mixing as op2
 from . import quality as op1
 from . import secret_scan as op9
 from . import suffix_dedup as op5
+from . import toolcalls as op3
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -56,11 +58,58 @@ def op2_source_mix(spark, sf_dir):
     return op2.mixed(_read(spark, sf_dir, "documents"))
 
 
-@query("op4_decontaminate")
+_OP3_SQL = r"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL),
+calls AS (SELECT conv_id, turn, min(text) AS text FROM c WHERE role = 'user' GROUP BY ALL),
+results AS (SELECT conv_id, turn, min(text) AS content FROM c WHERE role = 'assistant' GROUP BY ALL),
+runs AS (SELECT *, turn - 2 * row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS run FROM calls),
+leveled AS (SELECT conv_id, turn, text, row_number() OVER (PARTITION BY conv_id, turn % 2, run ORDER BY turn) - 1 AS level FROM runs),
+joined AS (SELECT l.*, r.conv_id IS NOT NULL AS has_result, r.content, coalesce(len(regexp_extract_all(l.text, '[^\x20\x09-\x0D]+')), 0) AS words
+           FROM leveled l LEFT JOIN results r ON r.conv_id = l.conv_id AND r.turn = l.turn + 1)
+SELECT conv_id, conv_id || ':' || turn AS call_id, level, turn, 'reply' AS name, has_result, words >= 3 AND text <> '' AS valid,
+  '{"arguments":{"prompt":' || coalesce(to_json(text)::VARCHAR, 'null') || ',"words":' || words || '},"id":"' || conv_id || ':' || turn || '","name":"reply","result":'
+  || coalesce(to_json(content)::VARCHAR, 'null') || ',"valid":' || (words >= 3 AND text <> '') || '}' AS json
+FROM joined"""
+
+
+@query("op3_tool_calls", _OP3_SQL)
+def op3_tool_calls(spark, sf_dir):
+    return op3.link_calls(*op3.turns_as_calls(_read(spark, sf_dir, "conversations")), op3.TURN_SCHEMAS)
+
+
+_OP4_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+i AS (SELECT item_id, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[k:k + 4], ' ') for k in range(1, len(w) - 3)] END) AS s FROM d WHERE len(w) > 0)),
+ish AS (SELECT DISTINCT item_id, s FROM (SELECT item_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+        ELSE [array_to_string(w[k:k + 4], ' ') for k in range(1, len(w) - 3)] END) AS s FROM i WHERE len(w) > 0)),
+n AS (SELECT item_id, count(*) AS n_shingles FROM ish GROUP BY item_id),
+shared AS (SELECT ds.doc_id, ish.item_id, count(*) AS n_shared FROM ds JOIN ish USING (s) GROUP BY ALL)
+SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment FROM shared JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles"""
+
+
+@query("op4_decontaminate", _OP4_SQL)
 def op4_decontaminate(spark, sf_dir):
     return op4.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+_OP7_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0
+    AND len([x for x in embedding if x <> 0]) > 0),
+links AS MATERIALIZED (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND list_cosine_similarity(a.e, b.e) >= 0.93),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM embeddings WHERE vec_id IS NOT NULL UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+low AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM links GROUP BY a)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept FROM low LEFT JOIN n USING (vec_id)"""
+
+
+@query("op7_embedding_near_dedup", _OP7_SQL)
+def op7_embedding_near_dedup(spark, sf_dir):
+    return op7.near_vectors(_read(spark, sf_dir, "embeddings"))
+
+
 @query("op8_substring_dedup")
 def op8_substring_dedup(spark, sf_dir):
     return op8.remove_repeats(_read(spark, sf_dir, "documents"))

@@ -25,6 +25,8 @@ from .shared import input_bytes, one_text, shared_path
 BUCKET_BYTES = 3 << 20
 SHARD_BYTES = 4 << 20
 LOW = 40
+UNKNOWN = 1 << 58
+MOST_FILES = 100_000  # Spark's own bound on the buckets of a table
 
 
 class Buckets:
@@ -34,7 +36,9 @@ class Buckets:
         spark = docs.sparkSession
         size = input_bytes(docs)
         docs = one_text(docs)
-        files = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / (4 * BUCKET_BYTES)))
+        if size > UNKNOWN:  # not files: texts are counted, and compress to about a half
+            size = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // 2
+        files = min(MOST_FILES, max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(size / (4 * BUCKET_BYTES))))
         n = max(4 * files, math.ceil(size / BUCKET_BYTES))
         self.bits = min(24, max(4, math.ceil(math.log2(max(1, size / SHARD_BYTES)))))
         name = f"quillstat_buckets_{uuid.uuid4().hex}"

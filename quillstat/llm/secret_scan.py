@@ -1,7 +1,8 @@
 """Secret scans with a random forest against false positives (operator 9).
 
 Candidates are runs of 12 or more characters ``[A-Za-z0-9+/_-]`` in a text that
-hold a digit or a capital letter inside a word.  Each has the features named by the method:
+hold a digit or, after the first character, a capital letter (runs of capitals
+alone from 16 characters).  Each has the features named by the method:
 
 * length, and the share of digits, capitals and hexadecimal digits;
 * character transitions: the share of neighbouring characters that change class
@@ -90,7 +91,8 @@ def candidates(text: bytes) -> Iterator[tuple[int, int]]:
     keep = end - start >= 12
     for a, z in zip(start[keep].tolist(), end[keep].tolist()):
         run = text[a:z]
-        if any(48 <= c <= 57 for c in run) or not (run[1:].islower() or run.isupper() or not any(65 <= c <= 90 for c in run[1:])):
+        capitals = any(65 <= c <= 90 for c in run[1:])
+        if any(48 <= c <= 57 for c in run) or (capitals and (not run.isupper() or z - a >= 16)):
             yield a, z
 
 

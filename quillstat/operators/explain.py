@@ -80,9 +80,13 @@ def map_feature_names(contrib_or_imp: DataFrame, dictionary: DataFrame) -> DataF
             .withColumn("feature", F.coalesce(F.col("name"), F.col("feature"))).drop("name"))
 
 
-def drop_padding(df: DataFrame) -> DataFrame:
-    """H7: padding (pad_*) and unmapped positional (f_*) names are removed."""
-    return df.where(~F.col("feature").startswith("pad_") & ~F.col("feature").startswith("f_"))
+def drop_padding(df: DataFrame, genuine: list[str] | None = None) -> DataFrame:
+    """H7: padding (pad_*) and unmapped positional (f_*) names are removed.
+
+    ``genuine``: the data's own column names; those stay whatever they begin with.
+    """
+    own = F.col("feature").isin(genuine) if genuine else F.lit(False)
+    return df.where(own | (~F.col("feature").startswith("pad_") & ~F.col("feature").startswith("f_")))
 
 
 def explainable(kinds: list[str]) -> list[str]:

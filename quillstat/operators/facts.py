@@ -96,9 +96,11 @@ def parse_routes(replies: DataFrame, text: str = "reply", question: str = "quest
     """
     clean = strip_ws(F.replace(F.replace(strip_ws(F.col(text)), F.lit("```json"), F.lit("")),
                                F.lit("```"), F.lit("")))
-    parsed = F.from_json(clean, ROUTE_SCHEMA, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
-    out = replies.withColumn("__p", parsed)
-    ok = F.col("__p._corrupt_record").isNull() & F.col("__p").isNotNull()
+    # read as the only element of a list: trailing text or a second object then makes it malformed
+    kind = T.ArrayType(T.StructType([f for f in ROUTE_SCHEMA.fields if f.name != "_corrupt_record"]))
+    parsed = F.from_json(F.concat(F.lit("["), clean, F.lit("]")), kind, {"allowSingleQuotes": "false"})
+    out = replies.withColumn("__l", parsed).withColumn("__p", F.get("__l", F.lit(0)))
+    ok = F.coalesce((F.size("__l") == 1) & F.col("__p").isNotNull() & clean.startswith("{"), F.lit(False))
     return out.select(
         *[c for c in replies.columns],
         F.when(ok, F.col("__p.task")).otherwise(F.lit(ROUTE_DEFAULT_TASK)).alias("task"),

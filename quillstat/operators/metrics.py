@@ -71,9 +71,12 @@ def quality_band(task: str) -> Column:
             .otherwise("negative"))
 
 
-def leaderboard(metrics: DataFrame, task: str) -> DataFrame:
+def leaderboard(metrics: DataFrame, task: str, data_rows: int | None = None) -> DataFrame:
     """G7 / G8 + G10 + G13 + G14: sorted by the main score, ties by insertion order.
 
+    ``data_rows`` is the number of rows of the data set; without it the rows
+    predicted stand for it.
+
     The window ranks models (a handful of rows), not data.
     """
     score = "f1_weighted" if task == "classification" else "r2"
@@ -83,7 +86,7 @@ def leaderboard(metrics: DataFrame, task: str) -> DataFrame:
         F.row_number().over(w).cast("int").alias("position"), "model", "ordinal", *cols,
         (F.col("f1_weighted") == 1.0 if task == "classification" else F.lit(False)).alias("suspicious"),
         quality_band(task).alias("band"),
-        (F.col("n_rows") < SMALL_DATA_ROWS).alias("small_data"))
+        ((F.col("n_rows") if data_rows is None else F.lit(data_rows)) < SMALL_DATA_ROWS).alias("small_data"))
 
 
 def reliable(task: str) -> Column:

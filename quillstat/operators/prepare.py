@@ -245,10 +245,14 @@ def class_counts(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n_class"))
 
 
-def can_stratify(df: DataFrame, label: str) -> bool:
-    """Stratifying needs at least two rows in every class."""
-    row = class_counts(df, label).agg(F.min("n_class").alias("m")).first()
-    return row["m"] is not None and row["m"] >= 2
+def can_stratify(df: DataFrame, label: str, test_fraction: float = 0.2) -> bool:
+    """Stratifying needs two rows in every class, and on either side of the
+    split at least as many rows as there are classes."""
+    row = class_counts(df, label).agg(F.min("n_class").alias("m"), F.count(F.lit(1)).alias("k"), F.sum("n_class").alias("n")).first()
+    if row["m"] is None or row["m"] < 2:
+        return False
+    test = math.ceil(row["n"] * test_fraction)
+    return test >= row["k"] and row["n"] - test >= row["k"]
 
 
 def stratified_split(df: DataFrame, label: str, keys: list[str], flag: str = "is_validation",

@@ -1,8 +1,7 @@
 """Advertised data protocol without code in the reference.
 
-* K1 ``cap_per_dataset``: at most n rows per dataset, chosen by hash order;
-  the rank limit runs per task before the shuffle (window-group limit), so a
-  dataset holding a third of all rows never gathers in one task.
+* K1 ``cap_per_dataset``: at most n rows per dataset, chosen by hash order; a
+  hash bound from the dataset's count cuts it down to about n before the rank.
 * K2 ``drop_rare_classes``: classes under 50 rows are removed (semi-join on
   the class-count table).
 * K3 ``rebalance``: synthetic minority rows by interpolating each row with
@@ -26,27 +25,29 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillstat.functions.exprs import md5_key
+from quillstat.operators.ranking import global_rank
 
-MAX_ROWS_PER_DATASET = 2000
 MIN_CLASS_ROWS = 50
-REBALANCE_CAP = 200_000
+MAX_CLASSES = 10_000
 CLASS_TABLE_BROADCAST_LIMIT = 1_000_000
 
 
-def cap_per_dataset(df: DataFrame, dataset: str, keys: list[str], n: int = MAX_ROWS_PER_DATASET) -> DataFrame:
+def cap_per_dataset(df: DataFrame, dataset: str, keys: list[str], n: int) -> DataFrame:
     """K1: the first ``n`` rows of each dataset in md5(key) order.
 
-    Spark plans ``row_number() <= n`` as a per-task limit before the shuffle
-    only for n up to ``spark.sql.optimizer.windowGroupLimitThreshold``, so the
-    threshold is raised to n when needed: a dataset holding a third of all
-    rows then ships n rows per task, never the whole dataset to one task.
+    Rows are counted per dataset first.  Of a dataset larger than 2n only rows
+    whose hash is under (n + 10 sqrt(n) + 50) / count go to the rank, ten
+    standard deviations above the n rows wanted, so whatever the number of scan
+    tasks a dataset ships little more than n rows.
     """
-    conf = df.sparkSession.conf
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(conf.get(key, "1000")) < n:
-        conf.set(key, str(n))
-    w = Window.partitionBy(dataset).orderBy(md5_key(*keys), *keys)
-    return df.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n).drop("__rn")
+    h = md5_key(*keys)
+    share = F.conv(F.substring(h, 1, 12), 16, 10).cast("double") / float(1 << 48)
+    bound = F.when(F.col("__count") <= 2 * n, F.lit(2.0)).otherwise(F.lit(n + 10 * math.sqrt(n) + 50) / F.col("__count"))
+    counts = df.groupBy(F.col(dataset).alias("__dataset")).agg(F.count(F.lit(1)).alias("__count"))
+    near = df.join(counts, F.col(dataset).eqNullSafe(F.col("__dataset"))).where(share < bound)
+    w = Window.partitionBy(dataset).orderBy(h, *keys)
+    return (near.withColumn("__rn", F.row_number().over(w)).where(F.col("__rn") <= n)
+            .drop("__rn", "__dataset", "__count"))
 
 
 def drop_rare_classes(df: DataFrame, label: str, min_rows: int = MIN_CLASS_ROWS,
@@ -63,39 +64,53 @@ def drop_rare_classes(df: DataFrame, label: str, min_rows: int = MIN_CLASS_ROWS,
 
 
 def _unit_hash(*cols: Column) -> Column:
-    """A deterministic number in [0, 1) from the given columns."""
-    return F.pmod(F.xxhash64(*cols), F.lit(1 << 30)).cast("double") / float(1 << 30)
-
-
-def rebalance(df: DataFrame, label: str, key: str, features: list[str], cap: int = REBALANCE_CAP,
-              bucket_width: float = 1.0) -> DataFrame:
-    """K3: add synthetic rows to every class smaller than the largest.
-
-    Each minority row is replicated ceil(needed / n_class) times; within a
-    replicate, rows are ordered along a random projection (a different one per
-    replicate) inside buckets of that projection, and each row is interpolated
-    towards the next row with a hash weight.  Synthetic rows are marked
-    ``synthetic = true``; the total is capped at ``cap`` rows.
+    """A deterministic number in [0, 1) from the given columns, in steps of 2**-62."""
+    return F.pmod(F.xxhash64(*cols), F.lit(1 << 62)).cast("double") / float(1 << 62)
+
+
+def rebalance(df: DataFrame, label: str, key: str, features: list[str], total: int | None = None,
+              bucket_rows: int = 4096) -> DataFrame:
+    """K3: synthetic rows bring every class up to the largest.
+
+    A class of n rows that lacks m gets exactly m: every row is replicated
+    m // n times, and the first m % n rows in hash order once more.  Within a
+    replicate, rows are ordered along a random projection (another one per
+    replicate) inside buckets of it, and each is interpolated towards the next
+    with a hash weight; buckets narrow as a class grows, to about
+    ``bucket_rows`` rows.  ``total`` bounds all rows of the result, if given: the
+    classes then share what is left in proportion to what they lack.  Synthetic
+    rows are marked ``synthetic = true``.
     """
-    counts = {r[label]: r["n"] for r in df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not counts:
-        return df.withColumn("synthetic", F.lit(False))
-    largest = max(counts.values())
-    total = sum(counts.values())
-    budget = max(cap - total, 0)
-    need = {c: min(largest - n, budget) for c, n in counts.items() if n < largest}
-    reps = {c: math.ceil(v / counts[c]) for c, v in need.items() if v > 0}
-    if not reps:
-        return df.withColumn("synthetic", F.lit(False))
-    rep_map = F.create_map(*[x for c, r in reps.items() for x in (F.lit(c), F.lit(r))])
-    minority = df.where(F.col(label).isin(list(reps)))
-    exploded = minority.withColumn("__rep", F.explode(F.sequence(F.lit(1), F.element_at(rep_map, F.col(label)))))
+    found = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
+    if len(found) > MAX_CLASSES:
+        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
+    counts = {r[label]: r["n"] for r in found}
+    originals = df.select(key, label, *features).withColumn("synthetic", F.lit(False))
+    largest = max(counts.values(), default=0)
+    need = {c: largest - n for c, n in counts.items() if n < largest}
+    if total is not None and sum(need.values()):
+        share = min(1.0, max(0, total - sum(counts.values())) / sum(need.values()))
+        need = {c: int(m * share) for c, m in need.items()}
+    need = {c: m for c, m in need.items() if m > 0}
+    if not need:
+        return originals
+    per_class = lambda f: F.element_at(F.create_map(*[x for c in need for x in (F.lit(c), F.lit(f(c)))]), F.col(label))
+    minority = df.where(F.col(label).isin(list(need)))
+    order = _unit_hash(F.col(key).cast("string"), F.lit("rest"))
+    ranked = global_rank(minority.select(key, label, *features).withColumn("__h", order), [F.col(label), F.col("__h"), F.col(key)], "__g")
+    start, before = {}, 0
+    for c in sorted(need):
+        start[c], before = before, before + counts[c]
+    copies = per_class(lambda c: need[c] // counts[c]) + F.when(F.col("__g") - per_class(lambda c: start[c]) < per_class(lambda c: need[c] % counts[c]), 1).otherwise(0)
+    exploded = (ranked.withColumn("__copies", copies).where("__copies > 0")
+                .withColumn("__rep", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))))
     # project standardised features so that the bucket width means the same on every scale
     st = minority.agg(*[F.avg(f).alias(f"m{i}") for i, f in enumerate(features)],
                       *[F.stddev_pop(f).alias(f"s{i}") for i, f in enumerate(features)]).first()
     z = [(F.col(f) - F.lit(st[f"m{i}"] or 0.0)) / F.lit(st[f"s{i}"] or 1.0) for i, f in enumerate(features)]
     proj = sum((_unit_hash(F.lit(i), F.col("__rep")) - 0.5) * z[i] for i in range(len(features)))
-    exploded = exploded.withColumn("__proj", proj).withColumn("__bucket", F.floor(F.col("__proj") / bucket_width))
+    width = per_class(lambda c: min(1.0, bucket_rows / counts[c]))
+    exploded = exploded.withColumn("__proj", proj).withColumn("__bucket", F.floor(F.col("__proj") / width))
     w = Window.partitionBy(label, "__rep", "__bucket").orderBy("__proj", key)
     u = _unit_hash(F.col(key), F.col("__rep"))
     synth = exploded.select(
@@ -103,10 +118,7 @@ def rebalance(df: DataFrame, label: str, key: str, features: list[str], cap: int
         label,
         *[(F.col(f) + u * (F.coalesce(F.lead(f).over(w), F.lag(f).over(w), F.col(f)) - F.col(f))).alias(f)
           for f in features])
-    keep_p = F.create_map(*[x for c, r in reps.items() for x in (F.lit(c), F.lit(need[c] / (r * counts[c])))])
-    synth = synth.where(_unit_hash(F.col(key)) < F.element_at(keep_p, F.col(label)))
-    return (df.select(key, label, *features).withColumn("synthetic", F.lit(False))
-            .unionByName(synth.withColumn("synthetic", F.lit(True))))
+    return originals.unionByName(synth.withColumn("synthetic", F.lit(True)))
 
 
 def clusters(df: DataFrame, k: int = 3, features: str = "features", seed: int = 42) -> tuple[object, DataFrame]:

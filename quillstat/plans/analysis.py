@@ -25,6 +25,11 @@ from quillstat.operators import profile as P
 from quillstat.session import cut_lineage
 
 
+#: partitions of the training rows, and the most classes that are decoded by a broadcast
+FIT_PARTITIONS = 64
+MAX_CLASSES = 10_000
+
+
 @dataclass
 class Analysis:
     info: P.DatasetInfo
@@ -43,7 +48,7 @@ class Analysis:
     stack_predictions: DataFrame | None = None
 
     def leaderboard(self) -> DataFrame:
-        return G.leaderboard(self.metrics, self.task)
+        return G.leaderboard(self.metrics, self.task, self.info.n_rows)
 
     def best(self) -> DataFrame:
         return G.best_model(self.metrics, self.task)
@@ -58,7 +63,14 @@ class Analysis:
         x = self.features.transform(df)
         x = VectorAssembler(inputCols=self.features.features, outputCol="features",
                             handleInvalid="keep").transform(x)
-        return self.models[model].transform(x)
+        return self.decoded(self.models[model].transform(x))
+
+    def decoded(self, scored: DataFrame) -> DataFrame:
+        """Adds ``predicted_class``, the original value of a class number (classification only)."""
+        if self.label_map is None or "prediction" not in scored.columns:
+            return scored
+        names = F.broadcast(self.label_map.select(F.col("label").alias("prediction"), F.col("value").alias("predicted_class")).limit(MAX_CLASSES))
+        return scored.join(names, "prediction", "left")
 
 
 def prepare_training(df: DataFrame, target: str, task: str | None = None, keys: list[str] | None = None,
@@ -91,7 +103,9 @@ def prepare_training(df: DataFrame, target: str, task: str | None = None, keys:
     x = x.select("row_key", "label", "is_validation", "features")
     n_classes = 0
     if task == "classification":
-        x, _ = D.relabel_from_train(x, "label", n_hint=n_hint)                  # E9 + E10
+        x, kept = D.relabel_from_train(x, "label", n_hint=n_hint)               # E9 + E10
+        # one map from the classes that were trained on to their numbers
+        label_map = label_map.join(kept, "label").select("value", F.col("train_label").alias("label"))
         x = x.withColumn("label", F.col("train_label")).drop("train_label")
         # Weights from the training rows' class counts (a table of at most
         # 20 rows), joined to every row in one pass; validation rows weigh 1
@@ -104,9 +118,9 @@ def prepare_training(df: DataFrame, target: str, task: str | None = None, keys:
     # the checkpoint cuts lineage (a lost block is re-read from the shared
     # folder, not recomputed from the scan); the persisted copy serves the
     # repeated passes of the candidate fits from memory
-    parallelism = x.sparkSession.sparkContext.defaultParallelism
-    if x.rdd.getNumPartitions() < parallelism:   # tree fits parallelise over partitions
-        x = x.repartition(parallelism)
+    # one fixed partitioning of the key: MLlib seeds row sampling per partition, so
+    # the fitted trees must not depend on the number of cores
+    x = x.repartition(FIT_PARTITIONS, "row_key")
     x = (cut_lineage(x) if checkpoint else x).persist(StorageLevel.MEMORY_AND_DISK)
     rows.unpersist()
     if task == "classification":

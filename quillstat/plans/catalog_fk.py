@@ -40,7 +40,7 @@ def fitted(spark, sf: str, scenario: str) -> A.Analysis:
 
 
 def _preds(a: A.Analysis, model: str):
-    return a.predictions.where(F.col("model") == model).select("row_key", "label", "prediction")
+    return a.decoded(a.predictions.where(F.col("model") == model).select("row_key", "label", "prediction"))
 
 
 @query("f1_boosted_classifier")
@@ -134,7 +134,8 @@ def i5_scenario_probabilities(spark, sf):
     t = V.lineitem_targets(spark, sf)
     cols = I.slider_columns(t, a.info, a.target)
     table = I.scenario_table(I.slider_bounds(t, cols), cols, steps=5)
-    return I.class_probabilities(a.score(table, "boosted_trees"))
+    names = F.broadcast(a.label_map.select(F.col("label").cast("int").alias("class"), F.col("value").alias("class_name")))
+    return I.class_probabilities(a.score(table, "boosted_trees")).join(names, "class", "left")
 
 
 @query("k1_cap_per_dataset", """SELECT l_returnflag AS dataset, CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) AS row_key
@@ -143,7 +144,7 @@ FROM (SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY
 WHERE rn <= 2000""")
 def k1_cap_per_dataset(spark, sf):
     li = V.load_testdata(spark, sf, "lineitem")
-    capped = K.cap_per_dataset(li, "l_returnflag", _KEYS)
+    capped = K.cap_per_dataset(li, "l_returnflag", _KEYS, 2000)
     return capped.select(F.col("l_returnflag").alias("dataset"),
                          F.concat_ws("|", *[F.col(k).cast("string") for k in _KEYS]).alias("row_key"))
 
@@ -155,7 +156,9 @@ def k2_drop_rare_classes(spark, sf):
     return K.drop_rare_classes(c, "c_nationkey", n_classes_hint=25).select("c_custkey", "c_nationkey")
 
 
-@query("k3_rebalance")
+@query("k3_rebalance", f"""WITH t AS ({V.LINEITEM_TARGETS_SQL}), c AS (SELECT is_big, count(*) AS n FROM t GROUP BY is_big)
+SELECT is_big, false AS synthetic, n AS n_rows FROM c
+UNION ALL SELECT is_big, true, (SELECT max(n) FROM c) - n FROM c WHERE n < (SELECT max(n) FROM c)""")
 def k3_rebalance(spark, sf):
     t = V.lineitem_targets(spark, sf).withColumn("row_key", F.concat_ws("|", *[F.col(k).cast("string") for k in _KEYS]))
     out = K.rebalance(t, "is_big", "row_key", ["l_quantity", "l_extendedprice", "l_discount", "l_tax"])

@@ -149,7 +149,7 @@ def _wide(spark, sf):
 def i2_first_sliders(spark, sf):
     wide = _wide(spark, sf)
     info = P.collect_info(P.profile(wide))
-    cols = I.slider_columns(wide, info, "l_extendedprice")
+    cols = I.slider_columns(wide, info, "l_extendedprice", limit=12)
     return I.slider_bounds(wide, cols).select("position", "column_name")
 
 

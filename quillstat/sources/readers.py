@@ -8,6 +8,8 @@ is one scan however large the file is.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,15 +28,24 @@ def load_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def read_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A1: CSV as text columns; quoted newlines allowed; no driver-side inference."""
+def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
+    """A1: CSV as text columns; no driver-side inference.
+
+    Files are split over tasks; ``multiline`` allows quoted newlines, and then
+    each file is one task.
+    """
     return (spark.read.option("header", True).option("inferSchema", False)
-            .option("multiLine", True).option("escape", '"').csv(path))
+            .option("multiLine", multiline).option("escape", '"').csv(path))
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """A1: the same entry for CSV and parquet, then A2-A4."""
-    raw = read_csv(spark, path) if path.lower().endswith(".csv") else spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, format: str | None = None, multiline: bool = False) -> DataFrame:
+    """A1: the same entry for CSV and parquet, then A2-A4.
+
+    ``format`` is "csv" or "parquet"; if None, names with .csv (compressed or not, or a
+    folder of that name) are CSV and all else is parquet.
+    """
+    kind = format or ("csv" if re.search(r"\.csv(\.(gz|bz2|zst|lz4|snappy|deflate))?/?$", path.lower()) else "parquet")
+    raw = read_csv(spark, path, multiline) if kind == "csv" else spark.read.format(kind).load(path)
     return prepare_input(raw)
 
 

@@ -8,13 +8,16 @@ at least ``THRESHOLD``.
    into blocks of ``BLOCK_DIMS`` dimensions.  A linked pair has a squared distance
    of at most 2 (1 - THRESHOLD); in at least one block it has no more than the
    block's share of that, in proportion to its dimensions (pigeonhole).
-3. Per block a range join: vectors meet in cells of the block's first ``GRID_DIMS``
-   coordinates, as wide as the block's radius, each with half of its neighbour
-   cells; a pair stays if its squared distance in the whole block is in budget.
-   A pair that passes in several blocks is reported by the first.
-4. The union of candidates is verified by the cosine of the original vectors.
-
-Large cells are split into pairs of blocks of rows, so none is one task.  No
+3. Per block a range join: vectors meet in cells of the block's first coordinate, as wide
+   as the block's radius, each in its own cell and the next; inside a cell they
+   are sorted by the second coordinate and compared, by matrix products, with those in
+   reach.  A pair stays if its squared distance in the whole block is in budget;
+   a pair in budget in several blocks counts in the first.
+4. The task that holds a candidate verifies it by the cosine of the original vectors.
+   Links are counted there: a task gives each vector's number of links and a spanning
+   forest, so output grows with the vectors, not with the pairs of a large group.
+
+Large cells are split into pairs of blocks of ``ROWS`` rows, so none is one task.  No
 candidate is dropped; the only losses are of floating point, and the budgets
 leave room for these.
 
@@ -30,17 +33,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .jaccard import group_bounds, pair_indices, runs
+from .jaccard import _forest, group_bounds, runs
 from .shared import components, in_blocks, stash
 from .textscan import column
 
 THRESHOLD = 0.93
-BLOCK_DIMS = 8
-GRID_DIMS = 2
-ROWS = 512
+BLOCK_DIMS = 16
+#: rows of a block of a large cell; rows and pairs that a task compares at a time
+ROWS = 8192
+STRIP = 512
+PAIRS = 50_000
+FOREST = 1_000_000
+
+CELL = ["label", "dims", "block", "cell"]
+GROUP = [*CELL, "bi", "bj"]
 
 
 def rotation(dims: int) -> np.ndarray:
@@ -54,113 +64,122 @@ def blocks(dims: int) -> list[tuple[int, int]]:
 
 
 def budget(a: int, b: int, dims: int) -> float:
-    return 2 * (1 - THRESHOLD) * (b - a) / dims * (1 + 1e-6)
+    return 2 * (1 - THRESHOLD) * (b - a) / dims * (1 + 1e-6) + 1e-6
+
+
+def reach(a: int, b: int, dims: int) -> float:
+    return budget(a, b, dims) ** 0.5 * (1 + 1e-4)
+
 
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows in double precision, divided by their largest component, so that squares neither overflow nor vanish."""
+    x = x.astype(np.float64)
+    return x / np.abs(x).max(1, keepdims=True)
 
-CELLS = "label long, dims int, block int, c0 int, c1 int, home boolean, rep long, unit binary"
+
+CELLS = "label long, dims int, block int, cell long, home boolean, rep long, copies long, vector binary, unit binary"
 
 
 def _cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each vector in its cell of each block (home) and in the half of the neighbour cells that come after."""
-    half = [(0, 0), (0, 1), (1, -1), (1, 0), (1, 1)]
+    """Each vector in its cell of each block (home) and in the next cell."""
+    names = [c.split()[0] for c in CELLS.split(", ")]
     for batch in batches:
-        labels, reps = column(batch, "label").to_pylist(), column(batch, "rep").to_pylist()
-        out = []
-        for label, rep, values in zip(labels, reps, column(batch, "embedding").to_pylist()):
-            x = np.array(values, np.float64)
-            dims = len(x)
-            x = rotation_of(dims) @ (x / np.abs(x).max())
-            x /= np.sqrt(x @ x)
-            unit = x.astype(np.float32).tobytes()
+        length = pc.list_value_length(column(batch, "embedding")).to_numpy(zero_copy_only=False)
+        for dims in np.unique(length).tolist():
+            part = batch.filter(pa.array(length == dims))
+            x = column(part, "embedding").flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
+            unit = scaled(x) @ rotation(dims).T
+            unit = (unit / np.sqrt((unit * unit).sum(1, keepdims=True))).astype(np.float32)
+            n = len(x)
+            row = [column(part, c) for c in ("rep", "copies")] + [pa.array([v.tobytes() for v in m], pa.binary()) for m in (x, unit)]
             for k, (a, b) in enumerate(blocks(dims)):
-                side = budget(a, b, dims) ** 0.5 * (1 + 1e-4)
-                c = np.floor(np.append(x[a:min(b, a + GRID_DIMS)], np.zeros(GRID_DIMS))[:GRID_DIMS] / side).astype(int)
-                for i, (p, q) in enumerate(half):
-                    out.append((label, dims, k, int(c[0] + p), int(c[1] + q), i == 0, rep, unit))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.bool_(), pa.int64(), pa.binary()))],
-            names=[c.split()[0] for c in CELLS.split(", ")])
-
-
-_rotations: dict[int, np.ndarray] = {}
-
-
-def rotation_of(dims: int) -> np.ndarray:
-    if dims not in _rotations:
-        _rotations[dims] = rotation(dims)
-    return _rotations[dims]
-
-
-def _within(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs of a cell, one of them at home, that are in budget in this block and in none before it."""
-    keys = ["cell", "bi", "bj"]
-    for table in runs(batches, keys):
-        bounds = group_bounds(table, keys)
-        rep, home, side = (table.column(c).to_numpy() for c in ("rep", "home", "side"))
-        dims, block = table.column("dims").to_numpy(), table.column("block").to_numpy()
-        same = table.column("bi").to_numpy() == table.column("bj").to_numpy()
-        units = table.column("unit").to_pylist()
-        whole = np.frombuffer(b"".join(units), np.float32)
-        at = np.cumsum([0] + [len(u) // 4 for u in units])
-        for i, j in pair_indices(bounds, side, same, 100_000):
-            ok = (home[i] | home[j]) & (rep[i] != rep[j])
-            i, j = i[ok], j[ok]
-            for d in np.unique(dims[i]):
-                for k in np.unique(block[i][dims[i] == d]):
-                    mine = (dims[i] == d) & (block[i] == k)
-                    p, q = i[mine], j[mine]
-                    a, b = blocks(int(d))[k]
-                    p, q = _in_budget(whole, at, p, q, a, b, int(d), True)
-                    for a0, b0 in blocks(int(d))[:k]:
-                        p, q = _in_budget(whole, at, p, q, a0, b0, int(d), False)
-                    if len(p):
-                        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(rep[p], rep[q])), pa.array(np.maximum(rep[p], rep[q]))], names=["a", "b"])
-
-
-def _in_budget(whole, at, p, q, a, b, dims, wanted):
-    step = np.arange(a, b)
-    d = whole[at[p][:, None] + step] - whole[at[q][:, None] + step]
-    ok = (d * d).sum(1, dtype=np.float64) <= budget(a, b, dims) + 1e-6
-    return p[ok == wanted], q[ok == wanted]
-
-
-def _cosines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keep = []
-        for x, y in zip(column(batch, "va").to_pylist(), column(batch, "vb").to_pylist()):
-            x, y = np.array(x, np.float64), np.array(y, np.float64)
-            keep.append(len(x) == len(y) and cosine(x, y) >= THRESHOLD)
-        part = batch.filter(pa.array(keep, pa.bool_()))
-        yield pa.RecordBatch.from_arrays([column(part, c) for c in ("a", "b", "na", "nb")], names=["a", "b", "na", "nb"])
-
-
-def cosine(x: np.ndarray, y: np.ndarray) -> float:
-    x, y = x / np.abs(x).max(), y / np.abs(y).max()
-    return float(x @ y / np.sqrt((x @ x) * (y @ y)))
+                home = np.floor(unit[:, a].astype(np.float64) / reach(a, b, dims)).astype(np.int64)
+                for step in (0, 1):
+                    yield pa.RecordBatch.from_arrays(
+                        [column(part, "label"), pa.array(np.full(n, dims, np.int32)), pa.array(np.full(n, k, np.int32)), pa.array(home + step),
+                         pa.array(np.full(n, step == 0)), *row], names=names)
+
+
+def _links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of each vector with links in a group: their number, and the smallest vector it reaches by them."""
+    for table in runs(batches, GROUP):
+        bounds = group_bounds(table, GROUP)
+        for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+            if hi - lo > 1:
+                yield _links_of(table.slice(lo, hi - lo))
+
+
+def _links_of(group: pa.Table) -> pa.RecordBatch:
+    dims, k, bi, bj = (group.column(c)[0].as_py() for c in ("dims", "block", "bi", "bj"))
+    a, b = blocks(dims)[k]
+    unit = np.frombuffer(b"".join(group.column("unit").to_pylist()), np.float32).reshape(-1, dims)
+    vector = b"".join(group.column("vector").to_pylist())
+    vector = scaled(np.frombuffer(vector, np.float32 if len(vector) == unit.nbytes else np.float64).reshape(-1, dims))
+    order = np.argsort(unit[:, min(a + 1, b - 1)], kind="stable")
+    unit, vector = unit[order], vector[order]
+    rep, copies, home, side = (group.column(c).to_numpy()[order] for c in ("rep", "copies", "home", "side"))
+    key, near = unit[:, min(a + 1, b - 1)], np.ascontiguousarray(unit[:, a:b])
+    square, norm = (near * near).sum(1), np.sqrt((vector * vector).sum(1))
+    links, low, other = np.zeros(len(rep), np.int64), [], []
+    for s in range(0, len(rep), STRIP):
+        strip = slice(s, min(s + STRIP, len(rep)))
+        within = slice(s, int(np.searchsorted(key, float(key[strip][-1]) + reach(a, b, dims), "right")))
+        gap = square[strip, None] + square[None, within] - 2 * (near[strip] @ near[within].T)
+        i, j = (x + s for x in np.nonzero(gap <= budget(a, b, dims) + 1e-5))
+        ok = (i < j) & (home[i] | home[j]) & (rep[i] != rep[j])
+        if bi != bj:
+            ok &= side[i] != side[j]
+        i, j = i[ok], j[ok]
+        for c in range(0, len(i), PAIRS):
+            p, q = _verified(unit, vector, norm, i[c:c + PAIRS], j[c:c + PAIRS], k, dims)
+            if len(p):
+                links += np.bincount(p, copies[q], len(rep)).astype(np.int64) + np.bincount(q, copies[p], len(rep)).astype(np.int64)
+                star = _forest(rep[p], rep[q])
+                low.append(star[0])
+                other.append(star[1])
+                if sum(map(len, low)) > FOREST:
+                    low, other = ([x] for x in _forest(np.concatenate(low), np.concatenate(other)))
+    root = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    if low:
+        root = _forest(np.concatenate(low), np.concatenate(other))
+    some = links > 0
+    found = rep[some]
+    to = found.copy()
+    at = np.argsort(root[1])
+    hit = np.isin(found, root[1])
+    to[hit] = root[0][at][np.searchsorted(root[1][at], found[hit])]
+    return pa.RecordBatch.from_arrays([pa.array(found), pa.array(to), pa.array(links[some])], names=["rep", "low", "n"])
+
+
+def _verified(unit, vector, norm, p, q, k, dims):
+    """Of these pairs those in budget in block k and in no earlier one, with a cosine of the threshold."""
+    for block, (a, b) in reversed(list(enumerate(blocks(dims)[:k + 1]))):
+        gap = unit[p][:, a:b].astype(np.float64) - unit[q][:, a:b]
+        ok = (np.ascontiguousarray(gap * gap).sum(1) <= budget(a, b, dims)) == (block == k)
+        p, q = p[ok], q[ok]
+    ok = (vector[p] * vector[q]).sum(1) / (norm[p] * norm[q]) >= THRESHOLD
+    return p[ok], q[ok]
 
 
 def near_vectors(vectors: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id, kept for each vector."""
-    rows = (vectors.where("vec_id is not null").select("vec_id", F.col("label").cast("long").alias("label"), F.col("embedding").cast("array<double>").alias("embedding"))
+    kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
+    rows = (vectors.where("vec_id is not null").select("vec_id", F.col("label").cast("long").alias("label"), F.col("embedding").cast(kind).alias("embedding"))
             .groupBy("vec_id").agg(F.min(F.struct("label", "embedding")).alias("v")).select("vec_id", "v.*"))
     fine = (F.col("label").isNotNull() & F.col("embedding").isNotNull() & (F.size("embedding") > 0)
             & ~F.exists("embedding", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists("embedding", lambda x: x != 0))
     rows = stash(rows.withColumn("fine", F.coalesce(fine, F.lit(False))), "vectors")
     usable = rows.where("fine")
-    copies = stash(usable.groupBy("label", "embedding").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies")), "vector-copies")
-    cells = copies.mapInArrow(_cells, CELLS).withColumn("cell", F.xxhash64("label", "dims", "block", "c0", "c1"))
-    sizes = cells.groupBy("cell").agg(F.count("*").alias("size"), F.max("home").alias("any_home")).where("size > 1 and any_home")
-    candidates = (in_blocks(cells.join(sizes, "cell"), "cell", "rep", "size", ROWS)
-                  .select("cell", "bi", "bj", "side", "dims", "block", "home", "rep", "unit")
-                  .repartition("cell", "bi", "bj").sortWithinPartitions("cell", "bi", "bj")
-                  .mapInArrow(_within, "a long, b long").distinct())
-    side = copies.select("rep", "copies", "embedding")
-    pairs = (candidates.join(side.select(F.col("rep").alias("a"), F.col("copies").alias("na"), F.col("embedding").alias("va")), "a")
-             .join(side.select(F.col("rep").alias("b"), F.col("copies").alias("nb"), F.col("embedding").alias("vb")), "b"))
-    links = stash(pairs.select("a", "b", "na", "nb", "va", "vb").mapInArrow(_cosines, "a long, b long, na long, nb long"), "vector-links")
-    degree = (links.select(F.col("a").alias("rep"), F.col("nb").alias("n")).union(links.select(F.col("b").alias("rep"), F.col("na").alias("n")))
-              .groupBy("rep").agg(F.sum("n").alias("n")))
-    found = (copies.join(degree, "rep", "left").join(components(links.select("a", "b")).withColumnRenamed("node", "rep"), "rep", "left")
+    copies = stash(usable.groupBy("label", "embedding").agg(F.min("vec_id").cast("long").alias("rep"), F.count("*").alias("copies")), "vector-copies")
+    cells = copies.select("label", "rep", "copies", "embedding").mapInArrow(_cells, CELLS)
+    sizes = cells.groupBy(*CELL).agg(F.count("*").alias("size"), F.max("home").alias("any_home")).where("size > 1 and any_home")
+    links = stash(in_blocks(cells.join(sizes, CELL), "cell", "rep", "size", ROWS)
+                  .select(*GROUP, "side", "home", "rep", "copies", "vector", "unit")
+                  .repartition(*GROUP).sortWithinPartitions(*GROUP)
+                  .mapInArrow(_links, "rep long, low long, n long"), "vector-links")
+    degree = links.groupBy("rep").agg(F.sum("n").alias("n"))
+    found = (copies.join(degree, "rep", "left")
+             .join(components(links.select(F.col("rep").alias("a"), F.col("low").alias("b"))).withColumnRenamed("node", "rep"), "rep", "left")
              .select("label", "embedding", (F.col("copies") - 1 + F.coalesce("n", F.lit(0))).alias("n_links"), F.coalesce("component", "rep").alias("component_id")))
     out = usable.join(found, ["label", "embedding"]).select("vec_id", "n_links", "component_id")
     rest = rows.where("not fine").select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))

@@ -78,7 +78,7 @@ def test_decontamination_is_exact(spark, docs, texts, no_docs):
     assert decontaminate.clean_documents(docs, table.where("false")).count() == len(texts)
 
 
-def test_embedding_links_are_exact(spark):
+def test_embedding_links_are_exact(spark, monkeypatch):
     rng = np.random.default_rng(4)
     centre = rng.standard_normal((12, 20))
     rows = []
@@ -99,8 +99,10 @@ def test_embedding_links_are_exact(spark):
                 todo.append(j)
         want[i] = (len(link[i]), min(reach), min(reach) == i)
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
-    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embed_dedup.near_vectors(table).collect()}
-    assert got == want and sum(len(x) for x in link.values()) > 100
+    for rows_of_a_block in (embed_dedup.ROWS, 9):  # whole cells, and cells split into pairs of blocks
+        monkeypatch.setattr(embed_dedup, "ROWS", rows_of_a_block)
+        got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embed_dedup.near_vectors(table).collect()}
+        assert got == want and sum(len(x) for x in link.values()) > 100
     assert embed_dedup.near_vectors(table.where("false")).count() == 0
 
 

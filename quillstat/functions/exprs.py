@@ -32,9 +32,9 @@ DATETIME_FORMATS = [
     ("MM/dd/yyyy", "%m/%d/%Y", r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"),
 ]
 
-# Numeric text: optional sign, digits with optional fraction, optional exponent.
-NUMERIC_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
-INTEGER_PATTERN = r"^[+-]?[0-9]+$"
+# Numeric text: blanks around, optional sign, digits with optional fraction and exponent, or infinity.
+NUMERIC_PATTERN = r"^[ \t]*[+-]?(([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?|(?i:inf(inity)?))[ \t]*$"
+INTEGER_PATTERN = r"^[ \t]*[+-]?[0-9]+[ \t]*$"
 
 # Split: 20% validation, seed 42.  md5 hex below this bound is 1/5 of the space.
 SPLIT_SEED = 42
@@ -71,19 +71,6 @@ def corrected_skew(c: Column) -> Column:
             .otherwise(g1 * F.sqrt(n * (n - 1)) / (n - 2)))
 
 
-def pairwise_corr(x: Column, y: Column) -> Column:
-    """Pearson correlation over rows where both sides are non-null.
-
-    ``corr`` raises DIVIDE_BY_ZERO under ANSI mode for a constant side, so the
-    ratio is formed from covariance and the pairwise-masked deviations with a
-    ``nullif`` guard: a constant side yields NULL.
-    """
-    both = x.isNotNull() & y.isNotNull()
-    sx = F.stddev_pop(F.when(both, x))
-    sy = F.stddev_pop(F.when(both, y))
-    return F.covar_pop(x, y) / F.nullif(sx * sy, F.lit(0.0))
-
-
 def md5_key(*cols: Column | str, seed: int = SPLIT_SEED) -> Column:
     """Row-local hash used by the split: md5 of 'k1|k2|...#seed'."""
     parts = [F.col(c) if isinstance(c, str) else c for c in cols]

@@ -8,10 +8,16 @@ with map-side partial aggregation absorbing hot values.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quillstat.functions.exprs import HIST_BINS, corrected_skew, pairwise_corr
+from quillstat.functions.exprs import HIST_BINS, corrected_skew
+from quillstat.session import ship_package
 
 
 def _q(name: str) -> Column:
@@ -104,36 +110,88 @@ def histogram(df: DataFrame, cols: list[str], bins: int = HIST_BINS,
                     "count"))
 
 
-def correlation(df: DataFrame, cols: list[str], digits: int = 3, chunk: int = 10) -> DataFrame:
+_PAIR_STATE = "i int, salt int, n array<double>, mean array<double>, other array<double>, square array<double>, cross array<double>"
+
+
+def _pair_moments(x: np.ndarray) -> np.ndarray:
+    """For every pair (i, j), over the rows where both have a value: count, mean of i, mean of j,
+    sum of squares of i and sum of products, about these means (5 x p x p)."""
+    has = ~np.isnan(x)
+    first = np.where(has.any(0), x[has.argmax(0), np.arange(x.shape[1])], 0.0)
+    z = np.where(has, x - first, 0.0)          # exactly 0 in a constant column
+    centre = z.sum(0) / np.maximum(has.sum(0), 1)
+    z, f = np.where(has, z - centre, 0.0), has.astype(np.float64)
+    n, total = f.T @ f, z.T @ f
+    mean = total / np.maximum(n, 1)
+    about = np.where(n > 0, first[:, None] + centre[:, None] + mean, 0.0)
+    return np.stack([n, about, about.T, (z * z).T @ f - total * mean, z.T @ z - total * mean.T])
+
+
+def _merge_moments(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Moments of the rows of both (Chan, Golub and LeVeque's update)."""
+    n = a[0] + b[0]
+    of_b, both = b[0] / np.maximum(n, 1), a[0] * b[0] / np.maximum(n, 1)
+    d, e = b[1] - a[1], b[2] - a[2]
+    return np.stack([n, a[1] + d * of_b, a[2] + e * of_b, a[3] + b[3] + d * d * both, a[4] + b[4] + d * e * both])
+
+
+def _moment_rows(state: dict[int, np.ndarray], salt: int) -> pa.RecordBatch:
+    """One row per column i; a state is 5 x p."""
+    keys = sorted(state)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(keys, pa.int32()), pa.array([salt] * len(keys), pa.int32())]
+        + [pa.array([state[k][m] for k in keys], pa.list_(pa.float64())) for m in range(5)],
+        names=[c.split()[0] for c in _PAIR_STATE.split(", ")])
+
+
+def _task_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total = None
+    for batch in batches:
+        if batch.num_rows:
+            now = _pair_moments(np.column_stack([c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in batch.columns]))
+            total = now if total is None else _merge_moments(total, now)
+    if total is not None:
+        yield _moment_rows({i: total[:, i] for i in range(total.shape[1])}, TaskContext.get().partitionId() % 64)
+
+
+def _merged_moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    state: dict[int, np.ndarray] = {}
+    for batch in batches:
+        rows = batch.to_pydict()
+        for k, i in enumerate(rows["i"]):
+            now = np.array([rows[m][k] for m in ("n", "mean", "other", "square", "cross")])
+            state[i] = _merge_moments(state[i], now) if i in state else now
+    if state:
+        yield _moment_rows(state, 0)
+
+
+def correlation(df: DataFrame, cols: list[str], digits: int = 3) -> DataFrame:
     """Pairwise-complete Pearson correlation of every ordered pair, long form.
 
-    Rows (col_x, col_y, r).  Each unordered pair costs ten aggregate buffer
-    fields (a covariance and two masked deviations), so pairs are aggregated
-    ``chunk`` at a time: one aggregate over all pairs exceeds whole-stage
-    codegen's field limit and falls back to interpreted evaluation, which
-    measured 3x slower than re-scanning the (pruned, columnar) input once per
-    chunk.  Returns nothing when fewer than two columns are given (reference
-    rule).
+    Rows (col_x, col_y, r).  One scan for any number of columns: a task sums
+    the masked cross-products of its Arrow batches as matrices about the
+    means and merges them as it goes, so it gives one row per column; these
+    are merged in two steps (by column and salt, then by column).  A constant side
+    yields NULL.  Returns nothing when fewer than two columns are given
+    (reference rule).
     """
     spark = df.sparkSession
     if len(cols) < 2:
         return spark.createDataFrame([], "col_x string, col_y string, r double")
-    pairs = [(i, j) for i in range(len(cols)) for j in range(i, len(cols))]
-    parts = []
-    for start in range(0, len(pairs), chunk):
-        block = pairs[start:start + chunk]
-        wide = df.agg(*[pairwise_corr(_num(cols[i]), _num(cols[j])).alias(f"r{i}_{j}") for i, j in block])
-        rows = []
-        for i, j in block:
-            r = F.round(F.col(f"r{i}_{j}"), digits)
-            rows.append(F.struct(F.lit(cols[i]).alias("col_x"), F.lit(cols[j]).alias("col_y"), r.alias("r")))
-            if i != j:
-                rows.append(F.struct(F.lit(cols[j]).alias("col_x"), F.lit(cols[i]).alias("col_y"), r.alias("r")))
-        parts.append(wide.select(F.inline(F.array(*rows))))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    ship_package(spark)
+    none = F.array_repeat(F.lit(0.0), len(cols))   # so that a table without rows gives its pairs too
+    start = spark.range(0, len(cols), 1, 1).select(F.col("id").cast("int").alias("i"), F.lit(0).alias("salt"),
+                                                   *[none.alias(m) for m in ("n", "mean", "other", "square", "cross")])
+    parts = df.select(*[_num(c).alias(f"c{i}") for i, c in enumerate(cols)]).mapInArrow(_task_moments, _PAIR_STATE)
+    merged = (parts.unionByName(start).repartition("i", "salt").mapInArrow(_merged_moments, _PAIR_STATE)
+              .repartition("i").mapInArrow(_merged_moments, _PAIR_STATE))
+    square = merged.select("i", F.posexplode(F.arrays_zip("square", "cross")).alias("j", "m")).select("i", "j", "m.*")
+    mirror = square.select(F.col("i").alias("j"), F.col("j").alias("i"), F.col("square").alias("square_j"))
+    names = F.array(*[F.lit(c) for c in cols])
+    r = F.col("cross") / F.nullif(F.sqrt("square") * F.sqrt("square_j"), F.lit(0.0))
+    return (square.join(mirror, ["i", "j"])
+            .select(F.element_at(names, F.col("i") + 1).alias("col_x"), F.element_at(names, F.col("j") + 1).alias("col_y"),
+                    F.round(r, digits).alias("r")))
 
 
 def correlation_matrix(long: DataFrame, cols: list[str]) -> DataFrame:
@@ -151,10 +209,18 @@ def nonnull_values(df: DataFrame, col: str, keys: list[str]) -> DataFrame:
     return df.select(*keys, _q(col).alias("value")).dropna(subset=["value"])
 
 
-def eda_report(prof: DataFrame, summary: DataFrame) -> DataFrame:
-    """Per-column entry (type, missing, distinct) with numeric statistics.
+def eda_report(prof: DataFrame, summary: DataFrame, top: DataFrame | None = None) -> DataFrame:
+    """Per-column entry (type, missing, distinct) with numeric statistics and,
+    if ``top`` (of ``top_values``) is given, the top values of categorical columns as an
+    array of (value, count).
 
-    Both inputs hold one row per column; the summary side is broadcast.
+    All inputs hold one row per column, or k; they are broadcast.
     """
-    return (prof.select("ordinal", "column_name", "semantic_type", "missing_pct", "n_unique")
-            .join(F.broadcast(summary.drop("ordinal")), "column_name", "left"))
+    out = (prof.select("ordinal", "column_name", "semantic_type", "missing_pct", "n_unique")
+           .join(F.broadcast(summary.drop("ordinal")), "column_name", "left"))
+    if top is None:
+        return out
+    entry = (top.groupBy("column_name").agg(F.sort_array(F.collect_list(F.struct("value_rank", "value", "count"))).alias("t"))
+             .select("column_name", F.transform("t", lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count"))).alias("top_values")))
+    return (out.join(F.broadcast(entry), "column_name", "left")
+            .withColumn("top_values", F.when(F.col("semantic_type") == "categorical", F.col("top_values"))))

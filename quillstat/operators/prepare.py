@@ -302,11 +302,11 @@ def encode_target(df: DataFrame, target: str, label_col: str = "label",
     """Target values numbered in their native order (numbers numerically).
 
     Returns (rows with ``label`` DOUBLE, mapping (value, label)).  The mapping
-    has at most 20 rows for a classification target and is broadcast.
+    is broadcast where Spark finds it small in bytes, as those of E9, E10 and E13.
     """
     distinct = df.select(_q(target).alias("value")).where(F.col("value").isNotNull()).distinct()
     mapping = _small_rank(distinct, "value", "label", n_hint)
-    out = df.join(F.broadcast(mapping.withColumnRenamed("value", target)), target, "left")
+    out = df.join(mapping.withColumnRenamed("value", target), target, "left")
     return out.withColumnRenamed("label", label_col) if label_col != "label" else out, mapping
 
 
@@ -316,8 +316,8 @@ def relabel_from_train(df: DataFrame, label: str = "label", flag: str = "is_vali
     rows of unseen classes are dropped (left-semi on the small class table)."""
     train_classes = df.where(~F.col(flag)).select(label).distinct()
     mapping = _small_rank(train_classes, label, "train_label", n_hint)
-    kept = df.join(F.broadcast(train_classes), label, "left_semi")
-    return kept.join(F.broadcast(mapping), label), mapping
+    kept = df.join(train_classes, label, "left_semi")
+    return kept.join(mapping, label), mapping
 
 
 def validation_or_train(df: DataFrame, flag: str = "is_validation") -> tuple[DataFrame, DataFrame, bool]:
@@ -344,7 +344,7 @@ def class_weights(df: DataFrame, label: str = "label", weight_col: str = "weight
 
 
 def with_class_weights(df: DataFrame, label: str = "label", weight_col: str = "weight") -> DataFrame:
-    return df.join(F.broadcast(class_weights(df, label, weight_col).drop("n_class")), label)
+    return df.join(class_weights(df, label, weight_col).drop("n_class"), label)
 
 
 # ---------------------------------------------------------------------------

@@ -58,6 +58,12 @@ def _as_value(name: str, dt: T.DataType) -> Column:
     return c.cast("int") if isinstance(dt, T.BooleanType) else c
 
 
+def _distinct_key(name: str, dt: T.DataType) -> Column:
+    """What an exact distinct count shuffles: long texts go as their digest."""
+    v = _as_value(name, dt)
+    return F.when(F.length(v) > 32, F.concat(F.lit("md5:"), F.md5(v))).otherwise(v) if isinstance(dt, T.StringType) else v
+
+
 def profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.02) -> DataFrame:
     """One row per column.
 
@@ -72,7 +78,9 @@ def profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.02) -> DataFr
       * ``"hybrid"`` (the scale path): HyperLogLog first, then an exact count
         only for columns whose estimate lies within its error of a decision
         threshold (2, 10 and 20 values, half the row count); other columns keep
-        the estimate, which changes no type or target decision.
+        the estimate, which changes no type or target decision;
+      * ``"none"``: row and missing counts only; n_unique, distinct_ratio and
+        semantic_type are null.
     """
     fields = df.schema.fields
     kinds = [physical_kind(f.dataType) for f in fields]
@@ -86,30 +94,31 @@ def profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.02) -> DataFr
         plain.append(F.count(v).alias(f"nn{i}"))
         if i in approx_cols:
             plain.append(F.approx_count_distinct(v, rsd).alias(f"nu{i}"))
-        if kind == "string":
+        if kind == "string" and distinct != "none":
             for j, (fmt, _, shape) in enumerate(DATETIME_FORMATS):
                 plain.append(F.count(parse_timestamp(v, fmt, shape)).alias(f"dt{i}_{j}"))
     plain_df = df.agg(*plain)
     if distinct == "hybrid":
-        # the one-row result is cached, so deciding which columns need an
-        # exact count costs no extra pass over the data
-        plain_df = plain_df.persist()
-        exact_cols = _borderline(plain_df.first(), len(fields), rsd)
-    elif distinct == "approx":
+        # the one-row result stands as a literal, so deciding which columns need
+        # an exact count costs no extra pass over the data
+        row = plain_df.first()
+        plain_df = df.sparkSession.createDataFrame([row], plain_df.schema)
+        exact_cols = _borderline(row, len(fields), rsd)
+    elif distinct in ("approx", "none"):
         exact_cols = set()
     else:
         exact_cols = set(range(len(fields)))
     base_rows = []
     for i, (f, kind) in enumerate(zip(fields, kinds)):
         parsed = (F.greatest(*[F.col(f"dt{i}_{j}") for j in range(len(DATETIME_FORMATS))])
-                  if kind == "string" else F.lit(None).cast("bigint"))
+                  if kind == "string" and distinct != "none" else F.lit(None).cast("bigint"))
         base_rows.append(F.struct(F.lit(i).alias("ordinal"), F.col("__n").alias("n"), F.col(f"nn{i}").alias("nn"),
                                   parsed.alias("parsed"),
                                   (F.col(f"nu{i}") if i in approx_cols else F.lit(None).cast("bigint")).alias("nu_approx")))
     base = plain_df.select(F.inline(F.array(*base_rows)))
     if exact_cols:
         order = sorted(exact_cols)
-        exact = df.agg(*[F.count_distinct(_as_value(fields[i].name, fields[i].dataType)).alias(f"u{i}") for i in order])
+        exact = df.agg(*[F.count_distinct(_distinct_key(fields[i].name, fields[i].dataType)).alias(f"u{i}") for i in order])
         exact = exact.select(F.inline(F.array(*[F.struct(F.lit(i).alias("ordinal"), F.col(f"u{i}").alias("nu_exact"))
                                                  for i in order])))
         base = base.join(F.broadcast(exact), "ordinal", "left")   # one row per column on each side
@@ -123,7 +132,8 @@ def profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.02) -> DataFr
     n, nn = F.col("n"), F.col("nn")
     nu = F.coalesce(F.col("nu_exact"), F.col("nu_approx"))
     ratio = nu / F.greatest(n, F.lit(1))
-    semantic = (F.when(kind == "numeric", "numeric")
+    semantic = F.lit(None).cast("string") if distinct == "none" else (
+                F.when(kind == "numeric", "numeric")
                 .when((kind == "temporal") | ((kind == "string") & (F.col("parsed") == nn)), "datetime")
                 .when(ratio > TEXT_RATIO, "text")
                 .otherwise("categorical"))

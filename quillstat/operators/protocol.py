@@ -192,20 +192,24 @@ def isolation_scores(df: DataFrame, key: str, trees: list[np.ndarray], features:
     """K5 score: 2^(-mean path length / c(sample_size)); higher is more anomalous."""
     norm = _c(sample_size)
 
-    def path(xv: np.ndarray, t: np.ndarray) -> float:
-        j, depth = 0, 0
-        while t[j, 0] >= 0:
-            j = int(t[j, 2]) if xv[int(t[j, 0])] < t[j, 1] else int(t[j, 3])
-            depth += 1
-        return depth + _c(t[j, 4])
+    ends = [np.array([_c(size) for size in t[:, 4]]) for t in trees]
+
+    def path(x: np.ndarray, t: np.ndarray, end: np.ndarray) -> np.ndarray:
+        at, depth = np.zeros(len(x), int), np.zeros(len(x))
+        inner = np.flatnonzero(t[at, 0] >= 0)
+        while len(inner):
+            node = t[at[inner]]
+            left = x[inner, node[:, 0].astype(int)] < node[:, 1]
+            at[inner] = np.where(left, node[:, 2], node[:, 3]).astype(int)
+            depth[inner] += 1
+            inner = inner[t[at[inner], 0] >= 0]
+        return depth + end[at]
 
     def run(batches):
         for pdf in batches:
-            scores = []
-            for xv in pdf["x"]:
-                xv = np.asarray(xv, dtype=float)
-                h = np.mean([path(xv, t) for t in trees]) if trees else 0.0
-                scores.append(float(2.0 ** (-h / norm)) if norm > 0 else 0.0)
+            x = np.vstack(pdf["x"].to_numpy()).astype(float) if len(pdf) else np.zeros((0, 1))
+            mean = sum((path(x, t, end) for t, end in zip(trees, ends)), np.zeros(len(x))) / max(len(trees), 1)
+            scores = 2.0 ** (-mean / norm) if norm > 0 else np.zeros(len(x))
             yield pd.DataFrame({"row_key": pdf["row_key"].astype(str), "anomaly_score": scores})
 
     src = df.select(F.col(key).cast("string").alias("row_key"), vector_to_array(F.col(features)).alias("x"))

@@ -15,12 +15,14 @@ from quillstat.sources.readers import normalise_missing, type_decisions
 PROFILED = ["orders", "customer", "part", "events", "labels", "documents", "lineitem_messy"]
 
 
-def _profiles(spark, sf, fn, tables=PROFILED) -> DataFrame:
-    """Apply ``fn(profile_df, relation_df)`` per table and tag rows with the table name."""
+def _profiles(spark, sf, fn, tables=PROFILED, distinct="exact") -> DataFrame:
+    """Apply ``fn(profile_df, relation_df)`` per table and tag rows with the table name.
+
+    ``distinct``: exact where counts are shown, hybrid where only decisions are, none where neither is."""
     out = []
     for t in tables:
         rel = V.relation(spark, sf, t)
-        out.append(fn(P.profile(rel), rel).select(F.lit(t).alias("table_name"), "*"))
+        out.append(fn(P.profile(rel, distinct=distinct), rel).select(F.lit(t).alias("table_name"), "*"))
     return union_all(out)
 
 
@@ -52,13 +54,21 @@ _ORDERS_TEXT_SQL = "(SELECT " + ", ".join(
      f"({O.infer_type_sql(c, '(SELECT ' + V.na_sql(O.q(c)) + ' AS ' + O.q(c) + ' FROM (' + V.LINEITEM_MESSY_RAW_SQL + ') raw)')}) AS inferred_type"
      for c in _MESSY_TEXT] +
     [f"SELECT 'orders_text' AS table_name, {O.lit(c)} AS column_name, "
-     f"({O.infer_type_sql(c, _ORDERS_TEXT_SQL)}) AS inferred_type" for c in _ORDERS_AS_TEXT]))
+     f"({O.infer_type_sql(c, _ORDERS_TEXT_SQL)}) AS inferred_type" for c in _ORDERS_AS_TEXT] +
+    [f"SELECT DISTINCT 'orders_odd', '{c}', '{kind}' FROM orders"
+     for c, kind in (("padded", "bigint"), ("infinite", "double"), ("nothing", "double"), ("inner_blank", "string"))]))
 def a4_type_inference(spark, sf):
     messy = normalise_missing(V.lineitem_messy_raw(spark, sf)).select(*_MESSY_TEXT)
     orders_text = V.load_testdata(spark, sf, "orders").select(
         *[F.col(c).cast("string").alias(c) for c in _ORDERS_AS_TEXT])
+    key = F.col("o_orderkey").cast("string")
+    odd = V.load_testdata(spark, sf, "orders").select(
+        F.concat(F.lit(" "), key, F.lit("  ")).alias("padded"),
+        F.when(F.col("o_orderkey") % 2 == 0, "-inf").otherwise(F.col("o_totalprice").cast("string")).alias("infinite"),
+        F.lit("NA").alias("nothing"), F.concat(key, F.lit(" 1")).alias("inner_blank"))
     return (type_decisions(messy).select(F.lit("lineitem_messy").alias("table_name"), "*")
-            .unionByName(type_decisions(orders_text).select(F.lit("orders_text").alias("table_name"), "*")))
+            .unionByName(type_decisions(orders_text).select(F.lit("orders_text").alias("table_name"), "*"))
+            .unionByName(type_decisions(normalise_missing(odd)).select(F.lit("orders_odd").alias("table_name"), "*")))
 
 
 # ===========================================================================
@@ -73,17 +83,17 @@ SELECT table_name, max(n_rows) AS n_rows, count(*) AS n_cols,
   CAST(2 + max(CAST(classification_target AS INTEGER)) + max(CAST(regression_suggested AS INTEGER)) AS BIGINT) AS n_tasks
 FROM f GROUP BY table_name""")
 def b1_table_counts(spark, sf):
-    return _profiles(spark, sf, lambda p, r: P.table_summary(p).drop("missing_pct"))
+    return _profiles(spark, sf, lambda p, r: P.table_summary(p).drop("missing_pct"), distinct="hybrid")
 
 
 @query("b2_semantic_type", f"SELECT table_name, ordinal, column_name, semantic_type FROM ({O.profiles_sql(PROFILED)}) p")
 def b2_semantic_type(spark, sf):
-    return _profiles(spark, sf, lambda p, r: p.select("ordinal", "column_name", "semantic_type"))
+    return _profiles(spark, sf, lambda p, r: p.select("ordinal", "column_name", "semantic_type"), distinct="hybrid")
 
 
 @query("b3_missing_pct", f"SELECT table_name, column_name, n_missing, missing_pct FROM ({O.profiles_sql(PROFILED)}) p")
 def b3_missing_pct(spark, sf):
-    return _profiles(spark, sf, lambda p, r: p.select("column_name", "n_missing", "missing_pct"))
+    return _profiles(spark, sf, lambda p, r: p.select("column_name", "n_missing", "missing_pct"), distinct="none")
 
 
 @query("b4_distinct_count", f"SELECT table_name, column_name, n_unique FROM ({O.profiles_sql(PROFILED)}) p")
@@ -113,7 +123,7 @@ UNION ALL SELECT table_name, 2, 'clustering' FROM g
 UNION ALL SELECT table_name, 3, 'classification' FROM g WHERE c
 UNION ALL SELECT table_name, 4, 'regression' FROM g WHERE r""")
 def b7_suggested_tasks(spark, sf):
-    return _profiles(spark, sf, lambda p, r: P.suggest_tasks(p))
+    return _profiles(spark, sf, lambda p, r: P.suggest_tasks(p), distinct="hybrid")
 
 
 @query("b8_targets_for_task", f"""WITH f AS ({_FLAGS})
@@ -127,12 +137,12 @@ FROM f WHERE regression_target""")
 def b8_targets_for_task(spark, sf):
     return _profiles(spark, sf, lambda p, r: union_all([
         P.targets_for_task(p, t).select(F.lit(t).alias("task"), "column_name", "position")
-        for t in ("classification", "regression")]))
+        for t in ("classification", "regression")]), distinct="hybrid")
 
 
 @query("b9_id_exclusion", f"WITH f AS ({_FLAGS}) SELECT table_name, column_name, id_excluded FROM f")
 def b9_id_exclusion(spark, sf):
-    return _profiles(spark, sf, lambda p, r: p.select("column_name", P.id_excluded(F.col("column_name")).alias("id_excluded")))
+    return _profiles(spark, sf, lambda p, r: p.select("column_name", P.id_excluded(F.col("column_name")).alias("id_excluded")), distinct="none")
 
 
 @query("b10_target_union", f"""WITH f AS ({_FLAGS})
@@ -140,7 +150,7 @@ SELECT table_name, column_name, CAST(row_number() OVER (PARTITION BY table_name
   ORDER BY CASE WHEN classification_target THEN 0 ELSE 1 END, ordinal) AS INTEGER) AS position
 FROM f WHERE classification_target OR regression_suggested""")
 def b10_target_union(spark, sf):
-    return _profiles(spark, sf, lambda p, r: P.suggested_targets(p))
+    return _profiles(spark, sf, lambda p, r: P.suggested_targets(p), distinct="hybrid")
 
 
 @query("b11_target_advice", f"""WITH f AS ({_FLAGS})
@@ -156,7 +166,7 @@ def b11_target_advice(spark, sf):
 
 @query("b12_table_missing_pct", f"SELECT table_name, round(avg(missing_pct), 1) AS missing_pct FROM ({O.profiles_sql(PROFILED)}) p GROUP BY table_name")
 def b12_table_missing_pct(spark, sf):
-    return _profiles(spark, sf, lambda p, r: P.table_summary(p).select("missing_pct"))
+    return _profiles(spark, sf, lambda p, r: P.table_summary(p).select("missing_pct"), distinct="none")
 
 
 @query("b13_column_summary", f"""WITH p AS ({O.profiles_sql(PROFILED)}), s AS ({O.union_all([O.samples_sql(t) for t in PROFILED])})
@@ -176,7 +186,7 @@ c AS (SELECT table_name, 'classification' AS task, ordinal, column_name FROM f W
 SELECT g.table_name, g.task, arg_min(c.column_name, c.ordinal) AS target
 FROM g JOIN c ON g.table_name = c.table_name AND g.task = c.task GROUP BY g.table_name, g.task""")
 def b14_default_choice(spark, sf):
-    return _profiles(spark, sf, lambda p, r: P.default_choice(p))
+    return _profiles(spark, sf, lambda p, r: P.default_choice(p), distinct="hybrid")
 
 
 # ===========================================================================
@@ -206,13 +216,6 @@ def _stats_sql(c: str) -> str:
 _STATS_SQL = O.union_all([_stats_sql(c) for c in _NUM])
 
 
-@query("c1_eda_report", f"""SELECT p.column_name, p.semantic_type, p.missing_pct, p.n_unique, s.mean, s.std, s.min, s.max, s.skew
-FROM ({O.profile_sql('lineitem_messy')}) p LEFT JOIN ({_STATS_SQL}) s ON p.column_name = s.column_name""")
-def c1_eda_report(spark, sf):
-    df, num = _messy_numeric(spark, sf)
-    return E.eda_report(P.profile(df), E.numeric_summary(df, num)).drop("ordinal")
-
-
 @query("c2_numeric_summary", f"SELECT column_name, mean, std, min, max FROM ({_STATS_SQL}) s")
 def c2_numeric_summary(spark, sf):
     df, num = _messy_numeric(spark, sf)
@@ -232,6 +235,18 @@ def _top_sql(table: str, c: str) -> str:
             f"WHERE {O.q(c)} IS NOT NULL GROUP BY 1) g QUALIFY value_rank <= 10")
 
 
+@query("c1_eda_report", f"""SELECT p.column_name, p.semantic_type, p.missing_pct, p.n_unique, s.mean, s.std, s.min, s.max, s.skew,
+  CASE WHEN p.semantic_type = 'categorical' THEN t.top_values END AS top_values
+FROM ({O.profile_sql('lineitem_messy')}) p LEFT JOIN ({_STATS_SQL}) s ON p.column_name = s.column_name
+LEFT JOIN (SELECT column_name, string_agg(value || ' ' || count, ', ' ORDER BY value_rank) AS top_values
+           FROM ({O.union_all([_top_sql('lineitem_messy', c) for c in _CAT_TABLES['lineitem_messy']])}) x GROUP BY column_name) t
+  ON p.column_name = t.column_name""")
+def c1_eda_report(spark, sf):
+    df, num = _messy_numeric(spark, sf)
+    report = E.eda_report(P.profile(df), E.numeric_summary(df, num), E.top_values(df, _CAT_TABLES["lineitem_messy"])).drop("ordinal")
+    return report.withColumn("top_values", F.array_join(F.transform("top_values", lambda x: F.concat_ws(" ", x["value"], x["count"])), ", "))
+
+
 @query("c4_top_values", O.union_all([_top_sql(t, c) for t, cs in _CAT_TABLES.items() for c in cs]))
 def c4_top_values(spark, sf):
     out = []

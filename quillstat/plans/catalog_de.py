@@ -74,7 +74,7 @@ def d1_preprocess(spark, sf):
 
 @query("d2_drop_sparse", f"SELECT column_name, missing_pct FROM ({O.profile_sql('lineitem_messy')}) p WHERE missing_pct > 60")
 def d2_drop_sparse(spark, sf):
-    prof = P.profile(V.lineitem_messy(spark, sf))
+    prof = P.profile(V.lineitem_messy(spark, sf), distinct="none")
     return prof.where(F.col("missing_pct") > 60).select("column_name", "missing_pct")
 
 
@@ -181,7 +181,7 @@ def _messy_features(spark, sf):
 @query("e1_feature_roles", f"""SELECT column_name, CASE WHEN column_name = '{E_TARGET}' THEN 'target'
   WHEN semantic_type = 'text' THEN 'dropped' ELSE 'feature' END AS role FROM ({O.profile_sql('lineitem_messy')}) p""")
 def e1_feature_roles(spark, sf):
-    prof = P.profile(V.lineitem_messy(spark, sf))
+    prof = P.profile(V.lineitem_messy(spark, sf), distinct="hybrid")
     role = (F.when(F.col("column_name") == E_TARGET, "target")
             .when(F.col("semantic_type") == "text", "dropped").otherwise("feature"))
     return prof.select("column_name", role.alias("role"))

@@ -82,7 +82,7 @@ def samples_sql(table: str, k: int = 5) -> str:
 def infer_type_sql(col: str, rel: str) -> str:
     """A4 decision for one text column, as a scalar subquery result."""
     c = q(col)
-    return (f"SELECT CASE WHEN count({c}) = 0 THEN 'string' "
+    return (f"SELECT CASE WHEN count({c}) = 0 THEN 'double' "
             f"WHEN count(CASE WHEN regexp_full_match({c}, {lit(INTEGER_PATTERN[1:-1])}) "
             f"AND TRY_CAST({c} AS BIGINT) IS NOT NULL THEN 1 END) = count({c}) AND count({c}) = count(*) THEN 'bigint' "
             f"WHEN count(CASE WHEN regexp_full_match({c}, {lit(NUMERIC_PATTERN[1:-1])}) THEN 1 END) = count({c}) THEN 'double' "

@@ -79,7 +79,8 @@ def type_decisions(df: DataFrame) -> DataFrame:
     because ``try_cast`` also accepts forms such as ``1d``).  A column becomes
     BIGINT when all values are integers and none is missing (a missing value
     turns an integer column into floats, as in pandas), DOUBLE when all are
-    numeric, BOOLEAN when all are boolean words and none is missing, and stays
+    numeric (blanks around a number are allowed, infinities are numbers) or there is
+    none, BOOLEAN when all are boolean words and none is missing, and stays
     STRING otherwise.
     """
     text_cols = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
@@ -91,7 +92,7 @@ def type_decisions(df: DataFrame) -> DataFrame:
         is_int = F.count(F.when(c.rlike(INTEGER_PATTERN) & c.try_cast("bigint").isNotNull(), 1))
         is_num = F.count(F.when(c.rlike(NUMERIC_PATTERN), 1))
         is_bool = F.count(F.when(c.isin(_BOOL_TOKENS), 1))
-        decision = (F.when(nn == 0, "string")
+        decision = (F.when(nn == 0, "double")
                     .when((is_int == nn) & (nn == n), "bigint")
                     .when(is_num == nn, "double")
                     .when((is_bool == nn) & (nn == n), "boolean")

@@ -7,8 +7,8 @@ feature, so it scales with rows x features without a driver step.
 * ``linear_contributions``: exact Shapley values of a linear score with
   independent features, coef * (x - mean) (H2's linear path);
 * ``tree_contributions``: path-dependent tree SHAP for MLlib tree ensembles,
-  computed per Arrow batch with ``mapInPandas`` (H1); trees are broadcast as
-  small node arrays.
+  one set of contributions per class, computed for whole Arrow batches with
+  ``mapInPandas`` (H1); trees travel as small path arrays.
 """
 
 from __future__ import annotations
@@ -103,7 +103,7 @@ def explain_models(spark, models: dict, kinds: dict, rows: DataFrame, key: str,
     """
     parts, status = [], []
     for name, model in models.items():
-        if kinds.get(name) not in EXPLAINABLE_KINDS or not hasattr(model, "trees") and not hasattr(model, "rootNode"):
+        if kinds.get(name) not in EXPLAINABLE_KINDS or not any(hasattr(model, x) for x in ("trees", "rootNode", "models")):
             status.append((name, "skipped", "not a tree ensemble"))
             continue
         try:
@@ -127,16 +127,25 @@ def ensemble_arrays(model) -> list[dict]:
     """Flatten an MLlib tree ensemble (or a single tree) into node arrays.
 
     For each tree: arrays ``feature`` (-1 at leaves), ``threshold``, ``left``,
-    ``right``, ``value`` (leaf prediction), ``cover`` (training instances) and
-    the tree weight.  Only continuous splits are used (features are assembled
-    doubles).  The arrays are small: one entry per node.
+    ``right``, ``cover`` (training instances) and ``value``, one column for each
+    output named in ``outputs``, and the tree weight.  Outputs:
+
+    * regressors and binary boosting: the margin;
+    * a forest of two classes: the share of class 1;
+    * a forest of more classes: the share of each class, named by its number;
+    * one-vs-rest boosting: the margin of each class's binary model, named by the class number.
+
+    Only continuous splits are used (features are assembled doubles).
     """
+    if hasattr(model, "models"):
+        return [{**t, "outputs": [str(c)]} for c, m in enumerate(model.models) for t in ensemble_arrays(m)]
     trees = model.trees if hasattr(model, "trees") else [model]
     weights = list(model.treeWeights) if hasattr(model, "treeWeights") else [1.0]
-    forest = type(model).__name__.startswith("RandomForest")
-    if forest:  # a forest averages its trees; a boosted ensemble sums weighted margins
+    if type(model).__name__.startswith("RandomForest"):  # a forest averages its trees; boosting sums weighted margins
         weights = [1.0 / len(trees)] * len(trees)
-    positive_share = type(model).__name__ == "RandomForestClassificationModel"
+    by_class = type(model).__name__ in ("RandomForestClassificationModel", "DecisionTreeClassificationModel")
+    classes = model.numClasses if by_class else 0
+    outputs = [str(c) for c in range(classes)] if classes > 2 else [None]
     out = []
     for tree, w in zip(trees, weights):
         feature, threshold, left, right, value, cover = [], [], [], [], [], []
@@ -147,14 +156,14 @@ def ensemble_arrays(model) -> list[dict]:
             threshold.append(0.0)
             left.append(-1)
             right.append(-1)
-            impurity_stats = node.impurityStats()
-            if positive_share and impurity_stats is not None:
-                stats = list(impurity_stats.stats())      # class counts: explain P(class 1)
-                value.append(float(stats[1] / sum(stats)) if len(stats) == 2 and sum(stats) > 0
-                             else float(node.prediction()))
+            calculator = node.impurityStats()
+            if by_class:
+                stats = np.array(list(calculator.stats()), float)
+                share = stats / max(stats.sum(), 1e-300)
+                value.append(share if classes > 2 else share[1:2] if len(share) > 1 else np.zeros(1))
             else:
-                value.append(float(node.prediction()))
-            cover.append(float(impurity_stats.count()) if impurity_stats is not None else 1.0)
+                value.append(np.array([float(node.prediction())]))
+            cover.append(float(calculator.count()))
             if node.getClass().getSimpleName() == "InternalNode":
                 split = node.split()
                 feature[idx] = int(split.featureIndex())
@@ -164,120 +173,106 @@ def ensemble_arrays(model) -> list[dict]:
             return idx
 
         walk(tree._java_obj.rootNode())
-        out.append({"feature": np.array(feature), "threshold": np.array(threshold),
-                    "left": np.array(left), "right": np.array(right), "value": np.array(value),
-                    "cover": np.array(cover), "weight": float(w)})
+        out.append({"feature": np.array(feature), "threshold": np.array(threshold), "left": np.array(left), "right": np.array(right),
+                    "value": np.array(value), "cover": np.array(cover), "weight": float(w), "outputs": outputs})
     return out
 
 
-def _tree_shap_one(x: np.ndarray, t: dict, phi: np.ndarray) -> None:
-    """Lundberg et al. (2018) Algorithm 2, path-dependent TreeSHAP, one row."""
-    feat, thr, left, right = t["feature"], t["threshold"], t["left"], t["right"]
-    val, cov = t["value"], t["cover"]
-
-    def extend(path, pz, po, pi):
-        path = [list(p) for p in path]
-        path.append([pi, pz, po, 1.0 if not path else 0.0])
-        ln = len(path) - 1
-        for i in range(ln - 1, -1, -1):
-            path[i + 1][3] += po * path[i][3] * (i + 1) / (ln + 1)
-            path[i][3] = pz * path[i][3] * (ln - i) / (ln + 1)
-        return path
-
-    def unwind(path, i):
-        path = [list(p) for p in path]
-        ln = len(path) - 1
-        po, pz = path[i][2], path[i][1]
-        n = path[ln][3]
-        for j in range(ln - 1, -1, -1):
-            if po != 0:
-                t_ = path[j][3]
-                path[j][3] = n * (ln + 1) / ((j + 1) * po)
-                n = t_ - path[j][3] * pz * (ln - j) / (ln + 1)
-            else:
-                path[j][3] = (path[j][3] * (ln + 1)) / (pz * (ln - j))
-        for j in range(i, ln):
-            path[j][0], path[j][1], path[j][2] = path[j + 1][0], path[j + 1][1], path[j + 1][2]
-        return path[:-1]
-
-    def unwound_sum(path, i):
-        ln = len(path) - 1
-        po, pz = path[i][2], path[i][1]
-        total = 0.0
-        n = path[ln][3]
-        for j in range(ln - 1, -1, -1):
-            if po != 0:
-                tmp = n * (ln + 1) / ((j + 1) * po)
-                total += tmp
-                n = path[j][3] - tmp * pz * ((ln - j) / (ln + 1))
-            else:
-                total += (path[j][3] / pz) / ((ln - j) / (ln + 1))
-        return total
-
-    def recurse(j, path, pz, po, pi):
-        path = extend(path, pz, po, pi)
-        if feat[j] < 0:
-            for i in range(1, len(path)):
-                w = unwound_sum(path, i)
-                phi[path[i][0]] += w * (path[i][2] - path[i][1]) * val[j]
-            return
-        hot, cold = (left[j], right[j]) if x[feat[j]] <= thr[j] else (right[j], left[j])
-        iz, io = 1.0, 1.0
-        k = next((k for k in range(1, len(path)) if path[k][0] == feat[j]), None)
-        if k is not None:
-            iz, io = path[k][1], path[k][2]
-            path = unwind(path, k)
-        recurse(hot, path, iz * cov[hot] / cov[j], io, feat[j])
-        recurse(cold, path, iz * cov[cold] / cov[j], 0.0, feat[j])
+def leaf_paths(t: dict, n_features: int) -> dict:
+    """What a batch needs of one tree, per leaf (rows) and distinct feature of its path (columns, padded).
 
-    recurse(0, [], 1.0, 1.0, -1)
+    ``below`` and ``above``: a row agrees with the path in this feature if it is <= below and not <= above;
+    ``keep``: the share of training rows that go the path's way where the feature is not known;
+    ``spread``: matrix from (leaf, feature) to (output, feature), leaf values and tree weight included.
+    """
+    found = []
 
+    def go(j, path):
+        if t["feature"][j] < 0:
+            found.append((j, path))
+            return
+        f, cut = int(t["feature"][j]), t["threshold"][j]
+        for child, is_left in ((t["left"][j], True), (t["right"][j], False)):
+            below, above, keep = path.get(f, (np.inf, -np.inf, 1.0))
+            keep *= t["cover"][child] / t["cover"][j]
+            go(child, {**path, f: (min(below, cut), above, keep) if is_left else (below, max(above, cut), keep)})
+
+    go(0, {})
+    width = max(1, max(len(p) for _, p in found))
+    shape = (len(found), width)
+    feature, keep = np.zeros(shape, int), np.ones(shape)
+    below, above, used = np.full(shape, np.inf), np.full(shape, -np.inf), np.zeros(shape, bool)
+    for i, (_, path) in enumerate(found):
+        for k, (f, (b, a, z)) in enumerate(path.items()):
+            feature[i, k], below[i, k], above[i, k], keep[i, k], used[i, k] = f, b, a, z, True
+    value = t["value"][[j for j, _ in found]] * t["weight"]
+    k = value.shape[1]
+    spread = np.zeros((*shape, k, n_features))
+    row, col = np.nonzero(used)
+    spread[row, col, :, feature[row, col]] = value[row]
+    return {"feature": feature, "below": below, "above": above, "has_below": np.isfinite(below), "has_above": np.isfinite(above),
+            "keep": keep, "used": used, "spread": spread.reshape(-1, k * n_features), "base": value.T @ keep.prod(axis=1), "outputs": t["outputs"]}
+
+
+def shap_batch(x: np.ndarray, leaf: dict) -> np.ndarray:
+    """Path-dependent Shapley values (Lundberg et al., 2018) of one tree for all rows of ``x``: (rows, outputs, features).
+
+    A leaf pays its value times the product over its path's features of 1 or 0 (known:
+    the row agrees or not) or the kept share (unknown).  The Shapley weights are a beta
+    integral, so a feature's share is (agrees - keep) times the integral over t in (0, 1)
+    of the product of keep (1 - t) + agrees t over the other features: a polynomial, for
+    which Gauss-Legendre points give the exact value.
+    """
+    width = leaf["feature"].shape[1]
+    at = x[:, leaf["feature"]]
+    agrees = ((at <= leaf["below"]) | ~leaf["has_below"]) & ~((at <= leaf["above"]) & leaf["has_above"])
+    agrees = np.where(leaf["used"], agrees, True).astype(float)
+    points, weights = np.polynomial.legendre.leggauss(width // 2 + 1)
+    integral = np.zeros_like(agrees)
+    for p, w in zip((points + 1) / 2, weights / 2):
+        part = leaf["keep"] * (1 - p) + agrees * p
+        integral += w * part.prod(axis=2, keepdims=True) / part
+    share = (agrees - leaf["keep"]) * integral
+    return (share.reshape(len(x), -1) @ leaf["spread"]).reshape(len(x), len(leaf["outputs"]), -1)
 
-def expected_value(t: dict) -> float:
-    """Cover-weighted mean leaf value of one tree (the SHAP base value)."""
-    feat, left, right, val, cov = t["feature"], t["left"], t["right"], t["value"], t["cover"]
 
-    def go(j):
-        if feat[j] < 0:
-            return val[j]
-        return (cov[left[j]] * go(left[j]) + cov[right[j]] * go(right[j])) / cov[j]
-    return go(0)
+#: rows evaluated at once: bounds the (rows, leaves, path) arrays
+SHAP_ROWS = 256
 
 
 def tree_contributions(df: DataFrame, key: str, features: list[str], trees: list[dict],
                        vector_col: str = "features", label: str = "margin") -> DataFrame:
-    """H1: per-row tree SHAP of the ensemble margin, long rows
-    (row_key, class, feature, contribution) plus a ``__base`` row per row_key.
+    """H1: tree SHAP of every output of the ensemble, long rows (row_key, class,
+    feature, contribution) plus a ``__base`` row per row_key and class.
 
-    Runs per Arrow batch in Python workers (``mapInPandas``); the node arrays
-    are captured in the closure (a few KB per tree).  Additivity holds:
-    sum of contributions + base = weighted sum of tree outputs.
+    Runs per Arrow batch in Python workers (``mapInPandas``); the path arrays
+    are captured in the closure (bounded by leaves x depth).  Additivity holds:
+    the contributions and the base of a class sum to that output of the
+    ensemble.  ``label`` names the class of an ensemble with one output.
     """
     from pyspark.ml.functions import vector_to_array
 
-    names = list(features)
-    base = float(sum(t["weight"] * expected_value(t) for t in trees))
+    names = [*features, "__base"]
+    width = len(features)
+    leaves = [leaf_paths(t, width) for t in trees]
+    classes = list(dict.fromkeys(o for t in leaves for o in t["outputs"]))
+    number = {c: i for i, c in enumerate(classes)}
+    base = np.zeros(len(classes))
+    for t in leaves:
+        base[[number[o] for o in t["outputs"]]] += t["base"]
+    shown = [label if c is None else c for c in classes]
     src = df.select(F.col(key).cast("string").alias("row_key"), vector_to_array(F.col(vector_col)).alias("x"))
 
     def run(batches):
         for pdf in batches:
-            keys, cls, feats, vals = [], [], [], []
-            for rk, x in zip(pdf["row_key"], pdf["x"]):
-                xv = np.asarray(x, dtype=float)
-                phi = np.zeros(len(names) + 1)
-                for t in trees:
-                    part = np.zeros(len(names) + 1)
-                    _tree_shap_one(xv, t, part)
-                    phi += t["weight"] * part
-                for i, n in enumerate(names):
-                    keys.append(rk)
-                    cls.append(label)
-                    feats.append(n)
-                    vals.append(float(phi[i]))
-                keys.append(rk)
-                cls.append(label)
-                feats.append("__base")
-                vals.append(base)
-            yield pd.DataFrame({"row_key": keys, "class": cls, "feature": feats, "contribution": vals})
+            for lo in range(0, len(pdf), SHAP_ROWS):
+                part = pdf.iloc[lo:lo + SHAP_ROWS]
+                x = np.vstack(part["x"].to_numpy()).astype(float)
+                phi = np.empty((len(x), len(classes), width + 1))
+                phi[:, :, :width], phi[:, :, width] = 0.0, base
+                for t in leaves:
+                    phi[:, [number[o] for o in t["outputs"]], :width] += shap_batch(x, t)
+                yield pd.DataFrame({"row_key": np.repeat(part["row_key"].to_numpy(), phi[0].size), "class": np.tile(np.repeat(shown, width + 1), len(x)),
+                                    "feature": np.tile(names, len(x) * len(classes)), "contribution": phi.ravel()})
 
     return src.mapInPandas(run, "row_key string, class string, feature string, contribution double")

@@ -18,6 +18,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstat.operators import explain as H
 from quillstat.operators import metrics as G
 from quillstat.operators import models as M
 from quillstat.operators import prepare as D
@@ -25,9 +26,8 @@ from quillstat.operators import profile as P
 from quillstat.session import cut_lineage
 
 
-#: partitions of the training rows, and the most classes that are decoded by a broadcast
+#: partitions of the training rows
 FIT_PARTITIONS = 64
-MAX_CLASSES = 10_000
 
 
 @dataclass
@@ -69,9 +69,17 @@ class Analysis:
         """Adds ``predicted_class``, the original value of a class number (classification only)."""
         if self.label_map is None or "prediction" not in scored.columns:
             return scored
-        names = F.broadcast(self.label_map.select(F.col("label").alias("prediction"), F.col("value").alias("predicted_class")).limit(MAX_CLASSES))
+        names = self.label_map.select(F.col("label").alias("prediction"), F.col("value").alias("predicted_class"))
         return scored.join(names, "prediction", "left")
 
+    def contributions(self, model: str, rows: DataFrame | None = None) -> DataFrame:
+        """H1: tree SHAP of a fitted model (default: of the validation rows); numbered classes get their original values."""
+        out = H.tree_contributions(self.val if rows is None else rows, "row_key", self.features.features, H.ensemble_arrays(self.models[model]))
+        if self.label_map is None:
+            return out
+        names = self.label_map.select(F.col("label").cast("int").cast("string").alias("class"), F.col("value").cast("string").alias("__name"))
+        return out.join(names, "class", "left").select("row_key", F.coalesce("__name", "class").alias("class"), "feature", "contribution")
+
 
 def prepare_training(df: DataFrame, target: str, task: str | None = None, keys: list[str] | None = None,
                      fit_scope: str = "train", exact_split: bool = False, checkpoint: bool = True,

@@ -130,6 +130,56 @@ def test_forest_shap_additivity(spark, small_dir):
     assert all(abs(sums[k] - preds[k]) < 1e-6 * max(1.0, abs(preds[k])) for k in preds)
 
 
+def test_contributions_of_every_class(spark, small_dir):
+    """Three classes, boosting and forest: per class the contributions and the base give that class's output."""
+    from pyspark.ml.functions import vector_to_array
+
+    from quillstat.operators import models as M
+    from quillstat.plans import analysis as A
+    df = V.lineitem_targets(spark, small_dir).drop("net_price", "is_big")
+    a = A.run(df, "qty_band", "classification", keys=["l_orderkey", "l_linenumber"], params=M.TreeParams(n_trees=2, max_depth=3), stack=False)
+    value = {int(r["label"]): str(r["value"]) for r in a.label_map.collect()}
+    assert len(value) == a.n_classes > 2
+    rows = a.val.dropDuplicates(["row_key"]).persist()
+    for name in ("boosted_trees", "random_forest"):
+        got = {(r["row_key"], r["class"]): r["s"] for r in a.contributions(name, rows).groupBy("row_key", "class").agg(F.sum("contribution").alias("s")).collect()}
+        if name == "random_forest":
+            want = {(r["row_key"], value[c]): p for r in a.models[name].transform(rows).select("row_key", vector_to_array("probability").alias("p")).collect() for c, p in enumerate(r["p"])}
+        else:
+            want = {(r["row_key"], value[c]): r["p"][1] for c, m in enumerate(a.models[name].models)
+                    for r in m.transform(rows).select("row_key", vector_to_array(m.getRawPredictionCol()).alias("p")).collect()}
+        assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_shap_is_the_shapley_value():
+    """A small tree against the sum over all orders of its features, NaN and repeated features included."""
+    from itertools import permutations
+    t = {"feature": np.array([0, 1, -1, 0, -1, -1, 2, -1, -1]), "threshold": np.array([0.5, 0.0, 0, 0.2, 0, 0, 1.0, 0, 0]),
+         "left": np.array([1, 2, -1, 4, -1, -1, 7, -1, -1]), "right": np.array([6, 3, -1, 5, -1, -1, 8, -1, -1]),
+         "value": np.array([[0.0], [0], [3], [0], [-1], [5], [0], [2], [7]]), "cover": np.array([20.0, 12, 5, 7, 3, 4, 8, 6, 2]),
+         "weight": 0.5, "outputs": [None]}
+
+    def pays(x, known, j=0):
+        f = t["feature"][j]
+        if f < 0:
+            return t["value"][j, 0] * t["weight"]
+        left, right = t["left"][j], t["right"][j]
+        if f in known:
+            return pays(x, known, left if x[f] <= t["threshold"][j] else right)
+        return sum(t["cover"][c] / t["cover"][j] * pays(x, known, c) for c in (left, right))
+
+    x = np.array([[0.1, 1.0, 0.0], [0.3, -1.0, 2.0], [0.4, 0.5, 1.0], [0.9, 0.0, 3.0], [np.nan, np.nan, np.nan], [0.2, 7.0, np.inf]])
+    leaf = H.leaf_paths(t, 3)
+    got = H.shap_batch(x, leaf)[:, 0]
+    orders = list(permutations(range(3)))
+    for i, row in enumerate(x):
+        want = np.zeros(3)
+        for order in orders:
+            for k, f in enumerate(order):
+                want[f] += (pays(row, order[:k + 1]) - pays(row, order[:k])) / len(orders)
+        assert np.allclose(got[i], want) and np.isclose(leaf["base"][0], pays(row, ()))
+
+
 def test_explain_status_reports_skips(spark, small_dir):
     from quillstat.operators import models as M
     from quillstat.plans import analysis as A

@@ -1,7 +1,8 @@
 """Catalogue sections F (models), model-backed H1/I4/I5, and K (protocol).
 
-Model queries have no SQL twin (MLlib's randomised trees); they are checked
-by property tests.  One fitted analysis per (session, data folder, scenario)
+MLlib's randomised trees have no SQL twin: model queries return, per row, what
+SQL can also tell (keys, original classes) and the properties that must hold
+(probabilities, additivity, a floor for F1 or R2).  One fitted analysis per (session, data folder, scenario)
 is memoised so that several queries read the same fit.  Query fits use 5
 trees of depth 4; the library default stays at the reference's 100 x 7.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
+from quillstat.functions.exprs import SPLIT_BOUND
 from quillstat.operators import explain as H
 from quillstat.operators import metrics as G
 from quillstat.operators import models as M
@@ -39,38 +41,73 @@ def fitted(spark, sf: str, scenario: str) -> A.Analysis:
     return _MEMO[key]
 
 
-def _preds(a: A.Analysis, model: str):
-    return a.decoded(a.predictions.where(F.col("model") == model).select("row_key", "label", "prediction"))
+FLOOR = 0.8   # F1 or R2 that the derived, learnable targets allow every candidate
+_KEY_SQL = "CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)"
+_VAL_SQL = f"(SELECT *, {_KEY_SQL} AS row_key FROM ({V.LINEITEM_TARGETS_SQL}) t WHERE md5({_KEY_SQL} || '#42') < '{SPLIT_BOUND}') v"
 
 
-@query("f1_boosted_classifier")
+def _class_sql(target: str) -> str:
+    return f"SELECT row_key, CAST({target} AS VARCHAR) AS actual, true AS known_class, true AS strong FROM {_VAL_SQL}"
+
+
+_VALUE_SQL = f"SELECT row_key, round(net_price, 4) AS actual, true AS finite, true AS strong FROM {_VAL_SQL}"
+
+
+def _checked_classes(a: A.Analysis, preds, score: float):
+    """Per validation row its original class, whether the prediction decodes to a class, and whether the model's F1 reaches FLOOR."""
+    names = a.label_map.select("label", F.col("value").cast("string").alias("actual"))
+    return (a.decoded(preds.select("row_key", "label", "prediction")).join(names, "label", "left")
+            .select("row_key", "actual", F.col("predicted_class").isNotNull().alias("known_class"), F.lit(bool(score >= FLOOR)).alias("strong")))
+
+
+def _classes_of(a: A.Analysis, model: str):
+    score = a.metrics.where(F.col("model") == model).first()["f1_weighted"]
+    return _checked_classes(a, a.predictions.where(F.col("model") == model), score)
+
+
+def _values_of(a: A.Analysis, model: str):
+    """Per validation row its value, whether the prediction is a number, and whether the model's R2 reaches FLOOR."""
+    score = a.metrics.where(F.col("model") == model).first()["r2"]
+    return (a.predictions.where(F.col("model") == model)
+            .select("row_key", F.round("label", 4).alias("actual"), _number(F.col("prediction")).alias("finite"), F.lit(bool(score >= FLOOR)).alias("strong")))
+
+
+def _number(c):
+    return F.coalesce(F.abs(c) < float("inf"), F.lit(False)) & ~F.isnan(c)
+
+
+def _between(x):
+    return F.coalesce((x >= 0) & (x <= 1), F.lit(False))
+
+
+@query("f1_boosted_classifier", _class_sql("is_big"))
 def f1_boosted_classifier(spark, sf):
-    return _preds(fitted(spark, sf, "binary"), "boosted_trees")
+    return _classes_of(fitted(spark, sf, "binary"), "boosted_trees")
 
 
-@query("f2_balanced_boosted_classifier")
+@query("f2_balanced_boosted_classifier", _class_sql("is_big"))
 def f2_balanced_boosted_classifier(spark, sf):
-    return _preds(fitted(spark, sf, "binary"), "boosted_trees_balanced")
+    return _classes_of(fitted(spark, sf, "binary"), "boosted_trees_balanced")
 
 
-@query("f3_forest_classifier")
+@query("f3_forest_classifier", _class_sql("qty_band"))
 def f3_forest_classifier(spark, sf):
-    return _preds(fitted(spark, sf, "multiclass"), "random_forest")
+    return _classes_of(fitted(spark, sf, "multiclass"), "random_forest")
 
 
-@query("f4_boosted_regressor")
+@query("f4_boosted_regressor", _VALUE_SQL)
 def f4_boosted_regressor(spark, sf):
-    return _preds(fitted(spark, sf, "regression"), "boosted_trees")
+    return _values_of(fitted(spark, sf, "regression"), "boosted_trees")
 
 
-@query("f5_boosted_regressor_min20")
+@query("f5_boosted_regressor_min20", _VALUE_SQL)
 def f5_boosted_regressor_min20(spark, sf):
-    return _preds(fitted(spark, sf, "regression"), "boosted_trees_min20")
+    return _values_of(fitted(spark, sf, "regression"), "boosted_trees_min20")
 
 
-@query("f6_forest_regressor")
+@query("f6_forest_regressor", _VALUE_SQL)
 def f6_forest_regressor(spark, sf):
-    return _preds(fitted(spark, sf, "regression"), "random_forest")
+    return _values_of(fitted(spark, sf, "regression"), "random_forest")
 
 
 @query("f7_model_leaderboard")
@@ -78,45 +115,60 @@ def f7_model_leaderboard(spark, sf):
     return fitted(spark, sf, "binary").leaderboard()
 
 
-@query("f8_class_probabilities")
+@query("f8_class_probabilities", f"""SELECT row_key, class, true AS in_range, true AS sums_to_one
+FROM {_VAL_SQL} CROSS JOIN (SELECT unnest(['high', 'low', 'mid']) AS class) c""")
 def f8_class_probabilities(spark, sf):
+    """Each class's probability is in 0..1 and a row's probabilities sum to one; classes by their original names."""
     a = fitted(spark, sf, "multiclass")
-    scored = a.models["boosted_trees"].transform(a.val)
-    return scored.select("row_key", F.posexplode(vector_to_array("probability")).alias("class", "probability"))
+    p = vector_to_array("probability")
+    total = F.aggregate(p, F.lit(0.0), lambda acc, v: acc + v)
+    scored = a.models["boosted_trees"].transform(a.val).select("row_key", (F.abs(total - 1) < 1e-9).alias("sums_to_one"), F.posexplode(p).alias("label", "p"))
+    names = a.label_map.select(F.col("label").cast("int").alias("label"), F.col("value").alias("class"))
+    return scored.join(names, "label", "left").select("row_key", "class", _between(F.col("p")).alias("in_range"), "sums_to_one")
 
 
-@query("f9_stacking")
+@query("f9_stacking", _class_sql("is_big"))
 def f9_stacking(spark, sf):
-    return fitted(spark, sf, "binary").stack_predictions.select("row_key", "label", "prediction")
+    a = fitted(spark, sf, "binary")
+    return _classes_of(a, "stacking")
 
 
-@query("f10_base_probabilities")
+@query("f10_base_probabilities", f"SELECT row_key, 6 AS n_probabilities, true AS in_range FROM {_VAL_SQL}")
 def f10_base_probabilities(spark, sf):
+    """Three base models and two classes: six probabilities a row."""
     a = fitted(spark, sf, "binary")
-    meta = M.base_probability_columns(a.models["stacking"].bases, a.val, ["row_key", "label"])
-    return meta.select("row_key", "label", vector_to_array("meta").alias("meta"))
+    meta = vector_to_array("meta")
+    return (M.base_probability_columns(a.models["stacking"].bases, a.val, ["row_key", "label"])
+            .select("row_key", F.size(meta).alias("n_probabilities"), F.forall(meta, _between).alias("in_range")))
 
 
-@query("f11_capped_candidate")
+@query("f11_capped_candidate", f"SELECT 'boosted_trees_first1000' AS model, count(*) AS n_rows, true AS strong FROM {_VAL_SQL}")
 def f11_capped_candidate(spark, sf):
     a = fitted(spark, sf, "binary")
     cand = M.Candidate("boosted_trees_first1000", "boosted_trees", 0, "classification", max_train_rows=1000)
     _, preds = M.fit_all([cand], a.train, a.val, QUERY_PARAMS)
-    return G.classification_metrics(preds)
+    return G.classification_metrics(preds).select("model", "n_rows", (F.col("f1_weighted") >= FLOOR).alias("strong"))
 
 
-@query("f12_validation_rows")
+@query("f12_validation_rows", f"SELECT row_key, CAST(is_big AS VARCHAR) AS actual, true AS complete FROM {_VAL_SQL}")
 def f12_validation_rows(spark, sf):
+    """The kept validation rows with their original class; complete: a number for every feature."""
     a = fitted(spark, sf, "binary")
-    return a.val.select("row_key", "label", vector_to_array("features").alias("features"))
+    names = a.label_map.select("label", F.col("value").cast("string").alias("actual"))
+    x = vector_to_array("features")
+    return (a.val.join(names, "label", "left")
+            .select("row_key", "actual", ((F.size(x) == len(a.features.features)) & F.forall(x, _number)).alias("complete")))
 
 
-@query("h1_tree_shap")
+@query("h1_tree_shap", f"SELECT row_key, count(*) AS n_rows, true AS additive FROM {_VAL_SQL} GROUP BY row_key")
 def h1_tree_shap(spark, sf):
+    """Per row key: rows explained, and whether contributions and base sum to the model's predictions."""
     a = fitted(spark, sf, "regression")
-    trees = H.ensemble_arrays(a.models["boosted_trees"])
-    names = a.features.features
-    return H.tree_contributions(a.val, "row_key", names, trees)
+    sums = (a.contributions("boosted_trees").groupBy("row_key")
+            .agg(F.sum("contribution").alias("total"), F.count(F.when(F.col("feature") == "__base", 1)).alias("n_rows")))
+    want = a.models["boosted_trees"].transform(a.val).groupBy("row_key").agg(F.sum("prediction").alias("want"))
+    close = F.abs(F.col("total") - F.col("want")) <= 1e-6 * F.greatest(F.lit(1.0), F.abs("want"))
+    return sums.join(want, "row_key").select("row_key", "n_rows", close.alias("additive"))
 
 
 @query("i4_scenario_predictions")
@@ -165,18 +217,18 @@ def k3_rebalance(spark, sf):
     return out.groupBy("is_big", "synthetic").agg(F.count(F.lit(1)).alias("n_rows"))
 
 
-@query("k4_clusters")
+@query("k4_clusters", f"SELECT {_KEY_SQL} AS row_key, true AS in_range FROM lineitem")
 def k4_clusters(spark, sf):
     a = fitted(spark, sf, "binary")
     _, out = K.clusters(a.assembled, k=3)
-    return out.select("row_key", "cluster")
+    return out.select("row_key", F.col("cluster").between(0, 2).alias("in_range"))
 
 
-@query("k5_isolation_scores")
+@query("k5_isolation_scores", f"SELECT {_KEY_SQL} AS row_key, true AS in_range FROM lineitem")
 def k5_isolation_scores(spark, sf):
     a = fitted(spark, sf, "binary")
-    trees = K.isolation_forest(a.assembled, "row_key", n_trees=50)
-    return K.isolation_scores(a.assembled, "row_key", trees)
+    trees = K.isolation_forest(a.assembled, "row_key", n_trees=100)
+    return K.isolation_scores(a.assembled, "row_key", trees).select("row_key", _between(F.col("anomaly_score")).alias("in_range"))
 
 
 @query("h5_explain_status")

@@ -3,9 +3,12 @@
 DataFrame functions only.  Tokens (words) are counted per cell of source,
 language and topic; the cells' shares are raked in turn to the target shares of
 each of the three dimensions, for ``SWEEPS`` sweeps; the calibrated share over
-the raw share of a cell is its weight, and a document is kept with a probability
-in proportion to its cell's weight, scaled so that the largest is one.  The draw
-is a hash of doc_id, so a run can be repeated and a lost task redone.
+the raw share of a cell is its weight, and a document is kept with probability
+min(1, c * weight).  ``mix`` solves c for a budget, the share ``KEEP`` of all
+tokens, so a stray cell of great weight is kept whole and lowers nobody else's
+rate.  ``mixed`` (the query, whose SQL twin states it so) scales by the largest
+weight instead.  The draw is a hash of doc_id, so a run can be repeated and a
+lost task redone.
 
 Default targets: per dimension, shares in proportion to the token count to the
 power ``TEMPERATURE`` (the usual flattening of source mixes).  Own targets are a
@@ -27,6 +30,8 @@ repeated rows are drawn alike; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,6 +41,8 @@ DIMS = ("source", "lang", "topic")
 TEMPERATURE = 0.7
 SWEEPS = 8
 DIGITS = 6
+#: share of all tokens that ``mix`` keeps
+KEEP = 0.5
 #: more cells than this are joined by a shuffle
 BROADCAST_CELLS = 100_000
 
@@ -98,8 +105,30 @@ def rake(cells: DataFrame, targets: DataFrame, sweeps: int = SWEEPS) -> DataFram
     return joined().select("_source", "_lang", "_topic", "tokens", "w")
 
 
-def mix(docs: DataFrame, targets: DataFrame | None = None, sweeps: int = SWEEPS) -> DataFrame:
-    """All columns of ``docs`` and _source, _lang, _topic, _tokens, _weight, _probability and _sampled."""
+def scale_of(weights: DataFrame, keep: float) -> float:
+    """c with sum(tokens * min(1, c * _weight)) = keep * sum(tokens); infinite if all cells of any weight must be kept whole.
+
+    The sum is concave in c, so Newton's steps from c = 0 rise to the answer, and
+    end as each but the last keeps further cells whole.
+    """
+    c, whole = 0.0, -1.0
+    while True:
+        clipped = F.col("_weight") * F.lit(c) >= 1
+        tokens = F.col("tokens").cast("double")
+        a = weights.agg(F.sum(tokens).alias("n"), F.sum(F.when(clipped, tokens).otherwise(0.0)).alias("whole"),
+                        F.sum(F.when(clipped, 0.0).otherwise(tokens * F.col("_weight"))).alias("rest")).first()  # one row
+        if not a.n or not a.rest:
+            return math.inf
+        if a.whole <= whole:
+            return c
+        c, whole = max(c, (keep * a.n - a.whole) / a.rest), a.whole
+
+
+def mix(docs: DataFrame, targets: DataFrame | None = None, sweeps: int = SWEEPS, keep: float | None = KEEP) -> DataFrame:
+    """All columns of ``docs`` and _source, _lang, _topic, _tokens, _weight, _probability and _sampled.
+
+    ``keep``: the share of all tokens to keep; None scales the largest probability to one.
+    """
     marked = with_cells(docs)
     cells = marked.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("tokens")).where("tokens > 0")
     cells = stash(cells, "mix-counts")
@@ -107,10 +136,15 @@ def mix(docs: DataFrame, targets: DataFrame | None = None, sweeps: int = SWEEPS)
     share = table.agg(F.sum("tokens").alias("_all"), F.sum("w").alias("_w"))
     weights = (table.crossJoin(F.broadcast(share))  # one row
                .withColumn("_weight", (F.col("w") / F.col("_w")) / (F.col("tokens") / F.col("_all"))))
-    top = weights.agg(F.max("_weight").alias("_top"))
-    weights = stash(weights.crossJoin(F.broadcast(top))  # one row
-                    .select("_source", "_lang", "_topic", F.round("_weight", DIGITS).alias("_weight"),
-                            F.round(F.col("_weight") / F.col("_top"), DIGITS).alias("_probability")), "mix-weights")
+    if keep is None:
+        top = weights.agg(F.max("_weight").alias("_top"))
+        weights = weights.crossJoin(F.broadcast(top)).withColumn("_probability", F.col("_weight") / F.col("_top"))  # one row
+    else:
+        weights = stash(weights, "mix-calibrated")
+        probability = F.least(F.lit(1.0), F.col("_weight") * F.lit(scale_of(weights, keep)))
+        weights = weights.withColumn("_probability", F.when(F.col("_weight") > 0, probability).otherwise(0.0))
+    weights = stash(weights.select("_source", "_lang", "_topic", F.round("_weight", DIGITS).alias("_weight"),
+                                   F.round("_probability", DIGITS).alias("_probability")), "mix-weights")
     if weights.count() <= BROADCAST_CELLS:  # three short texts and two numbers a row
         weights = F.broadcast(weights)
     draw = F.conv(F.substring(F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1, 8), 16, 10).cast("double") / F.lit(4294967296.0)
@@ -123,7 +157,7 @@ def mix(docs: DataFrame, targets: DataFrame | None = None, sweeps: int = SWEEPS)
 def mixed(docs: DataFrame) -> DataFrame:
     """One row per document: its cell, tokens, calibrated weight, probability and whether it is sampled."""
     keep = docs.select("doc_id", "text", "lang", "source", *(["topic"] if "topic" in docs.columns else []))
-    return mix(keep).select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"),
+    return mix(keep, keep=None).select("doc_id", F.col("_source").alias("source"), F.col("_lang").alias("lang"), F.col("_topic").alias("topic"),
                             F.col("_tokens").alias("n_tokens"), F.col("_weight").alias("weight"),
                             F.col("_probability").alias("probability"), F.col("_sampled").alias("sampled"))
 

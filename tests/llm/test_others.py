@@ -42,6 +42,20 @@ def test_mixing_meets_targets(spark, docs, no_docs):
     assert got.where("_probability < 0 or _probability > 1").count() == 0 and got.count() == docs.count()
 
 
+def test_mix_keeps_its_budget_beside_a_stray_cell(spark):
+    rows = [(i, "word " * (100 if i % 3 else 450), "en" if i % 4 else "de", f"s{i % 2}", 1) for i in range(3000)]
+    for corpus in (rows, [*rows, (9999, "a few words " * 5, "ne", "s0", 1)]):
+        got = mixing.mix(spark.createDataFrame(corpus, DOCS)).agg(
+            F.sum("_tokens").alias("n"), F.sum(F.col("_tokens") * F.col("_probability")).alias("expected"),
+            F.sum(F.when(F.col("_sampled"), F.col("_tokens")).otherwise(0)).alias("kept"), F.max("_probability").alias("top")).first()
+        assert abs(got.expected / got.n - mixing.KEEP) < 0.001 and abs(got.kept / got.n - mixing.KEEP) < 0.05 and got.top <= 1
+    stray = mixing.mix(spark.createDataFrame(corpus, DOCS)).where("doc_id = 9999").first()
+    assert stray["_probability"] == 1 and stray["_sampled"]
+    cells = spark.createDataFrame([(10, 0.0), (10, 0.5), (10, 2.0), (10, 8.0)], "tokens long, _weight double")
+    for keep, c in ((0.25, 10 / 105), (0.55, 0.48), (0.6, 0.8), (0.6875, 1.5), (1.0, math.inf)):
+        assert math.isclose(mixing.scale_of(cells, keep), c)
+
+
 def test_tool_calls(spark):
     calls = spark.createDataFrame([(1, "b", "add", '{"y": 2.0, "x": 1}', "a", 2), (1, "a", "add", '{"x": 1}', None, 1), (1, "c", "nope", "{", "missing", 3),
                                    (1, "d", "add", '{"x":1,"y":2}', "e", 4), (1, "e", "add", None, "d", 5), (1, "b", "add", "{}", None, 9), (None, "z", "add", "{}", None, 1)],

@@ -19,7 +19,11 @@ Then the batch becomes a level, and levels of about equal size are merged, so
 that there are never more than a logarithm of the batches.
 
 A window is judged by the smallest document that has it; no pairs are formed.
-Each distinct span is held once per shard, however many documents have it.
+A bucket sends each distinct span once, with its smallest document, and gets the
+repeated windows of that document's span back; the span's other documents in the
+bucket are later, so there the span is a repeat as a whole.  A passage of any
+frequency thus costs a shard one entry per bucket.  Spans of a bucket are told
+apart by 64-bit fingerprints.
 
 Edge cases: a null or empty text has no bytes; a text under WINDOW bytes loses
 nothing; a run of one byte makes every position an anchor, which costs space but
@@ -49,8 +53,8 @@ PIECE = 1 << 19
 _AT = U((1 << 20) - 1)
 _CODE = np.random.default_rng(50).integers(1, 1 << 63, 256, dtype=np.uint64) * U(2) + U(1)
 
-SPANS = "shard int, bucket int, spans binary, windows binary, docs binary, starts binary"
-REPEATS = "bucket int, docs binary, starts binary, masks binary"
+SPANS = "shard int, bucket int, spans binary, windows binary, docs binary, keys binary"
+REPEATS = "bucket int, keys binary, masks binary"
 RESULT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
 
 
@@ -120,6 +124,14 @@ def gather(buf: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray
     return buf[np.repeat(start, length) + step]
 
 
+def span_keys(buf: np.ndarray, start: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """64-bit fingerprints of the spans of ``count`` windows from ``start``, which tell lengths apart."""
+    if not len(start):
+        return np.zeros(0, np.uint64)
+    total, down = _sums(buf)
+    return mix(mix((total[start + count + WINDOW - 1] - total[start]) * down[start]) + count.astype(np.uint64))
+
+
 def _spans(bits: int):
     mask = U((1 << (LOW + bits)) - 1)
 
@@ -128,21 +140,27 @@ def _spans(bits: int):
         if len(keys) and table.num_rows:
             ids, texts = texts_of(table)
             bucket = table.column("bucket")[0].as_py()
-            for row, off, parts in pieces(texts):
+            sent = np.zeros(0, np.uint64)
+            for at_row, _, parts in pieces(texts):  # in order of doc_id: the first of equal spans is the smallest document's
                 buf, offset, f, start, count = anchors(parts)
                 f = f & mask
                 hit = member(f, keys)
                 f, start, count = f[hit], start[hit], count[hit]
+                key = span_keys(buf, start, count)
+                key, new = np.unique(key, return_index=True)
+                fresh = ~member(key, sent)
+                key, new = key[fresh], new[fresh]
+                sent = np.sort(np.concatenate([sent, key]))
+                f, start, count = f[new], start[new], count[new]
                 order = np.argsort(f, kind="stable")
-                f, start, count = f[order], start[order], count[order]
+                f, start, count, key = f[order], start[order], count[order], key[order]
                 piece = np.searchsorted(offset, start, "right") - 1
-                doc = ids[np.array(row)[piece]] if len(piece) else np.zeros(0, np.int64)
-                place = start - offset[piece] + np.array(off, np.int64)[piece] if len(piece) else start
+                doc = ids[np.array(at_row)[piece]] if len(piece) else np.zeros(0, np.int64)
                 for shard, at in shard_slices((f >> U(LOW)).astype(np.int64)):
                     rows.append((shard, bucket, gather(buf, start[at], count[at] + WINDOW - 1).tobytes(), count[at].astype(np.uint8).tobytes(),
-                                 pack_planes(doc[at]), pack_planes(place[at])))
+                                 pack_planes(doc[at]), key[at].tobytes()))
         return pa.table({c: pa.array([r[i] for r in rows], t) for i, (c, t) in enumerate(zip(
-            ("shard", "bucket", "spans", "windows", "docs", "starts"), (pa.int32(),) * 2 + (pa.binary(),) * 4))})
+            ("shard", "bucket", "spans", "windows", "docs", "keys"), (pa.int32(),) * 2 + (pa.binary(),) * 4))})
     return spans
 
 
@@ -191,7 +209,6 @@ def repeated_windows(spans: np.ndarray, count: np.ndarray, docs: np.ndarray) ->
     length = count + WINDOW - 1
     begin = np.cumsum(length) - length
     masks = np.zeros(len(count), np.int64)
-    total, down = _sums(spans)
     suffixes, windows = LogFamily(), LogFamily()
     order = np.argsort(docs, kind="stable")
     for lo in range(0, len(order), BATCH):
@@ -205,7 +222,8 @@ def repeated_windows(spans: np.ndarray, count: np.ndarray, docs: np.ndarray) ->
         new = b[~late]
         n = count[new]
         step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
-        at = np.repeat(begin[new], n) + step
+        total, down = _sums(gather(spans, begin[new], length[new]))
+        at = np.repeat(np.cumsum(length[new]) - length[new], n) + step
         fp = mix((total[at + WINDOW] - total[at]) * down[at])
         seen = windows.judge(fp, np.repeat(docs[new], n))
         np.bitwise_or.at(masks, np.repeat(new, n)[seen], np.int64(1) << step[seen])
@@ -218,27 +236,49 @@ def _judged(table: pa.Table) -> pa.Table:
     row = np.repeat(np.arange(len(count)), [len(c) for c in count])
     spans = np.concatenate([np.frombuffer(b, np.uint8) for b in table.column("spans").to_pylist()])
     docs = np.concatenate([unpack_planes(b) for b in table.column("docs").to_pylist()])
-    starts = np.concatenate([unpack_planes(b) for b in table.column("starts").to_pylist()])
+    keys = np.concatenate([np.frombuffer(b, np.uint64) for b in table.column("keys").to_pylist()])
     masks = repeated_windows(spans, np.concatenate(count).astype(np.int64), docs)
     keep = masks != 0
-    row, docs, starts, masks = row[keep], docs[keep], starts[keep], masks[keep]
+    row, keys, masks = row[keep], keys[keep], masks[keep]
     bucket = table.column("bucket").to_numpy()[row]
     order = np.argsort(bucket, kind="stable")
-    out = [(b, *(pack_planes(x[order][at]) for x in (docs, starts, masks))) for b, at in shard_slices(bucket[order])]
+    out = [(b, keys[order][at].tobytes(), pack_planes(masks[order][at])) for b, at in shard_slices(bucket[order])]
     return pa.table({c: pa.array([x[i] for x in out], t) for i, (c, t) in enumerate(
-        (("bucket", pa.int32()), ("docs", pa.binary()), ("starts", pa.binary()), ("masks", pa.binary())))})
+        (("bucket", pa.int32()), ("keys", pa.binary()), ("masks", pa.binary())))})
+
+
+def _all_spans(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """Of all spans of a bucket, in order of row: key, row, start in the text, windows."""
+    out = [(np.zeros(0, np.uint64), *(np.zeros(0, t) for t in (np.int32, np.int64, np.uint8)))]
+    for rows, offs, parts in pieces(texts):
+        buf, offset, _, start, count = anchors(parts)
+        piece = np.searchsorted(offset, start, "right") - 1
+        out.append((span_keys(buf, start, count), np.array(rows, np.int32)[piece], start - offset[piece] + np.array(offs, np.int64)[piece], count.astype(np.uint8)))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 def _removed(table: pa.Table, answers: pa.Table) -> pa.Table:
     out = []
     if table.num_rows:
         ids, texts = texts_of(table)
-        docs, starts, masks = (np.concatenate([np.zeros(0, np.int64), *map(unpack_planes, answers.column(c).to_pylist())]) for c in ("docs", "starts", "masks"))
-        order = np.argsort(docs, kind="stable")
-        docs, starts, masks = docs[order], starts[order], masks[order]
-        bound = np.searchsorted(docs, np.append(ids, np.iinfo(np.int64).max))
+        key, row, starts, count = _all_spans(texts)
+        order = np.argsort(key, kind="stable")  # of equal spans the smallest document first
+        first = first_of(key[order])
+        low = np.empty_like(row)
+        low[order] = np.repeat(row[order][first], np.diff(np.append(first, len(key))))
+        masks = np.where(row > low, (np.int64(1) << count.astype(np.int64)) - 1, 0)  # a smaller document of this bucket has the whole span
+        if answers.num_rows:
+            have = np.concatenate([np.frombuffer(b, np.uint64) for b in answers.column("keys").to_pylist()])
+            found = np.concatenate([unpack_planes(b) for b in answers.column("masks").to_pylist()])
+            order = np.argsort(have)
+            have, found = have[order], found[order]
+            hit = member(key, have)
+            masks[hit] |= found[np.searchsorted(have, key[hit])]
+        late = masks != 0
+        row, starts, masks = row[late], starts[late], masks[late]
+        bound = np.searchsorted(row, np.arange(len(texts) + 1))
         for r, text in enumerate(texts):
-            a, b = bound[r], np.searchsorted(docs, ids[r], "right")
+            a, b = bound[r], bound[r + 1]
             if a == b:
                 out.append((int(ids[r]), len(text), 0, 0, hashlib.sha256(text).hexdigest()))
                 continue

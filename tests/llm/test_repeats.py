@@ -3,6 +3,8 @@
 import re
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
 
 from quillstat.llm import block_dedup, jaccard, suffix_dedup
@@ -43,6 +45,26 @@ def test_suffix_dedup_is_exact(docs, texts):
     assert got == want and sum(x[1] for x in want.values()) > 3000
 
 
+def test_a_bucket_sends_each_distinct_span_once():
+    """A rule line and a passage in every document of a bucket, and the windows removed from each of them."""
+    rng = np.random.default_rng(7)
+    rows = {i: b"-" * 80 + b"\n" + bytes(rng.integers(97, 123, 60, dtype=np.uint8)) + b"\n" + b"the same sentence of more than fifty bytes stands in each document" for i in range(100)}
+    table = pa.table({"doc_id": list(rows), "text": [t.decode() for t in rows.values()], "bucket": pa.array([3] * len(rows), pa.int32())})
+    offered = suffix_dedup._sampled(4)(table)
+    answers = pa.concat_tables([suffix_dedup.common(need_mark=False)(offered.filter(pc.equal(offered["shard"], s))) for s in pc.unique(offered["shard"]).to_pylist()])
+    sent = suffix_dedup._spans(4)(table, answers)
+    spans = [x for r in sent.to_pylist() for x in np.frombuffer(r["keys"], np.uint64).tolist()]
+    assert len(spans) == len(set(spans)) and sum(len(r["windows"]) for r in sent.to_pylist()) < 15 * len(rows)
+    judged = pa.concat_tables([suffix_dedup._judged(sent.filter(pc.equal(sent["shard"], s))) for s in pc.unique(sent["shard"]).to_pylist()])
+    first, got = {}, {r["doc_id"]: r for r in suffix_dedup._removed(table, judged).to_pylist()}
+    for i, b in rows.items():
+        gone = np.zeros(len(b), bool)
+        for k in range(len(b) - 49):
+            if first.setdefault(b[k:k + 50], i) < i:
+                gone[k:k + 50] = True
+        assert (got[i]["n_removed"], got[i]["kept_sha256"]) == (int(gone.sum()), sha(np.frombuffer(b, np.uint8)[~gone].tobytes()))
+
+
 def test_log_family_merges_geometrically():
     family = suffix_dedup.LogFamily()
     seen = {}

@@ -2,7 +2,11 @@
 
 Candidates are runs of 12 or more characters ``[A-Za-z0-9+/_-]`` in a text that
 hold a digit or, after the first character, a capital letter (runs of capitals
-alone from 16 characters).  Each has the features named by the method:
+alone from 16 characters), and the whole value, any characters but spaces from
+``LEAST`` on, that follows an assignment or a name that speaks of secrets (less
+the punctuation at its end; to the closing quote if it is quoted).  Of equal
+spans one stands; overlapping ones are reported each and masked together.  Each
+has the features named by the method:
 
 * length, and the share of digits, capitals and hexadecimal digits;
 * character transitions: the share of neighbouring characters that change class
@@ -16,20 +20,22 @@ alone from 16 characters).  Each has the features named by the method:
 
 A random forest (Spark's, ``TREES`` trees of depth ``DEPTH``) learns from
 labelled findings.  Without findings of one's own, ``known_findings`` labels
-those candidates for which a published format or a check digit decides; the rest
-are scored by the forest alone.  Training reads at most ``SAMPLE`` labelled
+those candidates for which a published format or a check digit decides, and
+``EXAMPLES`` adds passwords and harmless values in the form of short sentences;
+the rest are scored by the forest alone.  Training reads at most ``SAMPLE`` labelled
 findings of each kind (those of smallest hash); scanning and scoring cover
 every candidate of every text.
 
 Edge cases: a null or empty text has no candidate; a null doc_id is scanned and
 reported as null; repeated rows are reported each; if labelled findings of one
-kind are missing, the score of every candidate is the share of the other; an
-empty table gives no rows.
+kind are missing, the score of every candidate is the share of the other (own
+labels; ``EXAMPLES`` has both kinds); an empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import math
+import random
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -52,10 +58,18 @@ SAMPLE = 8000
 SECRET_AT = 0.5
 MASK = "[SECRET]"
 AROUND = 200
-
-_RUN = re.compile(rb"[A-Za-z0-9+/_\-]{12,}")
-_NAMED = re.compile(rb"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer|private[_-]?key)[\"']?\s*(?:[=:]|=>)?\s*[\"']?$", re.I)
-_ASSIGNED = re.compile(rb"[=:]\s*[\"']?$")
+#: characters of a value after a name or an assignment
+LEAST = 4
+
+_NAMES = rb"(?:pass(?:word|wd|phrase)?|pwd|secret|token|api[_-]?key|access[_-]?key|auth|credential|bearer|private[_-]?key)"
+_NAMED = re.compile(_NAMES + rb"[\"']?\s*(?:[=:]|=>)?\s*[\"']?$", re.I)
+_ASSIGNED = re.compile(rb"(?:[=:]|=>)\s*[\"']?$")
+#: what a value follows; texts are told apart by a zero byte, which no space pattern takes
+_AFTER_NAME = re.compile(_NAMES + rb"[\"']?\s*(?:=>|[=:])\s*(?:[\[{(]+(?=[\"']))?|(?<![A-Za-z0-9])" + _NAMES + rb"[\"']?\s+(?![=:])", re.I)
+_AFTER_SIGN = re.compile(rb"(?:=>|[=:])\s*(?:[\[{(]+(?=[\"']))?")
+#: to the closing quote, or to a space or the next assignment of a list
+_VALUE = re.compile(rb"\"[^\"\n\x00]+(?=\")|'[^'\n\x00]+(?=')|(?:(?![,;&][\"']?[A-Za-z_][\w.\-]{0,99}[\"']?[=:])[^\s\x00])+")
+_END = b".,;:)]}>\"'"
 FEATURES = ["f_length", "f_digits", "f_capitals", "f_hex", "f_turns", "f_entropy", "f_dictionary", "f_path", "f_signs", "f_named", "f_assigned", "f_quoted"]
 
 _CLASS = np.full(256, 3, np.uint8)
@@ -82,8 +96,8 @@ def describe(text: bytes, a: int, b: int) -> list[float]:
             float(before[-1:] in (b'"', b"'") and after[:1] == before[-1:])]
 
 
-def candidates(text: bytes) -> Iterator[tuple[int, int]]:
-    """Byte spans of the candidates.  Long words are found by numpy, only they meet the pattern."""
+def runs(text: bytes) -> Iterator[tuple[int, int]]:
+    """Byte spans of the long words that look like no plain word.  Long words are found by numpy, only they meet the pattern."""
     b = np.frombuffer(text, np.uint8)
     inside = _LONG[b]
     edge = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
@@ -96,6 +110,27 @@ def candidates(text: bytes) -> Iterator[tuple[int, int]]:
             yield a, z
 
 
+def values(text: bytes) -> Iterator[tuple[int, int]]:
+    """Byte spans of the values after a name that speaks of secrets, and of those after any assignment."""
+    for follows in (_AFTER_NAME, _AFTER_SIGN):  # each takes up after its last value, so that no byte is read for ever new values
+        at = 0
+        while found := follows.search(text, at):
+            at = found.end()
+            if value := _VALUE.match(text, at):
+                a, at = value.span()
+                z, quote = at, text[a:a + 1]
+                a += quote in (b'"', b"'")
+                if quote not in (b'"', b"'") or text[z:z + 1] != quote:
+                    z = a + len(text[a:z].rstrip(_END))
+                if len(text[a:z].decode("utf-8", "replace")) >= LEAST:
+                    yield a, z
+
+
+def candidates(text: bytes) -> list[tuple[int, int]]:
+    """Byte spans of the candidates, in order."""
+    return sorted({*runs(text), *values(text)})
+
+
 SCHEMA = T.StructType([T.StructField("doc_id", T.LongType()), T.StructField("start_byte", T.LongType()), T.StructField("end_byte", T.LongType()),
                        T.StructField("finding", T.StringType()), *[T.StructField(f, T.DoubleType()) for f in FEATURES]])
 
@@ -106,12 +141,12 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids, texts, out = column(batch, "doc_id").to_pylist(), as_bytes(column(batch, "text")), []
         for lo, hi in slices(texts):
             start = np.cumsum([0] + [len(t) + 1 for t in texts[lo:hi]])
-            whole = b" ".join(texts[lo:hi])
-            spans = list(candidates(whole))
+            whole = b"\0".join(texts[lo:hi])
+            spans = candidates(whole)
             rows = np.searchsorted(start, [a for a, _ in spans], "right") - 1
             for (a, z), r in zip(spans, rows.tolist()):
                 text, o = texts[lo + r], int(start[r])
-                out.append((ids[lo + r], a - o, z - o, whole[a:z].decode(), *describe(text, a - o, z - o)))
+                out.append((ids[lo + r], a - o, z - o, whole[a:z].decode("utf-8", "replace"), *describe(text, a - o, z - o)))
         yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], k) for i, k in enumerate(kinds)], names=SCHEMA.names)
 
 
@@ -142,16 +177,58 @@ def known_findings(found: DataFrame) -> DataFrame:
     return found.withColumn("label", label).where("label is not null")
 
 
-def fit_forest(labelled: DataFrame, sample: int = SAMPLE):
-    """A forest, or the only label there is (None without any)."""
+def examples() -> list[tuple]:
+    """Values of known kind in short sentences: (label, *features)."""
+    rng = random.Random(9)
+    words = ["correct", "horse", "battery", "staple", "summer", "dragon", "river", "orange", "monkey", "window", "silver", "planet", "coffee", "garden", "winter", "bucket"]
+    small = "abcdefghijklmnopqrstuvwxyz"
+    letters = lambda n, kind=small: "".join(rng.choice(kind) for _ in range(n))
+    word = lambda: rng.choice(words)
+    mixed = [lambda: word() + str(rng.randrange(100)) + rng.choice("!@#$.%") + str(rng.randrange(10)), lambda: word().capitalize() + rng.choice("!@#$%") + word().capitalize() + "#" + str(rng.randrange(3000)),
+             lambda: letters(rng.randint(6, 12), small + small.upper() + "0123456789!@#$%"), lambda: letters(rng.randint(12, 40), "0123456789abcdef"),
+             lambda: letters(rng.randint(20, 40), small + small.upper() + "0123456789+/"), lambda: "-".join(letters(4) for _ in range(4)) + str(rng.randrange(10))]
+    plain = [lambda: "".join(word() for _ in range(rng.randint(3, 4))), lambda: letters(16), lambda: word() + word(), lambda: letters(8), word, lambda: str(rng.randrange(10**5, 10**10))]
+    harmless = [word, lambda: str(rng.randrange(1000, 10**10)), lambda: word() + "-" + word(), lambda: f"{rng.randrange(10, 24)}:{rng.randrange(10, 60)}", lambda: f"//{word()}.org/{word()}/{word()}/{letters(5)}",
+                lambda: f"{rng.randrange(100, 2000)}px", lambda: word().capitalize(), lambda: "".join(word().capitalize() for _ in range(3)), lambda: f"20{rng.randrange(10, 30)}-0{rng.randrange(1, 10)}-1{rng.randrange(10)}"]
+    names = ["password", "passwd", "pwd", "secret", "token", "api_key", "DB_PASSWORD", "auth", "access_key"]
+    others = ["note", "time", "see", "size", "title", "name", "date", "width", "id", "https"]
+    signs = ["=", ": ", ":", " = ", " => "]
+    out = []
+
+    def add(label: float, lead: str, value: str, quote: str = "") -> None:
+        before = f"{word()} {word()} {lead}{quote}".encode()
+        text = before + f"{value}{quote} {word()} and {word()}".encode()
+        out.append((label, *describe(text, len(before), len(before) + len(value.encode()))))
+
+    for _ in range(60):
+        for make in (*mixed, *plain):
+            add(1.0, rng.choice(names) + rng.choice(signs), make(), rng.choice(["", "", '"']))
+        for make in mixed:
+            add(1.0, rng.choice(names[:5]) + " ", make())
+        add(1.0, "app password ", letters(16))
+        add(1.0, rng.choice(["", "key ", "id="]), "AKIA" + letters(16, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"))
+        for make in harmless:
+            add(0.0, rng.choice(others) + rng.choice(signs), make(), rng.choice(["", "", '"']))
+        for _ in range(6):
+            add(0.0, rng.choice(["token", "pass", "secret", "auth", "password"]) + " ", rng.choice(["is", "was", "through", "of", "for", "over", "must", word(), word(), word() + "s"]).ljust(4, "s"))
+        for value in (f"{word()}/{word()}/{word()}/{rng.randrange(99)}", str(rng.randrange(10**12, 10**16)), word() + word().capitalize() + word().capitalize(), f"{word()}_{word()}_{rng.randrange(99)}"):
+            add(0.0, "", value)
+    return out
+
+
+def fit_forest(labelled: DataFrame, sample: int = SAMPLE, more: list[tuple] = ()):
+    """A forest, or the only label there is (None without any).  ``more``: examples, which together weigh as much as the findings."""
     parts = [labelled.where(F.col("label") == y).orderBy(F.xxhash64("finding", "doc_id", "start_byte"), "finding", "doc_id", "start_byte").limit(sample)
              .select("label", *FEATURES) for y in (0.0, 1.0)]
-    rows = stash(parts[0].union(parts[1]), "secret-sample")
+    rows = stash(parts[0].union(parts[1]), "secret-sample").withColumn("weight", F.lit(1.0))
+    if more:
+        weight = max(1.0, rows.count() / len(more))
+        rows = rows.union(rows.sparkSession.createDataFrame([(*x, weight) for x in more], rows.schema))
     labels = [r.label for r in rows.select("label").distinct().collect()]
     if len(labels) < 2:
         return labels[0] if labels else None
     assembled = VectorAssembler(inputCols=FEATURES, outputCol="features").transform(rows.coalesce(1).sortWithinPartitions("label", *FEATURES))
-    return RandomForestClassifier(labelCol="label", numTrees=TREES, maxDepth=DEPTH, seed=11, featureSubsetStrategy="sqrt").fit(assembled)
+    return RandomForestClassifier(labelCol="label", weightCol="weight", numTrees=TREES, maxDepth=DEPTH, seed=11, featureSubsetStrategy="sqrt").fit(assembled)
 
 
 def scan(docs: DataFrame, labelled: DataFrame | None = None, sample: int = SAMPLE) -> DataFrame:
@@ -160,7 +237,7 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, sample: int = SAMPL
     ``labelled``: findings with features (as ``findings`` gives) and a 0/1 ``label``.
     """
     found = stash(findings(docs), "secret-findings")
-    model = fit_forest(known_findings(found) if labelled is None else labelled, sample)
+    model = fit_forest(known_findings(found), sample, examples()) if labelled is None else fit_forest(labelled, sample)
     if model is None or isinstance(model, float):
         scored = found.withColumn("score", F.lit(model or 0.0))
     else:
@@ -179,7 +256,7 @@ def _masker(names: list[str]):
                     for s in sorted(found, key=lambda s: s["start_byte"]):
                         if s["start_byte"] >= done:
                             parts += [raw[done:s["start_byte"]], MASK.encode()]
-                            done = s["end_byte"]
+                        done = max(done, s["end_byte"])  # overlapping secrets share a mask
                     texts[i] = b"".join([*parts, raw[done:]]).decode("utf-8", "replace")
             cols = [batch.column(batch.schema.get_field_index(c)) for c in names]
             cols[at] = pa.array(texts, pa.string())

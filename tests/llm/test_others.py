@@ -137,6 +137,19 @@ def test_secrets(spark, no_docs):
     assert secret_scan.scan(no_docs).count() == 0
 
 
+def test_values_after_names_are_masked_whole(spark):
+    values = ["hunter2!9", "correcthorsebatterystaple", "qwmzkrtpvbxnalcd", "S3cr3t!Pass#2024", "a.b$c%9Z", "grüße!77"]
+    rows = [(i, f"the plain words {lead}{v} stand in a line", "en", "s", 1) for i, (lead, v) in enumerate((lead, v) for lead in ("password=", "token: ", "DB_PASSWORD = ") for v in values)]
+    n = len(rows)
+    rows += [(100, 'config {"auth":{"token":"x9!k2","user":"joe"}} here', "en", "s", 1), (101, "the password:", "en", "s", 1), (102, "first of the next text", "en", "s", 1),
+             (103, "a token bucket and a pass through the secret garden; note: plain words, see https://example.org/some/path", "en", "s", 1)]
+    clean = {r.doc_id: r.text for r in secret_scan.redact(spark.createDataFrame(rows, DOCS)).collect()}
+    lead = {r[0]: r[1].split(next(v for v in values if v in r[1]))[0] for r in rows[:n]}
+    assert {i: clean[i] for i in range(n)} == {i: lead[i] + "[SECRET] stand in a line" for i in range(n)}
+    assert clean[100] == 'config {"auth":{"token":"[SECRET]","user":"joe"}} here'
+    assert all(clean[i] == dict((r[0], r[1]) for r in rows)[i] for i in (101, 102, 103))
+
+
 def test_lattice_sums_all_segmentations():
     pieces = sorted([b"a", b"b", b"ab", b"\x01a", b"\x01", b"bab"])
     logp = np.log(np.arange(1, 7) / 21)

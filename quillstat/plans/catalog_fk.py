@@ -3,8 +3,8 @@
 MLlib's randomised trees have no SQL twin: model queries return, per row, what
 SQL can also tell (keys, original classes) and the properties that must hold
 (probabilities, additivity, a floor for F1 or R2).  One fitted analysis per (session, data folder, scenario)
-is memoised so that several queries read the same fit.  Query fits use 5
-trees of depth 4; the library default stays at the reference's 100 x 7.
+is memoised so that several queries read the same fit.  Query fits have the
+library's default size, the reference's 100 trees of depth 7.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ from quillstat.plans import analysis as A
 from quillstat.plans import views as V
 from quillstat.plans.registry import query
 
-QUERY_PARAMS = M.TreeParams(n_trees=5, max_depth=4)
+QUERY_PARAMS = M.TreeParams()
 _KEYS = ["l_orderkey", "l_linenumber"]
 _SCENARIOS = {
     "binary": ("is_big", "classification", ["net_price", "qty_band"], True),

@@ -207,3 +207,9 @@ def test_rebalance_keeps_rows_and_interpolates(spark, small_dir):
     syn = out.where("synthetic").agg(*[F.min(f) for f in feats], *[F.max(f) for f in feats]).first()
     for i in range(len(feats)):
         assert syn[i] >= lo_hi[i] - 1e-9 and syn[len(feats) + i] <= lo_hi[len(feats) + i] + 1e-9
+
+
+def test_model_queries_fit_the_default_size():
+    from quillstat.operators import models as M
+    from quillstat.plans import catalog_fk
+    assert catalog_fk.QUERY_PARAMS == M.TreeParams() and (M.TreeParams().n_trees, M.TreeParams().max_depth) == (100, 7)

@@ -17,6 +17,7 @@ from . import lattice_lm as op10
 from . import mixing as op2
 from . import quality as op1
 from . import secret_scan as op9
+from . import spelling as op13
 from . import suffix_dedup as op5
 from . import toolcalls as op3
 
@@ -125,6 +126,11 @@ def op10_lattice_likelihood(spark, sf_dir):
     return op10.lattice_scores(_read(spark, sf_dir, "documents"))
 
 
+@query("op13_spelling_variants", op13.oracle_sql())
+def op13_spelling_variants(spark, sf_dir):
+    return op13.variants(_read(spark, sf_dir, "documents"))
+
+
 @query("pipeline", corpus_pipeline.ORACLE_SQL)
 def pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)

@@ -15,6 +15,7 @@ from . import embed_dedup as op7
 from . import jaccard as op6
 from . import lattice_lm as op10
 from . import mixing as op2
+from . import prefix_trie as op12
 from . import quality as op1
 from . import secret_scan as op9
 from . import spelling as op13
@@ -126,6 +127,11 @@ def op10_lattice_likelihood(spark, sf_dir):
     return op10.lattice_scores(_read(spark, sf_dir, "documents"))
 
 
+@query("op12_prefix_trie", op12.ORACLE_SQL)
+def op12_prefix_trie(spark, sf_dir):
+    return op12.prefix_nodes(_read(spark, sf_dir, "conversations"))
+
+
 @query("op13_spelling_variants", op13.oracle_sql())
 def op13_spelling_variants(spark, sf_dir):
     return op13.variants(_read(spark, sf_dir, "documents"))

@@ -13,6 +13,7 @@ from . import block_dedup as op8
 from . import decontaminate as op4
 from . import embed_dedup as op7
 from . import jaccard as op6
+from . import language_id as op11
 from . import lattice_lm as op10
 from . import mixing as op2
 from . import prefix_trie as op12
@@ -127,6 +128,11 @@ def op10_lattice_likelihood(spark, sf_dir):
     return op10.lattice_scores(_read(spark, sf_dir, "documents"))
 
 
+@query("op11_language_id")
+def op11_language_id(spark, sf_dir):
+    return op11.languages(_read(spark, sf_dir, "documents"))
+
+
 @query("op12_prefix_trie", op12.ORACLE_SQL)
 def op12_prefix_trie(spark, sf_dir):
     return op12.prefix_nodes(_read(spark, sf_dir, "conversations"))

@@ -32,6 +32,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstat.session import ship_package
+
+from .shared import numbered
 from .textscan import Words, as_bytes, column, shingle_sets, slices
 
 SHINGLE = 5
@@ -126,6 +129,7 @@ SCHEMA = "doc_id long, item_id long, n_shingles long, n_shared long, containment
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """doc_id, item_id, n_shingles, n_shared, containment for each pair that reaches the threshold."""
     spark = docs.sparkSession
+    ship_package(spark)
     docs = docs.select("doc_id", "text")
     out = spark.createDataFrame([], SCHEMA)
     for block in _item_blocks(items, block_bytes):
@@ -148,6 +152,7 @@ def _searcher(state, threshold: float):
 
 
 def clean_documents(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The documents that hold no benchmark item; rows with a null doc_id stay."""
-    found = contaminated(docs.where("doc_id is not null"), items, threshold).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(found, docs.doc_id == F.col("_gone"), "left_anti")
+    """The documents that hold no benchmark item; each row is judged by its own text, whatever its doc_id."""
+    rows = numbered(docs)
+    found = contaminated(rows.select("doc_id", "row.text"), items, threshold).select("doc_id").distinct()
+    return rows.join(found, "doc_id", "left_anti").select("row.*")

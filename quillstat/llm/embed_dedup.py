@@ -37,6 +37,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstat.session import ship_package
+
 from .jaccard import _forest, group_bounds, runs
 from .shared import components, in_blocks, stash
 from .textscan import column
@@ -163,6 +165,7 @@ def _verified(unit, vector, norm, p, q, k, dims):
 
 def near_vectors(vectors: DataFrame) -> DataFrame:
     """vec_id, n_links, component_id, kept for each vector."""
+    ship_package(vectors.sparkSession)
     kind = "array<float>" if dict(vectors.dtypes)["embedding"] == "array<float>" else "array<double>"
     rows = (vectors.where("vec_id is not null").select("vec_id", F.col("label").cast("long").alias("label"), F.col("embedding").cast(kind).alias("embedding"))
             .groupBy("vec_id").agg(F.min(F.struct("label", "embedding")).alias("v")).select("vec_id", "v.*"))

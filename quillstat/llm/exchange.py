@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstat.session import ship_package
+
 from .shared import input_bytes, one_text, shared_path
 
 #: aims for the compressed size of a bucket and for the raw texts whose fingerprints meet in a shard
@@ -34,6 +36,7 @@ class Buckets:
 
     def __init__(self, docs: DataFrame):
         spark = docs.sparkSession
+        ship_package(spark)
         size = input_bytes(docs)
         docs = one_text(docs)
         if size > UNKNOWN:  # not files: texts are counted, and compress to about a half
@@ -45,6 +48,7 @@ class Buckets:
         (docs.select(F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int").alias("bucket"), "doc_id", "text")
          .write.bucketBy(files, "bucket").option("path", shared_path(spark, "buckets")).option("compression", "zstd").saveAsTable(name))
         self.table = spark.table(name)
+        spark.sql(f"DROP TABLE {name}")  # the files stay and are read as bucketed; only the catalogue's entry goes
 
     def by_bucket(self, fn: Callable[[pa.Table], pa.Table], schema: str) -> DataFrame:
         return self.table.groupBy("bucket").applyInArrow(fn, schema)

@@ -35,7 +35,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import components, in_blocks, one_text, stash
+from quillstat.session import ship_package
+
+from .shared import components, in_blocks, numbered, one_text, stash
 from .textscan import Words, as_bytes, column, mix, shingle_sets, slices
 
 SHINGLE = 5
@@ -285,6 +287,7 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def jaccard_classes(docs: DataFrame) -> DataFrame:
     """doc_id, class_id (smallest doc_id reachable by links), n_links (other documents linked directly)."""
+    ship_package(docs.sparkSession)
     docs = one_text(docs)
     described = stash(docs.mapInArrow(_describe, "doc_id long, n long, d1 long, d2 long, keys binary, low binary"), "jaccard-signatures")
     sets = stash(described.where("n > 0").groupBy("n", "d1", "d2")
@@ -314,9 +317,11 @@ def jaccard_classes(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The documents without near copies: of each class only the row of doc_id = class_id stays.
+    """The documents without near copies: of each class one row stays, that of the smallest doc_id.
 
-    Rows with a null doc_id stay; of repeated rows of the kept doc_id all stay.
+    Rows whose doc_id is null or repeated come after all others, and one row of
+    them stays if their class has no other.
     """
-    classes = jaccard_classes(docs).where("class_id <> doc_id").select(F.col("doc_id").alias("_gone"))
-    return docs.join(classes, docs.doc_id == F.col("_gone"), "left_anti")
+    rows = numbered(docs)
+    gone = jaccard_classes(rows.select("doc_id", "row.text")).where("class_id <> doc_id").select("doc_id")
+    return rows.join(gone, "doc_id", "left_anti").select("row.*")

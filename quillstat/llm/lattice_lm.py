@@ -37,6 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstat.session import ship_package
+
 from .quality import held_out
 from .shared import stash
 from .textscan import BYTE_CODE, U, Words, as_bytes, column, mix, powers, slices
@@ -311,6 +313,7 @@ def _meet(bits: int):
 
 def lattice_scores(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score for every row of ``docs``."""
+    ship_package(docs.sparkSession)
     spark = docs.sparkSession
     docs = docs.select("doc_id", "text", held_out(FOLD, FOLDS).alias("held_out"))
     counts = stash(docs.where(~F.col("held_out")).select("text").mapInArrow(_count_words, COUNTS)

@@ -26,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillstat.session import ship_package
+
 from .shared import stash
 from .textscan import column, slices
 
@@ -155,6 +157,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, sample_per_class: int
     hash of doc_id are taken, so the sample does not depend on partitioning.
     """
     spark = docs.sparkSession
+    ship_package(spark)
     known = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.min(label).cast("int").alias("y")))
     pick = None
@@ -187,6 +190,7 @@ def train(docs: DataFrame, labels: DataFrame, label: str, sample_per_class: int
 def score(docs: DataFrame, model: tuple[np.ndarray, float]) -> DataFrame:
     """All columns of ``docs`` and ``score``, the probability of class 1, from the whole ``text``."""
     odds, bias = model
+    ship_package(docs.sparkSession)
     state = docs.sparkSession.sparkContext.broadcast(odds)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

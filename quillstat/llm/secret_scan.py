@@ -49,7 +49,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .shared import stash
+from quillstat.session import ship_package
+
+from .shared import numbered, stash
 from .textscan import SPACE, as_bytes, column, slices
 
 TREES = 24
@@ -152,6 +154,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def findings(docs: DataFrame) -> DataFrame:
     """Every candidate of every text with its features."""
+    ship_package(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(_scan, SCHEMA)
 
 
@@ -245,35 +248,33 @@ def scan(docs: DataFrame, labelled: DataFrame | None = None, sample: int = SAMPL
     return scored.select("doc_id", "start_byte", "end_byte", "finding", "score", (F.col("score") >= SECRET_AT).alias("is_secret"))
 
 
-def _masker(names: list[str]):
-    def mask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at = names.index("text")
-        for batch in batches:
-            texts, spans = column(batch, "text").to_pylist(), column(batch, "_spans").to_pylist()
-            for i, found in enumerate(spans):
-                if found and texts[i]:
-                    raw, parts, done = texts[i].encode(), [], 0
-                    for s in sorted(found, key=lambda s: s["start_byte"]):
-                        if s["start_byte"] >= done:
-                            parts += [raw[done:s["start_byte"]], MASK.encode()]
-                        done = max(done, s["end_byte"])  # overlapping secrets share a mask
-                    texts[i] = b"".join([*parts, raw[done:]]).decode("utf-8", "replace")
-            cols = [batch.column(batch.schema.get_field_index(c)) for c in names]
-            cols[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(cols, names=names)
-    return mask
+def _masked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts, spans = column(batch, "text").to_pylist(), column(batch, "spans").to_pylist()
+        for i, found in enumerate(spans):
+            if found and texts[i]:
+                raw, parts, done = texts[i].encode(), [], 0
+                for s in sorted(found, key=lambda s: s["start_byte"]):
+                    if s["start_byte"] >= done:
+                        parts += [raw[done:s["start_byte"]], MASK.encode()]
+                    done = max(done, s["end_byte"])  # overlapping secrets share a mask
+                texts[i] = b"".join([*parts, raw[done:]]).decode("utf-8", "replace")
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), column(batch, "rest")], names=["text", "rest"])
 
 
 def redact(docs: DataFrame) -> DataFrame:
     """The documents with every secret masked by ``MASK``; all rows and columns stay, n_chars follows the text.
 
-    Of repeated doc_id only spans whose bytes are the finding in that row's text
-    are masked; rows with a null doc_id are left as they are.
+    Each row is masked by the findings of its own text, whatever its doc_id.
     """
-    found = scan(docs.where("doc_id is not null")).where("is_secret")
-    spans = (found.groupBy(F.col("doc_id").alias("_id")).agg(F.collect_set(F.struct("start_byte", "end_byte", "finding")).alias("_spans")))
-    named = docs.columns
-    joined = docs.join(spans, docs.doc_id == spans._id, "left").drop("_id")
-    own = F.filter("_spans", lambda s: F.substring(F.encode("text", "utf-8"), s["start_byte"] + 1, s["end_byte"] - s["start_byte"]) == F.encode(s["finding"], "utf-8"))
-    out = joined.withColumn("_spans", own).mapInArrow(_masker(named), docs.schema)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in named else out
+    rows = numbered(docs)
+    found = scan(rows.select("doc_id", "row.text")).where("is_secret")
+    spans = found.groupBy("doc_id").agg(F.collect_set(F.struct("start_byte", "end_byte")).alias("spans"))
+    others = [c for c in docs.columns if c != "text"]
+    rest = F.struct(F.lit(0).alias("_"), *[F.col("row")[c].alias(f"c{i}") for i, c in enumerate(others)]).alias("rest")
+    work = rows.join(spans, "doc_id", "left").select("row.text", "spans", rest)
+    out = work.mapInArrow(_masked, work.select("text", "rest").schema)
+    masked = {c: F.col("rest")[f"c{i}"] for i, c in enumerate(others)} | {"text": F.col("text")}
+    if "n_chars" in masked:
+        masked["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return out.select(*[masked[c].alias(c) for c in docs.columns])

@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from quillstat.session import checkpoint_dir
 
+#: numbers of rows without a doc_id of their own
+SURROGATES = 1 << 62
+
 
 def shared_path(spark: SparkSession, name: str) -> str:
     """A new path in the folder that ``spark.checkpoint.dir`` names."""
@@ -72,6 +75,23 @@ def in_blocks(df: DataFrame, key: str, member: str, size: int, block: int) -> Da
             .drop("_k", "_own", "_other"))
 
 
+def numbered(docs: DataFrame) -> DataFrame:
+    """``doc_id``, one for each row, and ``row``, a struct of all columns: what an operator decides then holds for that row alone.
+
+    Rows whose doc_id is null or repeated get numbers from ``SURROGATES`` up; all
+    others keep theirs.  A table whose ids are sound (a scan of the ids tells) is not copied.
+    """
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    repeated = docs.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if docs.where("doc_id is null").limit(1).count() + repeated.limit(1).count() == 0:
+        return docs.select("doc_id", row)
+    rows = stash(docs.select(F.col("doc_id").cast("long").alias("own"), (F.lit(SURROGATES) + F.monotonically_increasing_id()).alias("number"), row), "numbered")
+    repeated = repeated.select(F.col("doc_id").cast("long").alias("own"), F.lit(True).alias("again"))
+    sound = rows.where("own is not null").join(repeated, "own", "left")
+    return (sound.select(F.when(F.col("again"), F.col("number")).otherwise(F.col("own")).alias("doc_id"), "row")
+            .unionByName(rows.where("own is null").select(F.col("number").alias("doc_id"), "row")))
+
+
 def one_text(docs: DataFrame) -> DataFrame:
     """doc_id and text, one row per doc_id: no null doc_id, and of repeated rows the smallest text (null before any).
 

@@ -37,6 +37,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstat.session import ship_package
+
 from .shared import stash
 from .textscan import column
 
@@ -129,6 +131,7 @@ def levels(calls: DataFrame) -> DataFrame:
 
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict) -> DataFrame:
     """conv_id, call_id, level, turn, name, has_result, valid, json: one row per call, by conversation in topological order."""
+    ship_package(calls.sparkSession)
     clean = (calls.where("conv_id is not null and call_id is not null").groupBy("conv_id", "call_id")
              .agg(F.min(F.struct(F.col("turn").isNull(), "turn", "name", "arguments", "after")).alias("c")).select("conv_id", "call_id", "c.turn", "c.name", "c.arguments", "c.after"))
     clean = stash(clean, "calls")

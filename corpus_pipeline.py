@@ -21,11 +21,17 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _whole(docs: DataFrame):
+    """All columns as one, out of the way of an operator's own names."""
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+
+
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; it learns from all labels but the held-out fold's."""
     labels = _table(spark, sf_dir, "labels").where(~quality.held_out(0, 5))
     model = quality.train(docs, labels, "quality")
-    return quality.score(docs, model).where(F.col("score") >= quality.KEEP_AT).select(*docs.columns)
+    rows = docs.select("text", _whole(docs))
+    return quality.score(rows, model).where(F.col("score") >= quality.KEEP_AT).select("row.*")
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +53,9 @@ def secret_masking(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents sampled by calibrated probabilities, with their weight and probability."""
-    return (mixing.mix(docs).where("_sampled")
-            .select(*docs.columns, F.col("_weight").alias("mix_weight"), F.col("_probability").alias("mix_probability")))
+    topic = ["topic"] if "topic" in docs.columns else []
+    return (mixing.mix(docs.select("doc_id", "text", "lang", "source", *topic, _whole(docs))).where("_sampled")
+            .select("row.*", F.col("_weight").alias("mix_weight"), F.col("_probability").alias("mix_probability")))
 
 
 STAGES = [

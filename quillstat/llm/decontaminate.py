@@ -2,10 +2,12 @@
 
 Which documents hold at least ``THRESHOLD`` of the distinct five-word shingles of
 a benchmark item?  Words are lower-cased runs of letters and digits (any other
-ASCII character separates; other characters are word material); an item of one
-to four words has its whole word sequence as its only shingle.
+ASCII character separates; other characters are word material).  An item of one
+to four words has one shingle, its whole word sequence, which is looked for
+among the documents' runs of as many words.
 
-Items are partitioned by size, the number n of their shingles.  An item's sketch
+Items are partitioned by size: by the length of their shingles (five words, or
+all of a shorter item) and by the number n of their shingles.  An item's sketch
 is its MinHash bottom-k sketch, the k shingles of smallest hash, where the size
 sets k = n - ceil(THRESHOLD n) + 1: a document with the wanted containment lacks
 fewer than k shingles, so it holds at least one of the sketch, and the search
@@ -35,7 +37,7 @@ from pyspark.sql import functions as F
 from quillstat.session import ship_package
 
 from .shared import numbered
-from .textscan import Words, as_bytes, column, shingle_sets, slices
+from .textscan import Words, as_bytes, column, slices
 
 SHINGLE = 5
 THRESHOLD = 0.8
@@ -52,44 +54,25 @@ def normal(text: bytes) -> bytes:
     return text.translate(_FOLD)
 
 
-def _shingle_words(w: Words, row: int) -> set[tuple[bytes, ...]]:
+def _shingle_words(w: Words, row: int, length: int) -> set[tuple[bytes, ...]]:
     words = [w.word(i) for i in range(w.first[row], w.first[row + 1])]
-    return {tuple(words[i:i + SHINGLE]) for i in range(max(1, len(words) - SHINGLE + 1))} if words else set()
+    return {tuple(words[i:i + length]) for i in range(len(words) - length + 1)}
 
 
-class ItemBlock:
-    """Sketches of a block of items: sorted sketch hashes with the items that each stands for."""
+class SizePartition:
+    """Sketches of the items with shingles of one length: sorted sketch hashes with the items that each stands for."""
 
-    def __init__(self, ids: list[int], texts: list[bytes], threshold: float):
-        w = Words([normal(t) for t in texts])
-        sets, bounds = shingle_sets(w, SHINGLE)
-        self.ids, self.threshold, keys, owner = ids, threshold, [], []
-        self.words = [_shingle_words(w, r) for r in range(len(ids))]
-        self.need = np.ceil(np.array([threshold * len(s) for s in self.words]) - 1e-9)
-        for r in range(len(ids)):
-            own = sets[bounds[r]:bounds[r + 1]]  # sorted by hash: its head is the bottom-k sketch
-            k = len(own) - int(self.need[r]) + 1
-            keys.append(own[:k] if len(own) else own)
-            owner.append(np.full(len(keys[-1]), r))
-        key, own = np.concatenate(keys), np.concatenate(owner)
+    def __init__(self, sketches: list[tuple[int, np.ndarray]]):
+        key = np.concatenate([k for _, k in sketches])
+        owner = np.repeat([i for i, _ in sketches], [len(k) for _, k in sketches])
         order = np.argsort(key, kind="stable")
-        self.key, self.owner = key[order], own[order]
+        self.key, self.owner = key[order], owner[order]
         #: a bit for each value of 20 bits of a sketch hash: most shingles stop here
         self.seen = np.zeros(1 << 20, bool)
         self.seen[(self.key & np.uint64(0xFFFFF)).astype(np.int64)] = True
 
-    def hits(self, texts: list[bytes]) -> Iterator[tuple[int, int, int, int]]:
-        """(row, item, shingles, shared) of the verified pairs."""
-        w = Words([normal(t) for t in texts])
-        g, at = w.grams(SHINGLE)
-        row = w.row[at]
-        size = np.bincount(row, minlength=len(texts))
-        short = np.flatnonzero((w.count > 0) & (w.count < SHINGLE))
-        if len(short):
-            sets, bounds = shingle_sets(w, SHINGLE)
-            g = np.concatenate([g, sets[bounds[short]]])
-            row = np.concatenate([row, short])
-            size[short] = 1
+    def candidates(self, g: np.ndarray, row: np.ndarray, size: np.ndarray, need: np.ndarray) -> np.ndarray:
+        """Distinct (row, item) that share a sketch hash, where the row has enough shingles for the item."""
         maybe = np.flatnonzero(self.seen[(g & np.uint64(0xFFFFF)).astype(np.int64)])
         g, row = g[maybe], row[maybe]
         lo, hi = np.searchsorted(self.key, g, "left"), np.searchsorted(self.key, g, "right")
@@ -97,15 +80,40 @@ class ItemBlock:
         found = np.repeat(np.arange(len(g)), n)
         item = self.owner[np.repeat(lo, n) + np.arange(len(found)) - np.repeat(np.cumsum(n) - n, n)]
         row = row[found]
-        fits = size[row] >= self.need[item]  # the item's size partition
-        pairs = np.unique(np.stack([row[fits], item[fits]], 1), axis=0) if fits.any() else np.zeros((0, 2), np.int64)
-        last, own = -1, set()
-        for r, i in pairs:
-            if r != last:
-                last, own = r, _shingle_words(w, r)
-            shared = len(self.words[i] & own)
-            if shared >= self.need[i]:
-                yield int(r), int(i), len(self.words[i]), shared
+        fits = size[row] >= need[item]
+        return np.unique(np.stack([row[fits], item[fits]], 1), axis=0) if fits.any() else np.zeros((0, 2), np.int64)
+
+
+class ItemBlock:
+    """A block of items in size partitions."""
+
+    def __init__(self, ids: list[int], texts: list[bytes], threshold: float):
+        w = Words([normal(t) for t in texts])
+        self.ids, sketches = ids, {}
+        self.length = np.minimum(w.count, SHINGLE)
+        self.words = [_shingle_words(w, r, int(n)) if n else set() for r, n in enumerate(self.length)]
+        self.need = np.ceil(np.array([threshold * len(s) for s in self.words]) - 1e-9)
+        for length in np.unique(self.length[self.length > 0]).tolist():
+            g, at = w.grams(length)
+            row = w.row[at]
+            for r in np.flatnonzero(self.length == length).tolist():
+                own = np.unique(g[np.searchsorted(row, r):np.searchsorted(row, r + 1)])  # sorted: its head is the bottom-k sketch
+                sketches.setdefault(length, []).append((r, own[:max(1, len(own) - int(self.need[r]) + 1)]))
+        self.parts = {length: SizePartition(x) for length, x in sketches.items()}
+
+    def hits(self, texts: list[bytes]) -> Iterator[tuple[int, int, int, int]]:
+        """(row, item, shingles, shared) of the verified pairs."""
+        w = Words([normal(t) for t in texts])
+        for length, part in self.parts.items():
+            g, at = w.grams(length)
+            row = w.row[at]
+            last, own = -1, set()
+            for r, i in part.candidates(g, row, np.bincount(row, minlength=len(texts)), self.need):
+                if r != last:
+                    last, own = r, _shingle_words(w, r, length)
+                shared = len(self.words[i] & own)
+                if shared >= self.need[i]:
+                    yield int(r), int(i), len(self.words[i]), shared
 
 
 def _item_blocks(items: DataFrame, block_bytes: int) -> Iterator[list]:

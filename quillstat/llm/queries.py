@@ -83,12 +83,11 @@ def op3_tool_calls(spark, sf_dir):
 _OP4_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 i AS (SELECT item_id, regexp_extract_all(lower(text), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
-ds AS (SELECT DISTINCT doc_id, s FROM (SELECT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
-        ELSE [array_to_string(w[k:k + 4], ' ') for k in range(1, len(w) - 3)] END) AS s FROM d WHERE len(w) > 0)),
-ish AS (SELECT DISTINCT item_id, s FROM (SELECT item_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
-        ELSE [array_to_string(w[k:k + 4], ' ') for k in range(1, len(w) - 3)] END) AS s FROM i WHERE len(w) > 0)),
+l AS (SELECT DISTINCT least(len(w), 5) AS n FROM i WHERE len(w) > 0),
+ds AS (SELECT DISTINCT doc_id, n, s FROM (SELECT doc_id, n, unnest([array_to_string(w[k:k + n - 1], ' ') for k in range(1, len(w) - n + 2)]) AS s FROM d, l WHERE len(w) >= n)),
+ish AS (SELECT DISTINCT item_id, n, s FROM (SELECT item_id, least(len(w), 5) AS n, unnest([array_to_string(w[k:k + least(len(w), 5) - 1], ' ') for k in range(1, len(w) - least(len(w), 5) + 2)]) AS s FROM i WHERE len(w) > 0)),
 n AS (SELECT item_id, count(*) AS n_shingles FROM ish GROUP BY item_id),
-shared AS (SELECT ds.doc_id, ish.item_id, count(*) AS n_shared FROM ds JOIN ish USING (s) GROUP BY ALL)
+shared AS (SELECT ds.doc_id, ish.item_id, count(*) AS n_shared FROM ds JOIN ish USING (n, s) GROUP BY ALL)
 SELECT doc_id, item_id, n_shingles, n_shared, n_shared / n_shingles AS containment FROM shared JOIN n USING (item_id) WHERE n_shared >= 0.8 * n_shingles"""
 
 

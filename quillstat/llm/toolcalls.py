@@ -19,7 +19,7 @@ A reference to a call that is missing counts as none.
 Canonical JSON: keys sorted, no spaces, UTF-8 unescaped, integral numbers
 without a fraction.
 
-Edge cases: null arguments or text that is not JSON are invalid and serialised as null; a
+Edge cases: null arguments or text that is not JSON (see ``checked``) are invalid and serialised as null; a
 call of an unknown tool is invalid; of repeated calls of one identifier the
 earliest turn (then least name and arguments) stands, and of repeated
 results the earliest (then least content); calls with null conversation or
@@ -49,13 +49,13 @@ def valid(value, schema: dict) -> bool:
     """Whether a parsed JSON value keeps the schema."""
     kind = schema.get("type")
     number = isinstance(value, (int, float)) and not isinstance(value, bool)
-    if kind == "integer" and not (number and float(value).is_integer()):
+    if kind == "integer" and not (number and (isinstance(value, int) or value.is_integer())):
         return False
     if kind == "number" and not number:
         return False
     if kind in _TYPES and not isinstance(value, _TYPES[kind]):
         return False
-    if "enum" in schema and value not in schema["enum"]:
+    if "enum" in schema and not any(same(value, e) for e in schema["enum"]):
         return False
     if number and not schema.get("minimum", -math.inf) <= value <= schema.get("maximum", math.inf):
         return False
@@ -73,6 +73,17 @@ def valid(value, schema: dict) -> bool:
     return True
 
 
+def same(a, b) -> bool:
+    """Equality of JSON values: 1 is 1.0, but not true."""
+    if isinstance(a, bool) or isinstance(b, bool):
+        return a is b
+    if isinstance(a, list) and isinstance(b, list):
+        return len(a) == len(b) and all(map(same, a, b))
+    if isinstance(a, dict) and isinstance(b, dict):
+        return a.keys() == b.keys() and all(same(v, b[k]) for k, v in a.items())
+    return a == b
+
+
 def _plain(value):
     if isinstance(value, dict):
         return {k: _plain(v) for k, v in value.items()}
@@ -82,7 +93,7 @@ def _plain(value):
 
 
 def canonical(value) -> str:
-    return json.dumps(_plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False)
+    return json.dumps(_plain(value), sort_keys=True, separators=(",", ":"), ensure_ascii=False, allow_nan=False)
 
 
 def parse(text: str | None):
@@ -95,16 +106,30 @@ def parse(text: str | None):
         return None
 
 
+def checked(text: str | None, schema: dict | None) -> tuple[str, bool]:
+    """Canonical JSON of some arguments, and whether they keep the schema.
+
+    What has no canonical form counts as text that is not JSON: lone surrogates,
+    numbers beyond double range and values nested too deep for the parser.
+    """
+    try:
+        value = parse(text)
+        printed = canonical(value)
+        printed.encode()
+        return printed, value is not None and schema is not None and valid(value, schema)
+    except (ValueError, OverflowError, RecursionError):
+        return "null", False
+
+
 def _formatter(schemas: dict):
     def form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["conv_id", "call_id", "level", "turn", "name", "arguments", "has_result", "result"]
         for batch in batches:
             ok, lines = [], []
             for conv, call, level, _, name, arguments, has, result in zip(*(column(batch, n).to_pylist() for n in names)):
-                value = parse(arguments)
-                good = value is not None and name in schemas and valid(value, schemas[name])
+                printed, good = checked(arguments, schemas.get(name))
                 ok.append(good)
-                lines.append(canonical({"arguments": value, "id": call, "name": name, "result": result if has else None, "valid": good}))
+                lines.append(f'{{"arguments":{printed},"id":{canonical(call)},"name":{canonical(name)},"result":{canonical(result if has else None)},"valid":{canonical(good)}}}')
             cols = [column(batch, c) for c in ("conv_id", "call_id", "level", "turn", "name", "has_result")]
             yield pa.RecordBatch.from_arrays([*cols, pa.array(ok, pa.bool_()), pa.array(lines, pa.string())],
                                              names=["conv_id", "call_id", "level", "turn", "name", "has_result", "valid", "json"])

@@ -49,6 +49,8 @@ def test_mix_keeps_its_budget_beside_a_stray_cell(spark):
             F.sum("_tokens").alias("n"), F.sum(F.col("_tokens") * F.col("_probability")).alias("expected"),
             F.sum(F.when(F.col("_sampled"), F.col("_tokens")).otherwise(0)).alias("kept"), F.max("_probability").alias("top")).first()
         assert abs(got.expected / got.n - mixing.KEEP) < 0.001 and abs(got.kept / got.n - mixing.KEEP) < 0.05 and got.top <= 1
+    shares = [mixing.mixed(spark.createDataFrame(c, DOCS)).agg(F.avg(F.col("sampled").cast("double"))).first()[0] for c in (rows, corpus)]
+    assert abs(shares[0] - shares[1]) < 0.01 * shares[0]
     stray = mixing.mix(spark.createDataFrame(corpus, DOCS)).where("doc_id = 9999").first()
     assert stray["_probability"] == 1 and stray["_sampled"]
     cells = spark.createDataFrame([(10, 0.0), (10, 0.5), (10, 2.0), (10, 8.0)], "tokens long, _weight double")
@@ -66,6 +68,13 @@ def test_tool_calls(spark):
     assert [(r.call_id, r.level, r.valid, r.has_result) for r in got] == [("a", 0, False, True), ("c", 0, False, False), ("b", 1, True, False), ("d", None, True, False), ("e", None, False, False)]
     assert got[2].json == '{"arguments":{"x":1,"y":2},"id":"b","name":"add","result":null,"valid":true}'
     assert json.loads(got[0].json)["result"] == "é\n"
+    odd = {"deep": '{"x":' * 1500 + "1" + "}" * 1500, "deeper": "[" * 3000 + "]" * 3000, "surrogate": '{"x":"\\ud800"}', "digits": '{"x":' + "9" * 400 + "}",
+           "huge": '{"x":1e400}', "nan": '{"x":NaN}', "true": '{"x":true}', "one": '{"x":1.0}', "two": '{"x":2}', "many": '{"x":' + "9" * 5000 + "}"}
+    table = spark.createDataFrame([(1, k, "pick", v, None, 1) for k, v in odd.items()], calls.schema)
+    got = {r.call_id: r for r in toolcalls.link_calls(table, results.where("false"), {"pick": {"type": "object", "properties": {"x": {"enum": [1, None]}}}, }).collect()}
+    assert {k for k, r in got.items() if r.valid} == {"one"} and len(got) == len(odd)
+    assert all(json.loads(r.json)["arguments"] is None for k, r in got.items() if k in ("deep", "deeper", "surrogate", "huge", "nan", "many"))
+    assert json.loads(got["digits"].json)["arguments"]["x"] == int("9" * 400) and json.loads(got["true"].json)["arguments"] == {"x": True}
     chain = spark.createDataFrame([(7, str(k), "n", "{}", str(k - 1), k) for k in range(37)], calls.schema)
     assert sorted(r.level for r in toolcalls.levels(chain).collect()) == list(range(37))
     assert toolcalls.link_calls(calls.where("false"), results, schema).count() == 0
@@ -75,19 +84,20 @@ def test_decontamination_is_exact(spark, docs, texts, no_docs):
     rng = random.Random(8)
     long = texts[115].split()
     items = {1: " ".join(long[500:540]), 2: " ".join(long[10:30]).upper(), 3: "quite new words that nobody wrote here", 4: "", 5: None, 6: "one",
-             7: " ".join(long[700:740] + ["other", "words", "follow"]), 8: " ".join(rng.sample(long, 40))}
+             7: " ".join(long[700:740] + ["other", "words", "follow"]), 8: " ".join(rng.sample(long, 40)),
+             9: " ".join(long[800:803]), 10: "a a", 11: " ".join(long[900:904])}
     table = spark.createDataFrame([*items.items(), (None, "x"), (1, "~repeated row")], "item_id long, text string")
     fold = lambda t: tuple("".join(c if c.isalnum() else " " for c in (t or "").lower()).split())
-    grams = lambda w: {w[k:k + 5] for k in range(max(1, len(w) - 4))} if w else set()
+    grams = lambda w, n: {w[k:k + n] for k in range(len(w) - n + 1)} if n else set()
     want = set()
     for i, t in texts.items():
-        own = grams(fold(t))
         for j, item in items.items():
-            need = grams(fold(item))
+            n = min(5, len(fold(item)))
+            own, need = grams(fold(t), n), grams(fold(item), n)
             if need and len(need & own) >= 0.8 * len(need):
                 want.add((i, j, len(need), len(need & own)))
     got = {(r.doc_id, r.item_id, r.n_shingles, r.n_shared) for r in decontaminate.contaminated(docs, table, block_bytes=300).collect()}
-    assert got == want and {(115, 1), (115, 2), (115, 7), (112, 6)} <= {x[:2] for x in want}
+    assert got == want and {(115, 1), (115, 2), (115, 7), (112, 6), (115, 9), (113, 10), (115, 11)} <= {x[:2] for x in want}
     assert decontaminate.contaminated(no_docs, table).count() == 0
     assert decontaminate.clean_documents(docs, table.where("false")).count() == len(texts)
 
@@ -200,3 +210,28 @@ def test_pipeline(spark, small_dir):
         ids = {r.doc_id for r in docs.select("doc_id").collect()}
         assert {r.doc_id for r in out.select("doc_id").collect()} <= ids
         docs, before = out, out.count()
+
+
+def test_stages_judge_every_row_by_itself(spark, small_dir):
+    """Null and repeated doc_id, clashing columns: copies, benchmark passages and secrets go all the same."""
+    import corpus_pipeline
+    from quillstat.llm import jaccard
+    items = spark.createDataFrame([(1, "one two three four five six seven eight nine ten")], "item_id long, text string")
+    prose = " ".join(f"w{k}" for k in range(40))
+    rows = [(None, "here are one two three four five six seven eight nine ten words"), (None, prose), (None, prose), (5, prose), (5, "another text of the same number"),
+            (6, prose + " more"), (None, None), (None, "password=hunter2!9x"), (7, "password=0123456789abcdef00"), (7, "clean text"), (8, ""), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], DOCS)
+    for c in ("_gone", "_id", "_spans", "_tokens", "_weight", "score", "row", "rest", "class_id", "a.b"):
+        docs = docs.withColumn(c, F.lit(c))
+    clean = decontaminate.clean_documents(docs, items)
+    assert clean.columns == docs.columns and sorted(str(r.text) for r in clean.collect()) == sorted(str(t) for _, t in rows[1:])
+    kept = jaccard.keep_one(docs)
+    texts = [r.text for r in kept.collect()]
+    assert kept.columns == docs.columns and texts.count(prose) + texts.count(prose + " more") == 1 and len(texts) == len(rows) - 3
+    masked = secret_scan.redact(docs)
+    assert masked.columns == docs.columns and masked.count() == len(rows)
+    assert not any(s in str(r.text) for r in masked.collect() for s in ("hunter2", "0123456789abcdef00")) and masked.where("_spans = '_spans'").count() == len(rows)
+    for name, stage in (corpus_pipeline.STAGES[0], corpus_pipeline.STAGES[4]):
+        out = stage(spark, docs, small_dir)
+        assert out.columns[:len(docs.columns)] == docs.columns and out.where("score = 'score' and _tokens = '_tokens'").count() == out.count()
+        assert stage(spark, docs.where("false"), small_dir).count() == 0

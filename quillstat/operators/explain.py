@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-EXPLAINABLE_KINDS = ("boosted_trees", "boosted_trees_balanced", "random_forest")
+EXPLAINABLE_KINDS = ("boosted_trees", "boosted_trees_balanced", "boosted_trees_min20", "symmetric_trees", "random_forest")
 
 
 def _q(name: str) -> Column:
@@ -124,7 +124,7 @@ def explain_models(spark, models: dict, kinds: dict, rows: DataFrame, key: str,
 # ---------------------------------------------------------------------------
 
 def ensemble_arrays(model) -> list[dict]:
-    """Flatten an MLlib tree ensemble (or a single tree) into node arrays.
+    """Flatten a tree ensemble (or a single tree) into node arrays; boosted candidates hold them already.
 
     For each tree: arrays ``feature`` (-1 at leaves), ``threshold``, ``left``,
     ``right``, ``cover`` (training instances) and ``value``, one column for each
@@ -133,12 +133,12 @@ def ensemble_arrays(model) -> list[dict]:
     * regressors and binary boosting: the margin;
     * a forest of two classes: the share of class 1;
     * a forest of more classes: the share of each class, named by its number;
-    * one-vs-rest boosting: the margin of each class's binary model, named by the class number.
+    * boosting of more classes: the margin of each class, named by its number.
 
     Only continuous splits are used (features are assembled doubles).
     """
-    if hasattr(model, "models"):
-        return [{**t, "outputs": [str(c)]} for c, m in enumerate(model.models) for t in ensemble_arrays(m)]
+    if hasattr(model, "arrays"):
+        return model.arrays()
     trees = model.trees if hasattr(model, "trees") else [model]
     weights = list(model.treeWeights) if hasattr(model, "treeWeights") else [1.0]
     if type(model).__name__.startswith("RandomForest"):  # a forest averages its trees; boosting sums weighted margins

@@ -1,40 +1,40 @@
-"""Candidate models on MLlib.
+"""Candidate models.
 
-The reference's three vendor boosting libraries are re-expressed with MLlib's
-tree ensembles, named after their algorithm:
+The reference's three vendor boosting libraries are re-expressed by growth
+policy on this library's distributed histogram boosting (``boosting``):
 
 =============================  ======================================================
-candidate                      MLlib estimator
+candidate                      trees (100, depth 7, rate 0.03)
 =============================  ======================================================
-boosted_trees                  GBT (100 trees, depth 7, rate 0.03, row 0.8, column 0.7,
-                               min 3 rows per node); one-vs-rest beyond two classes
-boosted_trees_balanced         same with balanced class weights, min 20 rows per node
-random_forest                  random forest (100 trees, depth 7; depth 6 for regression),
-                               all features at every split
-boosted_trees_min20 (regr.)    GBT regressor with min 20 rows per node
+boosted_trees                  level-wise; row 0.8, column 0.7, L1 0.1, L2 1, least child
+                               hessian 3 and gamma 0.1 (regression: 1 and 0)
+boosted_trees_balanced         leaf-wise, 31 leaves, balanced class weights, min 20 rows
+                               per leaf, row 0.8, column 0.7, L1 0.1, L2 1
+boosted_trees_min20            the same for regression
+symmetric_trees                one split for a whole level, L2 3; depth 6 for regression
+random_forest                  MLlib's forest, on demand
 stacking (classification)      logistic regression (1000 iterations, balanced weights)
                                on out-of-fold base probabilities
 =============================  ======================================================
 
-L1/L2 penalties, per-tree column sampling and symmetric trees have no MLlib
-counterpart, so scores differ from the reference; the capability is the same.
-Every fit is a distributed MLlib job over the partitioned training rows; the
-driver only holds the fitted trees.
+Beyond two classes a round grows one tree for each class from one pass (softmax).
+Boosted candidates, and the fold models of the stack, are trained side by side in
+the same jobs over one cached table; folds are weights.  The driver holds
+histograms and fitted trees, never rows.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
-from pyspark.ml.classification import (
-    GBTClassifier, LogisticRegression, OneVsRest, RandomForestClassifier,
-)
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillstat.operators import boosting as B
+
 SEED = 42
 
 
@@ -45,9 +45,13 @@ class TreeParams:
     max_depth: int = 7
     step_size: float = 0.03
     subsample: float = 0.8
-    feature_subset: str = "0.7"
-    min_info_gain: float = 0.0
-    max_bins: int = 32
+    column_share: float = 0.7
+    l1: float = 0.1
+    l2: float = 1.0
+    symmetric_l2: float = 3.0
+    gamma: float = 0.1
+    max_leaves: int = 31
+    max_bins: int = 64
     checkpoint_interval: int = 10
 
 
@@ -64,93 +68,37 @@ class Candidate:
 CLASSIFICATION_CANDIDATES = [
     Candidate("boosted_trees", "boosted_trees", 0, "classification"),
     Candidate("boosted_trees_balanced", "boosted_trees_balanced", 1, "classification", weighted=True),
-    Candidate("random_forest", "random_forest", 2, "classification"),
+    Candidate("symmetric_trees", "symmetric_trees", 2, "classification"),
 ]
 REGRESSION_CANDIDATES = [
     Candidate("boosted_trees", "boosted_trees", 0, "regression"),
     Candidate("boosted_trees_min20", "boosted_trees_min20", 1, "regression"),
-    Candidate("random_forest", "random_forest", 2, "regression"),
+    Candidate("symmetric_trees", "symmetric_trees", 2, "regression"),
 ]
 
 
-def _gbt_common(p: TreeParams) -> dict:
-    return dict(maxIter=p.n_trees, maxDepth=p.max_depth, stepSize=p.step_size, subsamplingRate=p.subsample,
-                featureSubsetStrategy=p.feature_subset, minInfoGain=p.min_info_gain, maxBins=p.max_bins,
-                checkpointInterval=p.checkpoint_interval, seed=SEED)
-
-
-def estimator(c: Candidate, p: TreeParams, n_classes: int = 2, features: str = "features",
-              label: str = "label", weight: str = "weight"):
-    """The MLlib estimator for a candidate."""
-    if c.task == "classification":
-        if c.kind in ("boosted_trees", "boosted_trees_balanced"):
-            gbt = GBTClassifier(featuresCol=features, labelCol=label,
-                                minInstancesPerNode=20 if c.kind == "boosted_trees_balanced" else 3,
-                                **_gbt_common(p))
-            if c.weighted:
-                gbt.setWeightCol(weight)
-            if n_classes > 2:
-                return OneVsRestProba(gbt, n_classes)
-            return gbt
-        if c.kind == "random_forest":
-            # the reference's third family samples no columns: every split sees all features
-            return RandomForestClassifier(featuresCol=features, labelCol=label, numTrees=p.n_trees,
-                                          maxDepth=p.max_depth, maxBins=p.max_bins, seed=SEED,
-                                          featureSubsetStrategy="all",
-                                          checkpointInterval=p.checkpoint_interval)
-    else:
-        if c.kind in ("boosted_trees", "boosted_trees_min20"):
-            return GBTRegressor(featuresCol=features, labelCol=label,
-                                minInstancesPerNode=20 if c.kind == "boosted_trees_min20" else 1,
-                                **_gbt_common(p))
-        if c.kind == "random_forest":
-            return RandomForestRegressor(featuresCol=features, labelCol=label, numTrees=p.n_trees,
-                                         maxDepth=min(p.max_depth, 6), maxBins=p.max_bins, seed=SEED,
-                                         featureSubsetStrategy="all",
-                                         checkpointInterval=p.checkpoint_interval)
+def spec(c: Candidate, p: TreeParams, n_classes: int = 2, fold: int | None = None) -> B.Spec:
+    """What a candidate asks of the boosting."""
+    regression = c.task == "regression"
+    objective = "squared" if regression else "logistic" if n_classes <= 2 else "softmax"
+    common = dict(name=c.name if fold is None else f"{c.name}#{fold}", objective=objective, classes=n_classes if objective == "softmax" else 1,
+                  rounds=p.n_trees, max_depth=p.max_depth, rate=p.step_size, weighted=c.weighted, fold=fold, seed=SEED)
+    drawn = dict(row_share=p.subsample, column_share=p.column_share, l1=p.l1, l2=p.l2)
+    if c.kind == "boosted_trees":
+        return B.Spec(**common, **drawn, min_child_hessian=1.0 if regression else 3.0, gamma=0.0 if regression else p.gamma)
+    if c.kind in ("boosted_trees_balanced", "boosted_trees_min20"):
+        return B.Spec(**common, **drawn, policy="leaf", max_leaves=p.max_leaves, min_child_rows=20, min_child_hessian=1e-3)
+    if c.kind == "symmetric_trees":
+        depth = min(p.max_depth, 6) if regression else p.max_depth
+        return B.Spec(**{**common, "max_depth": depth}, policy="symmetric", l2=p.symmetric_l2)
     raise ValueError(f"unknown candidate {c}")
 
 
-# ---------------------------------------------------------------------------
-# F8: one-vs-rest boosting with class probabilities
-# ---------------------------------------------------------------------------
-
-class OneVsRestProba:
-    """One-vs-rest over a binary GBT; ``OneVsRestModel`` gives no probabilities,
-    so each binary model is scored on the same rows (chained ``transform``)
-    and the positive-class probabilities are normalised to sum to one."""
-
-    def __init__(self, binary: GBTClassifier, n_classes: int):
-        self.binary, self.n_classes = binary, n_classes
-
-    def fit(self, df: DataFrame):
-        ovr = OneVsRest(classifier=self.binary, featuresCol=self.binary.getFeaturesCol(),
-                        labelCol=self.binary.getLabelCol(), parallelism=1)
-        if self.binary.isSet("weightCol"):
-            ovr.setWeightCol(self.binary.getWeightCol())
-        return OneVsRestProbaModel(ovr.fit(df), self.n_classes, self.binary.getFeaturesCol())
-
-
-class OneVsRestProbaModel:
-    def __init__(self, model, n_classes: int, features: str):
-        self.model, self.n_classes, self.features = model, n_classes, features
-        self.models = list(model.models)
-
-    def transform(self, df: DataFrame) -> DataFrame:
-        out = df
-        for i, m in enumerate(self.models):
-            m = m.copy()
-            m.setProbabilityCol(f"__p{i}").setRawPredictionCol(f"__r{i}").setPredictionCol(f"__y{i}")
-            out = m.transform(out).withColumn(f"__p{i}", vector_to_array(F.col(f"__p{i}"))[1]).drop(f"__r{i}", f"__y{i}")
-        ps = [F.col(f"__p{i}") for i in range(len(self.models))]
-        total = ps[0]
-        for p in ps[1:]:
-            total = total + p
-        probs = F.array(*[p / F.nullif(total, F.lit(0.0)) for p in ps])
-        best = F.array_position(probs, F.array_max(probs)) - 1
-        return (out.withColumn("probability", array_to_vector(probs))
-                .withColumn("prediction", best.cast("double"))
-                .drop(*[f"__p{i}" for i in range(len(self.models))]))
+def forest(c: Candidate, p: TreeParams):
+    """MLlib's random forest; every split sees all features."""
+    kind = RandomForestClassifier if c.task == "classification" else RandomForestRegressor
+    return kind(featuresCol="features", labelCol="label", numTrees=p.n_trees, maxDepth=p.max_depth if c.task == "classification" else min(p.max_depth, 6),
+                seed=SEED, featureSubsetStrategy="all", checkpointInterval=p.checkpoint_interval)
 
 
 # ---------------------------------------------------------------------------
@@ -162,9 +110,29 @@ def cap_rows(train: DataFrame, n: int | None, key: str = "row_key") -> DataFrame
     return train if n is None else train.orderBy(key).limit(n)
 
 
-def fit_candidate(c: Candidate, train: DataFrame, p: TreeParams, n_classes: int = 2):
-    est = estimator(c, p, n_classes)
-    return est.fit(cap_rows(train, c.max_train_rows))
+def fit_models(cands: list[Candidate], train: DataFrame, p: TreeParams, n_classes: int = 2, folds: int = 0, full: bool = True) -> dict[str, object]:
+    """Fit candidates, all boosted ones side by side; with ``folds`` also, as ``name#fold``, each without one fold.
+
+    Candidates with a row cap, and MLlib's forests, are fitted by themselves.
+    """
+    models: dict[str, object] = {}
+    wanted = ([None] if full else []) + list(range(folds))
+    together = [spec(c, p, n_classes, f) for c in cands if c.kind != "random_forest" and c.max_train_rows is None for f in wanted]
+    width = train.select("features").first()
+    width = width[0].size if width else 0
+
+    def boosted(rows: DataFrame, specs: list[B.Spec]) -> None:
+        if specs:
+            models.update(B.fit(rows, specs, width, p.max_bins, p.checkpoint_interval))
+    keyed = train.withColumn("fold", fold_of(F.col("row_key"), max(folds, 1)))
+    boosted(keyed, together)
+    for c in cands:
+        if c.kind == "random_forest":
+            for f in wanted:
+                models[c.name if f is None else f"{c.name}#{f}"] = forest(c, p).fit(keyed if f is None else keyed.where(F.col("fold") != f))
+        elif c.max_train_rows is not None:
+            boosted(cap_rows(keyed, c.max_train_rows).repartition(B.tasks_for(c.max_train_rows), "row_key"), [spec(c, p, n_classes, f) for f in wanted])
+    return models
 
 
 def predict(model, df: DataFrame, keep: list[str]) -> DataFrame:
@@ -176,20 +144,21 @@ def predict(model, df: DataFrame, keep: list[str]) -> DataFrame:
     return scored.select(*cols)
 
 
+def predictions_of(cands: list[Candidate], models: dict, val: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    """Predictions (model, ordinal, keep..., prediction) of some fitted candidates."""
+    keep = keep or ["row_key", "label"]
+    out = None
+    for c in cands:
+        rows = predict(models[c.name], val, keep).select(F.lit(c.name).alias("model"), F.lit(c.ordinal).alias("ordinal"), *keep, "prediction")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 def fit_all(cands: list[Candidate], train: DataFrame, val: DataFrame, p: TreeParams,
             n_classes: int = 2, keep: list[str] | None = None) -> tuple[dict, DataFrame]:
     """Fit every candidate; return (models, predictions (model, ordinal, keep..., prediction))."""
-    keep = keep or ["row_key", "label"]
-    models, preds = {}, []
-    for c in cands:
-        m = fit_candidate(c, train, p, n_classes)
-        models[c.name] = m
-        preds.append(predict(m, val, keep).select(F.lit(c.name).alias("model"), F.lit(c.ordinal).alias("ordinal"),
-                                                  *keep, "prediction"))
-    out = preds[0]
-    for x in preds[1:]:
-        out = out.unionByName(x)
-    return models, out
+    models = fit_models(cands, train, p, n_classes)
+    return models, predictions_of(cands, models, val, keep)
 
 
 # ---------------------------------------------------------------------------
@@ -216,63 +185,49 @@ def base_probability_columns(scorers: dict, df: DataFrame, keep: list[str]) -> D
     return out.select(*keep, *names, array_to_vector(F.flatten(F.array(*parts))).alias("meta"))
 
 
-def _scored_as(model, df: DataFrame, name: str) -> DataFrame:
-    m = model.copy()
-    m.setProbabilityCol(f"p_{name}").setRawPredictionCol(f"__raw_{name}").setPredictionCol(f"__pred_{name}")
-    return m.transform(df).drop(f"__raw_{name}", f"__pred_{name}")
+def _wrap(model, name: str):
+    return _Scorer(model, name)
 
 
-class _Renamed:
-    """Scorer for a one-vs-rest model: its ``probability`` becomes ``p_<name>``."""
-
-    def __init__(self, model, name):
-        self.model, self.name = model, name
+@dataclass
+class _Scorer:
+    """Adds a base model's class probabilities as ``p_<name>``."""
+    model: object
+    name: str
 
-    def transform(self, df):
-        return self.model.transform(df).withColumnRenamed("probability", f"p_{self.name}").drop("prediction")
+    def transform(self, df: DataFrame) -> DataFrame:
+        if isinstance(self.model, B.Booster):
+            return self.model.transform(df, f"__pred_{self.name}", f"p_{self.name}").drop(f"__pred_{self.name}")
+        m = self.model.copy()
+        m.setProbabilityCol(f"p_{self.name}").setRawPredictionCol(f"__raw_{self.name}").setPredictionCol(f"__pred_{self.name}")
+        return m.transform(df).drop(f"__raw_{self.name}", f"__pred_{self.name}")
 
 
 def stacking(cands: list[Candidate], train: DataFrame, val: DataFrame, p: TreeParams, n_classes: int,
              folds: int = 3, keep: list[str] | None = None,
-             fitted: dict | None = None) -> tuple[object, DataFrame]:
+             fitted: dict | None = None) -> tuple[StackModel, DataFrame]:
     """balanced logistic regression on out-of-fold base probabilities.
 
     Each fold's base models are fitted on the other folds and score the
     held-out fold, so the meta model never sees in-sample probabilities.  The
     validation rows are scored by base models fitted on all training rows.
+    ``fitted``: models at hand, among them fold models as ``fit_models`` names them.
     """
     keep = keep or ["row_key", "label"]
-    train = train.withColumn("__fold", fold_of(F.col("row_key"), folds)).persist(StorageLevel.MEMORY_AND_DISK)
-    oof = []
+    models = dict(fitted or {})
+    if any(f"{c.name}#{f}" not in models for c in cands for f in range(folds)):
+        models |= fit_models(cands, train, p, n_classes, folds, full=any(c.name not in models for c in cands))
+    held = train.withColumn("__fold", fold_of(F.col("row_key"), folds))
+    meta_train = None
     for f in range(folds):
-        fit_rows = train.where(F.col("__fold") != f)
-        held = train.where(F.col("__fold") == f)
-        ms = {c.name: _wrap(fit_candidate(c, fit_rows, p, n_classes), c.name) for c in cands}
-        oof.append(base_probability_columns(ms, held, keep + ["weight"]))
-    meta_train = oof[0]
-    for x in oof[1:]:
-        meta_train = meta_train.unionByName(x)
+        ms = {c.name: _wrap(models[f"{c.name}#{f}"], c.name) for c in cands}
+        rows = base_probability_columns(ms, held.where(F.col("__fold") == f), keep + ["weight"])
+        meta_train = rows if meta_train is None else meta_train.unionByName(rows)
     lr = LogisticRegression(featuresCol="meta", labelCol="label", weightCol="weight", maxIter=1000)
     meta = lr.fit(meta_train)
-    fitted = fitted or {}
-    full = {c.name: _wrap(fitted[c.name] if c.name in fitted else fit_candidate(c, train, p, n_classes), c.name)
-            for c in cands}   # base models already fitted on all training rows are reused
-    val_meta = base_probability_columns(full, val, keep)
-    scored = meta.transform(val_meta).select(*keep, "prediction", "probability")
-    train.unpersist()
-    return StackModel(full, meta, keep), scored
-
-
-def _wrap(model, name):
-    return _Renamed(model, name) if isinstance(model, OneVsRestProbaModel) else _CopyScorer(model, name)
-
-
-class _CopyScorer:
-    def __init__(self, model, name):
-        self.model, self.name = model, name
-
-    def transform(self, df):
-        return _scored_as(self.model, df, self.name)
+    full = {c.name: _wrap(models[c.name], c.name) for c in cands}
+    stack = StackModel(full, meta, keep)
+    return stack, meta.transform(base_probability_columns(full, val, keep)).select(*keep, "prediction", "probability")
 
 
 @dataclass

@@ -18,6 +18,7 @@ from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillstat.operators import boosting as B
 from quillstat.operators import explain as H
 from quillstat.operators import metrics as G
 from quillstat.operators import models as M
@@ -26,8 +27,8 @@ from quillstat.operators import profile as P
 from quillstat.session import cut_lineage
 
 
-#: partitions of the training rows
-FIT_PARTITIONS = 64
+#: folds of the stack's out-of-fold probabilities
+FOLDS = 3
 
 
 @dataclass
@@ -126,9 +127,8 @@ def prepare_training(df: DataFrame, target: str, task: str | None = None, keys:
     # the checkpoint cuts lineage (a lost block is re-read from the shared
     # folder, not recomputed from the scan); the persisted copy serves the
     # repeated passes of the candidate fits from memory
-    # one fixed partitioning of the key: MLlib seeds row sampling per partition, so
-    # the fitted trees must not depend on the number of cores
-    x = x.repartition(FIT_PARTITIONS, "row_key")
+    # partitions follow the number of rows, not the cores
+    x = x.repartition(B.tasks_for(info.n_rows), "row_key")
     x = (cut_lineage(x) if checkpoint else x).persist(StorageLevel.MEMORY_AND_DISK)
     rows.unpersist()
     if task == "classification":
@@ -142,20 +142,24 @@ def run(df: DataFrame, target: str, task: str | None = None, keys: list[str] | N
         params: M.TreeParams | None = None, candidates: list[M.Candidate] | None = None,
         stack: bool = True, **kw) -> Analysis:
     """The whole analysis; returns fitted models, predictions and metrics."""
-    a = prepare_training(df, target, task, keys, **kw)
+    return fit(prepare_training(df, target, task, keys, **kw), params, candidates, stack)
+
+
+def fit(a: Analysis, params: M.TreeParams | None = None, candidates: list[M.Candidate] | None = None, stack: bool = True) -> Analysis:
+    """Train the candidates (and, for classes, the stack) of a prepared analysis that it does not hold yet; one pass trains them side by side."""
     params = params or M.TreeParams()
     cands = candidates or (M.CLASSIFICATION_CANDIDATES if a.task == "classification" else M.REGRESSION_CANDIDATES)
-    a.models, a.predictions = M.fit_all(cands, a.train, a.val, params, max(a.n_classes, 2))
-    if a.task == "classification":
-        if stack and a.n_classes >= 2:
-            stack_model, scored = M.stacking(cands, a.train, a.val, params, max(a.n_classes, 2),
-                                             fitted=a.models)
-            a.models["stacking"] = stack_model
-            a.stack_predictions = scored
-            a.predictions = a.predictions.unionByName(
-                scored.select(F.lit("stacking").alias("model"), F.lit(len(cands)).alias("ordinal"),
-                              "row_key", "label", "prediction"))
-        a.metrics = G.classification_metrics(a.predictions)
-    else:
-        a.metrics = G.regression_metrics(a.predictions)
+    k = max(a.n_classes, 2)
+    stack = stack and a.task == "classification" and a.n_classes >= 2
+    fresh = [c for c in cands if c.name not in a.models]
+    folds = FOLDS if stack and "stacking" not in a.models else 0
+    models = M.fit_models(cands if folds else fresh, a.train, params, k, folds, full=bool(fresh)) if fresh or folds else {}
+    a.models = {**a.models, **{c.name: models[c.name] for c in fresh}}
+    a.predictions = M.predictions_of(cands, a.models, a.val)
+    if stack:
+        if folds:
+            a.models["stacking"], a.stack_predictions = M.stacking(cands, a.train, a.val, params, k, FOLDS, fitted={**models, **a.models})
+        a.predictions = a.predictions.unionByName(
+            a.stack_predictions.select(F.lit("stacking").alias("model"), F.lit(len(cands)).alias("ordinal"), "row_key", "label", "prediction"))
+    a.metrics = G.classification_metrics(a.predictions) if a.task == "classification" else G.regression_metrics(a.predictions)
     return a

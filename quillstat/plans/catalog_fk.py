@@ -1,10 +1,12 @@
 """Catalogue sections F (models), model-backed H1/I4/I5, and K (protocol).
 
-MLlib's randomised trees have no SQL twin: model queries return, per row, what
+Fitted trees have no SQL twin: model queries return, per row, what
 SQL can also tell (keys, original classes) and the properties that must hold
-(probabilities, additivity, a floor for F1 or R2).  One fitted analysis per (session, data folder, scenario)
-is memoised so that several queries read the same fit.  Query fits have the
-library's default size, the reference's 100 trees of depth 7.
+(probabilities, additivity, a floor for F1 or R2).  One prepared analysis per
+(session, data folder, scenario) is memoised; its candidates are trained, side by
+side, when a query first needs them, and the stack's fold models with them or
+when a query first needs the stack.  Query fits have the library's default
+size, the reference's 100 trees of depth 7.
 """
 
 from __future__ import annotations
@@ -25,22 +27,29 @@ from quillstat.plans.registry import query
 QUERY_PARAMS = M.TreeParams()
 _KEYS = ["l_orderkey", "l_linenumber"]
 _SCENARIOS = {
-    "binary": ("is_big", "classification", ["net_price", "qty_band"], True),
-    "multiclass": ("qty_band", "classification", ["net_price", "is_big"], False),
-    "regression": ("net_price", "regression", ["is_big", "qty_band"], False),
+    "binary": ("is_big", "classification", ["net_price", "qty_band"]),
+    "multiclass": ("qty_band", "classification", ["net_price", "is_big"]),
+    "regression": ("net_price", "regression", ["is_big", "qty_band"]),
 }
 _MEMO: dict = {}
 
 
-def fitted(spark, sf: str, scenario: str) -> A.Analysis:
+def prepared(spark, sf: str, scenario: str) -> A.Analysis:
+    """The scenario up to its training rows; nothing is fitted."""
     key = (spark.sparkContext.applicationId, sf, scenario)
     if key not in _MEMO:
-        target, task, drop, stack = _SCENARIOS[scenario]
-        df = V.lineitem_targets(spark, sf).drop(*drop)
-        _MEMO[key] = A.run(df, target, task, keys=_KEYS, params=QUERY_PARAMS, stack=stack)
+        target, task, drop = _SCENARIOS[scenario]
+        _MEMO[key] = A.prepare_training(V.lineitem_targets(spark, sf).drop(*drop), target, task, keys=_KEYS)
     return _MEMO[key]
 
 
+def fitted(spark, sf: str, scenario: str, stack: bool = False) -> A.Analysis:
+    a = prepared(spark, sf, scenario)
+    if a.metrics is None or (stack and "stacking" not in a.models):
+        A.fit(a, QUERY_PARAMS, stack=stack)
+    return a
+
+
 FLOOR = 0.8   # F1 or R2 that the derived, learnable targets allow every candidate
 _KEY_SQL = "CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR)"
 _VAL_SQL = f"(SELECT *, {_KEY_SQL} AS row_key FROM ({V.LINEITEM_TARGETS_SQL}) t WHERE md5({_KEY_SQL} || '#42') < '{SPLIT_BOUND}') v"
@@ -90,9 +99,9 @@ def f2_balanced_boosted_classifier(spark, sf):
     return _classes_of(fitted(spark, sf, "binary"), "boosted_trees_balanced")
 
 
-@query("f3_forest_classifier", _class_sql("qty_band"))
-def f3_forest_classifier(spark, sf):
-    return _classes_of(fitted(spark, sf, "multiclass"), "random_forest")
+@query("f3_symmetric_classifier", _class_sql("qty_band"))
+def f3_symmetric_classifier(spark, sf):
+    return _classes_of(fitted(spark, sf, "multiclass"), "symmetric_trees")
 
 
 @query("f4_boosted_regressor", _VALUE_SQL)
@@ -105,14 +114,14 @@ def f5_boosted_regressor_min20(spark, sf):
     return _values_of(fitted(spark, sf, "regression"), "boosted_trees_min20")
 
 
-@query("f6_forest_regressor", _VALUE_SQL)
-def f6_forest_regressor(spark, sf):
-    return _values_of(fitted(spark, sf, "regression"), "random_forest")
+@query("f6_symmetric_regressor", _VALUE_SQL)
+def f6_symmetric_regressor(spark, sf):
+    return _values_of(fitted(spark, sf, "regression"), "symmetric_trees")
 
 
 @query("f7_model_leaderboard")
 def f7_model_leaderboard(spark, sf):
-    return fitted(spark, sf, "binary").leaderboard()
+    return fitted(spark, sf, "binary", stack=True).leaderboard()
 
 
 @query("f8_class_probabilities", f"""SELECT row_key, class, true AS in_range, true AS sums_to_one
@@ -129,7 +138,7 @@ def f8_class_probabilities(spark, sf):
 
 @query("f9_stacking", _class_sql("is_big"))
 def f9_stacking(spark, sf):
-    a = fitted(spark, sf, "binary")
+    a = fitted(spark, sf, "binary", stack=True)
     return _classes_of(a, "stacking")
 
 
@@ -138,13 +147,14 @@ def f10_base_probabilities(spark, sf):
     """Three base models and two classes: six probabilities a row."""
     a = fitted(spark, sf, "binary")
     meta = vector_to_array("meta")
-    return (M.base_probability_columns(a.models["stacking"].bases, a.val, ["row_key", "label"])
+    bases = {c.name: M._wrap(a.models[c.name], c.name) for c in M.CLASSIFICATION_CANDIDATES}
+    return (M.base_probability_columns(bases, a.val, ["row_key", "label"])
             .select("row_key", F.size(meta).alias("n_probabilities"), F.forall(meta, _between).alias("in_range")))
 
 
 @query("f11_capped_candidate", f"SELECT 'boosted_trees_first1000' AS model, count(*) AS n_rows, true AS strong FROM {_VAL_SQL}")
 def f11_capped_candidate(spark, sf):
-    a = fitted(spark, sf, "binary")
+    a = prepared(spark, sf, "binary")
     cand = M.Candidate("boosted_trees_first1000", "boosted_trees", 0, "classification", max_train_rows=1000)
     _, preds = M.fit_all([cand], a.train, a.val, QUERY_PARAMS)
     return G.classification_metrics(preds).select("model", "n_rows", (F.col("f1_weighted") >= FLOOR).alias("strong"))
@@ -153,7 +163,7 @@ def f11_capped_candidate(spark, sf):
 @query("f12_validation_rows", f"SELECT row_key, CAST(is_big AS VARCHAR) AS actual, true AS complete FROM {_VAL_SQL}")
 def f12_validation_rows(spark, sf):
     """The kept validation rows with their original class; complete: a number for every feature."""
-    a = fitted(spark, sf, "binary")
+    a = prepared(spark, sf, "binary")
     names = a.label_map.select("label", F.col("value").cast("string").alias("actual"))
     x = vector_to_array("features")
     return (a.val.join(names, "label", "left")
@@ -219,14 +229,14 @@ def k3_rebalance(spark, sf):
 
 @query("k4_clusters", f"SELECT {_KEY_SQL} AS row_key, true AS in_range FROM lineitem")
 def k4_clusters(spark, sf):
-    a = fitted(spark, sf, "binary")
+    a = prepared(spark, sf, "binary")
     _, out = K.clusters(a.assembled, k=3)
     return out.select("row_key", F.col("cluster").between(0, 2).alias("in_range"))
 
 
 @query("k5_isolation_scores", f"SELECT {_KEY_SQL} AS row_key, true AS in_range FROM lineitem")
 def k5_isolation_scores(spark, sf):
-    a = fitted(spark, sf, "binary")
+    a = prepared(spark, sf, "binary")
     trees = K.isolation_forest(a.assembled, "row_key", n_trees=100)
     return K.isolation_scores(a.assembled, "row_key", trees).select("row_key", _between(F.col("anomaly_score")).alias("in_range"))
 
@@ -236,7 +246,7 @@ def h5_explain_status(spark, sf):
     """H5 + H9: which candidates were explained, with the number of
     contribution rows; the stack is reported as skipped, and a failure is a
     status row rather than silent zero importances."""
-    a = fitted(spark, sf, "binary")
+    a = fitted(spark, sf, "binary", stack=True)
     kinds = {c.name: c.kind for c in M.CLASSIFICATION_CANDIDATES}
     contrib, status = H.explain_models(spark, a.models, kinds, a.val, "row_key", a.features.features)
     if contrib is None:

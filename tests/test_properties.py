@@ -83,7 +83,7 @@ def test_probabilities_sum_to_one(spark, small_dir):
     df = V.lineitem_targets(spark, small_dir).drop("net_price", "is_big")
     a = A.run(df, "qty_band", "classification", keys=["l_orderkey", "l_linenumber"],
               params=M.TreeParams(n_trees=2, max_depth=3), stack=False)
-    for name in ("boosted_trees", "random_forest"):
+    for name in ("boosted_trees", "symmetric_trees"):
         s = a.models[name].transform(a.val).select(F.aggregate(vector_to_array("probability"), F.lit(0.0),
                                                                lambda acc, v: acc + v).alias("s"))
         assert s.where(F.abs(F.col("s") - 1) > 1e-9).count() == 0
@@ -131,7 +131,7 @@ def test_forest_shap_additivity(spark, small_dir):
 
 
 def test_contributions_of_every_class(spark, small_dir):
-    """Three classes, boosting and forest: per class the contributions and the base give that class's output."""
+    """Three classes, level-wise and symmetric trees: per class the contributions and the base give that class's output."""
     from pyspark.ml.functions import vector_to_array
 
     from quillstat.operators import models as M
@@ -141,13 +141,12 @@ def test_contributions_of_every_class(spark, small_dir):
     value = {int(r["label"]): str(r["value"]) for r in a.label_map.collect()}
     assert len(value) == a.n_classes > 2
     rows = a.val.dropDuplicates(["row_key"]).persist()
-    for name in ("boosted_trees", "random_forest"):
+    for name in ("boosted_trees", "symmetric_trees"):
         got = {(r["row_key"], r["class"]): r["s"] for r in a.contributions(name, rows).groupBy("row_key", "class").agg(F.sum("contribution").alias("s")).collect()}
-        if name == "random_forest":
-            want = {(r["row_key"], value[c]): p for r in a.models[name].transform(rows).select("row_key", vector_to_array("probability").alias("p")).collect() for c, p in enumerate(r["p"])}
-        else:
-            want = {(r["row_key"], value[c]): r["p"][1] for c, m in enumerate(a.models[name].models)
-                    for r in m.transform(rows).select("row_key", vector_to_array(m.getRawPredictionCol()).alias("p")).collect()}
+        want = {}
+        for r in rows.select("row_key", vector_to_array("features").alias("x")).collect():
+            for c, m in enumerate(a.models[name].margins(np.array([r["x"]]))[0]):
+                want[r["row_key"], value[c]] = m
         assert set(got) == set(want) and all(abs(got[k] - want[k]) < 1e-9 for k in want)
 
 

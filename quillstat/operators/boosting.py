@@ -7,6 +7,11 @@ hessians and counts by (tree, node, feature, bin) over its blocks, the sums are
 merged, and the driver, which holds sums and never rows, picks the splits.  Of
 two siblings only the smaller is summed; the other is its parent less it.
 
+A node of at most ``LOCAL_ROWS`` rows is set aside (in a symmetric tree only the
+root can be), and at the end of the round the rows of each such node meet in a
+task of their own, which grows the rest of its branch by the same sums and
+splits.  So large nodes cost a job a level, and all small ones a job together.
+
 Several models train in the same jobs (candidates, and their folds, which are
 weights of zero on the held-out rows of one table); a model of K classes grows K
 trees a round from one pass, by the gradients of the softmax.
@@ -48,6 +53,8 @@ from quillstat.session import checkpoint_dir, ship_package
 
 #: merged on the driver below this size, else by a shuffle
 DRIVER_BYTES = 32 << 20
+#: nodes of at most so many rows are finished in one task each
+LOCAL_ROWS = 50_000
 
 
 def tasks_for(rows: int) -> int:
@@ -70,7 +77,7 @@ class Spec:
     l2: float = 1.0
     gamma: float = 0.0
     min_child_hessian: float = 0.0
-    min_child_rows: int = 1             # beyond 1, rows are counted too, and are the nodes' cover; else it is the hessian
+    min_child_rows: int = 1
     row_share: float = 1.0
     column_share: float = 1.0
     weighted: bool = False
@@ -198,35 +205,42 @@ class Growing:
     slot: np.ndarray                    # node -> place among the sums, or -1
 
 
+def _placed(block: _Block, specs: list[Spec], starts: list[int], grown: list[Growing | None], round_: int) -> Iterator[tuple]:
+    """For each growing tree: the slots, row numbers, gradients and hessians of the drawn rows in its asked nodes."""
+    for spec, lo in zip(specs, starts):
+        units = range(lo, lo + spec.classes)
+        if all(grown[u] is None for u in units):
+            continue
+        weight = block.w if spec.weighted else np.ones(block.n)
+        use = _drawn(block.id, spec.row_share, spec.seed * 100_003 + round_)
+        if spec.fold is not None:
+            use = use & (block.fold != spec.fold)
+        for u, (g, h) in zip(units, _gradients(spec, block, slice(lo, lo + spec.classes), weight)):
+            if grown[u] is not None:
+                place = grown[u].slot[grown[u].tree.of_bins(block.bins)]
+                rows = np.flatnonzero(use & (place >= 0))
+                yield u, place[rows], rows, g[rows], h[rows]
+
+
+def _sums(bins: np.ndarray, place: np.ndarray, g: np.ndarray, h: np.ndarray, count: int, width: int) -> np.ndarray:
+    """Sums of gradient, hessian and rows: slots x features x bins x 3."""
+    out = np.zeros((count, len(bins), width, 3))
+    at = place * width
+    for f, b in enumerate(bins):
+        key = at + b
+        for m, v in enumerate((g, h, None)):
+            out[:, f, :, m] = np.bincount(key, v, count * width).reshape(count, width)
+    return out
+
+
 def _summer(specs: list[Spec], starts: list[int], grown: list[Growing | None], round_: int, width: int):
     """Task: sums of (gradient, hessian, rows) by node, feature and bin, one row for each tree and summed node."""
     def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
         for block in _blocks(batches):
-            features = len(block.bins)
-            for spec, lo in zip(specs, starts):
-                units = range(lo, lo + spec.classes)
-                if all(grown[u] is None for u in units):
-                    continue
-                weight = block.w if spec.weighted else np.ones(block.n)
-                use = _drawn(block.id, spec.row_share, spec.seed * 100_003 + round_)
-                if spec.fold is not None:
-                    use = use & (block.fold != spec.fold)
-                for u, (g, h) in zip(units, _gradients(spec, block, slice(lo, lo + spec.classes), weight)):
-                    grow = grown[u]
-                    if grow is None:
-                        continue
-                    place = grow.slot[grow.tree.of_bins(block.bins)]
-                    rows = np.flatnonzero(use & (place >= 0))
-                    count = int(grow.slot.max()) + 1
-                    size = count * width
-                    if u not in total:
-                        total[u] = np.zeros((count, features, width, 3))
-                    at, gr, hr = place[rows] * width, g[rows], h[rows]
-                    for f in range(features):
-                        key = at + block.bins[f, rows]
-                        for m, v in enumerate((gr, hr, None) if spec.min_child_rows > 1 else (gr, hr)):
-                            total[u][:, f, :, m] += np.bincount(key, v, size).reshape(count, width)
+            for u, place, rows, g, h in _placed(block, specs, starts, grown, round_):
+                more = _sums(block.bins[:, rows], place, g, h, int(grown[u].slot.max()) + 1, width)
+                total[u] = total[u] + more if u in total else more
         out = [(u, s, t[s].tobytes()) for u, t in total.items() for s in range(len(t))]
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()),
                                           pa.array([x[2] for x in out], pa.binary())], names=["unit", "slot", "sums"])
@@ -295,30 +309,40 @@ def gains(spec: Spec, sums: np.ndarray, allowed: np.ndarray) -> np.ndarray:
     return gain
 
 
+def _node(total, depth: int, **more) -> dict:
+    return {"feature": -1, "cut": 0, "left": -1, "right": -1, "gain": 0.0, "total": total, "sums": None, "depth": depth, **more}
+
+
+def _allowed(spec: Spec, round_: int, unit: int, features: int) -> np.ndarray:
+    """The features that a round's tree may split by."""
+    out = np.zeros(features, bool)
+    out[np.random.default_rng([spec.seed, round_, unit]).permutation(features)[:max(1, math.ceil(spec.column_share * features - 1e-9))]] = True
+    return out
+
+
 class _Builder:
-    """Grows one tree level by level from merged sums."""
+    """Grows one tree, or a branch of one, level by level from merged sums."""
 
-    def __init__(self, spec: Spec, round_: int, unit: int, features: int):
-        self.spec, self.features, self.cover = spec, features, 2 if spec.min_child_rows > 1 else 1
-        rng = np.random.default_rng([spec.seed, round_, unit])
-        self.allowed = np.zeros(features, bool)
-        self.allowed[rng.permutation(features)[:max(1, math.ceil(spec.column_share * features - 1e-9))]] = True
-        self.nodes = [{"feature": -1, "cut": 0, "left": -1, "right": -1, "gain": 0.0, "total": None, "sums": None}]
-        self.frontier, self.depth, self.levels = [0], 0, []
-        self.ask: list[int] = [0]
+    def __init__(self, spec: Spec, allowed: np.ndarray, rows: int, local_rows: int, depth: int = 0):
+        self.spec, self.allowed, self.features, self.local_rows = spec, allowed, len(allowed), local_rows
+        self.nodes = [_node(None, depth)]
+        self.depth, self.levels = depth, []
+        #: nodes of this level, those whose sums are wanted, and those set aside for a task of their own
+        self.frontier, self.ask, self.local = ([], [], [0]) if rows <= local_rows else ([0], [0], [])
 
     def tree(self) -> Tree:
         get = lambda k, t: np.array([n[k] for n in self.nodes], t)
         total = np.array([n["total"] if n["total"] is not None else np.zeros(3) for n in self.nodes])
         spec = self.spec
         value = -spec.rate * shrunk(total[:, 0], spec.l1) / np.maximum(total[:, 1] + spec.l2, 1e-300)
-        return Tree(get("feature", np.int64), get("cut", np.int64), get("left", np.int64), get("right", np.int64), value, total[:, self.cover], levels=self.levels)
+        return Tree(get("feature", np.int64), get("cut", np.int64), get("left", np.int64), get("right", np.int64), value, total[:, 2], levels=self.levels)
 
-    def growing(self) -> Growing | None:
-        if not self.ask:
+    def growing(self, nodes: list[int] | None = None) -> Growing | None:
+        nodes = self.ask if nodes is None else nodes
+        if not nodes:
             return None
         slot = np.full(len(self.nodes), -1, np.int64)
-        slot[self.ask] = np.arange(len(self.ask))
+        slot[nodes] = np.arange(len(nodes))
         return Growing(self.tree(), slot)
 
     def take(self, sums: np.ndarray) -> None:
@@ -332,10 +356,11 @@ class _Builder:
         for i in self.frontier:
             if self.nodes[i]["total"] is None:
                 self.nodes[i]["total"] = self.nodes[i]["sums"][0].sum(0) if self.features else np.zeros(3)
-        for n in self.nodes:
-            if "parent" in n and n["parent"] not in self.frontier:
-                self.nodes[n["parent"]]["sums"] = None
         self._split()
+        front = {n["parent"] for n in map(self.nodes.__getitem__, self.frontier)}
+        for i, n in enumerate(self.nodes):
+            if i not in front:
+                n["sums"] = None  # only a parent's sums are needed again
 
     def _split(self) -> None:
         spec, new = self.spec, []
@@ -352,22 +377,75 @@ class _Builder:
                 node, left = self.nodes[i], self.nodes[i]["sums"][f, :cut + 1].sum(0)
                 node |= {"feature": f, "cut": cut, "left": len(self.nodes), "right": len(self.nodes) + 1, "gain": top}
                 for k, total in enumerate((left, node["total"] - left)):
-                    self.nodes.append({"feature": -1, "cut": 0, "left": -1, "right": -1, "gain": 0.0, "total": total, "sums": None,
-                                       "parent": i, "sibling": node["right" if k == 0 else "left"]})
+                    self.nodes.append(_node(total, self.depth + 1, parent=i, sibling=node["right" if k == 0 else "left"]))
                 new += [node["left"], node["right"]]
             if spec.policy == "symmetric" and new:
                 self.levels.append(divmod(int(best[0]), gain.shape[2]))
         self.depth += 1
-        self.frontier = new
-        self.ask = []
+        self.ask, self.frontier = [], []
         if self.depth < spec.max_depth:  # the last level's totals are known
-            for a, b in zip(new[0::2], new[1::2]):
-                self.ask.append(a if self.nodes[a]["total"][self.cover] <= self.nodes[b]["total"][self.cover] else b)
+            for pair in zip(new[0::2], new[1::2]):
+                size = [self.nodes[i]["total"][2] for i in pair]
+                large = [i for i, n in zip(pair, size) if spec.policy == "symmetric" or n > self.local_rows]
+                self.local += [i for i in pair if i not in large]
+                self.frontier += large
+                self.ask += [pair[int(size[1] < size[0])]] if len(large) == 2 else large
+
+    def graft(self, at: int, branch: list[dict], levels: list) -> None:
+        """Put a branch, grown elsewhere, in the place of a node set aside."""
+        number = [at, *range(len(self.nodes), len(self.nodes) + len(branch) - 1)]
+        for k, n in enumerate(branch):
+            n = n | {"left": number[n["left"]] if n["left"] >= 0 else -1, "right": number[n["right"]] if n["right"] >= 0 else -1, "total": np.array(n["total"], float)}
+            if k:
+                self.nodes.append(n)
+            else:
+                self.nodes[at] = self.nodes[at] | n
+        self.levels += [tuple(x) for x in levels]
 
     def finished(self) -> Tree:
         return _best_first(self.tree(), [n["gain"] for n in self.nodes], self.spec.max_leaves) if self.spec.policy == "leaf" else self.tree()
 
 
+def _rows_of(specs: list[Spec], starts: list[int], grown: list[Growing | None], round_: int):
+    """Task: bins, gradients and hessians of the rows of nodes set aside, one row for each block, tree and node."""
+    def rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out = []
+        for block in _blocks(batches):
+            for u, place, rows, g, h in _placed(block, specs, starts, grown, round_):
+                for s in np.unique(place).tolist():
+                    at = place == s
+                    out.append((u, s, int(block.id[0]), int(at.sum()), block.bins[:, rows[at]].tobytes(), g[at].tobytes(), h[at].tobytes()))
+        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
+        yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in out], t) for i, t in enumerate(kinds)], names=[c.split()[0] for c in _ROWS.split(", ")])
+    return rows_of
+
+
+_ROWS = "unit int, slot int, block long, n long, bins binary, g binary, h binary"
+
+
+def _branches(plan: dict[tuple[int, int], tuple[Spec, np.ndarray, int]], width: int):
+    """Task of one node set aside: its branch, grown to the end."""
+    def grow(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("block", "ascending"), ("n", "ascending")])
+        unit, slot = (table.column(c)[0].as_py() for c in ("unit", "slot"))
+        spec, allowed, depth = plan[unit, slot]
+        size = table.column("n").to_pylist()
+        bins = np.concatenate([np.frombuffer(b, np.uint8).reshape(-1, n) for b, n in zip(table.column("bins").to_pylist(), size)], axis=1)
+        g, h = (np.concatenate([np.frombuffer(b) for b in table.column(c).to_pylist()]) for c in ("g", "h"))
+        builder = _Builder(spec, allowed, 1, 0, depth)
+        node = np.zeros(len(g), np.int64)
+        while (grown := builder.growing()) is not None:
+            inner = np.flatnonzero(grown.tree.feature[node] >= 0)  # one step down
+            at = node[inner]
+            node[inner] = np.where(bins[grown.tree.feature[at], inner] <= grown.tree.cut[at], grown.tree.left[at], grown.tree.right[at])
+            place = grown.slot[node]
+            rows = np.flatnonzero(place >= 0)
+            builder.take(_sums(bins[:, rows], place[rows], g[rows], h[rows], int(grown.slot.max()) + 1, width))
+        body = [{k: n[k].tolist() if k == "total" else n[k] for k in ("feature", "cut", "left", "right", "gain", "total", "depth")} for n in builder.nodes]
+        return pa.table({"unit": pa.array([unit], pa.int32()), "slot": pa.array([slot], pa.int32()), "branch": [json.dumps([body, builder.levels])]})
+    return grow
+
+
 def _best_first(tree: Tree, gain: list[float], max_leaves: int) -> Tree:
     """The part of a tree that best-first growth reaches within ``max_leaves``."""
     queue, kept, leaves = [], set(), 1
@@ -413,7 +491,8 @@ def _base_margins(df: DataFrame, specs: list[Spec]) -> np.ndarray:
     return np.concatenate(out)
 
 
-def fit(df: DataFrame, specs: list[Spec], n_features: int, max_bins: int = 64, checkpoint_interval: int = 10, vector: str = "features") -> dict[str, Booster]:
+def fit(df: DataFrame, specs: list[Spec], n_features: int, max_bins: int = 64, checkpoint_interval: int = 10, vector: str = "features",
+        local_rows: int = LOCAL_ROWS) -> dict[str, Booster]:
     """Train the models side by side on rows of row_key, label, weight, fold and a feature vector; one model for each spec's name."""
     spark = df.sparkSession
     ship_package(spark)
@@ -432,18 +511,24 @@ def fit(df: DataFrame, specs: list[Spec], n_features: int, max_bins: int = 64, c
         return spark.read.schema(_BLOCK).parquet(f"{folder}/{k}")
 
     state, older = written(state, 0).persist(StorageLevel.MEMORY_AND_DISK), None
-    tasks = state.rdd.getNumPartitions()
+    tasks, rows = state.rdd.getNumPartitions(), state.agg(F.sum("n")).first()[0] or 0
     trees: list[list[Tree]] = [[] for _ in range(starts[-1])]
     for round_ in range(max((s.rounds for s in specs), default=0)):
-        builders = [_Builder(s, round_, u, n_features) if round_ < s.rounds else None for s, lo in zip(specs, starts) for u in range(lo, lo + s.classes)]
-        while True:
+        builders = [_Builder(s, _allowed(s, round_, u, n_features), rows, local_rows) if round_ < s.rounds else None for s, lo in zip(specs, starts) for u in range(lo, lo + s.classes)]
+        while any(b and b.ask for b in builders):
             grown = [b.growing() if b else None for b in builders]
-            if all(g is None for g in grown):
-                break
             got = _sums_of(state, specs, starts, grown, round_, n_features, width, tasks)
             for u, g in enumerate(grown):
                 if g is not None:
                     builders[u].take(got[u])
+        apart = {(u, k): i for u, b in enumerate(builders) if b for k, i in enumerate(b.local)}
+        if apart and n_features:
+            grown = [b.growing(b.local) if b else None for b in builders]
+            plan = {(u, k): (builders[u].spec, builders[u].allowed, builders[u].nodes[i]["depth"]) for (u, k), i in apart.items()}
+            got = (state.mapInArrow(_rows_of(specs, starts, grown, round_), _ROWS).repartition(min(len(apart), 4 * tasks), "unit", "slot").groupBy("unit", "slot")
+                   .applyInArrow(_branches(plan, width), "unit int, slot int, branch string").collect())  # nodes of branches, no rows
+            for g in sorted(got, key=lambda g: (g.unit, g.slot)):
+                builders[g.unit].graft(apart[g.unit, g.slot], *json.loads(g.branch))
         done = [b.finished() if b else None for b in builders]
         for u, t in enumerate(done):
             if t is not None:

@@ -124,7 +124,20 @@ def _pair_moments(x: np.ndarray) -> np.ndarray:
     n, total = f.T @ f, z.T @ f
     mean = total / np.maximum(n, 1)
     about = np.where(n > 0, first[:, None] + centre[:, None] + mean, 0.0)
-    return np.stack([n, about, about.T, (z * z).T @ f - total * mean, z.T @ z - total * mean.T])
+    raw = (z * z).T @ f
+    out = np.stack([n, about, about.T, raw - total * mean, z.T @ z - total * mean.T])
+    # where little of the sum of squares is left, rounding may be all of it: those pairs from their own rows
+    for i, j in np.argwhere((n > 1) & (raw > 0) & (out[3] <= 1e-9 * raw)).tolist():
+        both = has[:, i] & has[:, j]
+        a, b = x[both, i], x[both, j]
+        m = a[0] + (a - a[0]).mean()
+        if (a == a[0]).all():
+            m = a[0]
+        cross = float(((a - m) * (b - (b[0] + (b - b[0]).mean()))).sum())
+        out[1, i, j] = out[2, j, i] = m
+        out[3, i, j] = float(((a - m) ** 2).sum())
+        out[4, i, j] = out[4, j, i] = cross
+    return out
 
 
 def _merge_moments(a: np.ndarray, b: np.ndarray) -> np.ndarray:

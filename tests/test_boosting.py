@@ -62,7 +62,7 @@ def test_splits_equal_brute_force(spark):
     df, x, y = table(spark)
     spec = B.Spec("s", "squared", rounds=3, max_depth=3, rate=0.5, l1=0.7, l2=2.0, gamma=0.4, min_child_hessian=9.0)
     yes = B.Spec("c", "logistic", rounds=2, max_depth=3, rate=0.5, l1=0.2, l2=1.0, gamma=0.1, min_child_hessian=3.0, weighted=True)
-    squared = B.fit(df, [spec], 4, max_bins=255)["s"]
+    squared = B.fit(df, [spec], 4, max_bins=255, local_rows=0)["s"]
     margin = np.full(len(y), y.mean())
     for t in squared.trees[0]:
         want = tree_by_hand(spec, x, margin - y, np.ones(len(y)))
@@ -83,6 +83,9 @@ def test_side_by_side_equals_alone_and_partitions_do_not_matter(spark):
     specs = [B.Spec("a", "squared", rounds=4, max_depth=4, row_share=0.8, column_share=0.5, fold=1), B.Spec("b", "squared", policy="leaf", rounds=3, max_leaves=6, min_child_rows=20),
              B.Spec("c", "squared", policy="symmetric", rounds=5, max_depth=3, l2=3.0)]
     both = B.fit(df, specs, 4, checkpoint_interval=2)
+    for local_rows in (0, 120):  # all nodes by levels, and small ones in tasks of their own
+        other = B.fit(df, specs, 4, local_rows=local_rows)
+        assert all(np.allclose(other[s.name].margins(x), both[s.name].margins(x)) and [t.levels for t in other[s.name].trees[0]] == [t.levels for t in both[s.name].trees[0]] for s in specs)
     for s in specs:
         alone = B.fit(df.repartition(1), [s], 4, checkpoint_interval=50)[s.name]
         assert np.allclose(alone.margins(x), both[s.name].margins(x)) and len(alone.trees[0]) == s.rounds

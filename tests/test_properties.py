@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from quillstat.operators import eda as E
 from quillstat.operators import explain as H
 from quillstat.operators import prepare as D
 from quillstat.operators import profile as P
@@ -212,3 +213,17 @@ def test_model_queries_fit_the_default_size():
     from quillstat.operators import models as M
     from quillstat.plans import catalog_fk
     assert catalog_fk.QUERY_PARAMS == M.TreeParams() and (M.TreeParams().n_trees, M.TreeParams().max_depth) == (100, 7)
+
+
+def test_correlation_of_pairs_constant_on_shared_rows(spark):
+    """NULL where a column does not vary over the pair's shared rows, though it does elsewhere; a tiny but real variance counts."""
+    rng = np.random.default_rng(6)
+    rows = []
+    for i in range(4000):
+        line = float(i % 7 + 1)
+        tiny = 1e6 + (1e-4 if i % 2 else 0.0)
+        rows.append((line, 0.01 * (i % 9) if line == 3.0 else None, tiny if line == 2.0 else 1e6 + 50 * rng.standard_normal(), float(i % 2) if line == 2.0 else None))
+    df = spark.createDataFrame(rows, "line double, sparse double, wide double, marker double").repartition(5)
+    got = {(r.col_x, r.col_y): r.r for r in E.correlation(df, df.columns).collect()}
+    assert got["line", "sparse"] is None and got["sparse", "line"] is None and got["line", "marker"] is None
+    assert got["wide", "marker"] == 1.0 == got["marker", "wide"] and got["sparse", "sparse"] == 1.0 and got["sparse", "marker"] is None

@@ -155,10 +155,13 @@ def fit(a: Analysis, params: M.TreeParams | None = None, candidates: list[M.Cand
     folds = FOLDS if stack and "stacking" not in a.models else 0
     models = M.fit_models(cands if folds else fresh, a.train, params, k, folds, full=bool(fresh)) if fresh or folds else {}
     a.models = {**a.models, **{c.name: models[c.name] for c in fresh}}
-    a.predictions = M.predictions_of(cands, a.models, a.val)
-    if stack:
-        if folds:
-            a.models["stacking"], a.stack_predictions = M.stacking(cands, a.train, a.val, params, k, FOLDS, fitted={**models, **a.models})
+    # scored once: the leaderboard and every later reader take the written predictions
+    if fresh:
+        new = cut_lineage(M.predictions_of(fresh, a.models, a.val))
+        a.predictions = new if a.predictions is None else a.predictions.unionByName(new)
+    if folds:
+        a.models["stacking"], scored = M.stacking(cands, a.train, a.val, params, k, FOLDS, fitted={**models, **a.models})
+        a.stack_predictions = cut_lineage(scored)
         a.predictions = a.predictions.unionByName(
             a.stack_predictions.select(F.lit("stacking").alias("model"), F.lit(len(cands)).alias("ordinal"), "row_key", "label", "prediction"))
     a.metrics = G.classification_metrics(a.predictions) if a.task == "classification" else G.regression_metrics(a.predictions)

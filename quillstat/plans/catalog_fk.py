@@ -59,7 +59,7 @@ def _class_sql(target: str) -> str:
     return f"SELECT row_key, CAST({target} AS VARCHAR) AS actual, true AS known_class, true AS strong FROM {_VAL_SQL}"
 
 
-_VALUE_SQL = f"SELECT row_key, round(net_price, 4) AS actual, true AS finite, true AS strong FROM {_VAL_SQL}"
+_VALUE_SQL = f"SELECT row_key, round(net_price, 6) AS actual, true AS finite, true AS strong FROM {_VAL_SQL}"
 
 
 def _checked_classes(a: A.Analysis, preds, score: float):
@@ -75,10 +75,10 @@ def _classes_of(a: A.Analysis, model: str):
 
 
 def _values_of(a: A.Analysis, model: str):
-    """Per validation row its value, whether the prediction is a number, and whether the model's R2 reaches FLOOR."""
+    """Per validation row its value (products of hundredths: six digits are no tie to round), whether the prediction is a number, and whether the model's R2 reaches FLOOR."""
     score = a.metrics.where(F.col("model") == model).first()["r2"]
     return (a.predictions.where(F.col("model") == model)
-            .select("row_key", F.round("label", 4).alias("actual"), _number(F.col("prediction")).alias("finite"), F.lit(bool(score >= FLOOR)).alias("strong")))
+            .select("row_key", F.round("label", 6).alias("actual"), _number(F.col("prediction")).alias("finite"), F.lit(bool(score >= FLOOR)).alias("strong")))
 
 
 def _number(c):

@@ -203,6 +203,7 @@ class Growing:
     """A tree under construction: its nodes so far, and which of them are summed in this job."""
     tree: Tree
     slot: np.ndarray                    # node -> place among the sums, or -1
+    allowed: np.ndarray                 # features that it may split by
 
 
 def _placed(block: _Block, specs: list[Spec], starts: list[int], grown: list[Growing | None], round_: int) -> Iterator[tuple]:
@@ -222,12 +223,12 @@ def _placed(block: _Block, specs: list[Spec], starts: list[int], grown: list[Gro
                 yield u, place[rows], rows, g[rows], h[rows]
 
 
-def _sums(bins: np.ndarray, place: np.ndarray, g: np.ndarray, h: np.ndarray, count: int, width: int) -> np.ndarray:
-    """Sums of gradient, hessian and rows: slots x features x bins x 3."""
+def _sums(bins: np.ndarray, rows: np.ndarray, place: np.ndarray, g: np.ndarray, h: np.ndarray, count: int, width: int, allowed: np.ndarray) -> np.ndarray:
+    """Sums of gradient, hessian and rows: slots x features x bins x 3; zero for features that the tree may not split by."""
     out = np.zeros((count, len(bins), width, 3))
     at = place * width
-    for f, b in enumerate(bins):
-        key = at + b
+    for f in np.flatnonzero(allowed).tolist():
+        key = at + bins[f, rows]
         for m, v in enumerate((g, h, None)):
             out[:, f, :, m] = np.bincount(key, v, count * width).reshape(count, width)
     return out
@@ -239,7 +240,7 @@ def _summer(specs: list[Spec], starts: list[int], grown: list[Growing | None], r
         total: dict[int, np.ndarray] = {}
         for block in _blocks(batches):
             for u, place, rows, g, h in _placed(block, specs, starts, grown, round_):
-                more = _sums(block.bins[:, rows], place, g, h, int(grown[u].slot.max()) + 1, width)
+                more = _sums(block.bins, rows, place, g, h, int(grown[u].slot.max()) + 1, width, grown[u].allowed)
                 total[u] = total[u] + more if u in total else more
         out = [(u, s, t[s].tobytes()) for u, t in total.items() for s in range(len(t))]
         yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.int32()), pa.array([x[1] for x in out], pa.int32()),
@@ -343,7 +344,7 @@ class _Builder:
             return None
         slot = np.full(len(self.nodes), -1, np.int64)
         slot[nodes] = np.arange(len(nodes))
-        return Growing(self.tree(), slot)
+        return Growing(self.tree(), slot, self.allowed)
 
     def take(self, sums: np.ndarray) -> None:
         """Sums of the asked nodes: fill in the siblings, then split the level."""
@@ -355,7 +356,7 @@ class _Builder:
                 n["sums"] = self.nodes[n["parent"]]["sums"] - self.nodes[n["sibling"]]["sums"]
         for i in self.frontier:
             if self.nodes[i]["total"] is None:
-                self.nodes[i]["total"] = self.nodes[i]["sums"][0].sum(0) if self.features else np.zeros(3)
+                self.nodes[i]["total"] = self.nodes[i]["sums"][self.allowed.argmax()].sum(0) if self.features else np.zeros(3)
         self._split()
         front = {n["parent"] for n in map(self.nodes.__getitem__, self.frontier)}
         for i, n in enumerate(self.nodes):
@@ -440,7 +441,7 @@ def _branches(plan: dict[tuple[int, int], tuple[Spec, np.ndarray, int]], width:
             node[inner] = np.where(bins[grown.tree.feature[at], inner] <= grown.tree.cut[at], grown.tree.left[at], grown.tree.right[at])
             place = grown.slot[node]
             rows = np.flatnonzero(place >= 0)
-            builder.take(_sums(bins[:, rows], place[rows], g[rows], h[rows], int(grown.slot.max()) + 1, width))
+            builder.take(_sums(bins, rows, place[rows], g[rows], h[rows], int(grown.slot.max()) + 1, width, allowed))
         body = [{k: n[k].tolist() if k == "total" else n[k] for k in ("feature", "cut", "left", "right", "gain", "total", "depth")} for n in builder.nodes]
         return pa.table({"unit": pa.array([unit], pa.int32()), "slot": pa.array([slot], pa.int32()), "branch": [json.dumps([body, builder.levels])]})
     return grow

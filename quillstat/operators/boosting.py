@@ -474,22 +474,18 @@ def _best_first(tree: Tree, gain: list[float], max_leaves: int) -> Tree:
 # --- training --------------------------------------------------------------
 
 def _base_margins(df: DataFrame, specs: list[Spec]) -> np.ndarray:
-    """Starting margins: the (weighted) mean, its log-odds, or the log-shares of the classes; one aggregate."""
+    """Starting margins: the (weighted) mean or its log-odds, one aggregate; with several classes zero, so that few rounds already decide by the features."""
     ask = []
     for i, s in enumerate(specs):
         w = F.col("weight") if s.weighted else F.lit(1.0)
         if s.fold is not None:
             w = F.when(F.col("fold") != s.fold, w)
-        value = [F.col("label")] if s.objective != "softmax" else [(F.col("label") == k).cast("double") for k in range(s.classes)]
-        ask += [(F.sum(w * v) / F.sum(w)).alias(f"b{i}_{k}") for k, v in enumerate(value)]
-    got = [float(x or 0.0) for x in df.agg(*ask).first()]
-    out, at = [], 0
-    for s in specs:
-        mean = np.array(got[at:at + s.classes])
-        at += s.classes
-        clipped = np.clip(mean, 1e-6, 1 - 1e-6)
-        out.append(mean if s.objective == "squared" else np.log(clipped / (1 - clipped)) if s.objective == "logistic" else np.log(clipped))
-    return np.concatenate(out)
+        ask.append((F.sum(w * F.col("label")) / F.sum(w)).alias(f"b{i}"))
+    out = []
+    for s, mean in zip(specs, df.agg(*ask).first()):
+        share = min(max(float(mean or 0.0), 1e-6), 1 - 1e-6)
+        out += [float(mean or 0.0)] if s.objective == "squared" else [math.log(share / (1 - share))] if s.objective == "logistic" else [0.0] * s.classes
+    return np.array(out)
 
 
 def fit(df: DataFrame, specs: list[Spec], n_features: int, max_bins: int = 64, checkpoint_interval: int = 10, vector: str = "features",

@@ -8,16 +8,25 @@ feature, so it scales with rows x features without a driver step.
   independent features, coef * (x - mean) (H2's linear path);
 * ``tree_contributions``: path-dependent tree SHAP for MLlib tree ensembles,
   one set of contributions per class, computed for whole Arrow batches with
-  ``mapInPandas`` (H1); trees travel as small path arrays.
+  ``mapInPandas`` (H1); trees travel as small path arrays;
+* ``sampled_contributions``: Shapley values of any model that scores a feature
+  vector (H2), from a table of coalitions scored in bulk; the stack is
+  explained this way.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillstat.operators.boosting import tasks_for
+
 EXPLAINABLE_KINDS = ("boosted_trees", "boosted_trees_balanced", "boosted_trees_min20", "symmetric_trees", "random_forest")
 
 
@@ -53,6 +62,98 @@ def linear_contributions(df: DataFrame, key: str, features: list[str], coef: Dat
                     (F.col("coef") * (F.col("value") - F.element_at(centre, F.col("feature")))).alias("contribution")))
 
 
+# ---------------------------------------------------------------------------
+# H2: sampled Shapley values of any model
+# ---------------------------------------------------------------------------
+
+#: rows that stand for unknown features; they are held as numbers on the driver
+MAX_BACKGROUND = 1000
+
+
+@dataclass
+class Draw:
+    """An order in which features become known, and the values that stand for those unknown."""
+    order: list[int]
+    background: list[float]
+
+
+def background_rows(rows: DataFrame, n: int, key: str = "row_key", vector_col: str = "features") -> list[list[float]]:
+    """The ``n`` feature vectors of smallest key hash (ties by vector): at most MAX_BACKGROUND rows, the same on every run."""
+    if not 1 <= n <= MAX_BACKGROUND:
+        raise ValueError(f"a background has 1 to {MAX_BACKGROUND} rows, not {n}")
+    x = vector_to_array(vector_col)
+    top = rows.select(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))).alias("h"), x.alias("x")).orderBy("h", "x").limit(n)
+    return [list(r.x) for r in top.collect()]
+
+
+def draws(background: list[list[float]], n_features: int, orders: int, seed: int = 42) -> list[Draw]:
+    """``orders`` random orders and the reverse of each (a feature known late in one is known early in the other);
+    every order goes with a background row, in turn, until every row has been met equally often."""
+    rng = np.random.default_rng(seed)
+    out = []
+    while background and (len(out) < 2 * orders or len(out) % (2 * len(background))):
+        order = rng.permutation(n_features).tolist()
+        row = background[len(out) // 2 % len(background)]
+        out += [Draw(order, row), Draw(order[::-1], row)]
+    return out
+
+
+def sampled_contributions(rows: DataFrame, key: str, features: list[str], score: Callable[[DataFrame], DataFrame], classes: list[str],
+                          taken: list[Draw], vector_col: str = "features", tasks: int | None = None) -> DataFrame:
+    """H2 (any model): long rows (row_key, class, feature, contribution) plus a ``__base`` row per row_key and class.
+
+    ``score`` adds an array column ``score`` with one number for each of
+    ``classes`` to a table with a feature vector.  For each row and draw the
+    features become known one by one in the draw's order, unknown ones taking
+    the background's value; all these coalitions are one table, scored in bulk.
+    A feature's contribution is the mean change of the score when it becomes
+    known, so contributions and base (the background's mean score) sum to the
+    row's score exactly, and for all orders they are the Shapley values.
+
+    Each coalition counts once with a plus for the feature known last and once
+    with a minus for the one known next: a grouped sum, whose partial sums meet
+    in the task that made the coalitions, so one number for each row, class and
+    feature is shuffled.  The work is rows x draws x (features + 1) scores;
+    ``tasks`` spreads the rows over so many before it.
+    Rows of equal key and features are explained once; a null key is a key.
+    """
+    d = len(features)
+    if any(sorted(t.order) != list(range(d)) or len(t.background) != d for t in taken) or not taken:
+        raise ValueError("a draw needs an order of all features and a background value for each")
+    plan = F.array(*[F.struct(F.lit(i).alias("draw"), F.array(*[F.lit(int(j)) for j in t.order]).alias("order"),
+                              F.array(*[F.lit(int(j)) for j in np.argsort(t.order)]).alias("place"),
+                              F.array(*[F.lit(float(v)) for v in t.background]).alias("background")) for i, t in enumerate(taken)])
+    whole = rows if tasks is None else rows.repartition(tasks)
+    steps = (whole.select(F.col(key).cast("string").alias("row_key"), vector_to_array(vector_col).alias("__x"))
+            .select("*", F.explode(plan).alias("__d"))
+             .select("*", F.explode(F.sequence(F.lit(0), F.lit(d))).alias("__step")))
+    known = F.transform("__x", lambda v, j: F.when(F.get(F.col("__d.place"), j) < F.col("__step"), v).otherwise(F.get(F.col("__d.background"), j)))
+    # the names of the features are numbers until the sums are done; -1 is the base
+    last = F.when(F.col("__step") == 0, F.lit(-1)).otherwise(F.get(F.col("__d.order"), F.col("__step") - 1))
+    following = F.get(F.col("__d.order"), F.col("__step"))
+    scored = score(steps.select("row_key", "__x", last.alias("__last"), following.alias("__next"), array_to_vector(known).alias(vector_col)))
+    signs = F.array(F.struct(F.col("__last").alias("at"), F.lit(1.0).alias("sign")), F.struct(F.col("__next").alias("at"), F.lit(-1.0).alias("sign")))
+    sums = (scored.select("row_key", "__x", "score", F.inline(signs)).where(F.col("at").isNotNull())
+            .groupBy("row_key", "__x", "at")
+            .agg(F.sum(F.when(F.col("sign") > 0, 1)).alias("n"),   # the draws, for each of the equal rows
+                 *[F.sum(F.col("sign") * F.get("score", F.lit(k))).alias(f"s{k}") for k in range(len(classes))]))
+    names = F.array(*[F.lit(f) for f in [*features, "__base"]])
+    return (sums.select("row_key", F.when(F.col("at") < 0, F.lit(d)).otherwise(F.col("at")).alias("at"),
+                        F.inline(F.array(*[F.struct(F.lit(c).alias("class"), (F.col(f"s{k}") / F.col("n")).alias("contribution"))
+                                           for k, c in enumerate(classes)])))
+            .select("row_key", "class", F.get(names, F.col("at")).alias("feature"), "contribution"))
+
+
+def model_score(model) -> Callable[[DataFrame], DataFrame]:
+    """What ``sampled_contributions`` asks of a fitted model: class probabilities, or the prediction where there are none."""
+    def score(df: DataFrame) -> DataFrame:
+        kept = df.columns
+        out = model.transform(df)
+        value = vector_to_array("probability") if "probability" in out.columns else F.array("prediction")
+        return out.select(*[c for c in kept if c in out.columns], value.alias("score"))
+    return score
+
+
 def feature_importance(contrib: DataFrame) -> DataFrame:
     """H3: mean absolute contribution per feature over rows and classes."""
     return contrib.groupBy("feature").agg(F.avg(F.abs("contribution")).alias("importance"))
@@ -90,21 +191,35 @@ def drop_padding(df: DataFrame, genuine: list[str] | None = None) -> DataFrame:
 
 
 def explainable(kinds: list[str]) -> list[str]:
-    """H9: tree models are explained; the stack and the linear meta model are not."""
+    """H9: models explained by their trees; others are explained from samples, if a background is given."""
     return [k for k in kinds if k in EXPLAINABLE_KINDS]
 
 
-def explain_models(spark, models: dict, kinds: dict, rows: DataFrame, key: str, features: list[str]):
-    """H1 + H5 + H9 over a set of fitted models.
+def explain_models(spark, models: dict, kinds: dict, rows: DataFrame, key: str, features: list[str],
+                   taken: list[Draw] | None = None, classes: list[str] | None = None):
+    """H1 + H2 + H5 + H9 over a set of fitted models.
 
     Returns (contributions of every explained model with a ``model`` column,
-    status table (model, status, message)).  A model that is not explainable
-    or whose explanation fails gets a status row instead of silent zeros.
+    status table (model, status, message)).  Tree ensembles are explained by
+    their trees (margins); with ``taken`` any other model, the stack before all,
+    by sampled Shapley values of its ``classes``' probabilities or its
+    prediction.  A model that is not explainable or whose explanation fails
+    gets a status row instead of silent zeros.
     """
     parts, status = [], []
     for name, model in models.items():
         if kinds.get(name) not in EXPLAINABLE_KINDS or not any(hasattr(model, x) for x in ("trees", "rootNode", "models")):
-            status.append((name, "skipped", "not a tree ensemble"))
+            if not taken or not hasattr(model, "transform"):
+                status.append((name, "skipped", "not a tree ensemble"))
+                continue
+            tasks = tasks_for(rows.count() * len(taken) * (len(features) + 1))
+            try:
+                parts.append(sampled_contributions(rows, key, features, model_score(model), classes or ["prediction"], taken, tasks=tasks)
+                             .select(F.lit(name).alias("model"), "*"))
+            except Exception as e:  # noqa: BLE001  reported, not hidden
+                status.append((name, "failed", f"{type(e).__name__}: {e}"[:300]))
+                continue
+            status.append((name, "explained", f"sampled, {len(taken)} draws"))
             continue
         try:
             trees = ensemble_arrays(model)
@@ -250,8 +365,6 @@ def tree_contributions(df: DataFrame, key: str, features: list[str], trees: list
     the contributions and the base of a class sum to that output of the
     ensemble.  ``label`` names the class of an ensemble with one output.
     """
-    from pyspark.ml.functions import vector_to_array
-
     names = [*features, "__base"]
     width = len(features)
     leaves = [leaf_paths(t, width) for t in trees]

@@ -73,9 +73,22 @@ class Analysis:
         names = self.label_map.select(F.col("label").alias("prediction"), F.col("value").alias("predicted_class"))
         return scored.join(names, "prediction", "left")
 
-    def contributions(self, model: str, rows: DataFrame | None = None) -> DataFrame:
-        """H1: tree SHAP of a fitted model (default: of the validation rows); numbered classes get their original values."""
-        out = H.tree_contributions(self.val if rows is None else rows, "row_key", self.features.features, H.ensemble_arrays(self.models[model]))
+    def draws(self, orders: int = 4, background: int = 4) -> list[H.Draw]:
+        """Orders and training rows for explanations from samples."""
+        return H.draws(H.background_rows(self.train, background), len(self.features.features), orders)
+
+    def contributions(self, model: str, rows: DataFrame | None = None, orders: int = 4, background: int = 4) -> DataFrame:
+        """H1: tree SHAP of a fitted model (default: of the validation rows); numbered classes get their original values.
+
+        H2: the stack is explained from samples, by the probabilities of its classes.
+        """
+        rows, feats = self.val if rows is None else rows, self.features.features
+        if isinstance(self.models[model], M.StackModel):
+            taken = self.draws(orders, background)
+            out = H.sampled_contributions(rows, "row_key", feats, H.model_score(self.models[model]), [str(k) for k in range(self.n_classes)],
+                                          taken, tasks=B.tasks_for(rows.count() * len(taken) * (len(feats) + 1)))
+        else:
+            out = H.tree_contributions(rows, "row_key", feats, H.ensemble_arrays(self.models[model]))
         if self.label_map is None:
             return out
         names = self.label_map.select(F.col("label").cast("int").cast("string").alias("class"), F.col("value").cast("string").alias("__name"))

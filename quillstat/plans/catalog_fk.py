@@ -244,11 +244,12 @@ def k5_isolation_scores(spark, sf):
 @query("h5_explain_status")
 def h5_explain_status(spark, sf):
     """H5 + H9: which candidates were explained, with the number of
-    contribution rows; the stack is reported as skipped, and a failure is a
-    status row rather than silent zero importances."""
+    contribution rows; the stack is explained from samples (one order and its
+    reverse), and a failure is a status row rather than silent zero importances."""
     a = fitted(spark, sf, "binary", stack=True)
     kinds = {c.name: c.kind for c in M.CLASSIFICATION_CANDIDATES}
-    contrib, status = H.explain_models(spark, a.models, kinds, a.val, "row_key", a.features.features)
+    contrib, status = H.explain_models(spark, a.models, kinds, a.val, "row_key", a.features.features,
+                                      a.draws(orders=1, background=1), [str(k) for k in range(a.n_classes)])
     if contrib is None:
         return status.withColumn("n_rows", F.lit(None).cast("bigint"))
     counts = contrib.groupBy("model").agg(F.count(F.lit(1)).alias("n_rows"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from quillstat.operators import eda as E
@@ -22,17 +23,22 @@ _H_FEATS = ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 _H_POS = [f"f_{i}" for i in range(len(_H_FEATS))] + ["pad_0"]
 
 
-def _linear_explanation(spark, sf):
+def _linear_score(spark, sf):
     """Nearest-centroid linear score on the standardised features of lineitem,
-    explained exactly (coef * (z - 0)); features carry positional names plus
-    one zero padding feature, as in the reference's aligned matrix."""
+    and its coefficients; features carry positional names plus one zero padding
+    feature, as in the reference's aligned matrix.  A linear score is explained
+    exactly by coef * (z - 0)."""
     t = V.lineitem_targets(spark, sf)
     key = F.concat_ws("|", F.col("l_orderkey").cast("string"), F.col("l_linenumber").cast("string"))
     sc = D.fit_scalers(t, {c: F.col(c) for c in _H_FEATS})
     z = t.select(key.alias("row_key"), "qty_band",
                  *[D.scale(F.col(c), *sc[c]).alias(f"f_{i}") for i, c in enumerate(_H_FEATS)],
                  F.lit(0.0).alias("pad_0"))
-    coef = H.centroid_coefficients(z, "qty_band", _H_POS)
+    return z, H.centroid_coefficients(z, "qty_band", _H_POS)
+
+
+def _linear_explanation(spark, sf):
+    z, coef = _linear_score(spark, sf)
     return H.linear_contributions(z, "row_key", _H_POS, coef, {f: 0.0 for f in _H_POS})
 
 
@@ -62,6 +68,30 @@ def h2_linear_contributions(spark, sf):
     return c.select("row_key", "class", "feature", (F.round("contribution", 6) + F.lit(0.0)).alias("contribution"))
 
 
+_N_BACKGROUND = 3
+
+
+@query("h2_sampled_contributions", f"""{_Z_SQL},
+bg AS (SELECT {", ".join(f"avg({f}) AS b_{f}" for f in _H_POS)} FROM (SELECT * FROM z ORDER BY md5(row_key), {", ".join(_H_POS)} LIMIT {_N_BACKGROUND}) x)
+SELECT row_key, class, '__base' AS feature, round({" + ".join(f"c_{f} * b_{f}" for f in _H_POS)}, 6) + 0.0 AS contribution FROM z, coef, bg
+""" + "".join(f"UNION ALL SELECT row_key, class, '{f}', round(c_{f} * ({f} - b_{f}), 6) + 0.0 FROM z, coef, bg\n" for f in _H_POS))
+def h2_sampled_contributions(spark, sf):
+    """Any model's explanation, of a model whose Shapley values SQL can state: coef * (z - mean of the background)."""
+    z, coef = _linear_score(spark, sf)
+    rows = z.select("row_key", F.array(*_H_POS).alias("z")).withColumn("features", array_to_vector("z"))
+    table = {r["class"]: {} for r in coef.select("class").distinct().collect()}     # classes x features
+    for r in coef.collect():
+        table[r["class"]][r["feature"]] = r["coef"]
+    classes = sorted(table)
+
+    def score(df):
+        x = vector_to_array("features")
+        return df.withColumn("score", F.array(*[sum((F.get(x, F.lit(j)) * F.lit(table[c][f]) for j, f in enumerate(_H_POS)), F.lit(0.0)) for c in classes]))
+    taken = H.draws(H.background_rows(rows, _N_BACKGROUND), len(_H_POS), orders=_N_BACKGROUND)
+    out = H.sampled_contributions(rows, "row_key", _H_POS, score, classes, taken)
+    return out.select("row_key", "class", "feature", (F.round("contribution", 6) + F.lit(0.0)).alias("contribution"))
+
+
 @query("h3_feature_importance", f"{_Z_SQL} SELECT feature, round(importance, 6) + 0.0 AS importance FROM imp")
 def h3_feature_importance(spark, sf):
     imp = H.feature_importance(_linear_explanation(spark, sf))

@@ -1,7 +1,11 @@
 """Property tests: splits, ranks, medians, probabilities, SHAP additivity."""
 
+from itertools import permutations
+
 import numpy as np
 import pytest
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from quillstat.operators import eda as E
@@ -191,6 +195,75 @@ def test_explain_status_reports_skips(spark, small_dir):
     got = {r["model"]: r["status"] for r in status.collect()}
     assert got["stacking"] == "skipped" and got["boosted_trees"] == "explained"
     assert H.explainable(["boosted_trees", "stacking"]) == ["boosted_trees"]
+    # with draws the stack is explained too; its contributions and base sum to its probabilities
+    contrib, status = H.explain_models(spark, a.models, kinds, a.val, "row_key", a.features.features, a.draws(1, 1), ["0", "1"])
+    assert {(r["model"], r["status"]) for r in status.collect()} == {(m, "explained") for m in a.models}
+    sums = {(r["row_key"], r["class"]): r["p"] for r in contrib.where("model = 'stacking'").groupBy("row_key", "class").agg(F.sum("contribution").alias("p")).collect()}
+    want = a.models["stacking"].transform(a.val).select("row_key", vector_to_array("probability").alias("p")).collect()
+    assert set(sums) == {(r.row_key, str(k)) for r in want for k in (0, 1)}
+    single = [r for r in want if sum(o.row_key == r.row_key for o in want) == 1]   # row keys repeat in lineitem
+    assert single and all(abs(sums[(r.row_key, str(k))] - r.p[k]) < 1e-9 for r in single for k in (0, 1))
+    # an analysis names the classes by their own values
+    named = a.contributions("stacking", orders=1, background=2)
+    assert {r["class"] for r in named.select("class").distinct().collect()} == {str(r["value"]) for r in a.label_map.collect()}
+
+
+def test_sampled_contributions_equal_brute_force(spark):
+    """A score with interactions: all orders of four features give the Shapley values, for repeated rows, null keys and missing values too."""
+    rng = np.random.default_rng(3)
+    x = np.round(rng.standard_normal((12, 4)), 2)
+    x[5], x[6] = x[4], np.nan
+    keys = [str(i) for i in range(4)] + ["4", "4", "6", None] + ["same"] * 4
+    rows = spark.createDataFrame([(k, Vectors.dense(v.tolist())) for k, v in zip(keys, x)], ["row_key", "features"]).repartition(3)
+    back = [[0.5, -1.0, 2.0, 0.0], [1.0, 1.0, -0.5, 0.25]]
+
+    def value(v):
+        v = np.nan_to_num(np.asarray(v, float), nan=7.0)
+        return np.array([v[0] * v[1] + np.exp(v[2]) * (v[3] > 0), v[0] - v[1] * v[2] * v[3]])
+
+    def score(df):
+        z = F.transform(vector_to_array("features"), lambda c: F.when(F.isnan(c), 7.0).otherwise(c))
+        return (df.withColumn("__z", z).withColumn("score", F.array(
+            F.col("__z")[0] * F.col("__z")[1] + F.exp(F.col("__z")[2]) * F.when(F.col("__z")[3] > 0, 1.0).otherwise(0.0),
+            F.col("__z")[0] - F.col("__z")[1] * F.col("__z")[2] * F.col("__z")[3])).drop("__z"))
+
+    orders = list(permutations(range(4)))
+    taken = [H.Draw(list(o), b) for o in orders for b in back]
+    names = ["a", "b", "__base_", "d"]
+    got = {}
+    for r in H.sampled_contributions(rows, "row_key", names, score, ["u", "v"], taken, tasks=2).collect():
+        got.setdefault((r.row_key, r["class"], r.feature), []).append(r.contribution)
+    distinct = {(k, tuple(np.nan_to_num(v, nan=7.0))) for k, v in zip(keys, x)}
+    assert sum(map(len, got.values())) == len(distinct) * 2 * 5
+    for k, v in distinct:
+        want = np.zeros((2, 5))
+        want[:, 4] = np.mean([value(b) for b in back], axis=0)
+        for o in orders:
+            for b in back:
+                at = np.array(b)
+                for j in o:
+                    before = value(at)
+                    at[j] = v[j]
+                    want[:, j] += (value(at) - before) / len(taken)
+        for c, cls in enumerate(["u", "v"]):
+            for j, f in enumerate([*names, "__base"]):
+                assert any(abs(p - want[c, j]) < 1e-9 for p in got[(k, cls, f)])
+    empty = H.sampled_contributions(rows.limit(0), "row_key", names, score, ["u", "v"], taken)
+    assert empty.count() == 0 and empty.columns == ["row_key", "class", "feature", "contribution"]
+
+
+def test_draws_meet_every_background_row(spark):
+    back = [[float(i)] * 3 for i in range(5)]
+    taken = H.draws(back, 3, orders=2)
+    assert {tuple(t.background) for t in taken} == {tuple(b) for b in back} and len(taken) == 10
+    assert all(a.order == b.order[::-1] and a.background == b.background for a, b in zip(taken[::2], taken[1::2]))
+    rows = spark.createDataFrame([(str(i), Vectors.dense([float(i)])) for i in range(20)], ["row_key", "features"])
+    assert H.background_rows(rows, 4) == H.background_rows(rows.repartition(5), 4) and len(H.background_rows(rows, 4)) == 4
+    assert H.draws([], 3, orders=2) == []
+    with pytest.raises(ValueError):
+        H.background_rows(rows, H.MAX_BACKGROUND + 1)
+    with pytest.raises(ValueError):
+        H.sampled_contributions(rows, "row_key", ["a"], lambda df: df, ["u"], [])
 
 
 def test_rebalance_keeps_rows_and_interpolates(spark, small_dir):

@@ -20,16 +20,14 @@ NA_TOKENS = [
     "nan", "null",
 ]
 
-# Datetime layouts tried by the datetime rule; a column is datetime when one
-# layout parses every non-null value.  Spark pattern, DuckDB strptime twin and
-# the text shape a value must have before it is parsed (a cheap regex gate:
-# failed parses are expensive, and the gate fixes the accepted digit widths).
+# Datetime layouts of the given tables' text, as the SQL twins state them: strptime
+# layout and shape.  ``dates`` finds these and others without a list.
 DATETIME_FORMATS = [
-    ("yyyy-MM-dd", "%Y-%m-%d", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
-    ("yyyy-MM-dd HH:mm:ss", "%Y-%m-%d %H:%M:%S", r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"),
-    ("yyyy-MM-dd'T'HH:mm:ss", "%Y-%m-%dT%H:%M:%S", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}$"),
-    ("yyyy/MM/dd", "%Y/%m/%d", r"^[0-9]{4}/[0-9]{2}/[0-9]{2}$"),
-    ("MM/dd/yyyy", "%m/%d/%Y", r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"),
+    ("%Y-%m-%d", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}$"),
+    ("%Y-%m-%d %H:%M:%S", r"^[0-9]{4}-[0-9]{2}-[0-9]{2} [0-9]{2}:[0-9]{2}:[0-9]{2}$"),
+    ("%Y-%m-%dT%H:%M:%S", r"^[0-9]{4}-[0-9]{2}-[0-9]{2}T[0-9]{2}:[0-9]{2}:[0-9]{2}$"),
+    ("%Y/%m/%d", r"^[0-9]{4}/[0-9]{2}/[0-9]{2}$"),
+    ("%m/%d/%Y", r"^[0-9]{2}/[0-9]{2}/[0-9]{4}$"),
 ]
 
 # Numeric text: blanks around, optional sign, digits with optional fraction and exponent, or infinity.
@@ -83,20 +81,6 @@ def in_validation(*cols: Column | str, seed: int = SPLIT_SEED) -> Column:
     return md5_key(*cols, seed=seed) < F.lit(SPLIT_BOUND)
 
 
-def parse_timestamp(c: Column, spark_format: str, shape: str) -> Column:
-    """Strict parse with one layout; NULL when the text does not match.
-
-    The regex gate runs first so that text of another shape never reaches the
-    (exception-driven, slow) failing parse.
-    """
-    return F.when(c.rlike(shape), F.try_to_timestamp(c, F.lit(spark_format)))
-
-
-def parse_any_layout(c: Column) -> Column:
-    """First layout that parses the text, else NULL."""
-    return F.coalesce(*[parse_timestamp(c, fmt, shape) for fmt, _, shape in DATETIME_FORMATS])
-
-
 def strip_ws(c: Column) -> Column:
     """Remove leading and trailing whitespace including newlines (``trim`` keeps them)."""
     return F.regexp_replace(c, r"^\s+|\s+$", "")

@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quillstat.functions.exprs import DROP_MISSING_PCT, in_validation, md5_key, parse_any_layout
+from quillstat.functions import dates
+from quillstat.functions.exprs import DROP_MISSING_PCT, in_validation, md5_key
 from quillstat.operators.profile import DatasetInfo
 from quillstat.operators.ranking import exact_medians, global_rank
 
@@ -143,15 +144,16 @@ def encode(df: DataFrame, dictionary: DataFrame, cols: list[str], sizes: dict[st
 # Datetime parts
 # ---------------------------------------------------------------------------
 
-def parse_any(c: Column, dtype: T.DataType) -> Column:
-    """D7 parse: timestamps pass; text tries each layout; failures become null."""
+def parse_any(c: Column, dtype: T.DataType, day_first: bool = False) -> Column:
+    """D7 parse: timestamps pass; text is read by its shape; failures become null."""
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return c
-    return parse_any_layout(c.cast("string"))
+    return dates.wall_time(c.cast("string"), day_first)
 
 
-def date_parts(df: DataFrame, col: str) -> dict[str, Column]:
-    ts = parse_any(_q(col), df.schema[col].dataType)
+def date_parts(df: DataFrame, col: str, day_first: bool = False) -> dict[str, Column]:
+    """Year, month and day; ``day_first`` as ``dates.day_first_columns`` finds it for the whole column."""
+    ts = parse_any(_q(col), df.schema[col].dataType, day_first)
     return {f"{col}_year": F.year(ts), f"{col}_month": F.month(ts), f"{col}_day": F.dayofmonth(ts)}
 
 
@@ -216,8 +218,9 @@ def preprocess(df: DataFrame, info: DatasetInfo, target: str | None = None,
         elif c in categorical:
             exprs.append(_q(c).alias(c))
             names.append(c)
+    day_first = dates.day_first_columns(df, [c for c in datetime if isinstance(df.schema[c].dataType, T.StringType)])
     for c in datetime:
-        for n, e in date_parts(df, c).items():
+        for n, e in date_parts(df, c, c in day_first).items():
             exprs.append(e.alias(n))
             names.append(n)
     prepared = out.select(*exprs)

@@ -18,10 +18,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillstat.functions import dates
 from quillstat.session import estimated_bytes
 from quillstat.functions.exprs import (
-    DATETIME_FORMATS, MAX_CLASSES, MIN_REGRESSION_DISTINCT, SMALL_DATA_ROWS, TEXT_RATIO,
-    parse_timestamp,
+    MAX_CLASSES, MIN_REGRESSION_DISTINCT, SMALL_DATA_ROWS, TEXT_RATIO,
 )
 
 NUMERIC_TYPES = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
@@ -88,16 +88,16 @@ def profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.02) -> DataFr
     # Two aggregates: exact distinct counts are planned with an Expand that
     # repeats each row once per distinct column, so the per-row work of the
     # other statistics (pattern gates, date parses) must not ride along.
-    plain = [F.count(F.lit(1)).alias("__n")]
+    plain, cut = [F.count(F.lit(1)).alias("__n")], []
     for i, (f, kind) in enumerate(zip(fields, kinds)):
         v = _as_value(f.name, f.dataType)
         plain.append(F.count(v).alias(f"nn{i}"))
         if i in approx_cols:
             plain.append(F.approx_count_distinct(v, rsd).alias(f"nu{i}"))
         if kind == "string" and distinct != "none":
-            for j, (fmt, _, shape) in enumerate(DATETIME_FORMATS):
-                plain.append(F.count(parse_timestamp(v, fmt, shape)).alias(f"dt{i}_{j}"))
-    plain_df = df.agg(*plain)
+            cut.append(dates.pieces(v).alias(f"__pieces{i}"))
+            plain.extend(dates.layout_counts(F.col(f"__pieces{i}"), f"dt{i}"))
+    plain_df = (df.select("*", *cut) if cut else df).agg(*plain)
     if distinct == "hybrid":
         # the one-row result stands as a literal, so deciding which columns need
         # an exact count costs no extra pass over the data
@@ -110,8 +110,7 @@ def profile(df: DataFrame, distinct: str = "exact", rsd: float = 0.02) -> DataFr
         exact_cols = set(range(len(fields)))
     base_rows = []
     for i, (f, kind) in enumerate(zip(fields, kinds)):
-        parsed = (F.greatest(*[F.col(f"dt{i}_{j}") for j in range(len(DATETIME_FORMATS))])
-                  if kind == "string" and distinct != "none" else F.lit(None).cast("bigint"))
+        parsed = dates.dates_of_one_layout(f"dt{i}") if kind == "string" and distinct != "none" else F.lit(None).cast("bigint")
         base_rows.append(F.struct(F.lit(i).alias("ordinal"), F.col("__n").alias("n"), F.col(f"nn{i}").alias("nn"),
                                   parsed.alias("parsed"),
                                   (F.col(f"nu{i}") if i in approx_cols else F.lit(None).cast("bigint")).alias("nu_approx")))

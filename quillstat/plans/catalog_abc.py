@@ -91,6 +91,14 @@ def b2_semantic_type(spark, sf):
     return _profiles(spark, sf, lambda p, r: p.select("ordinal", "column_name", "semantic_type"), distinct="hybrid")
 
 
+_DATE_COLS = [c for c, _, _ in V.DATE_TEXTS] + ["two_layouts", "impossible", "remark"]
+
+
+@query("b2_date_layouts", O.date_types_sql(V.LINEITEM_DATES_SQL, _DATE_COLS))
+def b2_date_layouts(spark, sf):
+    return P.profile(V.lineitem_dates(spark, sf).select(*_DATE_COLS), distinct="hybrid").select("column_name", "semantic_type")
+
+
 @query("b3_missing_pct", f"SELECT table_name, column_name, n_missing, missing_pct FROM ({O.profiles_sql(PROFILED)}) p")
 def b3_missing_pct(spark, sf):
     return _profiles(spark, sf, lambda p, r: p.select("column_name", "n_missing", "missing_pct"), distinct="none")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from quillstat.functions import dates
 from quillstat.functions.exprs import DATETIME_FORMATS, SPLIT_BOUND, md5_key
 from quillstat.operators import prepare as D
 from quillstat.operators import profile as P
@@ -37,7 +38,7 @@ def _messy_prepared(spark, sf):
 def _ts_sql(expr: str) -> str:
     return "coalesce(" + ", ".join(
         f"CASE WHEN regexp_full_match({expr}, {O.lit(shape[1:-1])}) THEN try_strptime({expr}, {O.lit(f)}) END"
-        for _, f, shape in DATETIME_FORMATS) + ")"
+        for f, shape in DATETIME_FORMATS) + ")"
 
 
 def _sd(expr: str) -> str:
@@ -127,6 +128,19 @@ def d7_date_parts(spark, sf):
     return df.select(*_KEYS, *[e.alias(n) for n, e in parts.items()])
 
 
+_TEXT_DATES = [c for c, _, _ in V.DATE_TEXTS]
+
+
+@query("d7_text_dates", f"""SELECT l_orderkey, l_linenumber, {", ".join(
+    f"CAST({p}(moment) AS INTEGER) AS {c}_{p}" for c in _TEXT_DATES for p in ("year", "month", "day"))} FROM ({V.LINEITEM_DATES_SQL}) v""")
+def d7_text_dates(spark, sf):
+    """Date parts of every text layout; the order of day and month is settled by each column as a whole."""
+    df = V.lineitem_dates(spark, sf)
+    day_first = dates.day_first_columns(df, _TEXT_DATES)
+    parts = {n: e for c in _TEXT_DATES for n, e in D.date_parts(df, c, c in day_first).items()}
+    return df.select(*_KEYS, *[e.alias(n) for n, e in parts.items()])
+
+
 @query("d8_drop_text", f"SELECT table_name, column_name FROM ({O.profiles_sql(PROFILED)}) p WHERE semantic_type = 'text'")
 def d8_drop_text(spark, sf):
     out = []

@@ -40,7 +40,7 @@ def profile_sql(table: str) -> str:
         else:
             parsed = "greatest(" + ", ".join(
                 f"count(CASE WHEN regexp_full_match({col}, {lit(shape[1:-1])}) THEN try_strptime({col}, {lit(fmt)}) END)"
-                for _, fmt, shape in DATETIME_FORMATS) + ")"
+                for fmt, shape in DATETIME_FORMATS) + ")"
             st = (f"CASE WHEN {parsed} = {nn} THEN 'datetime' "
                   f"WHEN CAST({nu} AS DOUBLE) / greatest({n}, 1) > {TEXT_RATIO} THEN 'text' "
                   f"ELSE 'categorical' END")
@@ -52,6 +52,28 @@ def profile_sql(table: str) -> str:
     return union_all(parts)
 
 
+def date_layouts() -> list[tuple[str, str]]:
+    """strptime layouts and the shapes of their texts: every date form with every time form."""
+    n, y = "[0-9]{1,2}", "[0-9]{4}"
+    days = [(f"%Y{s}%m{s}%d", f"{y}{r}{n}{r}{n}") for s, r in (("-", "-"), ("/", "/"))]
+    days += [(f"%{a}{s}%{b}{s}%Y", f"{n}{r}{n}{r}{y}") for a, b in ("md", "dm") for s, r in (("/", "/"), (".", "[.]"), ("-", "-"))]
+    days += [("%d-%b-%Y", f"{n}-[A-Za-z]+-{y}"), ("%B %d, %Y", f"[A-Za-z]+ {n}, {y}")]
+    clock = f"{n}:[0-9]{{2}}"
+    times = [("", ""), (" %H:%M", f" {clock}"), (" %H:%M:%S", f" {clock}:[0-9]{{2}}"), ("T%H:%M:%S", f"T{clock}:[0-9]{{2}}"),
+             ("T%H:%M:%SZ", f"T{clock}:[0-9]{{2}}Z"), (" %H:%M:%S.%f", f" {clock}:[0-9]{{2}}[.][0-9]{{1,6}}"),
+             (" %H:%M:%S%z", f" {clock}:[0-9]{{2}}[+-][0-9]{{2}}:[0-9]{{2}}")]
+    return [(d + t, ds + ts) for d, ds in days for t, ts in times]
+
+
+def date_types_sql(rel: str, cols: list[str]) -> str:
+    """Rows (column_name, semantic_type) of text columns by ``date_layouts``."""
+    def one(c: str) -> str:
+        parsed = ", ".join(f"count(CASE WHEN regexp_full_match({q(c)}, {lit(shape)}) THEN try_strptime({q(c)}, {lit(fmt)}) END)" for fmt, shape in date_layouts())
+        return (f"SELECT {lit(c)} AS column_name, CASE WHEN greatest({parsed}) = count({q(c)}) THEN 'datetime' "
+                f"WHEN CAST(count(DISTINCT {q(c)}) AS DOUBLE) / greatest(count(*), 1) > {TEXT_RATIO} THEN 'text' ELSE 'categorical' END AS semantic_type FROM v")
+    return f"WITH v AS MATERIALIZED ({rel}) " + union_all([one(c) for c in cols])
+
+
 def profiles_sql(tables: list[str]) -> str:
     return union_all([profile_sql(t) for t in tables])
 

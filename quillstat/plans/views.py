@@ -67,6 +67,41 @@ LINEITEM_MESSY_SQL = f"""SELECT l_orderkey, l_linenumber, l_quantity, l_extended
   {na_sql('flag_text')} AS flag_text
 FROM ({LINEITEM_MESSY_RAW_SQL}) raw"""
 
+# ---------------------------------------------------------------------------
+# lineitem's ship time as text of many layouts
+# ---------------------------------------------------------------------------
+
+#: column, Spark layout, strptime layout; the time of day comes from the order key
+DATE_TEXTS = [
+    ("iso_utc", "yyyy-MM-dd'T'HH:mm:ss'Z'", "%Y-%m-%dT%H:%M:%SZ"),
+    ("iso_offset", "yyyy-MM-dd HH:mm:ss'+05:30'", "%Y-%m-%d %H:%M:%S+05:30"),
+    ("minutes", "yyyy/MM/dd HH:mm", "%Y/%m/%d %H:%M"),
+    ("fraction", "yyyy-MM-dd HH:mm:ss.SSSSSS", "%Y-%m-%d %H:%M:%S.%f"),
+    ("month_first", "M/d/yyyy", "%-m/%-d/%Y"),
+    ("day_first", "dd/MM/yyyy", "%d/%m/%Y"),
+    ("dotted", "d.M.yyyy HH:mm", "%-d.%-m.%Y %H:%M"),
+    ("named", "dd-MMM-yyyy", "%d-%b-%Y"),
+    ("spelt", "MMMM d, yyyy", "%B %-d, %Y"),
+]
+
+
+def lineitem_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``DATE_TEXTS``, and texts that are no dates as a whole: two layouts in one column, an impossible day, dates with remarks."""
+    t = (_t(spark, sf_dir, "lineitem")
+         .withColumn("at", F.timestamp_add("SECOND", (F.col("l_orderkey") % 86400).cast("int"), F.col("l_shipdate").cast("timestamp_ntz"))))
+    return t.select("l_orderkey", "l_linenumber", "at", *[F.date_format("at", fmt).alias(c) for c, fmt, _ in DATE_TEXTS],
+                    F.when(F.col("l_linenumber") == 1, F.date_format("at", "yyyy-MM-dd")).otherwise(F.date_format("at", "M/d/yyyy")).alias("two_layouts"),
+                    F.when(F.col("l_linenumber") == 1, "2024-02-30").otherwise(F.date_format("at", "yyyy-MM-dd")).alias("impossible"),
+                    F.concat(F.date_format("at", "yyyy-MM-dd"), F.lit(" about")).alias("remark"))
+
+
+LINEITEM_DATES_SQL = f"""SELECT l_orderkey, l_linenumber, moment, {", ".join(f"strftime(moment, '{fmt}') AS {c}" for c, _, fmt in DATE_TEXTS)},
+  CASE WHEN l_linenumber = 1 THEN strftime(moment, '%Y-%m-%d') ELSE strftime(moment, '%-m/%-d/%Y') END AS two_layouts,
+  CASE WHEN l_linenumber = 1 THEN '2024-02-30' ELSE strftime(moment, '%Y-%m-%d') END AS impossible,
+  strftime(moment, '%Y-%m-%d') || ' about' AS remark
+FROM (SELECT *, CAST(l_shipdate AS TIMESTAMP) + to_seconds(l_orderkey % 86400) AS moment FROM lineitem) x"""
+
+
 MESSY_KINDS = [
     ("l_orderkey", "numeric"), ("l_linenumber", "numeric"), ("l_quantity", "numeric"),
     ("l_extendedprice", "numeric"), ("l_returnflag", "string"), ("l_linestatus", "string"),

@@ -48,6 +48,36 @@ def sparse_columns(info: DatasetInfo, threshold: float = DROP_MISSING_PCT) -> li
     return [c.name for c in info.columns.values() if c.missing_pct > threshold]
 
 
+def text_columns(info: DatasetInfo) -> list[str]:
+    """Free-text columns, which the prepared table leaves out."""
+    return [c.name for c in info.columns.values() if c.semantic_type == "text"]
+
+
+def feature_roles(df: DataFrame, info: DatasetInfo, target: str, exclude: list[str] | None = None) -> dict[str, str]:
+    """The role of every profiled column that ``df`` has.
+
+    ``target``; ``excluded`` (row keys and the like); ``numeric``; ``temporal``
+    (timestamps, which become date parts); ``encoded`` (categories and dates in
+    text); ``dropped`` (free text).
+    """
+    roles = {}
+    for c in info.columns.values():
+        if c.name not in df.columns:
+            continue
+        physical = df.schema[c.name].dataType
+        if c.name == target:
+            roles[c.name] = "target"
+        elif c.name in set(exclude or []):
+            roles[c.name] = "excluded"
+        elif c.semantic_type == "numeric":
+            roles[c.name] = "numeric"
+        elif isinstance(physical, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+            roles[c.name] = "temporal"
+        else:
+            roles[c.name] = "encoded" if c.semantic_type in ("categorical", "datetime") else "dropped"
+    return roles
+
+
 # ---------------------------------------------------------------------------
 # Numeric parameters
 # ---------------------------------------------------------------------------
@@ -144,6 +174,23 @@ def encode(df: DataFrame, dictionary: DataFrame, cols: list[str], sizes: dict[st
 # Datetime parts
 # ---------------------------------------------------------------------------
 
+
+def decode(df: DataFrame, dictionary: DataFrame, cols: list[str]) -> DataFrame:
+    """The inverse of ``encode``: every code becomes its value again.
+
+    A missing value comes back as the dictionary's missing token; null and codes
+    that the dictionary does not hold become null.  The dictionary's part for a column
+    is left to Spark's size check: a broadcast if small, else a shuffle join.
+    """
+    for c in cols:
+        part = dictionary.where(F.col("column_name") == c).select(F.col("code").alias("__code"), F.col("value").alias("__value"))
+        rest = [_q(x) for x in df.columns]
+        at = df.columns.index(c)
+        df = (df.join(part, _q(c).cast("double") == F.col("__code").cast("double"), "left")
+              .select(*rest[:at], F.col("__value").alias(c), *rest[at + 1:]))
+    return df
+
+
 def parse_any(c: Column, dtype: T.DataType, day_first: bool = False) -> Column:
     """D7 parse: timestamps pass; text is read by its shape; failures become null."""
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType, T.DateType)):
@@ -199,7 +246,7 @@ def preprocess(df: DataFrame, info: DatasetInfo, target: str | None = None,
     numeric = [c for c in cols if kind[c] == "numeric"]
     categorical = [c for c in cols if kind[c] == "categorical"]
     datetime = [c for c in cols if kind[c] == "datetime"]
-    text = [c for c in cols if kind[c] == "text"]
+    text = [c for c in text_columns(info) if c in cols]
 
     medians = fit_medians(df, numeric)
     imputed = impute(medians)
@@ -328,11 +375,18 @@ def validation_or_train(df: DataFrame, flag: str = "is_validation") -> tuple[Dat
     the validation side is empty."""
     train = df.where(~F.col(flag))
     val = df.where(F.col(flag))
-    if val.limit(1).count() == 0:
+    if val.isEmpty():
         return train, train, True
     return train, val, False
 
 
+def validation_report(df: DataFrame, flag: str = "is_validation") -> DataFrame:
+    """E11 as one row: rows to train on, rows held out, and the side that metrics are taken on."""
+    held = F.count(F.when(F.col(flag), 1))
+    return df.agg(F.count(F.when(~F.col(flag), 1)).alias("n_train"), held.alias("n_validation"),
+                  F.when(held == 0, "train").otherwise("validation").alias("validated_on"))
+
+
 def class_weights(df: DataFrame, label: str = "label", weight_col: str = "weight") -> DataFrame:
     """Balanced weights n / (k * n_class).
 
@@ -354,6 +408,23 @@ def with_class_weights(df: DataFrame, label: str = "label", weight_col: str = "w
 # The training feature matrix
 # ---------------------------------------------------------------------------
 
+def pad_columns(df: DataFrame, names: list[str]) -> DataFrame:
+    """The named columns that ``df`` lacks, as zeros behind its own (no join by position)."""
+    return df.withColumns({n: F.lit(0.0) for n in names if n not in df.columns})
+
+
+def align_features(df: DataFrame, features: list[str], n: int, prefix: str = "f_", keep: list[str] | None = None) -> DataFrame:
+    """E5: the first ``n`` features as ``f_0 .. f_(n-1)``; if there are fewer, zeros fill up.
+
+    ``keep`` names other columns to carry along (row key, label).
+    """
+    names = [f"{prefix}{k}" for k in range(n)]
+    clash = sorted(set(keep or []) & set(names))
+    if clash:
+        raise ValueError(f"columns to keep have the names of features: {clash}")
+    return pad_columns(df.select(*[_q(c) for c in keep or []], *[_q(c).alias(a) for c, a in zip(features, names)]), names)
+
+
 @dataclass
 class FeatureModel:
     """Fitted training preparation; ``transform`` applies it to any rows
@@ -403,20 +474,9 @@ def fit_features(df: DataFrame, info: DatasetInfo, target: str, fit_rows: DataFr
     features with no value at all are dropped (E3).
     """
     fit_rows = fit_rows if fit_rows is not None else df
-    exclude = set(exclude or [])
-    numeric, encoded, temporal, dropped = [], [], [], []
-    for c in info.columns.values():
-        if c.name == target or c.name in exclude or c.name not in df.columns:
-            continue
-        physical = df.schema[c.name].dataType
-        if c.semantic_type == "numeric":
-            numeric.append(c.name)
-        elif isinstance(physical, (T.TimestampType, T.TimestampNTZType, T.DateType)):
-            temporal.append(c.name)
-        elif c.semantic_type in ("categorical", "datetime"):
-            encoded.append(c.name)
-        else:
-            dropped.append(c.name)
+    roles = feature_roles(df, info, target, exclude)
+    numeric, encoded, temporal, dropped = ([c for c, r in roles.items() if r == role]
+                                           for role in ("numeric", "encoded", "temporal", "dropped"))
     # +1 for the missing token, +10% headroom for an estimated distinct count
     sizes = {c: int(info.columns[c].n_unique * 1.1) + 1 for c in encoded}
     dictionary = fit_dictionary(fit_rows, encoded, NAN_TOKEN, sizes).persist(StorageLevel.MEMORY_AND_DISK)

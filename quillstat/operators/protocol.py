@@ -4,9 +4,9 @@
   hash bound from the dataset's count cuts it down to about n before the rank.
 * K2 ``drop_rare_classes``: classes under 50 rows are removed (semi-join on
   the class-count table).
-* K3 ``rebalance``: synthetic minority rows by interpolating each row with
-  its neighbour in a random-projection order inside (class, replicate,
-  projection bucket) groups — no pairwise comparison within a class.
+* K3 ``rebalance``: synthetic minority rows between a row and one of its
+  nearest neighbours of the same class; ``nearest_in_class`` finds them in
+  blocks of bounded size along several locality-preserving orders.
 * K4 ``clusters``: MLlib k-means on the assembled features.
 * K5 ``isolation_scores``: isolation forest; each tree is grown with
   ``groupBy(tree).applyInPandas`` on a hash sample of at most ``sample_size``
@@ -26,9 +26,13 @@ from pyspark.sql import functions as F
 
 from quillstat.functions.exprs import md5_key
 from quillstat.operators.ranking import global_rank
+from quillstat.session import cut_lineage, ship_package
 
 MIN_CLASS_ROWS = 50
-MAX_CLASSES = 10_000
+NEIGHBOURS = 5
+BLOCK_ROWS = 512      # rows compared with each other in one task
+ORDERS = 8            # locality-preserving orders that a row is looked up in
+MAX_DIRECTIONS = 8    # random directions that an order interleaves
 CLASS_TABLE_BROADCAST_LIMIT = 1_000_000
 
 
@@ -68,56 +72,123 @@ def _unit_hash(*cols: Column) -> Column:
     return F.pmod(F.xxhash64(*cols), F.lit(1 << 62)).cast("double") / float(1 << 62)
 
 
+def _zorder(orders: int, width: int, seed: int = 42):
+    """For every order: a random rotation, shift and the interleaved bits of the turned coordinates (a Z-curve)."""
+    rng = np.random.default_rng(seed)
+    p = min(width, MAX_DIRECTIONS)
+    bits = min(16, 62 // max(1, p))
+    turns = [np.linalg.qr(rng.standard_normal((width, width)))[0][:, :p] for _ in range(orders)]
+    shifts = rng.random((orders, p))
+
+    def codes(x: np.ndarray) -> np.ndarray:
+        out = np.zeros((len(x), orders), np.int64)
+        for o in range(orders):
+            place = np.clip((x @ turns[o] + 8) / 18 + shifts[o] / 9, 0, 1 - 1e-9)   # deviations of -8 to 8, shifted by up to 2
+            cell = (place * (1 << bits)).astype(np.int64)
+            for b in range(bits):
+                for j in range(p):
+                    out[:, o] |= ((cell[:, j] >> b) & 1) << (b * p + j)
+        return out
+    return codes
+
+
+def nearest_in_class(df: DataFrame, label: str, row: str, features: str, k: int = NEIGHBOURS,
+                     orders: int = ORDERS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """K3: (row, near): up to ``k`` nearest rows of the same class, as structs (distance, row, x), nearest first.
+
+    ``row`` is a unique number and ``features`` an array of finite, standardised
+    doubles.  In each of several randomly turned and shifted Z-orders, rows are
+    ranked by (class, code, row) and cut into blocks of exactly ``block_rows``
+    rows; a block's rows are compared with each other in one task and the
+    nearest over all orders stay.  Blocks are cut by rank, so a class of a
+    billion identical rows is as many bounded blocks, and no row is left out.
+    Work grows with rows x orders x block_rows.  A row alone in its class has no
+    entry.  The search is approximate: neighbours that no order brings into one
+    block are missed (the tests measure the share found).
+    """
+    ship_package(df.sparkSession)
+    width = df.select(F.size(features)).first()
+    width = width[0] if width else 1
+
+    def coded(batches):
+        codes = _zorder(orders, width)
+        for pdf in batches:
+            x = np.stack(pdf["x"].to_numpy()) if len(pdf) else np.zeros((0, width))
+            z = codes(x)
+            for o in range(orders):
+                yield pdf.assign(which=np.int32(o), code=z[:, o])
+
+    def compared(block: pd.DataFrame) -> pd.DataFrame:
+        ids, x = block["row"].to_numpy(), np.stack(block["x"].to_numpy())
+        rows, near = [], []
+        for _, own in block.groupby("class", sort=False, dropna=False).indices.items():
+            if len(own) < 2:
+                continue
+            take = min(k, len(own) - 1)
+            z = x[own] - x[own].mean(axis=0)
+            square = (z * z).sum(axis=1)
+            d = np.sqrt(np.maximum(square[:, None] + square[None, :] - 2 * z @ z.T, 0))
+            np.fill_diagonal(d, np.inf)
+            best = np.argpartition(d, take - 1, axis=1)[:, :take]
+            for i, js in enumerate(best):
+                rows.append(ids[own[i]])
+                near.append([{"distance": float(d[i, j]), "row": int(ids[own[j]]), "x": x[own[j]].tolist()} for j in js])
+        return pd.DataFrame({"row": np.array(rows, np.int64), "near": near})
+
+    base = df.select(F.col(label).cast("string").alias("class"), F.col(row).cast("long").alias("row"), F.col(features).alias("x"))
+    placed = base.mapInPandas(coded, "class string, row long, x array<double>, which int, code long")
+    ranked = global_rank(placed, [F.col("which"), F.col("class"), F.col("code"), F.col("row")], "rank0")
+    found = (ranked.withColumn("block", F.floor(F.col("rank0") / block_rows)).groupBy("which", "block")
+             .applyInPandas(compared, "row long, near array<struct<distance:double,row:long,x:array<double>>>"))
+    # a pair met in several orders may differ in its last digits: the row says what is one neighbour
+    each = (found.select("row", F.explode("near").alias("e"))
+            .groupBy("row", F.col("e.row").alias("other")).agg(F.min("e.distance").alias("distance"), F.first("e.x").alias("x")))
+    sorted_near = F.array_sort(F.collect_list(F.struct("distance", F.col("other").alias("row"), "x")))   # at most k x orders a row
+    return each.groupBy("row").agg(F.slice(sorted_near, 1, k).alias("near"))
+
+
 def rebalance(df: DataFrame, label: str, key: str, features: list[str], total: int | None = None,
-              bucket_rows: int = 4096) -> DataFrame:
+              neighbours: int = NEIGHBOURS) -> DataFrame:
     """K3: synthetic rows bring every class up to the largest.
 
     A class of n rows that lacks m gets exactly m: every row is replicated
-    m // n times, and the first m % n rows in hash order once more.  Within a
-    replicate, rows are ordered along a random projection (another one per
-    replicate) inside buckets of it, and each is interpolated towards the next
-    with a hash weight; buckets narrow as a class grows, to about
-    ``bucket_rows`` rows.  ``total`` bounds all rows of the result, if given: the
-    classes then share what is left in proportion to what they lack.  Synthetic
-    rows are marked ``synthetic = true``.
+    m // n times, and the first m % n rows in hash order once more.  Each copy
+    moves by a hash weight towards one of the row's ``neighbours`` nearest rows
+    of its class (drawn by hash; a row alone in its class is copied; a null
+    feature stays null).  ``total`` bounds all rows of the result, if given: the
+    classes then share what is left in proportion to what they lack.  The class
+    table is joined, never collected, so the number of classes is not bounded.
+    Synthetic rows are marked ``synthetic = true``.
     """
-    found = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("n")).limit(MAX_CLASSES + 1).collect()
-    if len(found) > MAX_CLASSES:
-        raise ValueError(f"{label} has more than {MAX_CLASSES} classes")
-    counts = {r[label]: r["n"] for r in found}
     originals = df.select(key, label, *features).withColumn("synthetic", F.lit(False))
-    largest = max(counts.values(), default=0)
-    need = {c: largest - n for c, n in counts.items() if n < largest}
-    if total is not None and sum(need.values()):
-        share = min(1.0, max(0, total - sum(counts.values())) / sum(need.values()))
-        need = {c: int(m * share) for c, m in need.items()}
-    need = {c: m for c, m in need.items() if m > 0}
-    if not need:
+    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count(F.lit(1)).alias("__n"))
+    whole = counts.agg(F.max("__n").alias("top"), F.sum("__n").alias("n"), F.count(F.lit(1)).alias("k")).first()
+    if not whole["k"] or whole["top"] * whole["k"] == whole["n"]:
+        return originals
+    share = 1.0 if total is None else min(1.0, max(0, total - whole["n"]) / (whole["top"] * whole["k"] - whole["n"]))
+    plan = counts.withColumn("__need", F.floor((F.lit(whole["top"]) - F.col("__n")) * F.lit(share))).where("__need > 0")
+    minority = df.select(key, label, *features).join(plan, label)
+    order = [F.col(label), _unit_hash(F.col(key).cast("string"), F.lit("rest")), F.col(key), *[F.col(f) for f in features]]
+    ranked = cut_lineage(global_rank(minority, order, "__g"))
+    st = ranked.agg(*[F.avg(f).alias(f"m{i}") for i, f in enumerate(features)],
+                    *[F.stddev_pop(f).alias(f"s{i}") for i, f in enumerate(features)]).first()
+    if st is None or st["m0"] is None and ranked.isEmpty():
         return originals
-    per_class = lambda f: F.element_at(F.create_map(*[x for c in need for x in (F.lit(c), F.lit(f(c)))]), F.col(label))
-    minority = df.where(F.col(label).isin(list(need)))
-    order = _unit_hash(F.col(key).cast("string"), F.lit("rest"))
-    ranked = global_rank(minority.select(key, label, *features).withColumn("__h", order), [F.col(label), F.col("__h"), F.col(key)], "__g")
-    start, before = {}, 0
-    for c in sorted(need):
-        start[c], before = before, before + counts[c]
-    copies = per_class(lambda c: need[c] // counts[c]) + F.when(F.col("__g") - per_class(lambda c: start[c]) < per_class(lambda c: need[c] % counts[c]), 1).otherwise(0)
-    exploded = (ranked.withColumn("__copies", copies).where("__copies > 0")
-                .withColumn("__rep", F.explode(F.sequence(F.lit(1), F.col("__copies").cast("int")))))
-    # project standardised features so that the bucket width means the same on every scale
-    st = minority.agg(*[F.avg(f).alias(f"m{i}") for i, f in enumerate(features)],
-                      *[F.stddev_pop(f).alias(f"s{i}") for i, f in enumerate(features)]).first()
-    z = [(F.col(f) - F.lit(st[f"m{i}"] or 0.0)) / F.lit(st[f"s{i}"] or 1.0) for i, f in enumerate(features)]
-    proj = sum((_unit_hash(F.lit(i), F.col("__rep")) - 0.5) * z[i] for i in range(len(features)))
-    width = per_class(lambda c: min(1.0, bucket_rows / counts[c]))
-    exploded = exploded.withColumn("__proj", proj).withColumn("__bucket", F.floor(F.col("__proj") / width))
-    w = Window.partitionBy(label, "__rep", "__bucket").orderBy("__proj", key)
+    z = [F.coalesce((F.col(f) - F.lit(st[f"m{i}"] or 0.0)) / F.lit(st[f"s{i}"] or 1.0), F.lit(0.0)).cast("double") for i, f in enumerate(features)]
+    near = nearest_in_class(ranked.select(label, "__g", F.array(*z).alias("__x")), label, "__g", "__x", neighbours)
+    near = near.select(F.col("row").alias("__g"), F.transform("near", lambda e: e["x"]).alias("__near"))
+    first = ranked.groupBy(label).agg(F.min("__g").alias("__first"))
+    extra = F.when(F.col("__g") - F.col("__first") < F.pmod(F.col("__need"), F.col("__n")), 1).otherwise(0)
+    copies = (ranked.join(first, label).withColumn("__copies", (F.floor(F.col("__need") / F.col("__n")) + extra).cast("int")).where("__copies > 0")
+              .join(near, "__g", "left").withColumn("__rep", F.explode(F.sequence(F.lit(1), F.col("__copies")))))
+    drawn = F.pmod(F.xxhash64(F.col("__g"), F.col("__rep"), F.lit("partner")), F.size("__near"))
+    partner = F.when(F.size("__near") > 0, F.try_element_at("__near", (drawn + 1).cast("int")))
     u = _unit_hash(F.col(key), F.col("__rep"))
-    synth = exploded.select(
+    synth = copies.withColumn("__to", partner).select(
         F.concat_ws("#", F.col(key).cast("string"), F.lit("syn"), F.col("__rep").cast("string")).alias(key),
         label,
-        *[(F.col(f) + u * (F.coalesce(F.lead(f).over(w), F.lag(f).over(w), F.col(f)) - F.col(f))).alias(f)
-          for f in features])
+        *[(F.col(f) + u * F.coalesce(F.col("__to")[i] * F.lit(st[f"s{i}"] or 1.0) + F.lit(st[f"m{i}"] or 0.0) - F.col(f), F.lit(0.0))).alias(f)
+          for i, f in enumerate(features)])
     return originals.unionByName(synth.withColumn("synthetic", F.lit(True)))
 
 

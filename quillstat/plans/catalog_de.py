@@ -75,8 +75,8 @@ def d1_preprocess(spark, sf):
 
 @query("d2_drop_sparse", f"SELECT column_name, missing_pct FROM ({O.profile_sql('lineitem_messy')}) p WHERE missing_pct > 60")
 def d2_drop_sparse(spark, sf):
-    prof = P.profile(V.lineitem_messy(spark, sf), distinct="none")
-    return prof.where(F.col("missing_pct") > 60).select("column_name", "missing_pct")
+    info = P.collect_info(P.profile(V.lineitem_messy(spark, sf), distinct="none"))
+    return spark.createDataFrame([(c, info.columns[c].missing_pct) for c in D.sparse_columns(info)], "column_name string, missing_pct double")
 
 
 @query("d3_median_impute", f"{_D_BASE} SELECT k_order AS l_orderkey, k_line AS l_linenumber, "
@@ -143,11 +143,8 @@ def d7_text_dates(spark, sf):
 
 @query("d8_drop_text", f"SELECT table_name, column_name FROM ({O.profiles_sql(PROFILED)}) p WHERE semantic_type = 'text'")
 def d8_drop_text(spark, sf):
-    out = []
-    for t in PROFILED:
-        prof = P.profile(V.relation(spark, sf, t))
-        out.append(prof.where(F.col("semantic_type") == "text").select(F.lit(t).alias("table_name"), "column_name"))
-    return union_all(out)
+    infos = {t: P.collect_info(P.profile(V.relation(spark, sf, t), distinct="hybrid")) for t in PROFILED}
+    return spark.createDataFrame([(t, c) for t, info in infos.items() for c in D.text_columns(info)], "table_name string, column_name string")
 
 
 @query("d9_fitted_params", f"""{_D_BASE}
@@ -164,6 +161,16 @@ def d9_fitted_params(spark, sf):
     return _round_doubles(fitted.params(spark).select("column_name", "kind", "median", "mean", "std", "n_codes"))
 
 
+@query("d9_decode", f"SELECT k AS row_key, {', '.join(f"coalesce(CAST({c} AS VARCHAR), 'missing') AS {c}" for c in _D_CAT)} "
+       f"FROM (SELECT *, CAST(l_orderkey AS VARCHAR) || '|' || CAST(l_linenumber AS VARCHAR) AS k FROM {_M} mm) m")
+def d9_decode(spark, sf):
+    df = V.lineitem_messy(spark, sf)
+    dictionary = D.fit_dictionary(df, _D_CAT, D.MISSING_TOKEN)
+    sizes = {r["column_name"]: r["n"] for r in dictionary.groupBy("column_name").agg(F.count(F.lit(1)).alias("n")).collect()}
+    codes = D.encode(df.select(*_KEYS, *_D_CAT), dictionary, _D_CAT, sizes, D.MISSING_TOKEN)
+    return D.decode(codes, dictionary, _D_CAT).select(F.concat_ws("|", *[F.col(k).cast("string") for k in _KEYS]).alias("row_key"), *_D_CAT)
+
+
 # ===========================================================================
 # E. Training-set preparation
 # ===========================================================================
@@ -195,10 +202,10 @@ def _messy_features(spark, sf):
 @query("e1_feature_roles", f"""SELECT column_name, CASE WHEN column_name = '{E_TARGET}' THEN 'target'
   WHEN semantic_type = 'text' THEN 'dropped' ELSE 'feature' END AS role FROM ({O.profile_sql('lineitem_messy')}) p""")
 def e1_feature_roles(spark, sf):
-    prof = P.profile(V.lineitem_messy(spark, sf), distinct="hybrid")
-    role = (F.when(F.col("column_name") == E_TARGET, "target")
-            .when(F.col("semantic_type") == "text", "dropped").otherwise("feature"))
-    return prof.select("column_name", role.alias("role"))
+    df = V.lineitem_messy(spark, sf)
+    roles = D.feature_roles(df, P.collect_info(P.profile(df, distinct="hybrid")), E_TARGET)
+    shown = [(c, r if r in ("target", "dropped") else "feature") for c, r in roles.items()]
+    return spark.createDataFrame(shown, "column_name string, role string")
 
 
 @query("e2_encode_all", _dict_sql(_E_ENC, "nan"))
@@ -312,10 +319,7 @@ def e11_validate_on_train(spark, sf):
     out = []
     for t, k in _SMALL.items():
         s = D.hash_split(V.load_testdata(spark, sf, t), [k])
-        n_val = F.count(F.when(F.col("is_validation"), 1))
-        out.append(s.agg(F.lit(t).alias("table_name"), F.count(F.when(~F.col("is_validation"), 1)).alias("n_train"),
-                         n_val.alias("n_validation"),
-                         F.when(n_val == 0, "train").otherwise("validation").alias("validated_on")))
+        out.append(D.validation_report(s).select(F.lit(t).alias("table_name"), "n_train", "n_validation", "validated_on"))
     return union_all(out)
 
 
@@ -346,7 +350,7 @@ _E_ALIGN_PAD = 20
 def e5_align_features(spark, sf):
     df, fm = _messy_features(spark, sf)
     x = fm.transform(df)
-    return _round_doubles(x.select(*[F.col(c).alias(f"f_{k}") for k, c in enumerate(fm.features[:_E_ALIGN_TRUNC])]))
+    return _round_doubles(D.align_features(x, fm.features, _E_ALIGN_TRUNC))
 
 
 @query("e12_pad_columns", f"{_E_BASE} SELECT "
@@ -356,6 +360,4 @@ def e5_align_features(spark, sf):
 def e12_pad_columns(spark, sf):
     df, fm = _messy_features(spark, sf)
     x = fm.transform(df)
-    named = x.select(*[F.col(c).alias(f"f_{k}") for k, c in enumerate(fm.features)])
-    pads = {f"f_{k}": F.lit(0.0) for k in range(len(fm.features), _E_ALIGN_PAD)}
-    return _round_doubles(named.withColumns(pads))
+    return _round_doubles(D.align_features(x, fm.features, _E_ALIGN_PAD))

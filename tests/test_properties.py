@@ -282,6 +282,53 @@ def test_rebalance_keeps_rows_and_interpolates(spark, small_dir):
         assert syn[i] >= lo_hi[i] - 1e-9 and syn[len(feats) + i] <= lo_hi[len(feats) + i] + 1e-9
 
 
+def test_neighbours_in_class_are_the_true_ones(spark):
+    """On 5,000 rows of three classes: at least 90% of the true five nearest are found; identical rows meet in bounded blocks."""
+    from quillstat.operators import protocol as K
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((5000, 4))
+    cls = rng.choice(["a", "b", "c"], 5000, p=[0.7, 0.29, 0.01])
+    df = spark.createDataFrame([(str(c), i, v.tolist()) for i, (c, v) in enumerate(zip(cls, x))], "c string, i long, x array<double>")
+    found = {r["row"]: {e["row"] for e in r["near"]} for r in K.nearest_in_class(df, "c", "i", "x").collect()}
+    hit = 0
+    for c in "abc":
+        own = np.flatnonzero(cls == c)
+        d = ((x[own][:, None] - x[own][None]) ** 2).sum(axis=2)
+        np.fill_diagonal(d, np.inf)
+        for i, js in zip(own, np.argsort(d, axis=1)[:, :5]):
+            assert len(found[i]) == 5 and i not in found[i] and all(cls[j] == c for j in found[i])
+            hit += len(found[i] & set(own[js].tolist()))
+    assert hit >= 0.9 * 5 * 5000
+    same = spark.range(3000).select(F.lit("s").alias("c"), F.col("id").alias("i"), F.array(*[F.lit(1.0)] * 4).alias("x"))
+    near = K.nearest_in_class(same, "c", "i", "x", block_rows=100).collect()
+    assert len(near) == 3000 and all(len(r["near"]) == 5 and all(e["distance"] == 0 for e in r["near"]) for r in near)
+
+
+def test_rebalance_edges(spark):
+    """Nulls, a row alone in its class, repeated keys, many classes, an empty table."""
+    from quillstat.operators import protocol as K
+    schema = "k string, y string, a double, b double"
+    rows = [(f"m{i}", "big", float(i), 1.0) for i in range(20)] + [("one", "single", 5.0, None)] + [("r", "twice", 1.0, 2.0)] * 2 + [("n", None, 0.0, 0.0)]
+    out = K.rebalance(spark.createDataFrame(rows, schema), "y", "k", ["a", "b"]).collect()
+    n = {(y, s): sum(1 for r in out if r["y"] == y and r["synthetic"] == s) for y in ("big", "single", "twice", None) for s in (False, True)}
+    assert n == {("big", False): 20, ("big", True): 0, ("single", False): 1, ("single", True): 19, ("twice", False): 2, ("twice", True): 18,
+                 (None, False): 1, (None, True): 0}
+    assert all(r["a"] == 5.0 and r["b"] is None for r in out if r["y"] == "single")
+    assert K.rebalance(spark.createDataFrame([], schema), "y", "k", ["a", "b"]).count() == 0
+
+
+def test_decode_is_the_inverse_of_encode_and_features_are_padded(spark):
+    from quillstat.operators import prepare as D
+    df = spark.createDataFrame([("1", "x", None), ("2", None, "q"), ("3", "y", "q")], "k string, a string, b string")
+    d = D.fit_dictionary(df, ["a", "b"], "missing")
+    codes = D.encode(df, d, ["a", "b"], {"a": 3, "b": 2}, "missing")
+    back = {r["k"]: (r["a"], r["b"]) for r in D.decode(codes, d, ["a", "b"]).collect()}
+    assert back == {"1": ("x", "missing"), "2": ("missing", "q"), "3": ("y", "q")}
+    wide = D.align_features(codes, ["b", "a"], 4, keep=["k"])
+    assert wide.columns == ["k", "f_0", "f_1", "f_2", "f_3"] and {(r["f_2"], r["f_3"]) for r in wide.collect()} == {(0.0, 0.0)}
+    assert D.align_features(codes, ["b", "a"], 1).columns == ["f_0"]
+
+
 def test_model_queries_fit_the_default_size():
     from quillstat.operators import models as M
     from quillstat.plans import catalog_fk

@@ -162,8 +162,24 @@ def _borderline(row, n_cols: int, rsd: float) -> set[int]:
 PRUNE_MIN_BYTES = 1 << 30
 
 
+_LAST_PLACE = (1 << 63) - 1
+
+
+def _order_of_last(head: DataFrame, items: list[Column], k: int) -> DataFrame:
+    """For every column of which ``head`` holds k values: (ordinal, f, b), the byte range by which k of them were seen.
+
+    Ranges, not places in them, are compared: the number of a place depends on how a scan packs ranges into tasks.
+    """
+    order = F.struct(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_block_start").alias("b"))
+    values = (head.select(order.alias("o"), F.explode(F.array(*items)).alias("e")).select("o", "e.ordinal", "e.sample_value")
+              .where(F.col("sample_value").isNotNull()).groupBy("ordinal", "sample_value").agg(F.min("o").alias("o")))
+    rank = F.row_number().over(Window.partitionBy("ordinal").orderBy("o", "sample_value"))
+    return values.withColumn("n", rank).where(F.col("n") == k).select("ordinal", "o.f", "o.b")
+
+
 def sample_values(df: DataFrame, k: int = 5, prune_rows: int | None = 100_000,
-                  order_col: str | None = None, prune_min_bytes: int = PRUNE_MIN_BYTES) -> DataFrame:
+                  order_col: str | None = None, prune_min_bytes: int = PRUNE_MIN_BYTES,
+                  file_order: bool = False) -> DataFrame:
     """The k smallest distinct non-null values of every column.
 
     Rows (ordinal, column_name, sample_rank, sample_value STRING).  All columns
@@ -176,6 +192,12 @@ def sample_values(df: DataFrame, k: int = 5, prune_rows: int | None = 100_000,
     that order, as the reference shows them: each value keeps its smallest
     order (map-side ``min``) and the same rank limit applies.
 
+    ``file_order``: the same in the order of the files themselves, for a table
+    read from files and only projected or filtered since: by file name, then the
+    byte range read, then the place in it.  The k-th first value of any subset
+    of rows is no earlier than the true one, so the first rows of the first file
+    bound which rows can matter, column by column, before anything is shuffled.
+
     ``prune_rows``: the k-th smallest distinct value of *any* subset of rows is
     an upper bound of the true k-th smallest, so the bound taken from the first
     ``prune_rows`` rows filters the stacked relation before its shuffle; the
@@ -196,13 +218,29 @@ def sample_values(df: DataFrame, k: int = 5, prune_rows: int | None = 100_000,
             v.cast("string").alias("sample_value"),
         ))
     names = F.array(*[F.lit(f.name) for f in df.schema.fields])
-    if order_col is not None:
+    if order_col is not None or file_order:
+        if file_order and order_col is not None:
+            raise ValueError("order_col and file_order exclude each other")
         items = [it for it, f in zip(items, df.schema.fields) if f.name != order_col]
-        firsts = (df.select(F.col(order_col).alias("__o"), F.explode(F.array(*items)).alias("e"))
-                  .select("__o", "e.*").where(F.col("sample_value").isNotNull())
-                  .groupBy("ordinal", "d", "t", "s", "sample_value").agg(F.min("__o").alias("__first")))
+        order = (F.col(f"`{order_col}`") if order_col is not None else
+                 F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("place")))
         w = Window.partitionBy("ordinal").orderBy("__first", "d", "t", "s")
-        return (firsts.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
+
+        def first_seen(frame: DataFrame, bounds: dict | None = None) -> DataFrame:
+            seen = (frame.select(order.alias("__o"), *frame.columns).select("__o", F.explode(F.array(*items)).alias("e"))
+                    .select("__o", "e.*").where(F.col("sample_value").isNotNull()))
+            if bounds:
+                seen = seen.where(F.coalesce(F.col("__o") <= F.create_map(*[x for i, o in bounds.items() for x in (F.lit(i), o)])[F.col("ordinal")], F.lit(True)))
+            firsts = seen.groupBy("ordinal", "d", "t", "s", "sample_value").agg(F.min("__o").alias("__first"))
+            return firsts.withColumn("sample_rank", F.row_number().over(w)).where(F.col("sample_rank") <= k)
+
+        bounds = {}
+        if file_order and prune_rows and df.inputFiles():
+            name = min(df.inputFiles()).rsplit("/", 1)[-1]
+            head = df.where(F.col("_metadata.file_path").endswith(name)).limit(prune_rows)
+            bounds = {r["ordinal"]: F.struct(F.lit(r["f"]).alias("file_path"), F.lit(r["b"]).cast("long").alias("file_block_start"), F.lit(_LAST_PLACE).cast("long").alias("place"))
+                      for r in _order_of_last(head, items, k).collect()}
+        return (first_seen(df, bounds)
                 .select("ordinal", F.element_at(names, F.col("ordinal") + 1).alias("column_name"),
                         "sample_rank", "sample_value"))
 

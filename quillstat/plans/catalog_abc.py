@@ -109,6 +109,15 @@ def b4_distinct_count(spark, sf):
     return _profiles(spark, sf, lambda p, r: p.select("column_name", "n_unique"))
 
 
+_FIRST_SEEN = [t for t in PROFILED if t != "lineitem_messy"]   # tables as they lie in files
+
+
+@query("b5_first_seen", O.union_all([O.samples_sql(t, first_seen=True) for t in _FIRST_SEEN]))
+def b5_first_seen(spark, sf):
+    return union_all([P.sample_values(V.load_testdata(spark, sf, t), file_order=True)
+                      .select(F.lit(t).alias("table_name"), "column_name", "sample_rank", "sample_value") for t in _FIRST_SEEN])
+
+
 @query("b5_sample_values", O.union_all([O.samples_sql(t) for t in PROFILED]))
 def b5_sample_values(spark, sf):
     out = []
@@ -340,3 +349,16 @@ def a1_csv_scan(spark, sf):
     types = F.create_map(*[x for f in df.schema.fields for x in (F.lit(f.name), F.lit(f.dataType.simpleString()))])
     return P.profile(df).select("column_name", F.element_at(types, F.col("column_name")).alias("inferred_type"),
                                 "semantic_type", "n_unique")
+
+
+@query("a1_quoted_csv", "SELECT CAST(doc_id AS VARCHAR) AS doc_id, lang, md5(text) AS text_md5 FROM documents")
+def a1_quoted_csv(spark, sf):
+    """Texts with newlines, written as quoted CSV and read back by many tasks a file."""
+    import uuid
+
+    from quillstat.session import checkpoint_dir
+    from quillstat.sources.readers import read_csv
+    path = f"{checkpoint_dir(spark).rstrip('/')}/csv-{uuid.uuid4().hex}"
+    (V.load_testdata(spark, sf, "documents").select("doc_id", "text", "lang")
+     .write.option("header", True).option("escape", '"').option("quoteAll", True).csv(path))
+    return read_csv(spark, path + "/*.csv", multiline=True).select("doc_id", "lang", F.md5("text").alias("text_md5"))

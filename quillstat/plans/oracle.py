@@ -89,15 +89,17 @@ def flags_sql(tables: list[str]) -> str:
 FROM ({profiles_sql(tables)}) p"""
 
 
-def samples_sql(table: str, k: int = 5) -> str:
-    rel = relation_sql(table)
+def samples_sql(table: str, k: int = 5, first_seen: bool = False) -> str:
+    """The k smallest, or the k first seen, distinct values of every column."""
+    rel = f"(SELECT *, row_number() OVER () AS place FROM {table})" if first_seen else relation_sql(table)
+    order, source = ("place", "min(place) AS place, ") if first_seen else ("v", "")
     parts = []
     for c, _ in TABLE_KINDS[table]:
         col = q(c)
         parts.append(
             f"SELECT {lit(table)} AS table_name, {lit(c)} AS column_name, "
-            f"CAST(row_number() OVER (ORDER BY v) AS INTEGER) AS sample_rank, CAST(v AS VARCHAR) AS sample_value "
-            f"FROM (SELECT DISTINCT {col} AS v FROM {rel} t WHERE {col} IS NOT NULL) d QUALIFY sample_rank <= {k}")
+            f"CAST(row_number() OVER (ORDER BY {order}) AS INTEGER) AS sample_rank, CAST(v AS VARCHAR) AS sample_value "
+            f"FROM (SELECT {source}{col} AS v FROM {rel} t WHERE {col} IS NOT NULL GROUP BY {col}) d QUALIFY sample_rank <= {k}")
     return union_all(parts)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from quillstat.functions.exprs import INTEGER_PATTERN, NA_TOKENS, NUMERIC_PATTERN, nan_to_null
+from quillstat.sources.quoted_csv import read_quoted_csv
 
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
@@ -31,11 +32,12 @@ def load_testdata(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """A1: CSV as text columns; no driver-side inference.
 
-    Files are split over tasks; ``multiline`` allows quoted newlines, and then
-    each file is one task.
+    Files are split over tasks, also if ``multiline`` allows quoted newlines
+    (which takes a second scan, see ``quoted_csv``).
     """
-    return (spark.read.option("header", True).option("inferSchema", False)
-            .option("multiLine", multiline).option("escape", '"').csv(path))
+    if multiline:
+        return read_quoted_csv(spark, path)
+    return spark.read.option("header", True).option("inferSchema", False).option("escape", '"').csv(path)
 
 
 def read_table(spark: SparkSession, path: str, format: str | None = None, multiline: bool = False) -> DataFrame:

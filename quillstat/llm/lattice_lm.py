@@ -12,15 +12,18 @@ documents outside the held-out fold:
   drawn).  Byte pieces make every text possible.
 
 Piece weights start from the vocabulary's own scores (for a merge vocabulary
-these are ranks, read as Zipf's law) and take one step of expectation
-maximisation over the training words: expected counts by forward and backward
-recursion, add-one smoothed.
+these are ranks, read as Zipf's law) and take steps of expectation maximisation
+over the training words until they settle: expected counts by forward and backward
+recursion, add-one smoothed.  The smoothed objective (log-likelihood of the training
+words plus the log weights' sum) rises with every step; the steps end when it rises by less
+than ``SETTLED`` of itself.  All pieces of the vocabulary take part, of whatever length.
 
 Counts cover all training documents.  Each scan portion sends its distinct words
 with their counts; a frequent word costs one row per portion.  To score, the
 ``HEAD`` most frequent words are broadcast (a fixed bound); the counts of all
 others meet the documents' words in shards, which send back one sum per document
-and shard.  A word outside the head is rare, so no shard holds a hot word.
+and shard.  A word outside the head is rare, so no shard holds a hot word; there are as
+many shards as the tokens outside the head ask for (``SHARD_ENTRIES``).
 
 Edge cases: an empty text is one end; a null doc_id is a training row and gets
 its own result row; repeated rows are counted and scored each; an empty table gives
@@ -30,6 +33,7 @@ no rows; without training rows every count is zero, and N is then taken as 0.
 from __future__ import annotations
 
 import math
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,6 +52,10 @@ HEAD = 1 << 17
 FOLD, FOLDS = 2, 7
 ZIPF_SHIFT = 2.7
 PORTION = 8 << 20
+SETTLED = 1e-3
+SHARD_ENTRIES = 2_000_000
+FEW = 4  # words of equal length that are walked one by one instead of side by side
+BLOCK = 1 << 16  # positions of a long word whose edges are held at a time
 LN10 = math.log(10)
 _END = -1  # the end's key among word hashes
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -71,7 +79,7 @@ def read_pieces(path: str = VOCABULARY) -> tuple[list[bytes], np.ndarray]:
         rank[raw] = min(rank.get(raw, math.inf), place)
     for b in range(256):
         rank.setdefault(bytes([b]), model.get_piece_size())
-    pieces = sorted(p for p in rank if 0 < len(p) <= 16)
+    pieces = sorted(p for p in rank if p)
     weight = 1 / (np.array([rank[p] for p in pieces]) + ZIPF_SHIFT)
     return pieces, np.log(weight / weight.sum())
 
@@ -80,13 +88,18 @@ class Lattice:
     """Forward (and backward) recursion over many words at once; words are marked byte strings."""
 
     def __init__(self, pieces: list[bytes], logp: np.ndarray):
-        self.longest = max(map(len, pieces))
-        self.n = len(pieces)
+        self.lengths = sorted(set(map(len, pieces)))
         key = self._keys(pieces)
-        order = np.argsort(key)
-        self.key, self.piece, self.logp = key[order], order, logp[order]
+        self.piece = np.argsort(key)
+        self.key = key[self.piece]
         self.seen = np.zeros(1 << 22, bool)
         self.seen[(self.key >> U(42)).astype(np.int64)] = True
+        self.weigh(logp)
+
+    def weigh(self, logp: np.ndarray) -> Lattice:
+        """Takes other log probabilities of the pieces, in the pieces' order."""
+        self.logp = np.asarray(logp)[self.piece]
+        return self
 
     @staticmethod
     def _code(buf: np.ndarray) -> np.ndarray:
@@ -99,51 +112,128 @@ class Lattice:
             out[i] = (c * powers(len(p))[0]).sum(dtype=np.uint64) + U(len(p))
         return mix(out)
 
-    def edges(self, text: np.ndarray, size: int) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-        """For equally long rows: (begin, end, rows that have a piece there, its index), by end."""
+    def edges(self, text: np.ndarray, after: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """(begin, end, row, index) of every piece that ends behind ``after`` in equally long rows, by end and row."""
+        size = text.shape[1]
         up, down = powers(size + 1)
         total = np.zeros((len(text), size + 1), np.uint64)
         np.cumsum(self._code(text) * up[:size], axis=1, out=total[:, 1:])
-        for end in range(1, size + 1):
-            for begin in range(max(0, end - self.longest), end):
-                k = mix((total[:, end] - total[:, begin]) * down[begin] + U(end - begin))
-                maybe = np.flatnonzero(self.seen[(k >> U(42)).astype(np.int64)])
-                if len(maybe):
-                    at = np.minimum(np.searchsorted(self.key, k[maybe]), len(self.key) - 1)
-                    ok = self.key[at] == k[maybe]
-                    if ok.any():
-                        yield begin, end, maybe[ok], at[ok]
-
-    def forward(self, text: np.ndarray, size: int, edges: list) -> np.ndarray:
-        alpha = np.full((size + 1, len(text)), -np.inf)
-        alpha[0] = 0
-        for begin, end, row, at in edges:
-            alpha[end, row] = np.logaddexp(alpha[end, row], alpha[begin, row] + self.logp[at])
+        found = []
+        for length in self.lengths:
+            lo = max(0, after + 1 - length)
+            if lo + length > size:
+                continue
+            k = mix((total[:, lo + length:] - total[:, lo:size + 1 - length]) * down[lo:size + 1 - length] + U(length))
+            maybe = np.flatnonzero(self.seen[(k >> U(42)).astype(np.int64)])
+            wanted = k.ravel()[maybe]
+            at = np.minimum(np.searchsorted(self.key, wanted), len(self.key) - 1)
+            ok = self.key[at] == wanted
+            row, begin = np.divmod(maybe[ok], k.shape[1])
+            found.append((begin + lo, begin + lo + length, row, at[ok]))
+        begin, end, row, at = (np.concatenate(x) if found else np.zeros(0, np.int64) for x in (zip(*found) if found else [()] * 4))
+        order = np.lexsort((row, end))
+        return begin[order], end[order], row[order], at[order]
+
+    @staticmethod
+    def _sweep(value: np.ndarray, positions, here: np.ndarray, there: np.ndarray, row: np.ndarray, weight: np.ndarray) -> None:
+        """value[here] = log of the sum over edges of exp(value[there] + weight), position by position.
+
+        Edges are sorted by ``here`` and row; ``positions`` gives the order of visits.
+        """
+        bound = np.searchsorted(here, np.arange(len(value) + 1))
+        for p in positions:
+            a, b = bound[p], bound[p + 1]
+            if a < b:
+                r = row[a:b]
+                first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
+                value[p, r[first]] = np.logaddexp.reduceat(value[there[a:b], r] + weight[a:b], first)
+
+    @staticmethod
+    def _walk(value: array, here: np.ndarray, there: np.ndarray, weight: np.ndarray) -> None:
+        """The same for a single word; edges come in the order of visits."""
+        edge = np.flatnonzero(np.concatenate([[True], here[1:] != here[:-1]])).tolist() if len(here) else []
+        position, source, weights = here.tolist(), there.tolist(), weight.tolist()
+        for a, b in zip(edge, [*edge[1:], len(position)]):
+            if b - a == 1:
+                value[position[a]] = value[source[a]] + weights[a]
+            else:
+                terms = [value[s] + w for s, w in zip(source[a:b], weights[a:b])]
+                top = max(terms)
+                value[position[a]] = top + math.log(sum([math.exp(t - top) for t in terms])) if top > -math.inf else top
+
+    @staticmethod
+    def _blocks(word: np.ndarray) -> range:
+        return range(0, len(word), BLOCK)
+
+    def _block(self, word: np.ndarray, lo: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(begin, end, index) of the edges that end in a block of a single word."""
+        before = max(0, lo - self.lengths[-1])
+        begin, end, _, at = self.edges(word[None, before:lo + BLOCK], lo - before)
+        return begin + before, end + before, at
+
+    def _one(self, word: np.ndarray) -> array:
+        alpha = array("d", bytes(8)) + array("d", [-math.inf]) * len(word)
+        for lo in self._blocks(word):
+            begin, end, at = self._block(word, lo)
+            self._walk(alpha, end, begin, self.logp[at])
         return alpha
 
     def marginals(self, words: list[bytes]) -> np.ndarray:
         """Natural-log marginal probability of each marked word."""
         out = np.zeros(len(words))
         for size, rows, text in by_length(words):
-            out[rows] = self.forward(text, size, self.edges(text, size))[size]
+            if len(rows) <= FEW:
+                for i, word in zip(rows, text):
+                    out[i] = self._one(word)[size]
+                continue
+            begin, end, row, at = self.edges(text)
+            alpha = np.full((size + 1, len(text)), -np.inf)
+            alpha[0] = 0
+            self._sweep(alpha, range(1, size + 1), end, begin, row, self.logp[at])
+            out[rows] = alpha[size]
         return out
 
-    def expected(self, words: list[bytes], counts: np.ndarray) -> np.ndarray:
-        """Expected uses of each piece over the words, weighted by their counts."""
-        out = np.zeros(len(self.key))
+    def expected(self, words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, float]:
+        """Expected uses of each piece over the words, weighted by their counts, and the words' log-likelihood."""
+        out, likelihood = np.zeros(len(self.key)), 0.0
         for size, rows, text in by_length(words):
-            edges = list(self.edges(text, size))
-            alpha = self.forward(text, size, edges)
+            if len(rows) <= FEW:
+                for i, word in zip(rows, text):
+                    alpha = self._one(word)
+                    beta = array("d", [-math.inf]) * size + array("d", bytes(8))
+                    forward = np.frombuffer(alpha)
+                    for lo in reversed(self._blocks(word)):
+                        self._back(word, lo, forward, beta, float(counts[i]), out)
+                    likelihood += float(counts[i]) * alpha[size]
+                continue
+            begin, end, row, at = self.edges(text)
+            weight = self.logp[at]
+            alpha = np.full((size + 1, len(text)), -np.inf)
+            alpha[0] = 0
+            self._sweep(alpha, range(1, size + 1), end, begin, row, weight)
             beta = np.full((size + 1, len(text)), -np.inf)
             beta[size] = 0
-            for begin, end, row, at in sorted(edges, key=lambda e: (-e[0], -e[1])):
-                beta[begin, row] = np.logaddexp(beta[begin, row], beta[end, row] + self.logp[at])
-            for begin, end, row, at in edges:
-                share = np.exp(alpha[begin, row] + self.logp[at] + beta[end, row] - alpha[size, row]) * counts[rows[row]]
-                np.add.at(out, at, share)
-        back = np.zeros(self.n)
-        back[self.piece] = out
-        return back
+            back = np.lexsort((row, begin))
+            self._sweep(beta, range(size - 1, -1, -1), begin[back], end[back], row[back], weight[back])
+            n = np.asarray(counts)[rows]
+            share = np.exp(alpha[begin, row] + weight + beta[end, row] - alpha[size, row]) * n[row]
+            out += np.bincount(at, share, len(out))
+            likelihood += float((n * alpha[size]).sum())
+        uses = np.zeros(len(self.key))
+        uses[self.piece] = out
+        return uses, likelihood
+
+    def _back(self, word: np.ndarray, lo: int, alpha: np.ndarray, beta: array, n: float, out: np.ndarray) -> None:
+        """Backward recursion of one block of a single word: edges that begin in it (they may end up to a piece behind)."""
+        stop = min(len(word), lo + BLOCK + self.lengths[-1])
+        begin, end, _, at = self.edges(word[None, lo:stop])
+        begin, end = begin + lo, end + lo
+        own = begin < lo + BLOCK
+        begin, end, at = begin[own], end[own], at[own]
+        order = np.argsort(-begin, kind="stable")
+        self._walk(beta, begin[order], end[order], self.logp[at[order]])
+        share = np.exp(alpha[begin] + self.logp[at] + np.frombuffer(beta)[end] - alpha[-1]) * n
+        np.add(out, np.bincount(at, share, len(out)), out=out)
 
 
 def by_length(words: list[bytes], limit: int = 1 << 17) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -196,37 +286,50 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["h", "n", "word"])
 
 
-def _expect(path: str):
+def _expect(model, weights):
     def expect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, logp = read_pieces(path)
-        lattice, total = Lattice(pieces, logp), np.zeros(len(pieces))
+        lattice = model.value.weigh(weights.value)
+        total, likelihood = np.zeros(len(lattice.key)), 0.0
         for batch in batches:
             words = as_bytes(column(batch, "word"))
-            total += lattice.expected(marked(words), column(batch, "n").to_numpy())
+            uses, ll = lattice.expected(marked(words), column(batch, "n").to_numpy())
+            total, likelihood = total + uses, likelihood + ll
         used = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(total[used])], names=["piece", "uses"])
+        yield pa.RecordBatch.from_arrays([pa.array(np.append(used, -1)), pa.array(np.append(total[used], likelihood))], names=["piece", "uses"])
     return expect
 
 
-def fit_pieces(words: DataFrame, path: str = VOCABULARY) -> np.ndarray:
-    """Log probabilities of the pieces (bounded by the vocabulary) after one EM step over all training words."""
-    pieces, _ = read_pieces(path)
-    rows = words.select("word", "n").mapInArrow(_expect(path), "piece long, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect()
-    uses = np.zeros(len(pieces))
-    for r in rows:
-        uses[r.piece] = r.uses
-    return np.log((uses + 1) / (uses.sum() + len(uses)))
+def fit_pieces(words: DataFrame, lattice: Lattice, logp: np.ndarray, model, settled: float = SETTLED) -> tuple[np.ndarray, list[float]]:
+    """Log probabilities of the pieces (bounded by the vocabulary) after the last EM step over all training words.
+
+    Also the objective before each step.  ``model`` is the broadcast lattice.
+    """
+    spark = words.sparkSession
+    words, course = words.select("word", "n"), []
+    while True:
+        weights = spark.sparkContext.broadcast(logp)
+        rows = words.mapInArrow(_expect(model, weights), "piece long, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).collect()
+        uses, likelihood = np.zeros(len(lattice.key)), 0.0
+        for r in rows:
+            if r.piece < 0:
+                likelihood = r.uses
+            else:
+                uses[r.piece] = r.uses
+        weights.unpersist()
+        course.append(likelihood + float(logp.sum()))
+        logp = np.log((uses + 1) / (uses.sum() + len(uses)))
+        if not uses.any() or len(course) > 1 and course[-1] - course[-2] < settled * abs(course[-1]):
+            return logp, course
 
 
 HEAD_PART = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, log_sum double, lattice double, shard int, tail binary"
 
 
-def _score(state, path: str, bits: int):
+def _score(state, model, bits: int):
     """Per document: tokens, what the head words give, the lattice's sum; per portion and shard: the other words."""
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head, head_count, logp = state.value
-        pieces, _ = read_pieces(path)
-        lattice = Lattice(pieces, logp)
+        lattice = model.value.weigh(logp)
         log_count = np.log10(head_count + 1.0)
         known: dict[str, np.ndarray] = {"key": np.zeros(0, np.uint64), "value": np.zeros(0)}
         for batch in batches:
@@ -264,8 +367,8 @@ def _score(state, path: str, bits: int):
                 times = np.diff(np.append(first, pair.shape[1]))
                 h, d = pair[0][first], pair[1][first].astype(np.int64)
                 shard = (h >> U(64 - bits)).astype(np.int64)
-                cut = np.searchsorted(shard, np.arange((1 << bits) + 1))
-                out = [(s, h[a:b], rows[lo + d[a:b]], times[a:b]) for s, (a, b) in enumerate(zip(cut[:-1], cut[1:])) if b > a]
+                cut = np.flatnonzero(np.concatenate([[True], shard[1:] != shard[:-1], [True]])) if len(shard) else []
+                out = [(int(shard[a]), h[a:b], rows[lo + d[a:b]], times[a:b]) for a, b in zip(cut[:-1], cut[1:])]
                 if out:
                     m = len(out)
                     yield pa.RecordBatch.from_arrays(
@@ -325,11 +428,15 @@ def lattice_scores(docs: DataFrame, path: str = VOCABULARY) -> DataFrame:
     head = top.column("h").to_numpy().view(np.uint64)
     order = np.argsort(head)
     head, head_count = head[order], top.column("n").to_numpy()[order]
-    logp = fit_pieces(words, path)
+    pieces, logp = read_pieces(path)
+    lattice = Lattice(pieces, logp)
+    model = spark.sparkContext.broadcast(lattice)
+    logp, _ = fit_pieces(words, lattice, logp, model)
     state = spark.sparkContext.broadcast((head, head_count, logp))
-    bits = max(4, min(16, math.ceil(math.log2(max(1, distinct) / 50_000)))) if distinct else 4
+    rare_tokens = max(0, total - ends - int(head_count.sum())) * FOLDS / (FOLDS - 1)  # the held-out fold has its share of them
+    bits = min(30, max(4, math.ceil(math.log2(max(1, distinct) / 50_000)) if distinct else 4, math.ceil(math.log2(max(1, rare_tokens) / SHARD_ENTRIES))))
     numbered = docs.withColumn("row", F.monotonically_increasing_id())  # only has to agree within what is written next
-    parts = stash(numbered.mapInArrow(_score(state, path, bits), HEAD_PART), "lm-parts")
+    parts = stash(numbered.mapInArrow(_score(state, model, bits), HEAD_PART), "lm-parts")
     rare = (words.select("h", "n").withColumn("shard", F.shiftrightunsigned("h", 64 - bits).cast("int")))
     back = (parts.where("shard is not null").select("shard", "tail").groupBy("shard").cogroup(rare.groupBy("shard"))
             .applyInArrow(_meet(bits), "row long, n_known long, log_sum double")

@@ -170,7 +170,8 @@ def test_lattice_sums_all_segmentations():
 
     words = [b"\x01ab", b"\x01abab", b"\x01b", b"\x01aab"]
     assert np.allclose(np.exp(lattice.marginals(words)), [brute(w) for w in words])
-    uses = lattice.expected([b"\x01ab"], np.array([2]))
+    uses, likelihood = lattice.expected([b"\x01ab"], np.array([2]))
+    assert math.isclose(likelihood, 2 * math.log(brute(b"\x01ab")))
     by = dict(zip(pieces, uses))
     ways = {(b"\x01a", b"b"): 0, (b"\x01", b"ab"): 0, (b"\x01", b"a", b"b"): 0}
     for way in ways:
@@ -178,6 +179,30 @@ def test_lattice_sums_all_segmentations():
     assert math.isclose(by[b"ab"], 2 * ways[(b"\x01", b"ab")] / sum(ways.values()))
 
 
+def test_lattice_of_long_words_and_side_by_side(monkeypatch):
+    """A word alone, among many of its length, or cut into blocks has one probability and the same uses."""
+    rng = random.Random(8)
+    pieces = sorted({bytes(rng.choice(b"abc") for _ in range(rng.randrange(1, 20))) for _ in range(300)} | {b"a", b"b", b"c", b"\x01"})
+    lattice = lattice_lm.Lattice(pieces, np.log(np.full(len(pieces), 1 / len(pieces))))
+    words = [b"\x01" + bytes(rng.choice(b"abc") for _ in range(99)) for _ in range(40)]
+    counts = np.arange(1, 41)
+    many, (uses, ll) = lattice.marginals(words), lattice.expected(words, counts)
+    monkeypatch.setattr(lattice_lm, "BLOCK", 16)
+    assert np.allclose([lattice.marginals([w])[0] for w in words], many)
+    single = [lattice.expected([w], np.array([n])) for w, n in zip(words, counts)]
+    assert np.allclose(sum(u for u, _ in single), uses) and math.isclose(sum(x for _, x in single), ll)
+
+
+def test_lattice_keeps_all_pieces_and_settles(spark):
+    pieces, logp = lattice_lm.read_pieces()
+    assert max(map(len, pieces)) > 16 and math.isclose(np.exp(logp).sum(), 1)
+    lattice = lattice_lm.Lattice(pieces, logp)
+    words = spark.createDataFrame([(w.encode(), n) for w, n in (("river", 50), ("rivers", 20), ("running", 30), ("run", 70), ("xqzv", 1))], "word binary, n long")
+    fitted, course = lattice_lm.fit_pieces(words, lattice, logp, spark.sparkContext.broadcast(lattice), 1e-4)
+    assert all(b >= a for a, b in zip(course, course[1:])) and len(course) > 2 and math.isclose(np.exp(fitted).sum(), 1)
+    assert lattice.weigh(fitted).marginals([b"\x01river"])[0] > lattice.weigh(logp).marginals([b"\x01river"])[0]
+
+
 def test_lattice_scores(spark, docs, texts, no_docs, monkeypatch):
     monkeypatch.setattr(lattice_lm, "HEAD", 40)
     low = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))

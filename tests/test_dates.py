@@ -55,3 +55,12 @@ def test_preprocess_reads_day_first(spark):
     out, _ = D.preprocess(df, P.collect_info(P.profile(df)))
     got = {(r["when_day"], r["when_month"]) for r in out.collect()}
     assert got == {(1 + i % 28, 1 + i % 12) for i in range(60)}
+
+
+def test_layouts_are_counted_from_one_number_a_value(spark):
+    df = spark.createDataFrame([("2024-01-05",), ("2024-01/05",), ("auguſt 5, 2024",), ("31.12.2024",), (None,)], "t string")
+    cut = df.select(dates.pieces(F.col("t")).alias("p"))
+    assert cut.schema["p"].dataType.simpleString() == "bigint"
+    got = cut.select("p", dates.is_date(F.col("p")).alias("m"), dates.is_date(F.col("p"), True).alias("d")).collect()
+    assert [(r.m, r.d) for r in got] == [(True, True), (False, False), (False, False), (False, True), (False, False)]
+    assert [r.p is None for r in got] == [False, True, True, False, True]

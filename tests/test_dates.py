@@ -64,3 +64,13 @@ def test_layouts_are_counted_from_one_number_a_value(spark):
     got = cut.select("p", dates.is_date(F.col("p")).alias("m"), dates.is_date(F.col("p"), True).alias("d")).collect()
     assert [(r.m, r.d) for r in got] == [(True, True), (False, False), (False, False), (False, True), (False, False)]
     assert [r.p is None for r in got] == [False, True, True, False, True]
+
+
+def test_date_parts_read_a_text_once(spark):
+    df = spark.createDataFrame([("1/5/2024",), ("31/12/2024 23:59:59.9999999",)], "t string")
+    parts = D.date_parts(df, "t", True)
+    out = df.select(*[e.alias(n) for n, e in parts.items()])
+    assert [tuple(r) for r in out.collect()] == [(2024, 5, 1), (2025, 1, 1)]    # fractions are rounded to microseconds
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    reading = [line for line in plan.splitlines() if "EvalPython" in line]
+    assert len(reading) == 1 and reading[0].count("_day_first_times(") == 1

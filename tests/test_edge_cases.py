@@ -88,3 +88,20 @@ def test_numeric_columns_equal_profile_rule(spark, small_dir):
     for t in ("lineitem_messy", "orders", "events"):
         rel = V.relation(spark, small_dir, t)
         assert P.numeric_columns(rel) == P.collect_info(P.profile(rel)).of_type("numeric")
+
+
+def test_class_tables_are_broadcast_whatever_spark_estimates(spark):
+    """A shuffle join on two classes would bring half of all rows into one task."""
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(1000).select("id", (F.col("id") % 2).alias("y"), (F.col("id") % 5 == 0).alias("is_validation"))
+        rows, _ = D.encode_target(df, "y", n_hint=2)
+        kept, _ = D.relabel_from_train(rows, n_hint=2)
+        for out in (rows, kept):
+            assert "SortMergeJoin" not in out._jdf.queryExecution().executedPlan().toString()
+        assert sorted(map(tuple, kept.groupBy("train_label").count().collect())) == [(0.0, 500), (1.0, 500)]
+        many, _ = D.encode_target(df, "id", n_hint=D.CLASS_TABLE_ROWS + 1)      # not proven small: left to Spark
+        assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

@@ -167,7 +167,8 @@ def rebalance(df: DataFrame, label: str, key: str, features: list[str], total: i
         return originals
     share = 1.0 if total is None else min(1.0, max(0, total - whole["n"]) / (whole["top"] * whole["k"] - whole["n"]))
     plan = counts.withColumn("__need", F.floor((F.lit(whole["top"]) - F.col("__n")) * F.lit(share))).where("__need > 0")
-    minority = df.select(key, label, *features).join(plan, label)
+    few = whole["k"] <= CLASS_TABLE_BROADCAST_LIMIT   # else the class tables are left to a shuffle join
+    minority = df.select(key, label, *features).join(F.broadcast(plan) if few else plan, label)
     order = [F.col(label), _unit_hash(F.col(key).cast("string"), F.lit("rest")), F.col(key), *[F.col(f) for f in features]]
     ranked = cut_lineage(global_rank(minority, order, "__g"))
     st = ranked.agg(*[F.avg(f).alias(f"m{i}") for i, f in enumerate(features)],
@@ -179,7 +180,7 @@ def rebalance(df: DataFrame, label: str, key: str, features: list[str], total: i
     near = near.select(F.col("row").alias("__g"), F.transform("near", lambda e: e["x"]).alias("__near"))
     first = ranked.groupBy(label).agg(F.min("__g").alias("__first"))
     extra = F.when(F.col("__g") - F.col("__first") < F.pmod(F.col("__need"), F.col("__n")), 1).otherwise(0)
-    copies = (ranked.join(first, label).withColumn("__copies", (F.floor(F.col("__need") / F.col("__n")) + extra).cast("int")).where("__copies > 0")
+    copies = (ranked.join(F.broadcast(first) if few else first, label).withColumn("__copies", (F.floor(F.col("__need") / F.col("__n")) + extra).cast("int")).where("__copies > 0")
               .join(near, "__g", "left").withColumn("__rep", F.explode(F.sequence(F.lit(1), F.col("__copies")))))
     drawn = F.pmod(F.xxhash64(F.col("__g"), F.col("__rep"), F.lit("partner")), F.size("__near"))
     partner = F.when(F.size("__near") > 0, F.try_element_at("__near", (drawn + 1).cast("int")))

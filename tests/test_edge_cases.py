@@ -105,3 +105,16 @@ def test_class_tables_are_broadcast_whatever_spark_estimates(spark):
         assert "SortMergeJoin" in many._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_rebalance_broadcasts_its_class_tables(spark):
+    from quillstat.operators import protocol as K
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(60).select(F.col("id").cast("string").alias("k"), (F.col("id") % 3 == 0).alias("y"), F.col("id").cast("double").alias("a"))
+        out = K.rebalance(df, "y", "k", ["a"])
+        assert out._jdf.queryExecution().sparkPlan().toString().count("SortMergeJoin") == 1      # rows and their neighbours, by row
+        assert sorted(map(tuple, out.groupBy("y", "synthetic").count().collect())) == [(False, False, 40), (True, False, 20), (True, True, 20)]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)

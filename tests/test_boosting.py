@@ -145,3 +145,22 @@ def test_nothing_to_learn(spark):
     none = B.fit(df.where("false"), [B.Spec("s", "squared", rounds=2)], 4)["s"]
     assert np.allclose(none.margins(x), 0.0)
     assert B.tasks_for(0) == 1 and B.tasks_for(48_000) == 4 and B.tasks_for(10**9) < 10**9 / 90_000
+
+
+def test_large_tables_send_no_rows(spark, monkeypatch):
+    """Above ``LOCAL_TABLE_ROWS`` the sums of all levels meet, and no node's rows; the trees are the same."""
+    df, x, _ = table(spark)
+    spec = B.Spec("m", "squared", rounds=3, max_depth=4, rate=0.3)
+    near = B.fit(df, [spec], 4, local_rows=100)["m"]
+    monkeypatch.setattr(B, "LOCAL_TABLE_ROWS", 200)
+    monkeypatch.setattr(B, "_rows_of", lambda *a: pytest.fail("rows were sent"))
+    far = B.fit(df, [spec], 4, local_rows=100)["m"]
+    assert all(close(as_nested(a), as_nested(b)) for a, b in zip(near.trees[0], far.trees[0]))
+
+
+def test_rows_step_down_together():
+    tree = B.Tree(np.array([1, -1, 0, -1, -1]), np.array([2, 0, 5, 0, 0]), np.array([1, -1, 3, -1, -1]), np.array([2, -1, 4, -1, -1]), np.arange(5.0), np.ones(5))
+    bins = np.random.default_rng(3).integers(0, 9, (2, 200)).astype(np.uint8)
+    want = np.where(bins[1] <= 2, 1, np.where(bins[0] <= 5, 3, 4))
+    assert tree.depth() == 2 and (tree.of_bins(bins) == want).all()
+    assert (B.Tree(*(np.array([v]) for v in (-1, 0, -1, -1)), np.zeros(1), np.ones(1)).of_bins(bins) == 0).all()

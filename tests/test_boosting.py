@@ -164,3 +164,22 @@ def test_rows_step_down_together():
     want = np.where(bins[1] <= 2, 1, np.where(bins[0] <= 5, 3, 4))
     assert tree.depth() == 2 and (tree.of_bins(bins) == want).all()
     assert (B.Tree(*(np.array([v]) for v in (-1, 0, -1, -1)), np.zeros(1), np.ones(1)).of_bins(bins) == 0).all()
+
+
+def test_jobs_start_few_tasks_and_send_no_empty_bins():
+    """A job starts a dozen tasks for 3.6 million rows, and sums are as long as the features have bins."""
+    assert B.tasks_for(3_600_000) == 12 and B.tasks_for(216_000_000) < 300
+    rng = np.random.default_rng(5)
+    widths, allowed, count = [3, 64, 7], np.array([True, False, True]), 4
+    bins = np.stack([rng.integers(0, w, 300) for w in widths]).astype(np.uint8)
+    rows = np.flatnonzero(rng.random(300) < 0.5)
+    place, g, h = rng.integers(0, count, len(rows)), rng.standard_normal(len(rows)), rng.random(len(rows))
+    for hessian in (h, None):
+        total = np.zeros(B._size(count, widths, allowed))
+        assert len(total) == 3 * count * (3 + 7)
+        B._add_sums(total, bins, rows, place, g, hessian, count, widths, allowed)
+        got = B._spread(total, count, widths, allowed)
+        want = np.zeros((count, 3, 64, 3))
+        for f in (0, 2):
+            np.add.at(want, (place, f, bins[f, rows]), np.stack([g, np.ones(len(rows)) if hessian is None else h, np.ones(len(rows))], 1))
+        assert np.allclose(got, want)

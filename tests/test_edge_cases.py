@@ -118,3 +118,28 @@ def test_rebalance_broadcasts_its_class_tables(spark):
         assert sorted(map(tuple, out.groupBy("y", "synthetic").count().collect())) == [(False, False, 40), (True, False, 20), (True, True, 20)]
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+
+
+def test_exact_counts_read_each_column_alone_and_dates_texts_only(spark):
+    """Exact distinct counts do not repeat whole rows, and numbers do not pass through the reading of dates."""
+    from quillstat.operators import profile as P
+    df = spark.createDataFrame([(i % 7, float(i % 3) if i % 5 else None, f"2024-01-{1 + i % 9:02d}", "x" * (i % 50) + "y") for i in range(100)],
+                               "a int, b double, day string, word string")
+    prof = P.profile(df)
+    plan = prof._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan
+    read = [line for line in plan.splitlines() if "ArrowEvalPython" in line]
+    assert read and not any("a#" in line or "b#" in line for line in read)
+    got = {r.column_name: (r.n_unique, r.n_missing, r.semantic_type) for r in prof.collect()}
+    assert got == {"a": (7, 0, "numeric"), "b": (3, 20, "numeric"), "day": (9, 0, "datetime"), "word": (50, 0, "categorical")}
+
+
+def test_number_texts_by_first_character(spark):
+    """The test of the first character before the pattern leaves no number out."""
+    from quillstat.sources.readers import type_decisions
+    texts = ["1", " 2", "\t3 ", "+4", "-5.", ".5", "1e9", "inf", "-Infinity", "INF", "iNf", " inf"]
+    others = [":", "I", "i", "x1", "", " ", "+", "1x", "\u0661", "nan", "infinite", "e5", "1\u00a0"]
+    numbers = {f"n{i}": t for i, t in enumerate(texts)} | {f"o{i}": t for i, t in enumerate(others)}
+    got = {r.column_name: r.inferred_type for r in type_decisions(spark.createDataFrame([tuple(numbers.values())], [*numbers])).collect()}
+    assert all(got[c] in ("bigint", "double") for c in numbers if c[0] == "n") and all(got[c] == "string" for c in numbers if c[0] == "o")
+    assert got["n0"] == got["n1"] == got["n3"] == "bigint"

@@ -178,7 +178,7 @@ def _wide(spark, sf):
         [c for c in _WIDE_NUMERIC if c != "l_extendedprice"][:12])))
 def i2_first_sliders(spark, sf):
     wide = _wide(spark, sf)
-    info = P.collect_info(P.profile(wide))
+    info = P.collect_info(P.profile(wide, distinct="hybrid"))   # of the counts only the types are asked
     cols = I.slider_columns(wide, info, "l_extendedprice", limit=12)
     return I.slider_bounds(wide, cols).select("position", "column_name")
 

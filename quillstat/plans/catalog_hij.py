@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from quillstat.operators import eda as E
@@ -79,13 +79,13 @@ def h2_sampled_contributions(spark, sf):
     """Any model's explanation, of a model whose Shapley values SQL can state: coef * (z - mean of the background)."""
     z, coef = _linear_score(spark, sf)
     rows = z.select("row_key", F.array(*_H_POS).alias("z")).withColumn("features", array_to_vector("z"))
-    table = {r["class"]: {} for r in coef.select("class").distinct().collect()}     # classes x features
-    for r in coef.collect():
-        table[r["class"]][r["feature"]] = r["coef"]
+    table: dict = {}
+    for r in coef.collect():     # classes x features
+        table.setdefault(r["class"], {})[r["feature"]] = r["coef"]
     classes = sorted(table)
 
     def score(df):
-        x = vector_to_array("features")
+        x = F.col("__known")
         return df.withColumn("score", F.array(*[sum((F.get(x, F.lit(j)) * F.lit(table[c][f]) for j, f in enumerate(_H_POS)), F.lit(0.0)) for c in classes]))
     taken = H.draws(H.background_rows(rows, _N_BACKGROUND), len(_H_POS), orders=_N_BACKGROUND)
     out = H.sampled_contributions(rows, "row_key", _H_POS, score, classes, taken)

@@ -252,6 +252,50 @@ def test_sampled_contributions_equal_brute_force(spark):
     assert empty.count() == 0 and empty.columns == ["row_key", "class", "feature", "contribution"]
 
 
+def test_sampled_contributions_shuffle_a_line_for_each_row(spark):
+    rng = np.random.default_rng(5)
+    rows = spark.createDataFrame([(str(i), Vectors.dense(rng.standard_normal(4).tolist())) for i in range(60)], ["row_key", "features"]).repartition(2)
+    taken = H.draws([[0.0] * 4, [1.0] * 4], 4, orders=2)
+    out = H.sampled_contributions(rows, "row_key", ["a", "b", "c", "d"], lambda df: df.withColumn("score", F.array(F.aggregate("__known", F.lit(0.0), lambda a, v: a + v))), ["u"], taken)
+    assert len(out.collect()) == 60 * 5
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_to_vector" not in plan and plan.count("Generate explode") == 1 and "Aggregate [row_key" in plan and "at#" not in plan
+
+
+def test_sliders_count_distinct_values_roughly(spark, small_dir, monkeypatch):
+    """Only the types are asked for, so no exact count of every column is shuffled."""
+    from quillstat.plans import catalog_hij as C
+    asked, profile = [], C.P.profile
+    monkeypatch.setattr(C.P, "profile", lambda df, distinct="exact", **kw: asked.append(distinct) or profile(df, distinct, **kw))
+    assert C.i2_first_sliders(spark, small_dir).count() == 12 and asked == ["hybrid"]
+
+
+@pytest.mark.parametrize("depth", [2, 5, 7])
+def test_shap_by_patterns_equals_shap_by_rows(depth):
+    """Many rows take what each pattern pays from a table, few work it out; a tree's values and its base sum to its leaf."""
+    rng, n = np.random.default_rng(depth), 2 ** (depth + 1) - 1
+    i = np.arange(n)
+    inner = i < 2 ** depth - 1
+    tree = {"feature": np.where(inner, rng.integers(0, 9, n), -1), "threshold": rng.standard_normal(n), "left": np.where(inner, 2 * i + 1, -1), "right": np.where(inner, 2 * i + 2, -1),
+            "value": rng.standard_normal((n, 1)), "cover": 2.0 ** (depth - np.floor(np.log2(i + 1))), "weight": 1.0, "outputs": [None]}
+    leaf = H.leaf_paths(tree, 9)
+    x = rng.standard_normal((700, 9))
+    x[:3] = [np.nan] * 9, [np.inf] * 9, [-np.inf] * 9
+    asked, shares = [], H._shares
+    H._shares = lambda agrees, leaf: asked.append(len(agrees)) or shares(agrees, leaf)
+    try:
+        many = H.shap_batch(x, leaf)
+        assert asked == [2 ** leaf["feature"].shape[1]]     # once for the batch, whatever its rows
+    finally:
+        H._shares = shares
+    few = np.concatenate([H.shap_batch(x[k:k + 1], leaf) for k in range(len(x))])
+    assert np.allclose(many, few, atol=1e-12)
+    at = np.zeros(len(x), int)
+    for _ in range(depth):
+        at = np.where(x[np.arange(len(x)), tree["feature"][at]] <= tree["threshold"][at], tree["left"][at], tree["right"][at])
+    assert np.allclose(many.sum(axis=(1, 2)) + leaf["base"], tree["value"][at, 0])
+
+
 def test_draws_meet_every_background_row(spark):
     back = [[float(i)] * 3 for i in range(5)]
     taken = H.draws(back, 3, orders=2)

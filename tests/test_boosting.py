@@ -206,3 +206,35 @@ def test_jobs_start_few_tasks_and_send_no_empty_bins():
         for f in (0, 2):
             np.add.at(want, (place, f, bins[f, rows]), np.stack([g, np.ones(len(rows)) if hessian is None else h, np.ones(len(rows))], 1))
         assert np.allclose(got, want)
+
+
+def random_tree(rng, leaves, features, cuts):
+    """A tree grown by splitting leaves at random; a cut's threshold is twice its number."""
+    feature, cut, left, right, open_ = [-1], [0], [-1], [-1], [0]
+    while len(open_) < leaves:
+        i = open_.pop(int(rng.integers(len(open_))))
+        feature[i], cut[i], left[i], right[i] = int(rng.integers(features)), int(rng.integers(cuts)), len(feature), len(feature) + 1
+        open_ += [left[i], right[i]]
+        for a, v in ((feature, -1), (cut, 0), (left, -1), (right, -1)):
+            a += [v, v]
+    n = len(feature)
+    return B.Tree(*map(np.array, (feature, cut, left, right)), rng.standard_normal(n), np.ones(n), 2.0 * np.array(cut))
+
+
+def test_rows_find_their_leaf_by_masks(monkeypatch):
+    """Trees are not walked row by row: rows are binned once, and a leaf is found by what each feature leaves open."""
+    rng = np.random.default_rng(8)
+    forest = [random_tree(rng, k, 3, 50) for k in (1, 2, 31, 64, 65, 128, 200, 300)]
+    x = np.concatenate([rng.integers(-1, 102, (9_000, 3)).astype(float), [[np.nan] * 3, [np.inf] * 3, [-np.inf] * 3, [0.0, np.nan, 98.0]]])
+    want = np.full(len(x), 0.5)
+    for t in forest:
+        want += t.value[t.of_values(x)]
+    bins = np.clip(np.ceil(np.where(np.isnan(x), np.inf, x) / 2), 0, 50).T   # at most the cut if the value is at most the threshold
+    for kind in (np.uint8, np.intp):
+        for t in forest:
+            assert (t.of_bins(bins.astype(kind)) == t.of_values(x)).all()
+    monkeypatch.setattr(B.Tree, "of_values", lambda *a: pytest.fail("a row was walked"))
+    got = B.Booster(B.Spec("m", "squared"), 3, np.array([0.5]), [forest]).margins(x)[:, 0]
+    assert (got == want).all()
+    assert B.Booster(B.Spec("m", "squared"), 3, np.array([0.5]), [forest]).margins(x[:0]).shape == (0, 1)
+    assert (B.Booster(B.Spec("m", "squared"), 0, np.array([0.5]), [[]]).margins(np.zeros((4, 0))) == 0.5).all()

@@ -238,3 +238,43 @@ def test_rows_find_their_leaf_by_masks(monkeypatch):
     assert (got == want).all()
     assert B.Booster(B.Spec("m", "squared"), 3, np.array([0.5]), [forest]).margins(x[:0]).shape == (0, 1)
     assert (B.Booster(B.Spec("m", "squared"), 0, np.array([0.5]), [[]]).margins(np.zeros((4, 0))) == 0.5).all()
+
+
+def test_features_are_summed_and_looked_up_in_groups(spark, monkeypatch):
+    """A row is added to the sums once for a group of features, and finds its leaf by one look for a group; sums and leaves are those of the single features."""
+    rng = np.random.default_rng(11)
+    layout = B.Layout([64, 7, 50, 64, 11, 9, 3, 2, 7, 12, 31])
+    assert len(layout.groups) == 4 and max(layout.sizes) <= B.GROUP_CODES and sorted(sum(layout.groups, [])) == list(range(11))
+    assert B.Layout([5000, 2, 300]).groups and B.Layout([70_000]).dtype == np.uint32 and B.Layout([]).groups == [] and len(B.Layout([64] * 200).groups) == 200
+    bins = np.stack([rng.integers(0, w, 900) for w in layout.widths])
+    codes = layout.codes(bins)
+    assert codes.shape == (4, 900) and codes.dtype == np.uint16 and (layout.bins(codes) == bins).all()
+    rows, count, allowed = np.flatnonzero(rng.random(900) < 0.5), 5, rng.random(11) < 0.7
+    place, g, h = rng.integers(0, count, len(rows)), rng.standard_normal(len(rows)), rng.random(len(rows))
+    for hessian in (h, None):
+        want = np.zeros(B._size(count, layout.widths, allowed))
+        B._add_sums(want, bins, rows, place, g, hessian, count, layout.widths, allowed)
+        joint = B._Joint(count, layout, allowed)
+        joint.add(codes, rows[:200], place[:200], g[:200], None if hessian is None else h[:200])
+        joint.add(codes, rows[200:], place[200:], g[200:], None if hessian is None else h[200:])
+        assert np.allclose(joint.total(), want)
+    for leaves in (1, 2, 64, 65, 200, 300):
+        tree = random_tree(rng, leaves, 11, 2)
+        nodes, found = tree.found(codes.astype(np.intp), layout)
+        assert (nodes.take(found) == tree.of_bins(bins.astype(np.uint8))).all()
+    df, x, _ = table(spark)
+    specs = [B.Spec("a", "squared", rounds=3, max_depth=4, row_share=0.8, fold=1), B.Spec("s", "squared", policy="symmetric", rounds=3, max_depth=3), B.Spec("y", "squared", policy="leaf", rounds=2, weighted=True)]
+    grouped = B.fit(df, specs, 4, local_rows=0)
+    monkeypatch.setattr(B, "JOINT_BYTES", 0)
+    single = B.fit(df, specs, 4, local_rows=0)
+    assert all(close(as_nested(a), as_nested(b)) for s in specs for a, b in zip(grouped[s.name].trees[0], single[s.name].trees[0]))
+
+
+def test_blocks_hold_few_bytes_a_row():
+    """Every level reads all blocks: labels and weights of few values are a byte, and features that fit into one code are two."""
+    layout, n = B.Layout([64, 7, 50, 64]), 1000
+    parts = (np.zeros((1, n)), np.arange(n) % 2.0, np.ones(n), np.zeros(n, np.int16), np.arange(n), np.zeros((1, n)))
+    block = B._blocks(layout)([n, layout.codes(np.zeros((4, n), int)).tobytes(), *(p.tobytes() for p in parts[1:])])
+    assert block.y.codes.dtype == np.uint8 and (block.y.take(np.arange(5)) == [0, 1, 0, 1, 0]).all()
+    assert (B._Numbers.of(np.arange(n) / 7).take(np.arange(n)) == np.arange(n) / 7).all()
+    assert sum(a.nbytes for a in (block.codes, block.y.codes, block.w.codes, block.fold, block.id, block.margin)) == n * (2 * len(layout.groups) + 1 + 1 + 2 + 8 + 8)

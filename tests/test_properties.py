@@ -296,6 +296,45 @@ def test_shap_by_patterns_equals_shap_by_rows(depth):
     assert np.allclose(many.sum(axis=(1, 2)) + leaf["base"], tree["value"][at, 0])
 
 
+def test_shap_of_a_symmetric_tree_is_paid_by_answers(monkeypatch):
+    """Rows that answer a symmetric tree's few questions alike are paid once; a tree without a split pays nothing."""
+    rng, depth = np.random.default_rng(4), 6
+    i = np.arange(2 ** (depth + 1) - 1)
+    level, inner = np.floor(np.log2(i + 1)).astype(int), i < 2 ** depth - 1
+    asked = [(2, 0.5), (0, -0.3), (2, -0.1), (4, 0.0), (1, 1.0), (0, 0.7), (0, 0.0)]
+    tree = {"feature": np.where(inner, np.array([f for f, _ in asked])[level], -1), "threshold": np.array([c for _, c in asked])[level], "left": np.where(inner, 2 * i + 1, -1),
+            "right": np.where(inner, 2 * i + 2, -1), "value": rng.standard_normal((len(i), 1)), "cover": 2.0 ** (depth - level), "weight": 0.5, "outputs": [None]}
+    leaf = H.leaf_paths(tree, 5)
+    x = rng.standard_normal((500, 5))
+    x[:3] = [np.nan] * 5, [np.inf] * 5, [-np.inf] * 5
+    few = np.concatenate([H.shap_batch(x[k:k + 1], leaf) for k in range(len(x))])
+    paid, shap = [], H._shap
+    monkeypatch.setattr(H, "_shap", lambda x, *a: paid.append(len(x)) or shap(x, *a))
+    assert np.allclose(H.shap_batch(x, leaf, H.bin_rows(x, [leaf])), few, atol=1e-12) and len(paid) == 1 and paid[0] <= 2 ** depth
+    stump = H.leaf_paths({"feature": np.array([-1]), "threshold": np.zeros(1), "left": np.array([-1]), "right": np.array([-1]), "value": np.ones((1, 1)), "cover": np.ones(1), "weight": 1.0, "outputs": [None]}, 5)
+    assert (H.shap_batch(x, stump) == 0).all() and H.shap_batch(x, stump).shape == (500, 1, 5)
+
+
+def test_shap_rows_of_many_batches(spark):
+    """Batches are put together for the trees' tables; keys, also null ones, stay with their rows."""
+    from pyspark.ml.linalg import Vectors
+    t = {"feature": np.array([1, -1, 0, -1, -1]), "threshold": np.array([0.0, 0, 1.0, 0, 0]), "left": np.array([1, -1, 3, -1, -1]), "right": np.array([2, -1, 4, -1, -1]),
+         "value": np.array([[0.0], [2], [0], [-1], [4]]), "cover": np.array([9.0, 4, 5, 3, 2]), "weight": 1.0, "outputs": [None]}
+    rows = [(None if i == 7 else str(i), Vectors.dense([float(i % 3), float(i % 5 - 2)])) for i in range(300)]
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "16")
+    try:
+        got = H.tree_contributions(spark.createDataFrame(rows, ["k", "features"]).repartition(2), "k", ["a", "b"], [t, t]).collect()
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == 900 and {(r["class"], r.feature) for r in got} == {("margin", "a"), ("margin", "b"), ("margin", "__base")}
+    total = {}
+    for r in got:
+        total[r.row_key] = total.get(r.row_key, 0.0) + r.contribution
+    for key, v in rows:
+        want = 2 * (2 if v[1] <= 0 else -1 if v[0] <= 1 else 4)
+        assert abs(total[key] - want) < 1e-9
+
+
 def test_draws_meet_every_background_row(spark):
     back = [[float(i)] * 3 for i in range(5)]
     taken = H.draws(back, 3, orders=2)

@@ -278,3 +278,25 @@ def test_blocks_hold_few_bytes_a_row():
     assert block.y.codes.dtype == np.uint8 and (block.y.take(np.arange(5)) == [0, 1, 0, 1, 0]).all()
     assert (B._Numbers.of(np.arange(n) / 7).take(np.arange(n)) == np.arange(n) / 7).all()
     assert sum(a.nbytes for a in (block.codes, block.y.codes, block.w.codes, block.fold, block.id, block.margin)) == n * (2 * len(layout.groups) + 1 + 1 + 2 + 8 + 8)
+
+
+def test_models_are_scored_together(spark):
+    """Candidates, and the base models of a stack, read each batch of rows once; their numbers are those of each alone."""
+    from pyspark.ml.functions import vector_to_array
+
+    from quillstat.operators import models as M
+    df, x, y = table(spark, bad=True)
+    for n_classes, label in ((2, (F.col("label") > 0.5).cast("double")), (3, F.when(F.col("label") < 0, 0.0).when(F.col("label") < 1.5, 1.0).otherwise(2.0)), (0, F.col("label"))):
+        cands = M.CLASSIFICATION_CANDIDATES if n_classes else M.REGRESSION_CANDIDATES
+        rows = df.withColumn("label", label)
+        models = B.fit(rows, [M.spec(c, M.TreeParams(n_trees=3, max_depth=3), n_classes) for c in cands], 4)
+        got = M.predictions_of(cands, models, rows)
+        assert got._jdf.queryExecution().toString().split("== Physical Plan ==")[1].count("ArrowEvalPython") == 1 and got.columns == ["model", "ordinal", "row_key", "label", "prediction"]
+        want = {(c.name, c.ordinal, r.row_key, r.label, r.prediction) for c in cands for r in models[c.name].transform(rows).collect()}
+        assert {tuple(r) for r in got.collect()} == want and len(want) == 3 * 502
+        if n_classes:
+            bases = M.base_probability_columns({c.name: M._wrap(models[c.name], c.name) for c in cands}, rows, ["row_key"])
+            probabilities = {(r.row_key, c.name): r.p for c in cands for r in models[c.name].transform(rows).select("row_key", vector_to_array("probability").alias("p")).collect()}
+            for r in bases.select("row_key", "meta", *[vector_to_array(f"p_{c.name}").alias(c.name) for c in cands]).collect():
+                each = [probabilities[r.row_key, c.name] for c in cands]
+                assert [r[c.name] for c in cands] == each and list(r.meta) == sum(each, []) and len(r.meta) == 3 * n_classes

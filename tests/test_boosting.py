@@ -258,15 +258,25 @@ def test_features_are_summed_and_looked_up_in_groups(spark, monkeypatch):
         joint.add(codes, rows[:200], place[:200], g[:200], None if hessian is None else h[:200])
         joint.add(codes, rows[200:], place[200:], g[200:], None if hessian is None else h[200:])
         assert np.allclose(joint.total(), want)
+    # a node's sums are the same numbers, to the last bit, alone and among others: a parent less its child leaves nothing where the child has all rows
+    alone, among = B._Joint(1, layout, allowed), B._Joint(5, layout, allowed)
+    alone.add(codes, rows, np.zeros(len(rows), int), g, h)
+    among.add(codes, rows, np.full(len(rows), 3), g, h)
+    assert np.array_equal(B._spread(alone.total(), 1, layout.widths, allowed)[0], B._spread(among.total(), 5, layout.widths, allowed)[3])
     for leaves in (1, 2, 64, 65, 200, 300):
         tree = random_tree(rng, leaves, 11, 2)
         nodes, found = tree.found(codes.astype(np.intp), layout)
         assert (nodes.take(found) == tree.of_bins(bins.astype(np.uint8))).all()
-    df, x, _ = table(spark)
+    df, x, _ = table(spark, 2000)
     specs = [B.Spec("a", "squared", rounds=3, max_depth=4, row_share=0.8, fold=1), B.Spec("s", "squared", policy="symmetric", rounds=3, max_depth=3), B.Spec("y", "squared", policy="leaf", rounds=2, weighted=True)]
-    grouped = B.fit(df, specs, 4, local_rows=0)
+    marked, joined = [], B._joined
+    monkeypatch.setattr(B, "_joined", lambda builders, *a: (joined(builders, *a), marked.extend(b.joint for b in builders if b)))
+    grouped = B.fit(df.coalesce(1), specs, 4, max_bins=4, local_rows=0)
+    assert any(marked)
     monkeypatch.setattr(B, "JOINT_BYTES", 0)
-    single = B.fit(df, specs, 4, local_rows=0)
+    marked.clear()
+    single = B.fit(df.coalesce(1), specs, 4, max_bins=4, local_rows=0)
+    assert not any(marked)
     assert all(close(as_nested(a), as_nested(b)) for s in specs for a, b in zip(grouped[s.name].trees[0], single[s.name].trees[0]))
 
 

@@ -310,3 +310,19 @@ def test_models_are_scored_together(spark):
             for r in bases.select("row_key", "meta", *[vector_to_array(f"p_{c.name}").alias(c.name) for c in cands]).collect():
                 each = [probabilities[r.row_key, c.name] for c in cands]
                 assert [r[c.name] for c in cands] == each and list(r.meta) == sum(each, []) and len(r.meta) == 3 * n_classes
+
+
+def test_cached_blocks_stay_small_and_boosting_joins_them(spark):
+    """A block of the prepared table does not grow to a million rows with the table; boosting runs few tasks over many blocks."""
+    from quillstat.plans import analysis as A
+    assert all(A.cached_blocks(n) == B.tasks_for(n) for n in (0, 600, 60_000, 3_600_000))
+    assert all(n / A.cached_blocks(n) <= 500_000 for n in (36_000_000, 216_000_000, 10**9)) and A.cached_blocks(216_000_000) == 864
+    df, x, _ = table(spark, 400)
+    spec = B.Spec("m", "squared", rounds=2, max_depth=3)
+    tasks, summer = [], B._sums_of
+    B._sums_of = lambda state, *a: tasks.append(state.getNumPartitions()) or summer(state, *a)
+    try:
+        many, few = (B.fit(df.repartition(k, "row_key"), [spec], 4, local_rows=0)["m"] for k in (9, 2))
+    finally:
+        B._sums_of = summer
+    assert set(tasks) == {B.tasks_for(400), 2} and np.allclose(many.margins(x), few.margins(x))
